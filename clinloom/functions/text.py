@@ -62,15 +62,19 @@ def safe_double(value: Column | str) -> Column:
     return F.when(F.abs(number) != float("inf"), number)
 
 
+def _whole_number(text: Column, low: int, high: int, kind: str) -> Column:
+    # at most 18 digits, so the cast itself can never fail: a failed try_cast costs an exception per row
+    number = F.when(text.rlike(r"^[+-]?0*[0-9]{1,18}$"), text.try_cast("long"))
+    return F.when(number.between(low, high), number).cast(kind)
+
+
 def safe_int(value: Column | str) -> Column:
-    text = F.trim(col(value).cast("string"))
-    return F.when(text.rlike(INTEGER_PATTERN), text.try_cast("int"))
+    return _whole_number(F.trim(col(value).cast("string")), -(2**31), 2**31 - 1, "int")
 
 
 def safe_id(value: Column | str) -> Column:
-    """An identifier as a long; NULL for blank and for anything not an integer."""
-    text = blank_to_null(col(value).cast("string"))
-    return F.when(text.rlike(INTEGER_PATTERN), text.try_cast("long"))
+    """An identifier as a long (up to 18 digits); NULL for blank and for anything not an integer."""
+    return _whole_number(blank_to_null(col(value).cast("string")), -(10**18), 10**18, "long")
 
 
 def is_bad_id(value: Column | str) -> Column:
@@ -109,26 +113,29 @@ def birth_date_from_parts(moment: Column, year: Column, month: Column, day: Colu
 
 
 def time_text(moment: Column | str) -> Column:
-    return F.date_format(col(moment), "HH:mm:ss")
+    return F.substring(col(moment).cast("string"), 12, 8)
 
 
 def iso_text(moment: Column | str) -> Column:
     """``yyyy-MM-ddTHH:mm:ss`` with a 7-digit fraction where there is one."""
-    moment = col(moment)
-    fraction = F.date_format(moment, "SSSSSS")
+    text = col(moment).cast("string")
+    fraction = F.substring(text, 21, 6)
     return F.concat(
-        F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss"),
-        F.when(fraction == "000000", "").otherwise(F.concat(F.lit("."), fraction, F.lit("0"))),
+        F.substring(text, 1, 10),
+        F.lit("T"),
+        F.substring(text, 12, 8),
+        F.when(fraction == "", "").otherwise(F.concat(F.lit("."), F.rpad(fraction, 7, "0"))),
     )
 
 
 def plain_text(moment: Column | str) -> Column:
     """``yyyy-MM-dd HH:mm:ss.fffffff``."""
-    return F.concat(F.date_format(col(moment), "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit("0"))
+    text = col(moment).cast("string")
+    return F.concat(F.substring(text, 1, 19), F.lit("."), F.rpad(F.substring(text, 21, 6), 7, "0"))
 
 
 def day_text(day: Column | str) -> Column:
-    return F.date_format(col(day), "yyyy-MM-dd")
+    return col(day).cast("string")
 
 
 def row_id(table: str, *parts: Column | str) -> Column:

@@ -219,21 +219,21 @@ class CdmBuild:
 
     def summary(self) -> DataFrame:
         """Totals of the run: sources and rows read, tables and rows loaded, rows held."""
-        loads = self.load_counts()
-        is_review = F.col("table_name") == S.REVIEW_TABLE
-        read = self.source_counts().agg(
-            F.count("*").alias("source_tables_checked"), F.sum("row_count").alias("source_rows_checked")
-        )
-        written = loads.agg(
-            F.count(F.when(~is_review, 1)).alias("tables_loaded"),
-            F.sum(F.when(~is_review, F.col("rows_loaded"))).alias("rows_loaded"),
-            F.sum(F.when(is_review, F.col("rows_loaded"))).alias("review_rows"),
-        )
-        vocabularies = vocab.vocabulary_check(self.concept).agg(
-            F.count(F.when(F.col("status") == "loaded", 1)).alias("vocabularies_loaded")
-        )
-        # three tables of one row each
-        return read.join(written).join(vocabularies)
+
+        def metric(df: DataFrame, name: str, value: Column) -> DataFrame:
+            return df.agg(F.coalesce(value, F.lit(0)).cast("long").alias("value")).select(F.lit(name).alias("metric"), "value")
+
+        read, written = self.source_counts(), self.load_counts()
+        tables = written.where(F.col("table_name") != S.REVIEW_TABLE)
+        held = written.where(F.col("table_name") == S.REVIEW_TABLE)
+        parts = [
+            metric(read, "source_tables_checked", F.count("*")),
+            metric(read, "source_rows_checked", F.sum("row_count")),
+            metric(tables, "tables_loaded", F.count("*")),
+            metric(tables, "rows_loaded", F.sum("rows_loaded")),
+            metric(held, "review_rows", F.sum("rows_loaded")),
+        ]
+        return reduce(DataFrame.unionByName, parts)
 
     def dropped_rows(self) -> DataFrame:
         """Per fact source: rows read, staged, held and loaded, and those that went nowhere."""

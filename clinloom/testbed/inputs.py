@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clinloom.plans.build import CdmBuild
+from clinloom.staging import StageStore
 from clinloom.testbed.adapters import AS_OF, SOURCE_ADAPTERS, spark_sql
 
 _BUILDS: dict[tuple[str, str], CdmBuild] = {}
@@ -20,9 +23,35 @@ def as_of():
     return F.lit(AS_OF).cast("date")
 
 
+class StagedTables(Mapping):
+    """The adapted tables, each loaded to a staging table on first use, as the conversion expects them.
+
+    The given files hold one row group each, which one task has to read; the
+    staging tables are spread over as many files as the session has cores.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, store: StageStore):
+        self.spark, self.sf_dir, self.store = spark, sf_dir, store
+        self.loaded: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.loaded:
+            df = adapted(self.spark, self.sf_dir, SOURCE_ADAPTERS[name])
+            spread = df.repartition(self.spark.sparkContext.defaultParallelism)
+            self.loaded[name] = self.store.save(spread, f"staging-{name}")
+        return self.loaded[name]
+
+    def __iter__(self):
+        return iter(SOURCE_ADAPTERS)
+
+    def __len__(self) -> int:
+        return len(SOURCE_ADAPTERS)
+
+
 def new_build(spark: SparkSession, sf_dir: str) -> CdmBuild:
-    tables = {name: adapted(spark, sf_dir, adapter) for name, adapter in SOURCE_ADAPTERS.items()}
-    return CdmBuild(tables, tables["concept"], tables["concept_relationship"], as_of())
+    store = StageStore(spark)
+    tables = StagedTables(spark, sf_dir, store)
+    return CdmBuild(tables, tables["concept"], tables["concept_relationship"], as_of(), store)
 
 
 def shared_build(spark: SparkSession, sf_dir: str) -> CdmBuild:
