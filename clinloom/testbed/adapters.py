@@ -256,6 +256,13 @@ SELECT c_custkey AS row_key,
   CASE WHEN c_custkey % 7 = 0 THEN '' ELSE c_mktsegment END AS `SEGMENT`,
   CASE WHEN c_custkey % 2 = 0 THEN NULL ELSE '  ' END AS `EMPTY`,
   CASE WHEN c_custkey % 50 = 11 THEN '12 ' WHEN c_custkey % 50 = 12 THEN '2020-13-45' ELSE c_name END AS `MIXED`
+FROM {customer}""",
+    "raw_births": """
+SELECT c_custkey AS row_key,
+  CASE WHEN c_custkey % 3 = 0 THEN CAST(DATE '1950-01-01' + CAST(c_custkey % 9000 AS INT) AS TIMESTAMP) + INTERVAL '7' HOUR END AS birth_moment,
+  CASE WHEN c_custkey % 37 = 0 THEN NULL ELSE CAST(1930 + c_custkey % 70 AS INT) END AS birth_year,
+  CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE CAST(c_custkey % 14 AS INT) END AS birth_month,
+  CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE CAST(c_custkey % 33 AS INT) END AS birth_day
 FROM {customer}""",
     "raw_orders": """
 SELECT o_orderkey AS row_key, CAST(o_orderkey AS STRING) AS `ORDERKEY`,

@@ -401,8 +401,12 @@ TABLES: dict[str, str] = {
 
 def with_ctes(final: str) -> str:
     """``final`` with the table expressions it names, directly or through others."""
-    definitions = {**{name: duckdb_sql(name) for name in ADAPTERS}, **DERIVED}
-    names = re.compile(r"\b(?:src|raw|o)_[a-z_]+\b")
+    definitions = {
+        **{name: duckdb_sql(name) for name in ADAPTERS},
+        **DERIVED,
+        **{f"t_{name}": sql for name, sql in TABLES.items()},
+    }
+    names = re.compile(r"\b(?:src|raw|o|t)_[a-z_]+\b")
     ordered: list[str] = []
 
     def visit(sql: str) -> None:
