@@ -10,9 +10,14 @@ UUID_PATTERN = r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0
 INTEGER_PATTERN = r"^[+-]?[0-9]+$"
 DATE_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 DATETIME_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]+)?Z?$"
+# the same, but only days and times that exist (29 February is left to the cast)
+CALENDAR_DAY = (
+    r"[0-9]{4}-((0[13578]|1[02])-(0[1-9]|[12][0-9]|3[01])|(0[469]|11)-(0[1-9]|[12][0-9]|30)|02-(0[1-9]|[12][0-9]))"
+)
+CLOCK = r"([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]"
 # ISO date-time with a T or one space, optional seconds, fraction and zone
-EVENT_DATETIME_PATTERN = (
-    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}(:[0-9]{2}(:[0-9]{2}([.,][0-9]+)?)?)?(Z|[+-][0-9]{2}(:?[0-9]{2})?)?$"
+EVENT_PATTERN = (
+    rf"^{CALENDAR_DAY}([T ]([01][0-9]|2[0-3])(:[0-5][0-9](:[0-5][0-9]([.,][0-9]+)?)?)?(Z|[+-][0-9]{{2}}(:?[0-9]{{2}})?)?)?$"
 )
 FLOAT_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 BOOLEAN_WORDS = ("true", "t", "yes", "y", "1", "false", "f", "no", "n", "0")
@@ -82,25 +87,33 @@ def is_bad_id(value: Column | str) -> Column:
     return blank_to_null(value).isNotNull() & safe_id(value).isNull()
 
 
+def moment_of(text: Column) -> Column:
+    """Stripped ISO date-time text as a UTC moment without zone; NULL where it is none.
+
+    The pattern keeps bad values from the cast: each failed one costs an exception.
+    """
+    return F.when(
+        text.rlike(rf"^{CALENDAR_DAY}T{CLOCK}(\.[0-9]+)?Z?$"), F.rtrim(text, F.lit("Z")).try_cast("timestamp_ntz")
+    )
+
+
+def day_of(text: Column) -> Column:
+    """Stripped ISO date text as a date; NULL where it is none."""
+    return F.when(text.rlike(rf"^{CALENDAR_DAY}$"), text.try_cast("date"))
+
+
 def utc_datetime(value: Column | str) -> Column:
-    """ISO date-time text, UTC-normalised, zone dropped; NULL where it is none."""
-    text = blank_to_null(value)
-    local = F.regexp_replace(text, "Z$", "")
-    return F.when(text.rlike(DATETIME_PATTERN), local.try_cast("timestamp_ntz"))
+    return moment_of(blank_to_null(value))
 
 
 def iso_date(value: Column | str) -> Column:
-    text = blank_to_null(value)
-    return F.when(text.rlike(DATE_PATTERN), text.try_cast("date"))
+    return day_of(blank_to_null(value))
 
 
 def event_date(value: Column | str) -> Column:
     """The calendar day of ISO date or date-time text, as written (no zone shift)."""
     text = blank_to_null(value)
-    clock = F.regexp_replace(F.substring(text, 12, 20), r"(Z|[+-][0-9]{2}(:?[0-9]{2})?)$", "")
-    valid_clock = clock.rlike(r"^([01][0-9]|2[0-3])(:[0-5][0-9](:[0-5][0-9]([.,][0-9]+)?)?)?$")
-    day = F.substring(text, 1, 10).try_cast("date")
-    return F.when(text.rlike(DATE_PATTERN), day).when(text.rlike(EVENT_DATETIME_PATTERN) & valid_clock, day)
+    return F.when(text.rlike(EVENT_PATTERN), F.substring(text, 1, 10).try_cast("date"))
 
 
 def birth_date_from_parts(moment: Column, year: Column, month: Column, day: Column) -> Column:

@@ -64,23 +64,47 @@ def coerce(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
     return df.select(*(cast(c, kinds[c]).alias(c) if c in kinds else F.col(f"`{c}`") for c in df.columns))
 
 
-def _type_label() -> Column:
+def _tested(cells: DataFrame) -> DataFrame:
+    """Each cell with what it could be; the aggregates then only combine flags and values."""
     value = F.col("value")
+    is_number = value.rlike(X.FLOAT_PATTERN)
+    return cells.select(
+        "ordinal_position",
+        "column_name",
+        "value",
+        F.lower(value).isin(*X.BOOLEAN_WORDS).alias("is_boolean"),
+        value.rlike(X.INTEGER_PATTERN).alias("is_integer"),
+        is_number.alias("is_number"),
+        F.when(is_number, value.try_cast("decimal(38,18)")).alias("number"),
+        X.moment_of(value).alias("moment"),
+        X.day_of(value).alias("day"),
+        value.rlike(X.UUID_PATTERN).alias("is_uuid"),
+    )
+
+
+def _type_label() -> Column:
+    """The first type every filled value has; needs the columns of ``_tested``."""
+    filled = F.count("value")
+
+    def all_are(test: Column) -> Column:
+        return F.bool_and(test)  # NULL cells do not count
+
     return (
-        F.when(F.count(value) == 0, "empty")
-        .when(_every(F.lower(value).isin(*X.BOOLEAN_WORDS)), "boolean")
-        .when(_every(value.rlike(X.INTEGER_PATTERN)), "integer")
-        .when(_every(value.rlike(X.FLOAT_PATTERN)), "decimal")
-        .when(_every(X.utc_datetime(value).isNotNull()), "datetime")
-        .when(_every(X.iso_date(value).isNotNull()), "date")
-        .when(_every(value.rlike(X.UUID_PATTERN)), "uuid")
+        F.when(filled == 0, "empty")
+        .when(all_are(F.col("is_boolean")), "boolean")
+        .when(all_are(F.col("is_integer")), "integer")
+        .when(all_are(F.col("is_number")), "decimal")
+        .when(F.count("moment") == filled, "datetime")
+        .when(F.count("day") == filled, "date")
+        .when(all_are(F.col("is_uuid")), "uuid")
         .otherwise("text")
     )
 
 
 def infer_full_types(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Profiler types from all rows."""
-    return unpivot(df, columns).groupBy("ordinal_position", "column_name").agg(_type_label().alias("inferred_type"))
+    cells = _tested(unpivot(df, columns))
+    return cells.groupBy("ordinal_position", "column_name").agg(_type_label().alias("inferred_type"))
 
 
 def _moment_text(moment: Column) -> Column:
@@ -96,10 +120,8 @@ def column_statistics(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     values are shuffled.
     """
     value = F.col("value")
-    decimal = F.when(value.rlike(X.FLOAT_PATTERN), value.try_cast("decimal(38,18)"))
-    moment, day = X.utc_datetime(value), X.iso_date(value)
     stats = (
-        unpivot(df, columns)
+        _tested(unpivot(df, columns))
         .groupBy("ordinal_position", "column_name")
         .agg(
             _type_label().alias("inferred_type"),
@@ -108,8 +130,8 @@ def column_statistics(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             F.min(F.length(value)).alias("min_length"),
             F.max(F.length(value)).alias("max_length"),
             *(
-                f(v).alias(f"{name}_{kind}")
-                for kind, v in (("number", decimal), ("moment", moment), ("day", day))
+                f(kind).alias(f"{name}_{kind}")
+                for kind in ("number", "moment", "day")
                 for name, f in (("min", F.min), ("max", F.max))
             ),
             F.approx_count_distinct(value).alias("distinct_estimate"),

@@ -12,6 +12,10 @@ RECOMMENDED = {
     # also where that costs another exchange further up.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # The fact projections compile to long methods, which the JVM would otherwise
+    # leave interpreted.
+    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -283,8 +283,13 @@ SOURCE_ADAPTERS = {name.removeprefix("src_"): name for name in ADAPTERS if name.
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
-def spark_sql(name: str, sf_dir: str) -> str:
-    return ADAPTERS[name].format(**{t: f"parquet.`{sf_dir}/{t}.parquet`" for t in TABLES})
+def tables_of(name: str) -> list[str]:
+    """The given tables an adapter reads."""
+    return [t for t in TABLES if "{" + t + "}" in ADAPTERS[name]]
+
+
+def spark_sql(name: str, paths: dict[str, str]) -> str:
+    return ADAPTERS[name].format(**{t: f"parquet.`{path}`" for t, path in paths.items()})
 
 
 def duckdb_sql(name: str) -> str:

@@ -10,36 +10,47 @@ from pyspark.sql import types as T
 
 from clinloom.plans.build import CdmBuild
 from clinloom.staging import StageStore
-from clinloom.testbed.adapters import AS_OF, SOURCE_ADAPTERS, spark_sql
+from clinloom.testbed.adapters import AS_OF, SOURCE_ADAPTERS, spark_sql, tables_of
 
 _BUILDS: dict[tuple[str, str], CdmBuild] = {}
 
 
-def adapted(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.sql(spark_sql(name, sf_dir))
-
-
 def as_of():
     return F.lit(AS_OF).cast("date")
 
 
 class StagedTables(Mapping):
-    """The adapted tables, each loaded to a staging table on first use, as the conversion expects them.
-
-    The given files hold one row group each, which one task has to read; the
-    staging tables are spread over as many files as the session has cores.
-    """
+    """The adapted tables, each loaded to a staging table on first use, as the conversion expects them."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, store: StageStore):
         self.spark, self.sf_dir, self.store = spark, sf_dir, store
+        self.given: dict[str, str] = {}
         self.loaded: dict[str, DataFrame] = {}
 
+    def _given(self, table: str) -> str:
+        """A copy of a given table in several files.
+
+        The given files hold one row group each, so one task would have to do
+        all the work on them; extracts of real size come in many.
+        """
+        if table not in self.given:
+            path = self.store.path(f"given/{table}")
+            df = self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
+            df.repartition(self.spark.sparkContext.defaultParallelism).write.parquet(path)
+            self.given[table] = path
+        return self.given[table]
+
+    def adapted(self, adapter: str) -> DataFrame:
+        """An adapter's rows, not staged."""
+        return self.spark.sql(spark_sql(adapter, {t: self._given(t) for t in tables_of(adapter)}))
+
+    def staged(self, adapter: str) -> DataFrame:
+        if adapter not in self.loaded:
+            self.loaded[adapter] = self.store.save(self.adapted(adapter), f"staging-{adapter}")
+        return self.loaded[adapter]
+
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in self.loaded:
-            df = adapted(self.spark, self.sf_dir, SOURCE_ADAPTERS[name])
-            spread = df.repartition(self.spark.sparkContext.defaultParallelism)
-            self.loaded[name] = self.store.save(spread, f"staging-{name}")
-        return self.loaded[name]
+        return self.staged(SOURCE_ADAPTERS[name])
 
     def __iter__(self):
         return iter(SOURCE_ADAPTERS)
@@ -62,6 +73,11 @@ def shared_build(spark: SparkSession, sf_dir: str) -> CdmBuild:
     return _BUILDS[key]
 
 
+def adapted(spark: SparkSession, sf_dir: str, adapter: str) -> DataFrame:
+    """One adapted table of the session's shared build."""
+    return shared_build(spark, sf_dir).sources.staged(adapter)
+
+
 def comparable(df: DataFrame) -> DataFrame:
     """Dates as ISO text, so that every client shows them alike."""
     return df.select(

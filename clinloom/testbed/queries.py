@@ -404,9 +404,8 @@ query("limit_rows", "SELECT * FROM raw_orders ORDER BY row_key LIMIT 250")(
 # --- proposed rows -----------------------------------------------------------------------------
 
 
-def proposals(spark: SparkSession, sf: str) -> DataFrame:
+def fold_proposals(flat: DataFrame) -> DataFrame:
     """The flat proposals folded into value maps and binding arrays."""
-    flat = adapted(spark, sf, "src_proposals")
 
     def pair(test, key, value):
         return F.when(test, F.struct(key.alias("key"), value.cast("string").alias("value")))
@@ -432,6 +431,10 @@ def proposals(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def proposals(spark: SparkSession, sf: str) -> DataFrame:
+    return fold_proposals(adapted(spark, sf, "src_proposals"))
+
+
 _VALUE_ID = "CASE WHEN regexp_full_match(trim(concept_text), '[+-]?[0-9]+') THEN try_cast(trim(concept_text) AS BIGINT) END"
 _PRIMARY = "target_table IN ('condition_occurrence', 'drug_exposure', 'procedure_occurrence', 'measurement', 'observation')"
 _EXPECTED = "CASE target_table WHEN 'condition_occurrence' THEN 'Condition' WHEN 'drug_exposure' THEN 'Drug' WHEN 'measurement' THEN 'Measurement' WHEN 'observation' THEN 'Observation' END"
