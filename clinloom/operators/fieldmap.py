@@ -60,15 +60,13 @@ def source_fields(tables: Mapping[str, DataFrame], samples: bool = True) -> Data
         )
         if not samples:
             return counted.withColumn("sample_values", F.array().cast("array<string>")).drop("position")
-        text = df.select(*(F.trim(F.col(f"`{c}`").cast("string")).alias(c) for c in df.columns)).limit(SAMPLE_ROWS)
-        heads = text.agg(F.collect_list(F.struct(*(F.col(f"`{c}`") for c in df.columns))).alias("head"))  # at most 50 rows
-        values = F.array(
-            *(
-                F.slice(F.array_distinct(F.filter(F.transform("head", lambda r, c=c: r[c]), lambda v: v != "")), 1, SAMPLE_VALUES)
-                for c in df.columns
-            )
-        )
-        sampled = heads.select(F.posexplode(values).alias("position", "sample_values"))
+        text = df.select(*(F.trim(F.col(f"`{c}`").cast("string")).alias(c) for c in df.columns))
+        found: list[list[str]] = [[] for _ in df.columns]
+        for row in text.head(SAMPLE_ROWS):
+            for values, value in zip(found, row, strict=True):
+                if value and value not in values and len(values) < SAMPLE_VALUES:
+                    values.append(value)
+        sampled = df.sparkSession.createDataFrame(list(enumerate(found)), "position int, sample_values array<string>")
         return counted.join(sampled, "position", "left").select("file_name", "row_count", "column_name", "sample_values")
 
     return reduce(DataFrame.unionByName, (of_table(n, df) for n, df in tables.items()))

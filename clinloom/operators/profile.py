@@ -32,6 +32,15 @@ def first_rows(df: DataFrame, rows: int, order_by: str | None = None) -> DataFra
     return (df if order_by is None else df.orderBy(order_by)).limit(rows)
 
 
+def read_ahead(df: DataFrame, rows: int) -> DataFrame:
+    """The first rows as a local table.
+
+    Taken directly, Spark reads only the partitions it needs; as a limit inside
+    a larger plan it would start on all of them.
+    """
+    return df.sparkSession.createDataFrame(df.head(rows), df.schema)
+
+
 def _every(test: Column) -> Column:
     """Whether the test holds for every filled value (and there is one)."""
     return F.coalesce(F.bool_and(F.when(F.col("value").isNotNull(), F.coalesce(test, F.lit(False)))), F.lit(False))
@@ -46,7 +55,8 @@ def infer_sample_types(df: DataFrame, columns: Sequence[str], rows: int = SAMPLE
         .when(_every(value.rlike(X.DATE_PATTERN)), "date")
         .otherwise("text")
     )
-    cells = unpivot(first_rows(df, rows, order_by), columns)
+    ordered = df if order_by is None else df.orderBy(order_by)
+    cells = unpivot(read_ahead(ordered.select(*(F.col(f"`{c}`") for c in columns)), rows), columns)
     return cells.groupBy("ordinal_position", "column_name").agg(kind.alias("value_kind"))
 
 

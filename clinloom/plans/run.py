@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clinloom import schemas as S
-from clinloom.operators import profile, rowcheck, vocab
+from clinloom.operators import fieldmap, profile, rowcheck, vocab
 from clinloom.plans.build import CdmBuild
-from clinloom.sinks.tables import conform, ensure_schema, load_table, replace_review
+from clinloom.sinks.tables import append_rows, conform, ensure_schema, load_table, replace_review, union_all
 from clinloom.sources import files
 from clinloom.sources.catalog import TableCheck, require, resolve_sources, resolve_targets
 from clinloom.staging import StageStore
@@ -96,3 +96,60 @@ def validate_proposals(proposals: DataFrame, concept: DataFrame, person: DataFra
         "review": rowcheck.review_rows(checked),
         "summary": rowcheck.validation_summary(checks, checked),
     }
+
+
+def apply_validation(spark: SparkSession, results: dict[str, DataFrame], schema: str = "dbo", review_table: str = S.REVIEW_TABLE) -> dict[str, int]:
+    """Append approved rows to their target tables and held rows to the review table."""
+    store = StageStore(spark)
+    # written aside first: the person table is both read by the checks and a target
+    approved = store.save(results["approved"].select("target_table", "values"), "approved")
+    review = store.save(results["review"], "review")
+    present = {r["target_table"]: r["count"] for r in approved.groupBy("target_table").count().collect()}
+    for table in present:
+        if table not in S.TARGETS:
+            raise ValueError(f"Unknown target table: {table}")
+        columns = [
+            F.try_element_at("values", F.lit(f.name)).cast(f.dataType).alias(f.name) for f in S.TARGETS[table].fields
+        ]
+        append_rows(approved.where(F.col("target_table") == table).select(*columns), schema, table)
+    name = f"{schema}.{review_table}"
+    old = spark.table(name) if spark.catalog.tableExists(name) else spark.createDataFrame([], S.REVIEW)
+    merged = store.save(replace_review(old, review, store, prefix=None), review_table)
+    load_table(merged, schema, review_table)
+    present[review_table] = review.count()
+    store.drop()
+    return present
+
+
+def profile_extracts(spark: SparkSession, folder: str, schema: str, sep: str = ",", multiline: bool = True) -> dict[str, int]:
+    """Profile every delimited file of a folder into ``files_overview`` and ``column_profile``."""
+    ensure_schema(spark, schema)
+    overviews, columns, total = [], [], 0
+    for source in files.list_csv(spark, folder):
+        raw = files.read_delimited(spark, source.path, sep, multiline)
+        df = files.assert_well_formed(raw, source.name)
+        columns.append(profile.column_profile(df, df.columns, source.name))
+        overviews.append(profile.file_profile(df, df.columns, source.name, sep, source.size))
+    load_table(union_all(overviews), schema, "files_overview")
+    load_table(union_all(columns), schema, "column_profile")
+    total = spark.table(f"{schema}.files_overview").agg(F.sum("row_count")).head()[0]
+    return {"files_profiled": len(overviews), "columns_profiled": spark.table(f"{schema}.column_profile").count(), "total_rows": total}
+
+
+def report_field_mappings(
+    spark: SparkSession, tables: dict[str, DataFrame], concept: DataFrame, schema: str, targets: DataFrame | None = None
+) -> dict[str, int]:
+    """Check the field-mapping rules and write the four report tables."""
+    ensure_schema(spark, schema)
+    rules = fieldmap.mapping_rules(spark)
+    vocabularies = vocab.vocabulary_counts(concept)
+    fields = fieldmap.source_fields(tables)
+    status = fieldmap.rule_status(rules, fieldmap.target_columns(spark) if targets is None else targets, vocabularies)
+    mappings = fieldmap.field_mappings(fields, status)
+    reports = {
+        "file_summary": fieldmap.file_summary(fields, mappings),
+        "field_mappings": mappings.withColumn("sample_values", F.array_join("sample_values", " | ")),
+        "target_coverage": fieldmap.target_coverage(mappings),
+        "vocabulary_status": fieldmap.vocabulary_status(rules, vocabularies),
+    }
+    return {name: load_table(df, schema, name) for name, df in reports.items()}

@@ -25,6 +25,10 @@ def load_table(df: DataFrame, schema: str, table: str) -> int:
     return df.sparkSession.table(f"`{schema}`.`{table}`").count()
 
 
+def append_rows(df: DataFrame, schema: str, table: str) -> None:
+    df.write.mode("append").saveAsTable(f"`{schema}`.`{table}`")
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """The columns of a target in its order and types; columns not given are NULL."""
     given = set(df.columns)
@@ -36,12 +40,13 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
-def replace_review(old: DataFrame, new: DataFrame, store: StageStore, prefix: str = S.REVIEW_PREFIX, now: Column | None = None) -> DataFrame:
+def replace_review(old: DataFrame, new: DataFrame, store: StageStore, prefix: str | None = S.REVIEW_PREFIX, now: Column | None = None) -> DataFrame:
     """The review table after a run: own earlier rows out, new ones in, other rows untouched.
 
-    New rows are numbered after the highest id in use.
+    New rows are numbered after the highest id in use. Without a prefix all old
+    rows stay.
     """
-    kept = old.where(~F.coalesce(F.col("source_row_id").startswith(prefix), F.lit(False)))
+    kept = old if prefix is None else old.where(~F.coalesce(F.col("source_row_id").startswith(prefix), F.lit(False)))
     highest = kept.agg(F.max("review_id")).head()[0] or 0
     numbered = dense_ids(new, "review_id", ["target_table", "source_row_id"], store, first_id=highest + 1).df
     stamped = numbered.withColumn("created_at_utc", F.current_timestamp() if now is None else now)
