@@ -508,7 +508,30 @@ query(
     "review_rows",
     "SELECT target_table, source_row_id, 'review' AS review_status, problems AS review_reason FROM o_row_checks WHERE problems <> ''",
 )(lambda spark, sf: _validation(spark, sf)["review"].drop("payload_json"))
-query("review_payload")(lambda spark, sf: _validation(spark, sf)["review"].select("source_row_id", "payload_json"))
+_JSON = "coalesce(CAST(to_json({0}) AS VARCHAR), 'null')"
+
+
+def _pair(key: str, value: str) -> str:
+    return f"""'"' || {key} || '":' || {_JSON.format(value)}"""
+
+
+def _binding(concept: str, field: str, domain: str, standard: str) -> str:
+    return f"""'{{"concept_id":' || coalesce(CAST({concept} AS VARCHAR), 'null') || ',"field_name":"' || {field} || '","required_domain":' ||
+      {_JSON.format(domain)} || ',"requires_standard":' || CAST({standard} AS VARCHAR) || '}}'"""
+
+
+query(
+    "review_payload",
+    f"""SELECT source_row_id, '{{"concept_bindings":[' || array_to_string(list_filter([
+      CASE WHEN binding_kind <> 'unbound' THEN {_binding('binding_id', 'concept_field', 'CAST(NULL AS VARCHAR)', 'true')} END,
+      CASE WHEN extra_id IS NOT NULL THEN {_binding('extra_id', "'source_concept_id'", 'extra_domain', 'extra_standard')} END], lambda x: x IS NOT NULL), ',') ||
+    '],"event_date_field":null,"person_id_field":"person_id","requires_existing_person":' || CAST(requires_existing_person AS VARCHAR) || ',"source_row_id":"' ||
+    source_row_id || '","start_date_field":"' || date_field || '","target_table":"' || target_table || '","uncertainty_reason":' || {_JSON.format('uncertainty_reason')} ||
+    ',"values":{{' || array_to_string(list_sort(list_filter([{_pair("'person_id'", 'person_text')}, {_pair('date_field', 'date_text')},
+      CASE WHEN binding_kind <> 'no_value' THEN {_pair('concept_field', 'concept_text')} END,
+      CASE WHEN extra_id IS NOT NULL THEN {_pair("'source_concept_id'", 'CAST(extra_id AS VARCHAR)')} END], lambda x: x IS NOT NULL)), ',') || '}}}}' AS payload_json
+    FROM o_row_checks WHERE problems <> ''""",
+)(lambda spark, sf: _validation(spark, sf)["review"].select("source_row_id", "payload_json"))
 query(
     "validation_summary",
     """SELECT 'rows_proposed' AS metric, count(*) AS value FROM o_row_checks UNION ALL SELECT 'rows_approved', count(*) FROM o_row_checks WHERE problems = ''
