@@ -49,7 +49,7 @@ def code_key(value: Column | str) -> Column:
 
 
 def has_code(value: Column | str) -> Column:
-    return F.coalesce(code_key(value) != "", F.lit(False))
+    return code_key(value) != ""
 
 
 def stripped(value: Column | str) -> Column:

@@ -254,7 +254,7 @@ class CdmBuild:
             self.sources[name].agg(F.count("*").alias("rows_read")).select(F.lit(name).alias("source_table"), "rows_read")
             for name in sorted({n for names in FACT_SOURCES.values() for n in names} - {"claims"})
         ]
-        slots = reduce(lambda a, b: a + b, (has_code(c).cast("int") for c in vocab.DIAGNOSES))
+        slots = reduce(lambda a, b: a + b, (F.coalesce(has_code(c).cast("int"), F.lit(0)) for c in vocab.DIAGNOSES))
         read.append(
             self.sources["claims"].agg(F.coalesce(F.sum(slots), F.lit(0)).alias("rows_read")).select(
                 F.lit("claims").alias("source_table"), "rows_read"

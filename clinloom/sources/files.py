@@ -124,17 +124,21 @@ def is_concept_file(name: str) -> bool:
     return upper == "CONCEPT.CSV" or (upper.startswith("CONCEPT_") and upper not in others)
 
 
+def _takes(table: str, name: str) -> bool:
+    return is_concept_file(name) if table == "concept" else name.upper() == VOCABULARY_FILES[table]
+
+
+def unmapped_files(found: Sequence[SourceFile]) -> list[SourceFile]:
+    """Files that no vocabulary table takes."""
+    return sorted((f for f in found if not any(_takes(t, f.name) for t in VOCABULARY_FILES)), key=lambda f: f.name)
+
+
 def vocabulary_files(found: Sequence[SourceFile]) -> dict[str, list[SourceFile]]:
     """The files of each vocabulary table; raises for files no table takes."""
-    plan = {
-        table: [f for f in found if (is_concept_file(f.name) if table == "concept" else f.name.upper() == expected)]
-        for table, expected in VOCABULARY_FILES.items()
-    }
-    used = {f.name for files in plan.values() for f in files}
-    unused = sorted(f.name for f in found if f.name not in used)
-    if unused:
-        raise ValueError(f"Unmapped vocabulary CSV files were found: {', '.join(unused)}")
-    return plan
+    stray = unmapped_files(found)
+    if stray:
+        raise ValueError(f"Unmapped vocabulary CSV files were found: {', '.join(f.name for f in stray)}")
+    return {table: [f for f in found if _takes(table, f.name)] for table in VOCABULARY_FILES}
 
 
 def read_vocabulary_table(spark: SparkSession, table: str, paths: Sequence[str]) -> DataFrame:

@@ -8,6 +8,7 @@ costs a re-read, never a recomputation with another outcome.
 from __future__ import annotations
 
 import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -53,6 +54,9 @@ class StageStore:
 
     def drop(self) -> None:
         """Remove this run's folder."""
-        jvm = self.spark.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(self.folder)
+        if self.spark.sparkContext._jsc is None or self.spark.sparkContext._jsc.sc().isStopped():
+            # after the session only a local folder can still be reached
+            shutil.rmtree(self.folder.removeprefix("file:"), ignore_errors=True)
+            return
+        target = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.folder)
         target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -70,6 +71,7 @@ def shared_build(spark: SparkSession, sf_dir: str) -> CdmBuild:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _BUILDS:
         _BUILDS[key] = new_build(spark, sf_dir)
+        atexit.register(_BUILDS[key].store.drop)
     return _BUILDS[key]
 
 

@@ -796,6 +796,18 @@ query(
 )(lambda spark, sf: run.load_vocabulary(spark, _vocabulary_folder(spark, sf), _database(spark, sf, "vocabulary")))
 
 
+def _unmapped(spark: SparkSession, sf: str) -> DataFrame:
+    """A folder with one file that no vocabulary table takes; the strays are listed with their rows."""
+    folder = shared_build(spark, sf).store.path("stray")
+    for name in ("CONCEPT.csv", "MYSTERY.csv"):
+        _once(f"{folder}/{name}", lambda path: _export(adapted(spark, sf, "src_concept"), path, "\t", quote=""))
+    strays = files.unmapped_files(files.list_csv(spark, folder))
+    return table_counts({f.name: files.read_vocabulary_table(spark, "concept", [f.path]) for f in strays})
+
+
+query("vocab_unmapped_files", "SELECT 'MYSTERY.csv' AS table_name, count(*) AS row_count FROM src_concept")(_unmapped)
+
+
 def _database(spark: SparkSession, sf: str, name: str) -> str:
     """A database in the run folder, so that tables land on the shared storage."""
     store = shared_build(spark, sf).store
@@ -848,6 +860,24 @@ query(
 )(_source_resolution)
 
 
+def _prerequisites(spark: SparkSession, sf: str) -> DataFrame:
+    """Needed target and lookup tables of a database that holds only some of them."""
+    database = _database(spark, sf, "partial")
+    build = shared_build(spark, sf)
+    for table, df in {"person": build.table("person"), "care_site": build.table("care_site"), "concept": build.concept}.items():
+        sinks.load_table(df, database, table)
+    return catalog.missing_report(spark, catalog.resolve_targets(spark, database))
+
+
+_NEEDED = [(t, "reload") for t in S.TARGET_TABLES] + [(t, "lookup") for t in S.LOOKUP_TABLES]
+query(
+    "prerequisites",
+    f"""SELECT name, role, name IN ('person', 'care_site', 'concept') AS is_available, CASE name WHEN 'person' THEN (SELECT count(*) FROM t_person)
+    WHEN 'care_site' THEN (SELECT count(*) FROM t_care_site) WHEN 'concept' THEN (SELECT count(*) FROM src_concept) ELSE 0 END AS row_count
+    FROM (VALUES {_sql_values(_NEEDED)}) n(name, role)""",
+)(_prerequisites)
+
+
 def _truncate_report(spark: SparkSession, sf: str) -> DataFrame:
     database = _database(spark, sf, "emptied")
     build = shared_build(spark, sf)
