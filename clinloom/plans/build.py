@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -157,6 +158,19 @@ class CdmBuild:
     def observation_period(self) -> DataFrame:
         return visits.observation_period(visits.valid_visits(self.visit_stage), self.store)
 
+    def prepare(self, workers: int = 4) -> None:
+        """Build all stages, those that do not need each other side by side.
+
+        Spark runs the jobs of several threads at once, so the last tasks of one
+        stage table do not leave the other executors idle.
+        """
+        with ThreadPoolExecutor(workers) as pool:
+            list(pool.map(lambda name: getattr(self, name), ("patients", "organizations", "providers", "concept_lookup")))
+            self.links  # noqa: B018 - builds the visits
+            apart = ("drug_stage", "procedure_stage", "condition_stage", "device_stage", "routed_observations", "payer_plan_stage", "observation_period")
+            list(pool.map(lambda name: getattr(self, name), apart))
+            list(pool.map(lambda name: getattr(self, name), ("cost_table", "measurement_stage", "observation_stage")))
+
     # --- outputs -------------------------------------------------------------------
 
     def stage(self, table: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clinloom import schemas as S
 from clinloom.operators import fieldmap, profile, rowcheck, vocab
+from clinloom.operators.quality import assert_unique
 from clinloom.plans.build import CdmBuild
 from clinloom.sinks.tables import append_rows, conform, ensure_schema, load_table, replace_review, union_all
 from clinloom.sources import files
@@ -45,6 +46,10 @@ def load_vocabulary(spark: SparkSession, folder: str, schema: str = "dbo") -> Da
     return spark.createDataFrame(report, "table_name string, status string, rows_loaded long, reason string")
 
 
+# sources that others refer to by Id; a repeated Id fails the run
+KEYED_SOURCES = ("patients", "organizations", "providers", "encounters", "payers")
+
+
 @dataclass(frozen=True)
 class RunReport:
     """What a conversion found and wrote."""
@@ -70,7 +75,10 @@ def convert(spark: SparkSession, schema: str = "dbo", review_table: str = S.REVI
 
     store = StageStore(spark)
     tables = {check.name: spark.table(check.found_as) for check in sources}
+    for name in KEYED_SOURCES:
+        assert_unique(tables[name], name, "Id")
     build = CdmBuild(tables, concept, spark.table(f"{schema}.concept_relationship"), as_of, store)
+    build.prepare()
     rows = {
         name: load_table(conform(build.table(name), S.TARGETS[name]), schema, name) for name in S.TARGET_TABLES
     }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql import types as T
 
 from clinloom.plans.build import CdmBuild
 from clinloom.staging import StageStore
-from clinloom.testbed.adapters import AS_OF, SOURCE_ADAPTERS, spark_sql, tables_of
+from clinloom.testbed.adapters import AS_OF, SOURCE_ADAPTERS, TABLES, spark_sql, tables_of
 
 _BUILDS: dict[tuple[str, str], CdmBuild] = {}
 
@@ -50,6 +51,13 @@ class StagedTables(Mapping):
             self.loaded[adapter] = self.store.save(self.adapted(adapter), f"staging-{adapter}")
         return self.loaded[adapter]
 
+    def load_all(self, workers: int = 4) -> None:
+        """Load every staging table."""
+        for table in TABLES:
+            self._given(table)
+        with ThreadPoolExecutor(workers) as pool:
+            list(pool.map(self.staged, SOURCE_ADAPTERS.values()))
+
     def __getitem__(self, name: str) -> DataFrame:
         return self.staged(SOURCE_ADAPTERS[name])
 

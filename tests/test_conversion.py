@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clinloom import schemas as S
+from clinloom.operators.quality import assert_unique
 from clinloom.plans.build import CdmBuild
 from clinloom.plans.run import apply_validation, convert, load_extracts, profile_extracts, report_field_mappings, validate_proposals
 from clinloom.sources.files import with_defaults
@@ -194,6 +195,13 @@ def test_same_ids_with_other_partitioning(spark, build):
         spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
+def test_repeated_ids_fail(spark):
+    doubled = spark.createDataFrame([("p1",), ("p2",), ("p1",)], "Id string")
+    with pytest.raises(ValueError, match="patients has more than one row for Id=p1"):
+        assert_unique(doubled, "patients", "Id")
+    assert_unique(doubled.distinct(), "patients", "Id")
+
+
 def test_review_replacement(spark, store):
     old = spark.createDataFrame([(1, "death", "manual:1", "review", "r", "{}", None), (5, "death", "synthea:x", "review", "r", "{}", None)], S.REVIEW)
     new = spark.createDataFrame([("death", "synthea:y", "review", "r2", "{}")], "target_table string, source_row_id string, review_status string, review_reason string, payload_json string")
