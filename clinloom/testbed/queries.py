@@ -838,14 +838,15 @@ query(
 
 def _source_resolution(spark: SparkSession, sf: str) -> DataFrame:
     build = shared_build(spark, sf)
-    names = [p[0] for p in S.SOURCE_PREFERENCE]
-    for schema in dict.fromkeys(names):
-        sinks.ensure_schema(spark, schema, build.store.path(f"resolve_{schema}"))
+    # the accepted schemas under names of this run, so that other tables of the session are left alone
+    schemas = {schema: _database(spark, sf, schema) for schema, _ in S.SOURCE_PREFERENCE}
     places = {"patients": ("synthea", "patients"), "organizations": ("dbo", "synthea_organizations"), "payers": ("dbo", "payers")}
     for table, (schema, name) in places.items():
-        sinks.load_table(build.sources[table], schema, name)
-    sinks.load_table(build.sources["organizations"], "dbo", "patients")  # a later choice, not used
-    return catalog.source_report(spark, catalog.resolve_sources(spark))
+        sinks.load_table(build.sources[table], schemas[schema], name)
+    sinks.load_table(build.sources["organizations"], schemas["dbo"], "patients")  # a later choice, not used
+    preference = tuple((schemas[schema], pattern) for schema, pattern in S.SOURCE_PREFERENCE)
+    report = catalog.source_report(spark, catalog.resolve_sources(spark, preference))
+    return report.withColumn("schema_name", F.regexp_replace("schema_name", "_[0-9a-f]{8}$", ""))
 
 
 query(
