@@ -7,33 +7,15 @@ costs a re-read, never a recomputation with another outcome.
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_FOLDERS: dict[str, tempfile.TemporaryDirectory] = {}
-
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
-
-    A local session that names none gets a folder of its own that goes away
-    with the process. A cluster session has to name one.
-    """
-    context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-    if configured:
-        return configured.rstrip("/")
-    if context.master.startswith("local"):
-        app = context.applicationId
-        if app not in _LOCAL_FOLDERS:
-            _LOCAL_FOLDERS[app] = tempfile.TemporaryDirectory(prefix="clinloom-stage-")
-            atexit.register(_LOCAL_FOLDERS[app].cleanup)
-        return "file://" + _LOCAL_FOLDERS[app].name
-    raise ValueError("Set spark.checkpoint.dir to a folder every executor can reach.")
+    """The folder named by ``spark.checkpoint.dir``; where that is unset, a subfolder of the warehouse, which is shared too."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    return configured.rstrip("/") if configured else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_stages"
 
 
 class StageStore:
@@ -55,8 +37,6 @@ class StageStore:
     def drop(self) -> None:
         """Remove this run's folder."""
         if self.spark.sparkContext._jsc is None or self.spark.sparkContext._jsc.sc().isStopped():
-            # after the session only a local folder can still be reached
-            shutil.rmtree(self.folder.removeprefix("file:"), ignore_errors=True)
-            return
+            return  # out of reach; whoever owns the shared folder clears it
         target = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.folder)
         target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
