@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinloom.llm import mixing, sharding
+from clinloom.llm import mixing, sharding, tokenfiles, topk
 from clinloom.llm.common import new_store, table
 
 
@@ -21,5 +21,28 @@ def op2_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_pareto_mix, op2_kd_shards)}
-ORACLES: dict[str, str] = {}
+def op3_branch_and_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), new_store(spark), lambda vec_id: vec_id % 50 == 0)
+
+
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    shards = tokenfiles.write_tokens(table(spark, sf_dir, "documents"), new_store(spark), public_tokenizers.path("word_bpe_49k.json"))
+    return tokenfiles.read_tokens(shards)
+
+
+QUERIES = {f.__name__: f for f in (op1_pareto_mix, op2_kd_shards, op3_branch_and_bound, op4_token_files)}
+ORACLES: dict[str, str] = {
+    "op3_branch_and_bound": """
+WITH v AS (
+  SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e
+  FROM embeddings WHERE len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = len(embedding)),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum([p[1] * p[2] FOR p IN list_zip(q.e, c.e)]) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+""",
+}
