@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinloom.llm import mixing, sharding, tokenfiles, topk
+from clinloom.llm import labelled, mixing, quality, sharding, tokenfiles, topk, toxicity, winnow
 from clinloom.llm.common import new_store, table
 
 
@@ -32,7 +32,33 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.read_tokens(shards)
 
 
-QUERIES = {f.__name__: f for f in (op1_pareto_mix, op2_kd_shards, op3_branch_and_bound, op4_token_files)}
+def op7_winnow_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.repeated_lines(table(spark, sf_dir, "documents"), new_store(spark))
+
+
+def op8_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, kept = table(spark, sf_dir, "documents"), labelled.fold(F.col("doc_id"), 5)
+    model = quality.fit(documents, table(spark, sf_dir, "labels"), kept != 0)
+    return quality.score_documents(documents, model).select(
+        "doc_id", F.coalesce(kept == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "difference"
+    )
+
+
+def op10_noisy_or_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, kept = table(spark, sf_dir, "documents"), labelled.fold(F.col("doc_id"), 3)
+    model = toxicity.fit(documents, table(spark, sf_dir, "labels"), kept != 1)
+    return toxicity.score_documents(documents, model).select(
+        "doc_id", F.coalesce(kept == 1, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        "worst_sentence", "worst_score", "worst_words",
+    )
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_pareto_mix, op2_kd_shards, op3_branch_and_bound, op4_token_files, op7_winnow_lines, op8_compression_quality, op10_noisy_or_toxicity,
+    )
+}
 ORACLES: dict[str, str] = {
     "op3_branch_and_bound": """
 WITH v AS (
@@ -44,5 +70,15 @@ s AS (
   FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+""",
+    "op7_winnow_lines": """
+WITH l AS (
+  SELECT doc_id, generate_subscripts(ls, 1) - 1 AS pos, unnest(ls) AS line, len(ls) AS n
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents)),
+w AS (SELECT doc_id, pos, n, line, lead(line) OVER (PARTITION BY doc_id ORDER BY pos) AS line2 FROM l),
+f AS (SELECT *, row_number() OVER (PARTITION BY line, line2 ORDER BY doc_id, pos) AS place FROM w WHERE line2 IS NOT NULL),
+g AS (SELECT DISTINCT doc_id, n, unnest([pos, pos + 1]) AS line FROM f WHERE place > 1)
+SELECT doc_id, CAST(max(n) AS INTEGER) AS n_lines, count(*) AS n_removed, list_sort(list(CAST(line AS INTEGER))) AS removed
+FROM g GROUP BY doc_id
 """,
 }

@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -31,16 +32,14 @@ from clinloom.staging import StageStore
 
 SEQUENCE = 2048
 BATCH_SEQUENCES = 64
-CACHED_WORDS = 500_000
-#: A white space character that no pattern of the vocabulary spans; texts are cut there.
-_CUTS = str.maketrans({"\n": " "})
+CACHED_WORDS = 900_000
 
 
 class Encoder:
     """Whole texts to ids, word by word, with the ids of recent words kept.
 
-    Holds for vocabularies that drop white space and never join across it, as
-    the given word vocabulary does.
+    Holds for vocabularies that lower the case, drop white space and never join
+    across it or between letters and punctuation, as the given word vocabulary.
     """
 
     _loaded: dict[str, Encoder] = {}
@@ -50,7 +49,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[str, bytes] = {"": b""}
+        self.words: dict[str, bytes] = {"": b""}
 
     @classmethod
     def load(cls, path: str) -> Encoder:
@@ -58,19 +57,36 @@ class Encoder:
             cls._loaded[path] = cls(path)
         return cls._loaded[path]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        words = [text.translate(_CUTS).split(" ") if "\n" in text else text.split(" ") for text in texts]
-        new = set().union(*words) - self.known.keys() if words else set()
-        if new:
-            if len(self.known) + len(new) > CACHED_WORDS:
-                self.known = {"": b""}
-                new = set().union(*words) - {""}
-            new = list(new)
-            for a in range(0, len(new), 20_000):
-                part = new[a : a + 20_000]
-                for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                    self.known[word] = np.array(found.ids, dtype=self.dtype).tobytes()
-        return [b"".join(map(self.known.__getitem__, row)) for row in words]
+    def _learn(self, new: list[str]) -> None:
+        for a in range(0, len(new), 20_000):
+            part = new[a : a + 20_000]
+            for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                self.words[word] = np.array(found.ids, dtype=self.dtype).tobytes()
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """Each text's ids (null: none). Every distinct word is looked up once, and its ids are copied to its places."""
+        texts = pc.replace_substring(pc.fill_null(texts, ""), "\n", " ")
+        # fewer distinct words: lower case, and full stops and commas as words; not where special tokens or other scripts occur
+        plain = pc.replace_substring_regex(pc.utf8_lower(texts), "([a-zß-öø-ÿ])([.,])( |$)", r"\1 \2\3")
+        texts = pc.if_else(pc.match_substring_regex(texts, r"<\||[^\x{00}-\x{ff}]"), texts, plain)
+        split = pc.split_pattern(texts, " ")
+        places = split.flatten().dictionary_encode()
+        distinct = places.dictionary.to_pylist()
+        new = set(distinct) - self.words.keys()
+        if len(self.words) + len(new) > CACHED_WORDS:
+            self.words = {"": b""}
+            new = set(distinct) - {""}
+        self._learn(list(new))
+        found = list(map(self.words.__getitem__, distinct))
+        flat = np.frombuffer(b"".join(found), self.dtype)
+        length = np.array([len(x) for x in found], dtype=np.int64) // self.dtype.itemsize
+        start = np.cumsum(length) - length
+        word = places.indices.to_numpy()
+        counts = length[word]
+        ends = np.cumsum(counts)
+        ids = flat[np.repeat(start[word] - (ends - counts), counts) + np.arange(counts.sum())]
+        cuts = np.concatenate([[0], ends])[split.offsets.to_numpy() - split.offsets[0].as_py()]
+        return [ids[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
 class SequenceWriter:
@@ -123,10 +139,10 @@ def _shard_writer(folder: str, vocabulary: str, end_id: int, length: int):
                 sink, index_sink = (files.open_output_stream(f"{name}{kind}.{attempt}") for kind in (".arrow", ".docs.arrow"))
                 writer, index = SequenceWriter(sink, encoder.dtype, length), pa.ipc.new_file(index_sink, places)
             starts, counts = [], []
-            for ids in encoder.encode([t or "" for t in batch.column("text").to_pylist()]):
-                writer.append(ids + end)
+            for ids in encoder.encode(batch.column("text")):
+                writer.append(ids.tobytes() + end)
                 starts.append(at)
-                counts.append(len(ids) // encoder.dtype.itemsize + 1)
+                counts.append(len(ids) + 1)
                 at += counts[-1]
             rows += batch.num_rows
             index.write_batch(pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(starts), pa.array(counts)], schema=places))
