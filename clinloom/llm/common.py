@@ -77,15 +77,25 @@ def mix(values: np.ndarray) -> np.ndarray:
     return x
 
 
+def split_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The distinct pieces between spaces, each piece's number among them, and each text's end (null: no piece but "")."""
+    pieces = pc.split_pattern(pc.fill_null(texts, ""), " ")
+    coded = pieces.flatten().dictionary_encode()
+    ends = pieces.offsets.to_numpy()[1:] - pieces.offsets[0].as_py()
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy(), ends
+
+
 class WordCache(dict):
-    """Word to value, made on first use; emptied when full, so its size is bounded."""
+    """Word to value, made on first use; ``shrink`` between chunks keeps its size bounded."""
 
     def __init__(self, make, limit: int = 400_000):
         super().__init__()
         self.make, self.limit = make, limit
 
     def __missing__(self, word):
-        if len(self) >= self.limit:
-            self.clear()
         value = self[word] = self.make(word)
         return value
+
+    def shrink(self) -> None:
+        if len(self) > self.limit:
+            self.clear()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinloom.llm import labelled, mixing, quality, sharding, tokenfiles, topk, toxicity, winnow
+from clinloom.llm import labelled, mixing, quality, sharding, templates, tokenfiles, topk, toxicity, winnow
 from clinloom.llm.common import new_store, table
 
 
@@ -44,6 +44,10 @@ def op8_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), new_store(spark))
+
+
 def op10_noisy_or_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, kept = table(spark, sf_dir, "documents"), labelled.fold(F.col("doc_id"), 3)
     model = toxicity.fit(documents, table(spark, sf_dir, "labels"), kept != 1)
@@ -56,7 +60,8 @@ def op10_noisy_or_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_pareto_mix, op2_kd_shards, op3_branch_and_bound, op4_token_files, op7_winnow_lines, op8_compression_quality, op10_noisy_or_toxicity,
+        op1_pareto_mix, op2_kd_shards, op3_branch_and_bound, op4_token_files, op7_winnow_lines, op8_compression_quality, op9_template_leaks,
+        op10_noisy_or_toxicity,
     )
 }
 ORACLES: dict[str, str] = {
