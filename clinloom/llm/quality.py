@@ -2,9 +2,10 @@
 
 Two zstandard dictionaries are built, from texts labelled good and from texts
 labelled bad. A text, in blocks of some KB and all of it, is compressed with
-each; the difference of the two sizes over their sum says which class it
-resembles, also where a text repeats itself and both sizes are small. A logistic curve over that difference, fitted on labelled texts
-that no dictionary has seen, makes a probability of it.
+each; the difference of the two sizes over the text's length says which class
+it resembles. A rising curve over that difference (isotonic regression on
+labelled texts that no dictionary has seen, both classes weighing the same)
+makes a probability of it.
 
 A null or empty text gets the score of a difference of 0. Without labels of
 both kinds every score is 0.5. Very long texts are scored whole. Ties and
@@ -38,7 +39,7 @@ def _dictionary(texts: list[bytes]) -> bytes:
 
 
 class Model:
-    def __init__(self, dictionaries: tuple[bytes, bytes], curve: tuple[float, float]):
+    def __init__(self, dictionaries: tuple[bytes, bytes], curve: tuple[np.ndarray, np.ndarray]):
         self.dictionaries, self.curve = dictionaries, curve
         self.compressors = []
         for raw in dictionaries:
@@ -53,50 +54,53 @@ class Model:
         return Model, (self.dictionaries, self.curve)
 
     def difference(self, text: bytes) -> float:
-        """(size with the bad dictionary - size with the good one) / both sizes."""
+        """(size with the bad dictionary - size with the good one) / length."""
         if not text:
             return 0.0
         bad, good = (sum(len(c.compress(text[a : a + BLOCK])) for a in range(0, len(text), BLOCK)) for c in self.compressors)
-        return (bad - good) / (bad + good)
+        return (bad - good) / len(text)
 
     def score(self, difference: np.ndarray) -> np.ndarray:
-        a, b = self.curve
-        return 1 / (1 + np.exp(-np.clip(a * difference + b, -35, 35)))
-
-
-def _curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Logistic regression in one variable by Newton's method, with a little weight decay."""
-    scale = float(x.std()) or 1.0
-    rows, w = np.stack([x / scale, np.ones_like(x)], axis=1), np.zeros(2)
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(rows @ w, -35, 35)))
-        gradient = rows.T @ (p - y) + np.array([0.05, 0]) * w
-        hessian = (rows * (p * (1 - p) + 1e-6)[:, None]).T @ rows + np.diag([0.05, 1e-6])
-        step = np.linalg.solve(hessian, gradient)
-        w -= step
-        if np.abs(step).max() < 1e-9:
-            break
-    return float(w[0] / scale), float(w[1])
-
-
-def train(y: list[int], texts: list[str]) -> bytes:
+        x, y = self.curve
+        return 0.98 * np.interp(difference, x, y) + 0.02 / (1 + np.exp(-np.clip(20 * difference, -35, 35)))
+
+
+#: The curve of a model that knows nothing.
+FLAT = (np.zeros(1), np.full(1, 0.5))
+
+
+def _curve(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Isotonic regression by pooling neighbours; the knots are the pools' middles."""
+    order = np.argsort(x, kind="stable")
+    weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
+    pools: list[list[float]] = []  # sum of weight * y, of weight, of weight * x
+    for i in order:
+        pools.append([weight[i] * y[i], weight[i], weight[i] * x[i]])
+        while len(pools) > 1 and pools[-2][0] * pools[-1][1] >= pools[-1][0] * pools[-2][1]:
+            last = pools.pop()
+            pools[-1] = [a + b for a, b in zip(pools[-1], last)]
+    knots = np.array(pools)
+    return knots[:, 2] / knots[:, 1], np.clip(knots[:, 0] / knots[:, 1], 0.001, 0.999)
+
+
+def train(y: list[int], texts: list[str], counts: dict[int, int]) -> bytes:
     """Two thirds of the sample make the dictionaries, the rest the curve."""
     if len(set(y)) < 2:
-        return pickle.dumps(Model((b" " * 8, b" " * 8), (0.0, 0.0)))
+        return pickle.dumps(Model((b" " * 8, b" " * 8), FLAT))
     raw = [t.encode("utf-8", "surrogatepass") for t in texts]
     seen = {0: 0, 1: 0}
     fit_on, rest = [], []
     for i, label in enumerate(y):
         (rest if seen[label] % 3 == 2 else fit_on).append(i)
         seen[label] += 1
-    model = Model(tuple(_dictionary([raw[i] for i in fit_on if y[i] == label]) for label in (0, 1)), (0.0, 0.0))
+    model = Model(tuple(_dictionary([raw[i] for i in fit_on if y[i] == label]) for label in (0, 1)), FLAT)
     rest = rest if len({y[i] for i in rest}) == 2 else list(range(len(y)))
     model.curve = _curve(np.array([model.difference(raw[i]) for i in rest]), np.array([y[i] for i in rest], dtype=float))
     return pickle.dumps(model)
 
 
 def fit(documents: DataFrame, labels: DataFrame, learn) -> bytes:
-    return labelled.fit(labelled.sample(documents, labels, "quality", learn), train)
+    return labelled.fit(documents, labels, "quality", learn, train)
 
 
 def score_documents(documents: DataFrame, model: bytes) -> DataFrame:

@@ -32,6 +32,7 @@ RATE = 0.1
 CALM = 1e-3
 DECAY = 0.3
 CLEAR = 3.0
+TOXIC_WEIGHT = 4
 PREFIXES = range(3, 8)
 EDGES = "\"'`()[]{}<>*_~#&%$@.,;:!?¡¿…“”‘’«»-–—/\\|+="
 
@@ -119,10 +120,12 @@ def _held(word: np.ndarray, document: np.ndarray, documents: int, of_word: np.nd
     return of_feature[place] * documents + np.repeat(docs, counts)
 
 
-def train(y: list[int], texts: list[str], weight: dict[int, float]) -> bytes:
+def train(y: list[int], texts: list[str], counts: dict[int, int]) -> bytes:
     if len(set(y)) < 2:
         return pickle.dumps(Model(np.zeros(FEATURES), -30.0))
     label = np.array(y, dtype=float)
+    # each class as often as it was among all labels, the toxic ones some times more
+    weight = {v: counts[v] / y.count(v) * (TOXIC_WEIGHT if v else 1) for v in set(y)}
     share = np.array([weight[v] for v in y])
     share *= len(y) / share.sum()
     cache = Words(features)
@@ -159,7 +162,7 @@ def train(y: list[int], texts: list[str], weight: dict[int, float]) -> bytes:
 
 
 def fit(documents: DataFrame, labels: DataFrame, learn) -> bytes:
-    return labelled.fit(labelled.sample(documents, labels, "toxic", learn), train)
+    return labelled.fit(documents, labels, "toxic", learn, train)
 
 
 def score_documents(documents: DataFrame, model: bytes) -> DataFrame:
