@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinloom.llm import jaccard, labelled, mixing, quality, sharding, templates, tokenfiles, topk, toxicity, winnow
+from clinloom.llm import jaccard, labelled, mixing, quality, sharding, suffix, templates, tokenfiles, topk, toxicity, winnow
 from clinloom.llm.common import new_store, table
 
 
@@ -32,6 +32,10 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.read_tokens(shards)
 
 
+def op5_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.deduplicated(table(spark, sf_dir, "documents"), new_store(spark))
+
+
 def op6_fragment_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"), new_store(spark))
 
@@ -64,7 +68,7 @@ def op10_noisy_or_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_pareto_mix, op2_kd_shards, op3_branch_and_bound, op4_token_files, op6_fragment_jaccard, op7_winnow_lines, op8_compression_quality, op9_template_leaks,
+        op1_pareto_mix, op2_kd_shards, op3_branch_and_bound, op4_token_files, op5_suffix_arrays, op6_fragment_jaccard, op7_winnow_lines, op8_compression_quality, op9_template_leaks,
         op10_noisy_or_toxicity,
     )
 }
