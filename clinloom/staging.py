@@ -34,9 +34,19 @@ class StageStore:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def remove(self, name: str) -> None:
+        """Remove the tables of that name, when nothing reads them any more."""
+        self._delete(self.path(f"{name}-*"))
+
     def drop(self) -> None:
         """Remove this run's folder."""
         if self.spark.sparkContext._jsc is None or self.spark.sparkContext._jsc.sc().isStopped():
             return  # out of reach; whoever owns the shared folder clears it
-        target = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.folder)
-        target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        self._delete(self.folder)
+
+    def _delete(self, pattern: str) -> None:
+        context = self.spark.sparkContext
+        target = context._jvm.org.apache.hadoop.fs.Path(pattern)
+        files = target.getFileSystem(context._jsc.hadoopConfiguration())
+        for found in files.globStatus(target) or []:
+            files.delete(found.getPath(), True)
