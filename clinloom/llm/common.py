@@ -99,3 +99,42 @@ class WordCache(dict):
     def shrink(self) -> None:
         if len(self) > self.limit:
             self.clear()
+
+
+class _Bytes:
+    """What hashing words needs: white space and lower-cased letters by byte, and powers of an odd number and its inverse."""
+
+    SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
+    VALUE = mix(np.where((np.arange(256) >= 65) & (np.arange(256) <= 90), np.arange(256) + 32, np.arange(256)).astype(np.uint64) + GOLDEN)
+    BASE = 0xD6E8FEB86659FD93
+    powers = (np.ones(1, np.uint64), np.ones(1, np.uint64))
+
+    @classmethod
+    def upto(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(cls.powers[0]) < n:
+            bases = (cls.BASE, pow(cls.BASE, -1, 1 << 64))
+            cls.powers = tuple(np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, b, np.uint64)])) for b in bases)
+        return cls.powers
+
+
+def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words (runs without ASCII white space, A-Z lower-cased) of a string column, and each row's end among them.
+
+    A word's hash is a polynomial in its bytes: a difference of running sums,
+    brought back to the word's start by the inverse powers.
+    """
+    data, ends = byte_rows(column)
+    n = len(data)
+    if not n:
+        return np.zeros(0, np.uint64), np.zeros(len(ends), np.int64)
+    up, down = _Bytes.upto(n + 1)
+    edge = np.zeros(n + 1, bool)  # a text begins here
+    edge[0] = edge[ends] = True
+    space = _Bytes.SPACE[data]
+    before = np.concatenate([[True], space[:-1]]) | edge[:n]
+    after = np.concatenate([space[1:], [True]]) | edge[1:]
+    first, last = np.flatnonzero(~space & before), np.flatnonzero(~space & after)
+    running = np.zeros(n + 1, np.uint64)
+    np.cumsum(_Bytes.VALUE[data] * up[:n], out=running[1:])
+    hashes = mix((running[last + 1] - running[first]) * down[first] + (last - first).astype(np.uint64))
+    return hashes, np.searchsorted(first, ends)

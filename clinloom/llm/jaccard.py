@@ -27,13 +27,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinloom.llm.common import GOLDEN, chunks, distinct_rows, mix, shuffle_width, small_side, split_words
+from clinloom.llm.common import GOLDEN, chunks, distinct_rows, mix, shuffle_width, word_hashes
 from clinloom.llm.components import components
+from clinloom.llm.fields import PACKED, Field
 from clinloom.operators.lookups import lookup_side
 from clinloom.staging import StageStore
 
@@ -53,6 +53,8 @@ STAR_ENTRIES = 20_000
 #: Of so many of the most frequent shingles the entries go to several groups.
 SPLIT_SHINGLES = 4096
 NO_ID = -(1 << 63)
+#: Text handled at once.
+PART_BYTES = 2 << 20
 
 
 def _set_sizes_allow(a: np.ndarray, b: np.ndarray, overlap: np.ndarray) -> np.ndarray:
@@ -63,13 +65,7 @@ class ShingleSets:
     """The distinct shingle hashes of each text of a chunk, ascending."""
 
     def __init__(self, texts: pa.Array, words: int = WORDS):
-        plain = pc.replace_substring_regex(pc.ascii_lower(texts), "[\\t-\\r]", " ")
-        distinct, number, ends = split_words(plain)
-        hashes = np.array([xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in distinct], np.uint64)
-        blank = np.array([w == "" for w in distinct], bool)[number]
-        before = np.concatenate([[0], np.cumsum(~blank)])
-        ends = before[ends]
-        word = hashes[number][~blank]
+        word, ends = word_hashes(texts)
         starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
         grams = np.zeros(max(0, len(word) - words + 1), np.uint64)
         for j in range(words):
@@ -148,7 +144,7 @@ def document_sets(documents: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        for batch in chunks(batches):
+        for batch in chunks(batches, limit=PART_BYTES):
             sets = ShingleSets(batch.column("text")).sets
             n = len(sets)
             names = [node_name(s) if len(s) else None for s in sets]
@@ -178,7 +174,7 @@ def frequent_shingles(sets: DataFrame) -> np.ndarray:
 def _prefixes(documents: DataFrame, order) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Order(order.value)
-        for batch in chunks(batches):
+        for batch in chunks(batches, limit=PART_BYTES):
             sets = ShingleSets(batch.column("text")).sets
             heads = [own.sort(s)[0][: prefix_length(len(s))].tobytes() for s in sets]
             yield pa.RecordBatch.from_arrays(
@@ -191,7 +187,41 @@ def _prefixes(documents: DataFrame, order) -> DataFrame:
                 names=["key", "n", "node", "prefix"],
             )
 
-    found = _keyed(documents).mapInArrow(run, "key long, n long, node binary, prefix binary").filter(F.col("node").isNotNull())
+    return _keyed(documents).mapInArrow(run, "key long, n long, node binary, prefix binary").filter(F.col("node").isNotNull())
+
+
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All shingles of a column of packed sets, and the row of each."""
+    rows = column.to_pylist()
+    return np.frombuffer(b"".join(rows), np.uint64), np.repeat(np.arange(len(rows)), [len(r) // 8 for r in rows])
+
+
+def _shared_prefixes(prefixes: DataFrame, width: int) -> DataFrame:
+    """The prefixes' nodes (node, key, n, prefix), with the shingles only that several nodes may have in theirs."""
+    entries = int(prefixes.agg(F.sum(F.length("prefix") / 8)).first()[0] or 0)
+    field = Field.for_hashes(width, entries)
+
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, batch.num_rows, 4000):
+                part = batch.slice(a, 4000)
+                shingles, row = _flat(part.column("prefix"))
+                names = np.array([int.from_bytes(x[:8], "little") for x in part.column("node").to_pylist()], np.uint64)
+                yield field.packed(shingles, names[row])
+
+    shared = field.gather(prefixes.select("node", "prefix").mapInArrow(held, PACKED))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(shared.value, np.uint8)
+        for batch in batches:
+            shingles, row = _flat(batch.column("prefix"))
+            keep = field.holds(bits, shingles)
+            cuts = np.searchsorted(row[keep], np.arange(batch.num_rows + 1))
+            shingles = shingles[keep]
+            left = [shingles[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("n"), batch.column("node"), pa.array(left, pa.binary())], names=["key", "n", "node", "prefix"])
+
+    found = prefixes.mapInArrow(run, "key long, n long, node binary, prefix binary")
     return found.groupBy("node").agg(F.min("key").alias("key"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
 
 
@@ -257,7 +287,7 @@ def _segments(documents: DataFrame, wanted: DataFrame, order) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Order(order.value)
-        for batch in chunks(batches):
+        for batch in chunks(batches, limit=PART_BYTES):
             sets = ShingleSets(batch.column("text")).sets
             rows: dict[str, list] = {k: [] for k in ("idx", "fragment", "n", "sizes", "tokens")}
             for i, node, s in zip(batch.column("idx").to_pylist(), batch.column("node").to_pylist(), sets):
@@ -275,8 +305,7 @@ def _segments(documents: DataFrame, wanted: DataFrame, order) -> DataFrame:
             )
 
     texts = _keyed(documents).join(wanted, "key")
-    found = texts.select("idx", "node", "text").mapInArrow(run, "idx long, fragment int, n long, sizes array<int>, tokens binary")
-    return found.dropDuplicates(["idx", "fragment"])
+    return texts.select("idx", "node", "text").mapInArrow(run, "idx long, fragment int, n long, sizes array<int>, tokens binary")
 
 
 def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -315,15 +344,35 @@ def links(pairs: DataFrame, segments: DataFrame, sizes: DataFrame, store: StageS
     return store.save(whole.filter(allows(F.col("overlap"))).select("x", "y"), "links")
 
 
-def _crossing(entries: DataFrame, labels: DataFrame, sizes: DataFrame, tried: DataFrame, store: StageStore) -> DataFrame:
-    """Pairs of different components that share a prefix shingle and may fit in size, without those tried.
+def _sizes_fit(a: str, b: str):
+    return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
 
-    Per shingle, the nodes outside its largest component meet all its nodes.
-    Sizes are compared by bands of the ratio that the threshold allows.
+
+def _fitting(starred: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The entries (shingle, idx, centre, n, n_centre, band) that share their shingle with another of about their size.
+
+    Sizes are in bands of the ratio that the threshold allows, so a fitting
+    partner is in the same band or the next on either side.
     """
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / PERCENT) * (1 + 1e-12)))
-    known = entries.select("shingle", "idx").join(labels.withColumnRenamed("node", "idx"), "idx", "left").join(sizes.select("idx", "n"), "idx")
-    known = store.save(known.select("shingle", "idx", "n", F.coalesce("component", "idx").alias("component"), band.alias("band")), "labelled-entries")
+    sizes = nodes.select("idx", "n")
+    sized = (
+        starred.join(sizes, "idx")
+        .join(sizes.select(F.col("idx").alias("centre"), F.col("n").alias("n_centre")), "centre")
+        .withColumn("band", band)
+    )
+    near = sized.select("shingle", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"))
+    near = near.groupBy("shingle", "band").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c")
+    return sized.join(near, ["shingle", "band"], "left_semi")
+
+
+def _crossing(entries: DataFrame, labels: DataFrame, tried: DataFrame, store: StageStore) -> DataFrame:
+    """Pairs of different components that share a prefix shingle and fit in size, without those tried.
+
+    Per shingle, the nodes outside its largest component meet all its nodes.
+    """
+    known = entries.select("shingle", "idx", "n", "band").join(labels.withColumnRenamed("node", "idx"), "idx", "left")
+    known = store.save(known.withColumn("component", F.coalesce("component", "idx")), "labelled-entries")
     per = known.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("c"))
     main = per.groupBy("shingle").agg(F.max_by("component", "c").alias("main"), F.count(F.lit(1)).alias("k")).filter("k > 1").select("shingle", "main")
     mixed = known.join(main, "shingle")
@@ -332,7 +381,7 @@ def _crossing(entries: DataFrame, labels: DataFrame, sizes: DataFrame, tried: Da
         F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"),
     )
     other = mixed.select("shingle", "band", F.col("idx").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    fits = (100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")) & (F.col("ca") != F.col("cb"))
+    fits = _sizes_fit("na", "nb") & (F.col("ca") != F.col("cb"))
     pairs = minor.join(other, ["shingle", "band"]).filter(fits).select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
     return store.save(distinct_rows(pairs, ["x", "y"]).join(tried, ["x", "y"], "left_anti"), "crossing-pairs")
 
@@ -342,20 +391,28 @@ def near_duplicates(documents: DataFrame, store: StageStore) -> DataFrame:
     spark = documents.sparkSession
     sets = store.save(document_sets(documents), "sets")
     order = spark.sparkContext.broadcast(frequent_shingles(sets))
-    nodes = store.save(_prefixes(documents, order).withColumn("idx", F.monotonically_increasing_id()), "nodes")
+    width = shuffle_width(spark)
+    prefixes = store.save(_prefixes(documents, order), "prefixes")
+    nodes = store.save(_shared_prefixes(prefixes, width).withColumn("idx", F.monotonically_increasing_id()), "nodes")
+    store.remove("prefixes")
     entries = nodes.agg(F.sum(F.length("prefix") / 8)).first()[0] or 0
-    groups = max(shuffle_width(spark), int(entries // GROUP_ENTRIES) + 1)
+    groups = max(width, int(entries // GROUP_ENTRIES) + 1)
     starred = store.save(
         _dealt(nodes, groups, order).groupBy("group").applyInArrow(_stars(order), "shingle long, idx long, centre long"), "stars"
     )
-    pairs = store.save(distinct_rows(starred.filter("idx <> centre").select(F.col("centre").alias("x"), F.col("idx").alias("y")), ["x", "y"]), "star-pairs")
+    starred = store.save(_fitting(starred, nodes), "fitting")
+    pairs = starred.filter(_sizes_fit("n", "n_centre") & (F.col("idx") != F.col("centre")))
+    pairs = store.save(distinct_rows(pairs.select(F.col("centre").alias("x"), F.col("idx").alias("y")), ["x", "y"]), "star-pairs")
     ends = distinct_rows(starred.select("idx"), ["idx"])
     wanted = store.save(nodes.select("idx", "key", "node").join(ends, "idx"), "wanted")
-    segments = store.save(_segments(documents, lookup_side(wanted, 2 * wanted.count()), order), "segments")
+    segments = _segments(documents, lookup_side(wanted, 2 * wanted.count()), order)
+    if sets.filter(F.col("node").isNotNull()).groupBy("key", "node").count().filter("count > 1").limit(1).count():
+        segments = segments.dropDuplicates(["idx", "fragment"])  # rows that repeat id and text
+    segments = store.save(segments, "segments")
     sizes = store.save(segments.filter("fragment = 0").select("idx", "n", "sizes"), "sizes")
     found = links(pairs, segments, sizes, store)
     labels = components(found, store)
-    found = found.unionByName(links(_crossing(starred, labels, sizes, pairs, store), segments, sizes, store))
+    found = found.unionByName(links(_crossing(starred, labels, pairs, store), segments, sizes, store))
     labels = components(found, store)
     # back to documents: nodes of a component, and documents of a node
     placed = nodes.select("idx", "node", "key").join(labels.withColumnRenamed("node", "idx"), "idx", "left")

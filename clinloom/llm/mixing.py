@@ -9,9 +9,9 @@ value finds the bin in which a source's target falls, bins below it are taken
 whole, and only that bin's documents are ranked one by one.
 
 Null texts have size 0, the null source is a source of its own and comes last.
-Repeated rows are documents of their own; equal ranks are ordered by id, size
-and text hash, and rows equal in all of them are interchangeable. Empty tables
-give empty results. Other columns of the input are left alone.
+Equal ranks are ordered by id, size and text checksum; rows equal in all of
+them are taken or left together. Empty tables give empty results. Other columns
+of the input are left alone.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ MAX_COPIES = 3
 #: Inclusion weights are whole numbers from BASE_WEIGHT to twice that.
 BASE_WEIGHT = 1000
 BINS = 16384
+SEED = 17
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -103,67 +104,97 @@ def copy_rates(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     )
 
 
-def mix_sources(
-    documents: DataFrame,
-    store: StageStore,
-    weights: Sequence[int] = (1, 2, 3),
-    seed: int = 17,
-) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, source, copies and taken words."""
+def measured(documents: DataFrame, seed: int = SEED) -> DataFrame:
+    """The documents with a struct ``_m``: size, inclusion weight, random number and text checksum."""
     number = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string"))), 1, 12), 16, 10).cast("long")
-    sizes = store.save(
-        documents.select(
-            "doc_id", "source", word_count(F.col("text")).alias("size"), F.crc32(F.col("text")).alias("tie"), number.alias("_number")
+    size = word_count(F.col("text"))
+    return documents.withColumn("_size", size).withColumn(
+        "_m",
+        F.struct(
+            F.col("_size").alias("size"),
+            size_weight(F.col("_size")).cast("long").alias("a"),
+            ((number + 0.5) / float(2**48)).alias("u"),
+            F.crc32("text").alias("tie"),
+        ),
+    ).drop("_size")
+
+
+def _ranked(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """Adds a struct ``_r``: the source's plan, whole copies, ranking value, bin and the whole order of the ranking."""
+    side = plan.select(F.col("source").alias("_source"), F.struct(*(c for c in plan.columns if c != "source")).alias("_p"))
+    expected = F.least(F.lit(float(MAX_COPIES)), F.coalesce("_p.rate", F.lit(0.0)) * F.col("_m.a"))
+    p, u = F.col("_p2") - F.floor("_p2"), F.col("_m.u")
+    q = F.when(p > 0, u / (1 - u) * ((1 - p) / p))
+    return (
+        rows.join(side, F.col("source").eqNullSafe(F.col("_source")), "left")
+        .withColumn("_p2", expected)
+        .withColumn("_q", q)
+        .withColumn(
+            "_r",
+            F.struct(
+                F.floor("_p2").alias("whole"),
+                F.floor(F.col("_q") / (1 + F.col("_q")) * BINS).alias("bin"),
+                F.struct(F.col("_q").alias("q"), F.col("doc_id").alias("id"), F.col("_m.size").alias("size"), F.col("_m.tie").alias("tie")).alias("place"),
+            ),
         )
-        .withColumn("a", size_weight(F.col("size")).cast("long"))
-        .withColumn("u", (F.col("_number") + 0.5) / float(2**48))
-        .drop("_number"),
-        "mix-sizes",
+        .drop("_source", "_p2", "_q")
     )
+
+
+def mix_plan(documents: DataFrame, store: StageStore, weights: Sequence[int] = (1, 2, 3), seed: int = SEED) -> DataFrame:
+    """One row per source: size, target, rate of copies, and the place in the ranking up to which it takes one more."""
+    rows = store.save(measured(documents.select("doc_id", "source", "text"), seed).drop("text"), "mix-sizes")
+    sizes = rows.select("source", "_m.size", "_m.a")
     targets = store.save(source_targets(sizes, weights), "mix-targets")
-    rates = store.save(copy_rates(sizes, small_side(targets)), "mix-rates")
-    r = small_side(targets.join(rates.select(F.col("source").alias("_s"), "rate"), F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s").withColumnRenamed("source", "_source"))
-    expected = F.least(F.lit(float(MAX_COPIES)), F.coalesce(F.col("rate"), F.lit(0.0)) * F.col("a"))
-    ranked = (
-        sizes.join(r, F.col("source").eqNullSafe(F.col("_source")), "left")
-        .drop("_source")
-        .withColumn("_expected", expected)
-        .withColumn("whole", F.floor("_expected"))
-        .withColumn("p", F.col("_expected") - F.col("whole"))
-        .withColumn("q", F.when(F.col("p") > 0, F.col("u") / (1 - F.col("u")) * ((1 - F.col("p")) / F.col("p"))))
-        .withColumn("bin", F.floor(F.col("q") / (1 + F.col("q")) * BINS))
-    )
-    # words each source still needs, and the bin of its ranking in which they end
-    sums = ranked.groupBy("source", "target", "bin").agg(
-        F.sum(F.col("size") * F.col("whole")).alias("certain"), F.sum("size").alias("words"),
+    rates = copy_rates(sizes, small_side(targets)).select(F.col("source").alias("_s"), "rate")
+    plan = store.save(targets.join(rates, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s"), "mix-rates")
+    ranked = _ranked(rows, small_side(plan)).select("source", "_p.target", "_r", F.col("_m.size").alias("size"))
+    # words each source still needs after the certain copies, and the bin of its ranking in which they end
+    sums = ranked.groupBy("source", "target", F.col("_r.bin").alias("bin")).agg(
+        F.sum(F.col("size") * F.col("_r.whole")).alias("certain"), F.sum("size").alias("words")
     )
     per_source = Window.partitionBy("source")
-    by_bin = per_source.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = per_source.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     bins = (
         sums.withColumn("need", F.col("target") - F.sum("certain").over(per_source))
         .filter(F.col("bin").isNotNull())
-        .withColumn("before", F.coalesce(F.sum("words").over(by_bin), F.lit(0)))
-        .withColumn("_inside", F.col("before") + F.col("words") >= F.col("need"))
-    )
-    edge = bins.groupBy("source").agg(
-        F.coalesce(F.min(F.when(F.col("_inside"), F.col("bin"))), F.lit(BINS)).alias("edge"),
-        F.first("need").alias("need"),
-        F.min_by("before", F.when(F.col("_inside"), F.col("bin"))).alias("edge_before"),
+        .withColumn("before", F.coalesce(F.sum("words").over(earlier), F.lit(0)))
+        .withColumn("_inside", F.when(F.col("before") + F.col("words") >= F.col("need"), F.col("bin")))
     )
-    edges = small_side(store.save(edge.withColumnRenamed("source", "_source"), "mix-edges"))
-    placed = ranked.join(edges, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
-    columns = ["doc_id", "source", "size", "source_size", "target", "whole"]
-    plain = placed.filter(F.col("bin").isNull() | (F.col("bin") != F.col("edge"))).select(
-        *columns, F.coalesce(F.col("bin") < F.col("edge"), F.lit(False)).cast("long").alias("extra")
+    edges = bins.groupBy(F.col("source").alias("_s")).agg(
+        F.coalesce(F.min("_inside"), F.lit(BINS)).alias("edge"), F.first("need").alias("need"), F.min_by("before", "_inside").alias("edge_before")
     )
-    within = Window.partitionBy("source", "bin").orderBy("q", "doc_id", "size", "tie")
+    edges = store.save(edges, "mix-edges")
+    within = Window.partitionBy("source").orderBy("_r.place").rowsBetween(Window.unboundedPreceding, -1)
     inside = (
-        placed.filter(F.col("bin") == F.col("edge"))
-        .withColumn("_before", F.coalesce(F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-        .select(*columns, (2 * (F.col("edge_before") + F.col("_before")) + F.col("size") <= 2 * F.col("need")).cast("long").alias("extra"))
+        ranked.join(small_side(edges), F.col("source").eqNullSafe(F.col("_s")))
+        .filter(F.col("_r.bin") == F.col("edge"))
+        .withColumn("_before", F.col("edge_before") + F.coalesce(F.sum("size").over(within), F.lit(0)))
+        .filter(2 * F.col("_before") + F.col("size") <= 2 * F.col("need"))
+        .groupBy(F.col("source").alias("_t"))
+        .agg(F.max("_r.place").alias("cut"))
     )
-    return (
-        plain.unionByName(inside)
-        .withColumn("copies", (F.col("whole") + F.col("extra")).cast("long"))
-        .select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
+    found = plan.join(edges.select("_s", "edge"), F.col("source").eqNullSafe(F.col("_s")), "left")
+    return store.save(found.join(inside, F.col("source").eqNullSafe(F.col("_t")), "left").drop("_s", "_t"), "mix-plan")
+
+
+def with_copies(documents: DataFrame, plan: DataFrame, seed: int = SEED) -> DataFrame:
+    """The documents with a struct ``_mix``: size, source_size, target, copies and taken words.
+
+    A document's copies follow from its own row and its source's plan, so no text is shuffled.
+    """
+    ranked = _ranked(measured(documents, seed), small_side(plan))
+    place, cut, bin_ = F.col("_r.place"), F.col("_p.cut"), F.col("_r.bin")
+    extra = F.coalesce((bin_ < F.col("_p.edge")) | ((bin_ == F.col("_p.edge")) & cut.isNotNull() & (place <= cut)), F.lit(False))
+    copies = (F.col("_r.whole") + extra.cast("long")).cast("long")
+    mix = F.struct(
+        F.col("_m.size").alias("size"), F.col("_p.source_size").alias("source_size"), F.col("_p.target").alias("target"),
+        copies.alias("copies"), (F.col("_m.size") * copies).alias("taken"),
     )
+    return ranked.withColumn("_mix", mix).drop("_m", "_p", "_r")
+
+
+def repeated(documents: DataFrame, plan: DataFrame, seed: int = SEED) -> DataFrame:
+    """Every document as many times as the mix takes it, with the columns it had."""
+    copies = F.array_repeat(F.lit(0), F.col("_mix.copies").cast("int"))
+    return with_copies(documents, plan, seed).withColumn("_copy", F.explode(copies)).select(*documents.columns)

@@ -10,8 +10,9 @@ from clinloom.llm.common import new_store, table
 
 
 def op1_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix_sources(table(spark, sf_dir, "documents"), new_store(spark))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    mixed = mixing.with_copies(documents, mixing.mix_plan(documents, new_store(spark)))
+    return mixed.select("doc_id", "_mix.size", "_mix.source_size", "_mix.target", "_mix.taken", "_mix.copies")
 
 
 def op2_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -165,6 +165,26 @@ def fit(documents: DataFrame, labels: DataFrame, learn) -> bytes:
     return labelled.fit(documents, labels, "toxic", learn, train)
 
 
+def _scored(batch: pa.RecordBatch, own: Model, cache: Words) -> tuple:
+    rows, word, sentence, document = _parse(batch.column("text").to_pylist(), cache)
+    p = own.sentences(np.array(cache.values)[word], sentence, len(document)) if len(document) else np.zeros(0)
+    score = noisy_or(p, document, len(rows)) if len(document) else np.zeros(len(rows))
+    return rows, sentence, document, p, score
+
+
+def below(documents: DataFrame, model: bytes, limit: float) -> DataFrame:
+    """The documents with a score under ``limit``; all their columns stay."""
+    shared, schema = documents.sparkSession.sparkContext.broadcast(model), documents.schema
+
+    def run(batches):
+        own = pickle.loads(shared.value)
+        cache = Words(own.word)
+        for batch in chunks(batches):
+            yield batch.filter(pa.array(_scored(batch, own, cache)[-1] < limit))
+
+    return documents.mapInArrow(run, schema)
+
+
 def score_documents(documents: DataFrame, model: bytes) -> DataFrame:
     """doc_id, score, and the number (from 0), probability and words of the likeliest sentence."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
@@ -173,10 +193,8 @@ def score_documents(documents: DataFrame, model: bytes) -> DataFrame:
         own = pickle.loads(shared.value)
         cache = Words(own.word)
         for batch in chunks(batches):
-            rows, word, sentence, document = _parse(batch.column("text").to_pylist(), cache)
+            rows, sentence, document, p, score = _scored(batch, own, cache)
             count = len(document)
-            p = own.sentences(np.array(cache.values)[word], sentence, count) if count else np.zeros(0)
-            score = noisy_or(p, document, len(rows)) if count else np.zeros(len(rows))
             # the likeliest sentence of each document
             order = np.lexsort((np.arange(count), -p, document))
             top = order[np.flatnonzero(np.diff(document[order], prepend=-1))]

@@ -24,41 +24,28 @@ MIN_RUN = 2
 
 
 def fingerprints(documents: DataFrame, run: int) -> DataFrame:
-    """doc_id, fingerprint and the windows (start, hash) it stands for; each window under its first smallest line."""
-    windows = F.when(
-        F.size("h") >= run,
-        F.transform(
-            F.sequence(F.lit(1), F.size("h") - run + 1),
-            lambda i: F.struct(
-                F.array_min(F.slice("h", i, run)).alias("fp"),
-                (i - 1).alias("start"),
-                F.xxhash64(F.slice("h", i, run)).alias("window"),
-            ),
-        ),
-    )
-    return (
-        documents.select("doc_id", F.transform(F.split("text", "\n", -1), lambda x: F.xxhash64(x)).alias("h"))
-        .select("doc_id", F.size("h").alias("n_lines"), F.explode(windows).alias("w"))
-        .select("doc_id", "n_lines", F.col("w.fp").alias("fp"), F.col("w.start").cast("int").alias("start"), F.col("w.window").alias("window"))
-    )
+    """doc_id, number of lines, and every window (start, hash) with its fingerprint."""
+    lines = documents.select("doc_id", F.transform(F.split("text", "\n", -1), lambda x: F.xxhash64(x)).alias("h")).filter(F.size("h") >= run)
+    shifted = [F.slice("h", i + 1, F.size("h") - run + 1).alias(f"l{i}") for i in range(run)]
+    windows = lines.select("doc_id", F.size("h").alias("n_lines"), F.posexplode(F.arrays_zip(*shifted)).alias("start", "w"))
+    own = [F.col(f"w.l{i}") for i in range(run)]
+    return windows.select("doc_id", "n_lines", "start", F.least(*own).alias("fp"), F.xxhash64(*own).alias("window"))
 
 
 def repeated_lines(documents: DataFrame, store: StageStore, run: int = MIN_RUN) -> DataFrame:
     """doc_id, n_lines, n_removed and the numbers (from 0) of the lines to delete, for documents that lose any."""
     found = store.save(fingerprints(documents.select("doc_id", "text"), run), "line-windows")
-    # a fingerprint that stands in one place only has no match anywhere
-    per_place = found.groupBy("fp", "window").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct(F.col("doc_id"), F.col("start"))).alias("first")
-    )
-    repeated = store.save(per_place.filter("n > 1").select("window", "first"), "line-repeats")
-    later = (
-        found.join(repeated, "window")
-        .filter(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("start") == F.col("first.start"))))
-        .select("doc_id", "n_lines", F.explode(F.sequence(F.col("start"), F.col("start") + run - 1)).alias("line"))
+    # windows under a fingerprint have the same fingerprint; one that stands in one place only has no match anywhere
+    per_window = found.groupBy("fp", "window").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "start")).alias("first"))
+    repeated = store.save(per_window.filter("n > 1").select("fp", "window", "first"), "line-repeats")
+    later = found.join(repeated, ["fp", "window"]).filter(
+        ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("start") == F.col("first.start")))
     )
+    covered = F.array_distinct(F.flatten(F.transform("starts", lambda s: F.sequence(s, s + run - 1))))
     return (
         later.groupBy("doc_id")
-        .agg(F.max("n_lines").alias("n_lines"), F.sort_array(F.collect_set("line")).alias("removed"))
+        .agg(F.max("n_lines").alias("n_lines"), F.collect_set("start").alias("starts"))
+        .select("doc_id", "n_lines", F.sort_array(covered).alias("removed"))
         .select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), "removed")
     )
 
