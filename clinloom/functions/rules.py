@@ -38,8 +38,3 @@ def is_measurement(domain: Column, kind: Column) -> Column:
     known = F.nullif(domain, F.lit(""))
     return (known == "Measurement") | (known.isNull() & (kind == "NUMERIC"))
 
-
-def joined_reasons(reasons: list[Column]) -> Column:
-    """All reasons in order, without repeats, joined by ``; ``; NULL if there is none."""
-    kept = F.array_distinct(F.filter(F.array(*reasons), lambda reason: reason.isNotNull()))
-    return F.when(F.size(kept) > 0, F.array_join(kept, "; "))

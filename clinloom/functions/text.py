@@ -34,18 +34,18 @@ def cut(value: Column | str, width: int) -> Column:
 
 
 def normalized(value: Column | str) -> Column:
-    """At most 255 characters, then outer spaces off."""
-    return F.trim(cut(value, 255))
+    """Outer spaces off."""
+    return F.trim(col(value).cast("string"))
 
 
 def clipped(value: Column | str, width: int) -> Column:
-    """Normalised text, blank as NULL, cut to ``width``."""
+    """Normalised text, blank as NULL, shown in ``width`` characters."""
     return cut(F.nullif(normalized(value), F.lit("")), width)
 
 
 def code_key(value: Column | str) -> Column:
-    """The form a source code is looked up by."""
-    return F.trim(cut(value, 50))
+    """The form a source code is looked up by: the whole code, outer spaces off."""
+    return F.trim(col(value).cast("string"))
 
 
 def has_code(value: Column | str) -> Column:
@@ -68,8 +68,11 @@ def safe_double(value: Column | str) -> Column:
 
 
 def _whole_number(text: Column, low: int, high: int, kind: str) -> Column:
-    # at most 18 digits, so the cast itself can never fail: a failed try_cast costs an exception per row
-    number = F.when(text.rlike(r"^[+-]?0*[0-9]{1,18}$"), text.try_cast("long"))
+    # only what fits 64 bits is cast: a failed try_cast costs an exception per row
+    digits = F.regexp_extract(text, r"^[+-]?0*([0-9]{1,19})$", 1)
+    most = F.when(text.startswith("-"), "9223372036854775808").otherwise("9223372036854775807")
+    fits = (digits != "") & ((F.length(digits) < 19) | (digits <= most))
+    number = F.when(fits, text.try_cast("long"))
     return F.when(number.between(low, high), number).cast(kind)
 
 
@@ -78,12 +81,12 @@ def safe_int(value: Column | str) -> Column:
 
 
 def safe_id(value: Column | str) -> Column:
-    """An identifier as a long (up to 18 digits); NULL for blank and for anything not an integer."""
-    return _whole_number(blank_to_null(col(value).cast("string")), -(10**18), 10**18, "long")
+    """An identifier as a long; NULL for blank, for anything not an integer, and beyond 64 bits."""
+    return _whole_number(blank_to_null(col(value).cast("string")), -(2**63), 2**63 - 1, "long")
 
 
 def is_bad_id(value: Column | str) -> Column:
-    """True where a value is given but is not an integer."""
+    """True where a value is given but is not an integer of 64 bits."""
     return blank_to_null(value).isNotNull() & safe_id(value).isNull()
 
 
@@ -106,10 +109,6 @@ def utc_datetime(value: Column | str) -> Column:
     return moment_of(blank_to_null(value))
 
 
-def iso_date(value: Column | str) -> Column:
-    return day_of(blank_to_null(value))
-
-
 def event_date(value: Column | str) -> Column:
     """The calendar day of ISO date or date-time text, as written (no zone shift)."""
     text = blank_to_null(value)
@@ -152,11 +151,11 @@ def day_text(day: Column | str) -> Column:
 
 
 def row_id(table: str, *parts: Column | str) -> Column:
-    """``synthea:<table>:<part>:<part>``, at most 128 characters, NULL if a part is."""
+    """``synthea:<table>:<part>:<part>``, NULL if a part is."""
     pieces: list[Column] = [F.lit(f"synthea:{table}")]
     for part in parts:
         pieces += [F.lit(":"), col(part)]
-    return cut(F.concat(*pieces), 128)
+    return F.concat(*pieces)
 
 
 def days_supply(start: Column, stop: Column) -> Column:

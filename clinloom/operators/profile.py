@@ -9,10 +9,8 @@ from pyspark.sql import functions as F
 
 from clinloom.functions import text as X
 
-SAMPLE_ROWS = 250  # rows the loader looks at
 SAMPLE_VALUES = 5
-DISTINCT_LIMIT = 1_000
-PREFIX_ROWS = 1_000  # rows read ahead for the first values of a column
+DISTINCT_LIMIT = 1_000  # larger counts are also shown as "1000+"
 
 
 def unpivot(df: DataFrame, columns: Sequence[str], position: Column | None = None) -> DataFrame:
@@ -27,18 +25,9 @@ def unpivot(df: DataFrame, columns: Sequence[str], position: Column | None = Non
     return df.select(*kept, F.inline(cells))
 
 
-def first_rows(df: DataFrame, rows: int, order_by: str | None = None) -> DataFrame:
-    """The first rows, in file order unless a column is given."""
-    return (df if order_by is None else df.orderBy(order_by)).limit(rows)
-
-
-def read_ahead(df: DataFrame, rows: int) -> DataFrame:
-    """The first rows as a local table.
-
-    Taken directly, Spark reads only the partitions it needs; as a limit inside
-    a larger plan it would start on all of them.
-    """
-    return df.sparkSession.createDataFrame(df.head(rows), df.schema)
+def first_rows(df: DataFrame, rows: int, order_by: str) -> DataFrame:
+    """The first rows by a column."""
+    return df.orderBy(order_by).limit(rows)
 
 
 def _every(test: Column) -> Column:
@@ -46,18 +35,20 @@ def _every(test: Column) -> Column:
     return F.coalesce(F.bool_and(F.when(F.col("value").isNotNull(), F.coalesce(test, F.lit(False)))), F.lit(False))
 
 
-def infer_sample_types(df: DataFrame, columns: Sequence[str], rows: int = SAMPLE_ROWS, order_by: str | None = None) -> DataFrame:
-    """Loader types from the first rows: uuid, datetime, date, else text."""
+def infer_load_types(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Loader types from all rows: uuid, datetime, date, else text.
+
+    Days and times count only if they exist, so the cast that follows cannot
+    fail. One partial aggregate per task; no values are shuffled.
+    """
     value = F.col("value")
     kind = (
         F.when(_every(value.rlike(X.UUID_PATTERN)), "uuid")
-        .when(_every(value.rlike(X.DATETIME_PATTERN)), "datetime")
-        .when(_every(value.rlike(X.DATE_PATTERN)), "date")
+        .when(_every(X.moment_of(value).isNotNull()), "datetime")
+        .when(_every(X.day_of(value).isNotNull()), "date")
         .otherwise("text")
     )
-    ordered = df if order_by is None else df.orderBy(order_by)
-    cells = unpivot(read_ahead(ordered.select(*(F.col(f"`{c}`") for c in columns)), rows), columns)
-    return cells.groupBy("ordinal_position", "column_name").agg(kind.alias("value_kind"))
+    return unpivot(df, columns).groupBy("ordinal_position", "column_name").agg(kind.alias("value_kind"))
 
 
 def coerce(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
@@ -86,12 +77,22 @@ def _tested(cells: DataFrame) -> DataFrame:
         value.rlike(X.INTEGER_PATTERN).alias("is_integer"),
         is_number.alias("is_number"),
         F.when(is_number, value.try_cast("decimal(38,18)")).alias("number"),
+        # by size, for columns with numbers that no decimal holds
+        F.when(is_number, F.struct(value.try_cast("double").alias("size"), F.col("value").alias("text"))).alias("any_number"),
         X.moment_of(value).alias("moment"),
         X.day_of(value).alias("day"),
         value.rlike(X.UUID_PATTERN).alias("is_uuid"),
     )
 
 
+def _beyond_decimal(value: Column) -> Column:
+    """Whether a number has more digits than ``decimal(38,18)`` keeps, or an exponent that may ask for them."""
+    whole = F.regexp_extract(value, r"^[+-]?0*([0-9]*)", 1)
+    fraction = F.regexp_extract(value, r"[.]([0-9]*?)0*$", 1)
+    small = value.try_cast("double").between(-1e15, 1e15) & ((F.abs(value.try_cast("double")) > 1e-6) | (value.try_cast("double") == 0))
+    return F.when(value.rlike("[eE]"), ~small).otherwise((F.length(whole) > 20) | (F.length(fraction) > 18))
+
+
 def _type_label() -> Column:
     """The first type every filled value has; needs the columns of ``_tested``."""
     filled = F.count("value")
@@ -141,17 +142,18 @@ def column_statistics(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             F.max(F.length(value)).alias("max_length"),
             *(
                 f(kind).alias(f"{name}_{kind}")
-                for kind in ("number", "moment", "day")
+                for kind in ("number", "any_number", "moment", "day")
                 for name, f in (("min", F.min), ("max", F.max))
             ),
-            F.approx_count_distinct(value).alias("distinct_estimate"),
+            F.bool_or(F.col("is_number") & _beyond_decimal(value)).alias("beyond"),
         )
     )
 
     def bound(name: str) -> Column:
         kind = F.col("inferred_type")
         return (
-            F.when(kind.isin("integer", "decimal"), X.plain_decimal(F.col(f"{name}_number")))
+            F.when(kind.isin("integer", "decimal") & F.col("beyond"), F.col(f"{name}_any_number.text"))
+            .when(kind.isin("integer", "decimal"), X.plain_decimal(F.col(f"{name}_number")))
             .when(kind == "datetime", _moment_text(F.col(f"{name}_moment")))
             .when(kind == "date", F.col(f"{name}_day").cast("string"))
             .alias(f"{name}_value")
@@ -169,21 +171,14 @@ def column_statistics(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         "max_length",
         bound("min"),
         bound("max"),
-        "distinct_estimate",
     )
 
 
-def _first_places(df: DataFrame, columns: Sequence[str], position: Column, step: dict[str, int]) -> DataFrame:
-    """Distinct values per column with their first position.
-
-    ``step`` n keeps about one n-th of a column's distinct values, chosen by
-    hash. Copies of a value collapse before the shuffle.
-    """
-    cells = unpivot(df, columns, position).where(F.col("value").isNotNull())
-    sliced = F.coalesce(
-        *(F.when(F.col("column_name") == c, F.pmod(F.xxhash64("value"), F.lit(n))) for c, n in step.items() if n > 1), F.lit(0)
-    )
-    return cells.where(sliced == 0).groupBy("column_name", "value").agg(F.min("position").alias("place"))
+def value_places(df: DataFrame, columns: Sequence[str], position: Column | None = None) -> DataFrame:
+    """The distinct values of each column with their first position. Copies of a value collapse before the shuffle."""
+    place = F.monotonically_increasing_id() if position is None else position
+    cells = unpivot(df, columns, place).where(F.col("value").isNotNull())
+    return cells.groupBy("column_name", "value").agg(F.min("position").alias("place"))
 
 
 def first_values(places: DataFrame, limit: int) -> DataFrame:
@@ -195,58 +190,18 @@ def first_values(places: DataFrame, limit: int) -> DataFrame:
     return head.groupBy("column_name").agg(F.transform(ordered, lambda s: s["value"]).alias("sample_values"))
 
 
-def distinct_counts(
-    df: DataFrame,
-    columns: Sequence[str],
-    limit: int = DISTINCT_LIMIT,
-    estimates: dict[str, int] | None = None,
-) -> dict[str, tuple[int, bool]]:
-    """Exact distinct counts up to the limit: ``column -> (count, capped)``.
-
-    A column whose estimate is far above the limit is first counted on a slice
-    of its values; more than ``limit`` values there prove the cap. All other
-    columns, and slices that prove nothing, are counted in full.
-    """
-    if estimates is None:
-        rows = unpivot(df, columns).groupBy("column_name").agg(F.approx_count_distinct("value").alias("n")).collect()
-        estimates = {r["column_name"]: r["n"] for r in rows}
-    step = {c: max(1, estimates.get(c, 0) // (4 * limit)) for c in columns}
-    open_columns, result = list(columns), {}
-    while open_columns:
-        places = _first_places(df, open_columns, F.lit(0), {c: step[c] for c in open_columns})
-        # one row per column
-        found = {r["column_name"]: r["n"] for r in places.groupBy("column_name").agg(F.count("*").alias("n")).collect()}
-        unproven = []
-        for column in open_columns:
-            count = found.get(column, 0)
-            if count > limit:
-                result[column] = (limit, True)
-            elif step[column] == 1:
-                result[column] = (count, False)
-            else:
-                unproven.append(column)
-        step.update(dict.fromkeys(unproven, 1))
-        open_columns = unproven
-    return result
-
-
-def sample_values(df: DataFrame, columns: Sequence[str], limit: int = SAMPLE_VALUES, order_by: str | None = None) -> DataFrame:
-    """The first distinct values per column, in file order or by a column."""
-    if order_by is not None:
-        return first_values(_first_places(df, columns, F.col(order_by), {}), limit)
-
-    # a bounded read-ahead settles most columns
-    ahead: dict[str, list[str]] = {c: [] for c in columns}
-    for row in df.select(*(X.blank_to_null(F.col(f"`{c}`")).alias(c) for c in columns)).head(PREFIX_ROWS):
-        for column, value in row.asDict().items():
-            if value is not None and value not in ahead[column] and len(ahead[column]) < limit:
-                ahead[column].append(value)
-    settled = [(c, values) for c, values in ahead.items() if len(values) == limit]
-    done = df.sparkSession.createDataFrame(settled, "column_name string, sample_values array<string>")
-    rest = [c for c, values in ahead.items() if len(values) < limit]
-    if not rest:
-        return done
-    return done.unionByName(first_values(_first_places(df, rest, F.monotonically_increasing_id(), {}), limit))
+def distinct_counts(df: DataFrame, columns: Sequence[str], limit: int = DISTINCT_LIMIT) -> DataFrame:
+    """Exact distinct counts: ``column_name, distinct_count, is_capped`` (whether it is shown as ``limit+``)."""
+    names = F.explode(F.array(*map(F.lit, columns))).alias("column_name")
+    every = df.sparkSession.range(1).select(names)
+    found = value_places(df, columns, F.lit(0)).groupBy("column_name").agg(F.count("*").alias("n"))
+    count = F.coalesce("n", F.lit(0))
+    return every.join(found, "column_name", "left").select("column_name", count.alias("distinct_count"), (count > limit).alias("is_capped"))
+
+
+def sample_values(df: DataFrame, columns: Sequence[str], limit: int = SAMPLE_VALUES, order_by: str | Column | None = None) -> DataFrame:
+    """The first distinct values per column, by a column or position."""
+    return first_values(value_places(df, columns, F.col(order_by) if isinstance(order_by, str) else order_by), limit)
 
 
 def column_profile(
@@ -255,24 +210,13 @@ def column_profile(
     file_name: str,
     sample_limit: int = SAMPLE_VALUES,
     distinct_limit: int = DISTINCT_LIMIT,
-    order_by: str | None = None,
+    order_by: str | Column | None = None,
 ) -> DataFrame:
-    """One row per column of an all-text table."""
-    spark = df.sparkSession
-    rows = column_statistics(df, columns).collect()  # one row per column
-    estimates = {r["column_name"]: r["distinct_estimate"] for r in rows}
-    distinct = distinct_counts(df, columns, distinct_limit, estimates)
-    counts = spark.createDataFrame(
-        [(c, f"{n}+" if capped else str(n), capped) for c, (n, capped) in distinct.items()],
-        "column_name string, distinct_count string, distinct_count_is_capped boolean",
-    )
-    schema = (
-        "ordinal_position int, column_name string, inferred_type string, rows long, non_null_count long, blank_count long, "
-        "completeness_pct double, min_length int, max_length int, min_value string, max_value string, distinct_estimate long"
-    )
-    stats = spark.createDataFrame([tuple(r) for r in rows], schema)
-    samples = sample_values(df, columns, sample_limit, order_by)
-    joined = stats.join(counts, "column_name").join(samples, "column_name", "left")
+    """One row per column of an all-text table: statistics in one pass, distinct values and samples in another."""
+    places = value_places(df, columns, F.col(order_by) if isinstance(order_by, str) else order_by)
+    counted = places.groupBy("column_name").agg(F.count("*").alias("n"))
+    joined = column_statistics(df, columns).join(counted, "column_name", "left").join(first_values(places, sample_limit), "column_name", "left")
+    count = F.coalesce("n", F.lit(0))
     return joined.select(
         F.lit(file_name).alias("file_name"),
         "ordinal_position",
@@ -281,8 +225,9 @@ def column_profile(
         "non_null_count",
         "blank_count",
         "completeness_pct",
-        "distinct_count",
-        "distinct_count_is_capped",
+        count.alias("distinct_values"),
+        F.when(count > distinct_limit, f"{distinct_limit}+").otherwise(count.cast("string")).alias("distinct_count"),
+        (count > distinct_limit).alias("distinct_count_is_capped"),
         F.coalesce(F.array_join("sample_values", " | "), F.lit("")).alias("sample_values"),
         "min_length",
         "max_length",

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import reduce
+from threading import Lock
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clinloom.functions.text import code_key, col, has_code
+from clinloom.operators.lookups import fits, lookup_side, spread
 from clinloom.schemas import NO_MATCH, REQUIRED_VOCABULARIES
+from clinloom.staging import StageStore
 
 DIAGNOSES = tuple(f"DIAGNOSIS{n}" for n in range(1, 9))
 
@@ -117,15 +120,41 @@ def concept_map(keys: DataFrame, lookup: DataFrame) -> DataFrame:
     )
 
 
+class ConceptSides:
+    """The concept lookup by vocabulary, each side judged by its own size.
+
+    A vocabulary that is too large to send to the executors is cut down to the
+    codes in use, and sent if those fit.
+    """
+
+    def __init__(self, lookup: DataFrame, keys: Callable[[], DataFrame], store: StageStore):
+        """``lookup`` and the table of ``keys`` (vocabulary, code), if it is asked for, are written tables."""
+        self.lookup, self.keys, self.store = lookup, keys, store
+        # one row per vocabulary
+        self.rows = {r["vocabulary_id"]: r["count"] for r in lookup.groupBy("vocabulary_id").count().collect()}
+        self.sides: dict[str, DataFrame] = {}
+        self.lock = Lock()
+
+    def __getitem__(self, vocabulary: str) -> DataFrame:
+        with self.lock:
+            if vocabulary not in self.sides:
+                side, rows = self.lookup.where(F.col("vocabulary_id") == vocabulary), self.rows.get(vocabulary, 0)
+                if not fits(side, rows):
+                    used = self.keys().where(F.col("vocabulary_id") == vocabulary).select("code")
+                    side = self.store.save(side.join(used, "code", "left_semi"), f"lookup-{vocabulary}")
+                    rows = side.count()
+                self.sides[vocabulary] = lookup_side(side, rows)
+            return self.sides[vocabulary]
+
+
 def join_concept(
-    facts: DataFrame, lookup: DataFrame, vocabulary: str, code: str, prefix: str = ""
+    facts: DataFrame, lookup: Mapping[str, DataFrame] | ConceptSides, vocabulary: str, code: str, prefix: str = ""
 ) -> DataFrame:
     """Left join of the lookup of one vocabulary; adds ``<prefix>source_concept_id`` and so on."""
     names = ("source_concept_id", "standard_concept_id", "standard_domain_id")
-    side = lookup.where(F.col("vocabulary_id") == vocabulary).select(
-        F.col("code").alias("_code"), *(F.col(n).alias(prefix + n) for n in names)
-    )
-    joined = facts.withColumn("_key", code_key(col(code))).join(side, F.col("_key") == F.col("_code"), "left")
+    side = lookup[vocabulary].select(F.col("code").alias("_code"), *(F.col(n).alias(prefix + n) for n in names))
+    key = spread(F.nullif(code_key(col(code)), F.lit("")), *facts.columns[:4])
+    joined = facts.withColumn("_key", key).join(side, F.col("_key") == F.col("_code"), "left")
     return (
         joined.drop("_key", "_code")
         .withColumn(prefix + names[0], F.coalesce(prefix + names[0], F.lit(NO_MATCH)))

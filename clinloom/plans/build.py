@@ -68,12 +68,20 @@ class CdmBuild:
 
     @cached_property
     def concept_lookup(self) -> DataFrame:
-        table = self.store.save(vocab.concept_lookup(self.concept, self.relationship), "concept_lookup")
-        return lookup_side(table, table.count())
+        return self.store.save(vocab.concept_lookup(self.concept, self.relationship), "concept_lookup")
+
+    @cached_property
+    def concept_keys(self) -> DataFrame:
+        return self.store.save(vocab.concept_keys(self.sources), "concept_keys")
+
+    @cached_property
+    def concept_sides(self) -> vocab.ConceptSides:
+        return vocab.ConceptSides(self.concept_lookup, lambda: self.concept_keys, self.store)
 
     @cached_property
     def concept_map(self) -> DataFrame:
-        return vocab.concept_map(vocab.concept_keys(self.sources), self.concept_lookup)
+        rows = sum(self.concept_sides.rows.values())
+        return vocab.concept_map(self.concept_keys, lookup_side(self.concept_lookup, rows))
 
     @cached_property
     def visit_ids(self) -> DataFrame:
@@ -92,7 +100,7 @@ class CdmBuild:
             persons=visits.person_side(self.patients),
             visits=self.visit_ids,
             providers=visits.provider_side(self.providers),
-            concepts=self.concept_lookup,
+            concepts=self.concept_sides,
             as_of=self.as_of,
         )
 
@@ -120,7 +128,7 @@ class CdmBuild:
 
     @cached_property
     def routed_observations(self) -> DataFrame:
-        return facts.observation_links(self.sources["observations"], self.links)
+        return self.store.save(facts.observation_links(self.sources["observations"], self.links), "routed_observations")
 
     @cached_property
     def measurement_stage(self) -> DataFrame:
@@ -138,7 +146,8 @@ class CdmBuild:
 
     @cached_property
     def payer_plan_stage(self) -> DataFrame:
-        names = payer.payer_map(self.sources["payers"], self.concept)
+        names = self.store.save(payer.payer_map(self.sources["payers"], self.concept), "payer_map")
+        names = lookup_side(names, names.count())
         stage = payer.payer_stage(self.sources["payer_transitions"], names, self.links)
         return self._number_facts(stage, "payer_plan_period")
 
@@ -165,7 +174,7 @@ class CdmBuild:
         stage table do not leave the other executors idle.
         """
         with ThreadPoolExecutor(workers) as pool:
-            list(pool.map(lambda name: getattr(self, name), ("patients", "organizations", "providers", "concept_lookup")))
+            list(pool.map(lambda name: getattr(self, name), ("patients", "organizations", "providers", "concept_sides")))
             self.links  # noqa: B018 - builds the visits
             apart = ("drug_stage", "procedure_stage", "condition_stage", "device_stage", "routed_observations", "payer_plan_stage", "observation_period")
             list(pool.map(lambda name: getattr(self, name), apart))
@@ -237,7 +246,8 @@ class CdmBuild:
         def metric(df: DataFrame, name: str, value: Column) -> DataFrame:
             return df.agg(F.coalesce(value, F.lit(0)).cast("long").alias("value")).select(F.lit(name).alias("metric"), "value")
 
-        read, written = self.source_counts(), self.load_counts()
+        # counted once; two small tables
+        read, written = self.store.save(self.source_counts(), "source_counts"), self.store.save(self.load_counts(), "load_counts")
         tables = written.where(F.col("table_name") != S.REVIEW_TABLE)
         held = written.where(F.col("table_name") == S.REVIEW_TABLE)
         parts = [

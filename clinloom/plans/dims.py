@@ -21,7 +21,7 @@ def _address(kind: str, location_id: Column, county: Column) -> list[Column]:
         clipped("STATE", 2).alias("state"),
         clipped("ZIP", 9).alias("zip"),
         county.cast("string").alias("county"),
-        cut(F.concat(F.lit(kind + ":"), cut("Id", 36)), 50).alias("location_source_value"),
+        cut(F.concat(F.lit(kind + ":"), F.col("Id")), 50).alias("location_source_value"),
         F.lit("US").alias("country_source_value"),
         safe_double("LAT").alias("latitude"),
         safe_double("LON").alias("longitude"),
@@ -69,7 +69,7 @@ def person(patients: Numbered, organizations: Numbered) -> DataFrame:
 def death_stage(patients: Numbered, as_of: Column) -> DataFrame:
     died = F.col("DEATHDATE")
     return patients.df.where(died.isNotNull() & F.col("Id").isNotNull()).select(
-        row_id("patients", cut("Id", 36), F.lit("death")).alias("source_row_id"),
+        row_id("patients", "Id", F.lit("death")).alias("source_row_id"),
         "person_id",
         died.alias("death_date"),
         died.cast("timestamp_ntz").alias("death_datetime"),

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from clinloom import schemas as S
 from clinloom.functions import text as X
 from clinloom.functions.rules import concept_reason, event_date_reason, first_reason, is_measurement
-from clinloom.operators.vocab import join_concept, unpivot_diagnoses
+from clinloom.operators.lookups import spread
+from clinloom.operators.vocab import ConceptSides, join_concept, unpivot_diagnoses
 
 
 @dataclass(frozen=True)
@@ -20,14 +21,15 @@ class Links:
     persons: DataFrame  # patient_source_id, person_id, birth_date
     visits: DataFrame  # encounter_source_id, visit_occurrence_id, visit_provider_id, visit_start_*
     providers: DataFrame  # provider_source_id, provider_id
-    concepts: DataFrame  # concept lookup
+    concepts: ConceptSides  # concept lookup
     as_of: Column
 
     def join(self, facts: DataFrame, patient: str = "PATIENT", encounter: str = "ENCOUNTER") -> DataFrame:
         """Facts of known patients, with their visit where it was accepted."""
-        return facts.join(self.persons, F.col(patient) == F.col("patient_source_id")).join(
-            self.visits, F.col(encounter) == F.col("encounter_source_id"), "left"
-        )
+        known = facts.join(self.persons, F.col(patient) == F.col("patient_source_id"))
+        return known.withColumn("_encounter", spread(F.col(encounter), patient, *facts.columns[:4])).join(
+            self.visits, F.col("_encounter") == F.col("encounter_source_id"), "left"
+        ).drop("_encounter")
 
     def reason(self, day: Column, field: str, expected: str, label: str) -> Column:
         return first_reason(
@@ -36,14 +38,6 @@ class Links:
         )
 
 
-def _id_part(column: str) -> Column:
-    return X.cut(column, 36)
-
-
-def _code_part(column: str) -> Column:
-    return X.cut(column, 20)
-
-
 def _concepts(prefix: str, code: str) -> list[Column]:
     return [
         X.cut(code, 50).alias(f"{prefix}_source_value"),
@@ -71,7 +65,7 @@ def condition_stage(conditions: DataFrame, claims: DataFrame, links: Links) -> D
             F.lit("conditions").alias("source_table"),
             *_concepts("condition", "CODE"),
             X.row_id(
-                "conditions", _id_part("PATIENT"), _id_part("ENCOUNTER"), X.day_text("START"), _code_part("CODE")
+                "conditions", "PATIENT", "ENCOUNTER", X.day_text("START"), "CODE"
             ).alias("source_row_id"),
             start.alias("condition_start_date"),
             F.col("STOP").alias("condition_end_date"),
@@ -95,7 +89,7 @@ def condition_stage(conditions: DataFrame, claims: DataFrame, links: Links) -> D
         served.cast("timestamp_ntz").alias("condition_start_datetime"),
         F.lit("claims").alias("source_table"),
         *_concepts("condition", "code"),
-        X.row_id("claims", _id_part("Id"), F.concat(F.lit("dx"), "slot_number")).alias("source_row_id"),
+        X.row_id("claims", "Id", F.concat(F.lit("dx"), "slot_number")).alias("source_row_id"),
         served.cast("date").alias("condition_start_date"),
         _no("date").alias("condition_end_date"),
         _no("timestamp_ntz").alias("condition_end_datetime"),
@@ -140,7 +134,7 @@ def procedure_stage(procedures: DataFrame, careplans: DataFrame, imaging: DataFr
         "CODE",
         F.coalesce(start.cast("timestamp_ntz"), "visit_start_datetime"),
         day,
-        X.row_id("procedures", _id_part("PATIENT"), _id_part("ENCOUNTER"), X.iso_text("START"), _code_part("CODE")),
+        X.row_id("procedures", "PATIENT", "ENCOUNTER", X.iso_text("START"), "CODE"),
         F.col("STOP"),
         S.PROCEDURE_TYPE,
         _no("string"),
@@ -153,7 +147,7 @@ def procedure_stage(procedures: DataFrame, careplans: DataFrame, imaging: DataFr
         "CODE",
         day.cast("timestamp_ntz"),
         day,
-        X.row_id("careplans", _id_part("Id")),
+        X.row_id("careplans", "Id"),
         F.col("STOP"),
         S.PROCEDURE_TYPE,
         _no("string"),
@@ -167,7 +161,7 @@ def procedure_stage(procedures: DataFrame, careplans: DataFrame, imaging: DataFr
         "PROCEDURE_CODE",
         taken.cast("timestamp_ntz"),
         taken.cast("date"),
-        X.row_id("imaging", _id_part("Id")),
+        X.row_id("imaging", "Id"),
         _no("timestamp_ntz"),
         S.PROCEDURE_TYPE_IMAGING,
         X.clipped("MODALITY_CODE", 50),
@@ -189,7 +183,7 @@ def drug_stage(medications: DataFrame, immunizations: DataFrame, links: Links) -
             begin.cast("timestamp_ntz").alias("drug_exposure_start_datetime"),
             F.lit(table).alias("source_table"),
             *_concepts("drug", "CODE"),
-            X.row_id(table, _id_part("PATIENT"), _id_part("ENCOUNTER"), X.iso_text(row_time), _code_part("CODE")).alias("source_row_id"),
+            X.row_id(table, "PATIENT", "ENCOUNTER", X.iso_text(row_time), "CODE").alias("source_row_id"),
             begin.cast("date").alias("drug_exposure_start_date"),
             end.cast("date").alias("drug_exposure_end_date"),
             end.cast("timestamp_ntz").alias("drug_exposure_end_datetime"),
@@ -237,7 +231,7 @@ def observation_links(observations: DataFrame, links: Links) -> DataFrame:
 
 
 def _observation_row_id() -> Column:
-    return X.row_id("observations", _id_part("PATIENT"), _id_part("ENCOUNTER"), X.iso_text("DATE"), _code_part("CODE"))
+    return X.row_id("observations", "PATIENT", "ENCOUNTER", X.iso_text("DATE"), "CODE")
 
 
 def measurement_stage(routed: DataFrame, links: Links) -> DataFrame:
@@ -291,7 +285,7 @@ def observation_stage(routed: DataFrame, allergies: DataFrame, links: Links) ->
     qualifier = F.coalesce(F.nullif(X.normalized("TYPE"), F.lit("")), F.nullif(X.normalized("CATEGORY"), F.lit("")))
     allergic = branch(
         "allergies", links.join(join_concept(valid, links.concepts, "SNOMED", "CODE")), F.col("START"),
-        X.row_id("allergies", _id_part("PATIENT"), _id_part("ENCOUNTER"), _code_part("CODE")),
+        X.row_id("allergies", "PATIENT", "ENCOUNTER", "CODE"),
         _no("double"), "DESCRIPTION", _no("int"), _no("string"),
         "DESCRIPTION", X.cut(qualifier, 50), "Allergy code",
     )
@@ -310,7 +304,7 @@ def device_stage(devices: DataFrame, supplies: DataFrame, links: Links) -> DataF
             begin.cast("timestamp_ntz").alias("device_exposure_start_datetime"),
             F.lit(table).alias("source_table"),
             *_concepts("device", "CODE"),
-            X.row_id(table, _id_part("PATIENT"), _id_part("ENCOUNTER"), _code_part("CODE")).alias("source_row_id"),
+            X.row_id(table, "PATIENT", "ENCOUNTER", "CODE").alias("source_row_id"),
             begin.cast("date").alias("device_exposure_start_date"),
             end.cast("date").alias("device_exposure_end_date"),
             end.cast("timestamp_ntz").alias("device_exposure_end_datetime"),

@@ -14,7 +14,7 @@ from clinloom.plans.facts import Links
 
 def payer_map(payers: DataFrame, concept: DataFrame) -> DataFrame:
     """Each payer with its cleaned name and the concept of that exact name."""
-    joined = payers.withColumn("concept_name", X.cut("NAME", 255)).join(payer_concepts(concept), "concept_name", "left")
+    joined = payers.withColumn("concept_name", F.col("NAME")).join(payer_concepts(concept), "concept_name", "left")
     return joined.select(
         F.col("Id").alias("payer_source_id"),
         X.clipped("NAME", 50).alias("payer_name"),
@@ -41,7 +41,7 @@ def payer_stage(transitions: DataFrame, payers: DataFrame, links: Links) -> Data
         begin.alias("payer_plan_period_start_date"),
         F.coalesce("payer_name", X.cut("PAYER", 50)).alias("payer_source_value"),
         X.cut("MEMBERID", 50).alias("plan_source_value"),
-        X.row_id("payer_transitions", X.cut("PATIENT", 36), X.plain_text("START_YEAR"), X.cut("PAYER", 20)).alias("source_row_id"),
+        X.row_id("payer_transitions", "PATIENT", X.plain_text("START_YEAR"), "PAYER").alias("source_row_id"),
         end.alias("payer_plan_period_end_date"),
         concept.alias("payer_concept_id"),
         X.clipped("OWNERSHIP", 50).alias("sponsor_source_value"),

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clinloom import schemas as S
-from clinloom.functions.text import cut
 
 
 def review_rows(stage: DataFrame, table: str, number: Column | None) -> DataFrame:
@@ -14,7 +13,7 @@ def review_rows(stage: DataFrame, table: str, number: Column | None) -> DataFram
     own = F.col("source_row_id")
     if number is not None:
         own = F.coalesce(own, F.concat(F.lit(f"synthea:review:{table}:"), number.cast("string")))
-    held = stage.where(F.col("review_reason").isNotNull()).select(cut(own, 128).alias("source_row_id"), "review_reason")
+    held = stage.where(F.col("review_reason").isNotNull()).select(own.alias("source_row_id"), "review_reason")
     payload = F.struct(F.lit(S.REVIEW_STAGE_LABEL[table]).alias("stage_table"), F.col("source_row_id"))
     return held.select(
         F.lit(table).alias("target_table"),

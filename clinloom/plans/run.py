@@ -11,36 +11,44 @@ from clinloom import schemas as S
 from clinloom.operators import fieldmap, profile, rowcheck, vocab
 from clinloom.operators.quality import assert_unique
 from clinloom.plans.build import CdmBuild
-from clinloom.sinks.tables import append_rows, conform, ensure_schema, load_table, replace_review, union_all
+from clinloom.sinks.tables import append_tables, conform, ensure_schema, load_tables, replace_review, union_all
 from clinloom.sources import files
 from clinloom.sources.catalog import TableCheck, require, resolve_sources, resolve_targets
 from clinloom.staging import StageStore
 
 
 def load_extracts(
-    spark: SparkSession, folder: str, schema: str = "synthea", prefix: str = "", sep: str = ",",
-    sample_rows: int = profile.SAMPLE_ROWS, max_rows: int | None = None, multiline: bool = True,
+    spark: SparkSession, folder: str, schema: str = "synthea", prefix: str = "", sep: str | None = None,
+    max_rows: int | None = None, multiline: bool = False,
 ) -> dict[str, int]:
-    """Delimited files to typed staging tables; types come from the first rows of each file."""
+    """Delimited files to typed staging tables, all or none; types come from all rows of each file.
+
+    ``max_rows`` keeps the first rows of each file.
+    """
     ensure_schema(spark, schema)
-    loaded = {}
-    for name, raw in files.read_directory(spark, folder, prefix, sep, multiline).items():
-        checked = files.assert_well_formed(raw, name)
-        rows = checked if max_rows is None else checked.limit(max_rows)
-        kinds = profile.infer_sample_types(checked, checked.columns, sample_rows).collect()  # one row per column
-        typed = profile.coerce(rows, {r["column_name"]: r["value_kind"] for r in kinds})
-        loaded[name] = load_table(typed, schema, name)
-    return loaded
+    store = StageStore(spark)
+    try:
+        typed = {}
+        for name, raw in files.read_directory(spark, folder, prefix, sep, multiline).items():
+            checked = files.assert_well_formed(files.staged(raw, store, "file"), name)
+            columns = [c for c in checked.columns if c != files.PLACE]
+            rows = checked if max_rows is None else profile.first_rows(checked, max_rows, files.PLACE)
+            kinds = profile.infer_load_types(checked, columns).collect()  # one row per column
+            typed[name] = profile.coerce(rows.select(*(F.col(f"`{c}`") for c in columns)), {r["column_name"]: r["value_kind"] for r in kinds})
+        return load_tables(typed, schema)
+    finally:
+        store.drop()
 
 
 def load_vocabulary(spark: SparkSession, folder: str, schema: str = "dbo") -> DataFrame:
-    """The nine vocabulary tables, fully reloaded; one report row per table."""
+    """The nine vocabulary tables, fully reloaded, all or none; one report row per table."""
     ensure_schema(spark, schema)
     tables = files.read_vocabulary(spark, folder)
+    loaded = load_tables({name: tables[name] for name in S.VOCABULARY if name in tables}, schema)
     report = []
     for name in S.VOCABULARY:
-        if name in tables:
-            report.append((name, "loaded", load_table(tables[name], schema, name), "loaded from vocabulary files"))
+        if name in loaded:
+            report.append((name, "loaded", loaded[name], "loaded from vocabulary files"))
         else:
             report.append((name, "skipped", 0, "no source files found"))
     return spark.createDataFrame(report, "table_name string, status string, rows_loaded long, reason string")
@@ -74,22 +82,26 @@ def convert(spark: SparkSession, schema: str = "dbo", review_table: str = S.REVI
         return RunReport(sources, targets, vocabularies, {}, 0)
 
     store = StageStore(spark)
-    tables = {check.name: spark.table(check.found_as) for check in sources}
-    for name in KEYED_SOURCES:
-        assert_unique(tables[name], name, "Id")
-    build = CdmBuild(tables, concept, spark.table(f"{schema}.concept_relationship"), as_of, store)
-    build.prepare()
-    rows = {
-        name: load_table(conform(build.table(name), S.TARGETS[name]), schema, name) for name in S.TARGET_TABLES
-    }
-    review = f"{schema}.{review_table}"
-    old = spark.table(review) if spark.catalog.tableExists(review) else spark.createDataFrame([], S.REVIEW)
-    # written aside first, because the review table is read and replaced
-    merged = store.save(replace_review(old, build.review(), store), review_table)
-    load_table(merged, schema, review_table)
-    held = spark.table(review).where(F.col("source_row_id").startswith(S.REVIEW_PREFIX)).count()
-    store.drop()
-    return RunReport(sources, targets, vocabularies, rows, held)
+    try:
+        tables = {check.name: spark.table(check.found_as) for check in sources}
+        build = CdmBuild(tables, concept, spark.table(f"{schema}.concept_relationship"), as_of, store)
+        build.prepare()
+        # the numbered tables are sorted by Id, and a repeated one shows there without another shuffle
+        for name, numbered in (("patients", build.patients), ("organizations", build.organizations), ("providers", build.providers)):
+            assert_unique(numbered.df, name, "Id")
+        for name in ("encounters", "payers"):
+            assert_unique(tables[name], name, "Id")
+        review = f"{schema}.{review_table}"
+        old = spark.table(review) if spark.catalog.tableExists(review) else spark.createDataFrame([], S.REVIEW)
+        # written aside first, because the review table is read and replaced
+        merged = store.save(replace_review(old, build.review(), store), review_table)
+        frames = {name: conform(build.table(name), S.TARGETS[name]) for name in S.TARGET_TABLES}
+        rows = load_tables({**frames, review_table: merged}, schema)
+        rows.pop(review_table)
+        held = spark.table(review).where(F.col("source_row_id").startswith(S.REVIEW_PREFIX)).count()
+        return RunReport(sources, targets, vocabularies, rows, held)
+    finally:
+        store.drop()
 
 
 def validate_proposals(proposals: DataFrame, concept: DataFrame, person: DataFrame, order_by: str, as_of: Column | None = None) -> dict[str, DataFrame]:
@@ -107,41 +119,63 @@ def validate_proposals(proposals: DataFrame, concept: DataFrame, person: DataFra
 
 
 def apply_validation(spark: SparkSession, results: dict[str, DataFrame], schema: str = "dbo", review_table: str = S.REVIEW_TABLE) -> dict[str, int]:
-    """Append approved rows to their target tables and held rows to the review table."""
+    """Append approved rows to their target tables and held rows to the review table, all or nothing.
+
+    The columns are those of the real target table. A row with a value for a
+    column that its table does not have goes to the review table instead.
+    """
     store = StageStore(spark)
-    # written aside first: the person table is both read by the checks and a target
-    approved = store.save(results["approved"].select("target_table", "values"), "approved")
-    review = store.save(results["review"], "review")
-    present = {r["target_table"]: r["count"] for r in approved.groupBy("target_table").count().collect()}
-    for table in present:
-        if table not in S.TARGETS:
-            raise ValueError(f"Unknown target table: {table}")
-        columns = [
-            F.try_element_at("values", F.lit(f.name)).cast(f.dataType).alias(f.name) for f in S.TARGETS[table].fields
-        ]
-        append_rows(approved.where(F.col("target_table") == table).select(*columns), schema, table)
-    name = f"{schema}.{review_table}"
-    old = spark.table(name) if spark.catalog.tableExists(name) else spark.createDataFrame([], S.REVIEW)
-    merged = store.save(replace_review(old, review, store, prefix=None), review_table)
-    load_table(merged, schema, review_table)
-    present[review_table] = review.count()
-    store.drop()
-    return present
-
-
-def profile_extracts(spark: SparkSession, folder: str, schema: str, sep: str = ",", multiline: bool = True) -> dict[str, int]:
+    try:
+        # written aside first: the person table is both read by the checks and a target
+        approved = store.save(results["approved"], "approved")
+        names = [r["target_table"] for r in approved.select("target_table").distinct().collect()]
+        for table in names:
+            if not spark.catalog.tableExists(f"`{schema}`.`{table}`"):
+                raise ValueError(f"Unknown target table: {table}")
+        schemas = {t: spark.table(f"`{schema}`.`{t}`").schema for t in names}
+        known = F.create_map(*(x for t, s in schemas.items() for x in (F.lit(t), F.array(*map(F.lit, s.fieldNames()))))) if names else None
+        unknown = F.array_except(F.map_keys("values"), known[F.col("target_table")]) if names else F.array()
+        approved = store.save(approved.withColumn("_unknown", unknown), "approved-checked")
+        fits = F.size("_unknown") == 0
+        reason = F.concat(F.lit("Columns not in the target table: "), F.array_join(F.array_sort("_unknown"), ", "), F.lit("."))
+        held = rowcheck.review_rows(approved.where(~fits).withColumn("status", F.lit("review")).withColumn("reason", reason))
+        review = store.save(results["review"].unionByName(held), "review")
+        good = approved.where(fits)
+        present = {r["target_table"]: r["count"] for r in good.groupBy("target_table").count().collect()}
+        rows = {
+            table: good.where(F.col("target_table") == table).select(
+                *(F.try_element_at("values", F.lit(f.name)).cast(f.dataType).alias(f.name) for f in schemas[table].fields)
+            )
+            for table in present
+        }
+        name = f"{schema}.{review_table}"
+        old = spark.table(name) if spark.catalog.tableExists(name) else spark.createDataFrame([], S.REVIEW)
+        merged = store.save(replace_review(old, review, store, prefix=None), review_table)
+        append_tables(rows, schema, {review_table: merged})
+        present[review_table] = review.count()
+        return present
+    finally:
+        store.drop()
+
+
+def profile_extracts(spark: SparkSession, folder: str, schema: str, sep: str | None = None, multiline: bool = False) -> dict[str, int]:
     """Profile every delimited file of a folder into ``files_overview`` and ``column_profile``."""
     ensure_schema(spark, schema)
-    overviews, columns, total = [], [], 0
-    for source in files.list_csv(spark, folder):
-        raw = files.read_delimited(spark, source.path, sep, multiline)
-        df = files.assert_well_formed(raw, source.name)
-        columns.append(profile.column_profile(df, df.columns, source.name))
-        overviews.append(profile.file_profile(df, df.columns, source.name, sep, source.size))
-    load_table(union_all(overviews), schema, "files_overview")
-    load_table(union_all(columns), schema, "column_profile")
+    store = StageStore(spark)
+    try:
+        overviews, profiles = [], []
+        for source in files.list_csv(spark, folder):
+            used = sep or files.choose_delimiter(files.header_line(spark, source.path))
+            raw = files.staged(files.read_delimited(spark, source.path, used, multiline), store, "file")
+            df = files.assert_well_formed(raw, source.name)
+            columns = [c for c in df.columns if c != files.PLACE]
+            profiles.append(profile.column_profile(df, columns, source.name, order_by=files.PLACE))
+            overviews.append(profile.file_profile(df, columns, source.name, used, source.size))
+        rows = load_tables({"files_overview": union_all(overviews), "column_profile": union_all(profiles)}, schema)
+    finally:
+        store.drop()
     total = spark.table(f"{schema}.files_overview").agg(F.sum("row_count")).head()[0]
-    return {"files_profiled": len(overviews), "columns_profiled": spark.table(f"{schema}.column_profile").count(), "total_rows": total}
+    return {"files_profiled": len(overviews), "columns_profiled": rows["column_profile"], "total_rows": total}
 
 
 def report_field_mappings(
@@ -160,4 +194,4 @@ def report_field_mappings(
         "target_coverage": fieldmap.target_coverage(mappings),
         "vocabulary_status": fieldmap.vocabulary_status(rules, vocabularies),
     }
-    return {name: load_table(df, schema, name) for name, df in reports.items()}
+    return load_tables(reports, schema)

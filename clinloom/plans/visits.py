@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from clinloom import schemas as S
 from clinloom.functions.codes import visit_concept
 from clinloom.functions.rules import event_date_reason, first_reason, reason_if
-from clinloom.functions.text import clipped, cut, row_id
+from clinloom.functions.text import clipped, row_id
 from clinloom.operators.ids import Numbered, dense_ids
 from clinloom.operators.lookups import lookup_side
 from clinloom.staging import StageStore
@@ -48,7 +48,7 @@ def visit_stage(
         "person_id",
         begin.cast("timestamp_ntz").alias("visit_start_datetime"),
         F.col("Id").alias("encounter_source_id"),
-        row_id("encounters", cut("Id", 36)).alias("source_row_id"),
+        row_id("encounters", "Id").alias("source_row_id"),
         "provider_id",
         "care_site_id",
         begin.cast("date").alias("visit_start_date"),

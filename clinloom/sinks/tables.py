@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import uuid
+from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +13,7 @@ from pyspark.sql import types as T
 
 from clinloom import schemas as S
 from clinloom.operators.ids import dense_ids
-from clinloom.staging import StageStore
+from clinloom.staging import StageStore, delete_path, list_files, rename_path
 
 
 def ensure_schema(spark: SparkSession, schema: str, location: str | None = None) -> None:
@@ -19,14 +21,104 @@ def ensure_schema(spark: SparkSession, schema: str, location: str | None = None)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`{place}")
 
 
+def load_tables(frames: Mapping[str, DataFrame], schema: str, workers: int = 4) -> dict[str, int]:
+    """Replace tables and return their numbers of rows. Either all of them change, or none does.
+
+    Every frame is written to a new folder first. Only then the tables are
+    pointed there, one catalog call each, and on an error those already
+    switched are pointed back. The folders of the versions before go last.
+    """
+    if not frames:
+        return {}
+    spark = next(iter(frames.values())).sparkSession
+    written: dict[str, tuple[str, DataFrame]] = {}
+
+    def write(name: str) -> None:
+        path = f"{_location(spark, schema)}/{name}-{uuid.uuid4().hex}"
+        written[name] = path, frames[name]
+        frames[name].write.parquet(path)
+
+    before = {name: _described(spark, schema, name) for name in frames}
+    switched: list[str] = []
+    try:
+        with ThreadPoolExecutor(workers) as pool:
+            list(pool.map(write, frames))
+        for name, (path, df) in written.items():
+            switched.append(name)
+            _point(spark, schema, name, path, df.schema)
+    except BaseException:
+        for name in switched:
+            if before[name]:
+                _point(spark, schema, name, *before[name])
+            else:
+                spark.sql(f"DROP TABLE IF EXISTS `{schema}`.`{name}`")
+        for path, _ in written.values():
+            delete_path(spark, path)
+        raise
+    for name, old in before.items():
+        if old and old[0] != written[name][0]:
+            delete_path(spark, old[0])
+    return {name: spark.table(f"`{schema}`.`{name}`").count() for name in frames}
+
+
 def load_table(df: DataFrame, schema: str, table: str) -> int:
     """Replace a table and return its number of rows. Either all rows arrive or the old table stays."""
-    df.write.mode("overwrite").saveAsTable(f"`{schema}`.`{table}`")
-    return df.sparkSession.table(f"`{schema}`.`{table}`").count()
+    return load_tables({table: df}, schema)[table]
+
 
+def append_tables(frames: Mapping[str, DataFrame], schema: str, replaced: Mapping[str, DataFrame] | None = None) -> None:
+    """Append rows to tables, and replace others, all or nothing.
 
-def append_rows(df: DataFrame, schema: str, table: str) -> None:
-    df.write.mode("append").saveAsTable(f"`{schema}`.`{table}`")
+    The rows are written aside; their files are then moved into the tables'
+    folders, and taken out again if any later step fails.
+    """
+    spark = next(iter([*frames.values(), *(replaced or {}).values()])).sparkSession
+    aside = f"{_location(spark, schema)}/_appended-{uuid.uuid4().hex}"
+    moved: list[str] = []
+    try:
+        for name, df in frames.items():
+            df.write.parquet(f"{aside}/{name}")
+        for name in frames:
+            target = _described(spark, schema, name)[0]
+            for source in list_files(spark, f"{aside}/{name}", "part-*"):
+                moved.append(f"{target}/{source.rsplit('/', 1)[-1]}")
+                rename_path(spark, source, moved[-1])
+        if replaced:
+            load_tables(replaced, schema)
+    except BaseException:
+        for path in moved:
+            delete_path(spark, path)
+        raise
+    finally:
+        delete_path(spark, aside)
+        for name in frames:
+            spark.catalog.refreshTable(f"`{schema}`.`{name}`")
+
+
+def _location(spark: SparkSession, schema: str) -> str:
+    rows = spark.sql(f"DESCRIBE DATABASE `{schema}`").collect()
+    return next(r["info_value"] for r in rows if r["info_name"] == "Location").rstrip("/")
+
+
+def _described(spark: SparkSession, schema: str, table: str) -> tuple[str, T.StructType] | None:
+    """Folder and columns of a table, if it exists."""
+    if not spark.catalog.tableExists(f"`{schema}`.`{table}`"):
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED `{schema}`.`{table}`").collect()
+    return next(r["data_type"] for r in rows if r["col_name"] == "Location"), spark.table(f"`{schema}`.`{table}`").schema
+
+
+def _point(spark: SparkSession, schema: str, table: str, path: str, columns: T.StructType) -> None:
+    """Let a table stand for the files of a folder. Tables are external, so dropping one deletes nothing."""
+    name = f"`{schema}`.`{table}`"
+    now = _described(spark, schema, table)
+    if now and [(f.name, f.dataType) for f in now[1]] == [(f.name, f.dataType) for f in columns]:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+    else:
+        if now:
+            spark.sql(f"DROP TABLE {name}")
+        spark.catalog.createTable(name, path=path, source="parquet", schema=columns)
+    spark.catalog.refreshTable(name)
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -62,7 +154,7 @@ def empty_tables(spark: SparkSession, schema: str, tables: Iterable[str]) -> Dat
             report.append((table, "skipped", 0, 0, "table not found"))
             continue
         before = spark.table(name).count()
-        spark.sql(f"TRUNCATE TABLE {name}")
+        load_table(spark.createDataFrame([], spark.table(name).schema), schema, table)
         after = spark.table(name).count()
         if after:
             raise RuntimeError(f"{table} still contains {after} rows after truncation.")

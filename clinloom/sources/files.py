@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clinloom import schemas as S
+from clinloom.staging import StageStore
 
 BAD_ROW = "_malformed"
+PLACE = "_place"
 
 # --- fixed values: vocabulary files, parents first --------------------------------
 VOCABULARY_FILES = {
@@ -54,11 +56,23 @@ def list_csv(spark: SparkSession, folder: str, what: str = "CSV") -> list[Source
     return sorted(found, key=lambda f: f.name.lower())
 
 
-def read_header(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
-    """The header names, checked before Spark reads the file: it would rename duplicates."""
+DELIMITERS = (",", "\t", "|")
+
+
+def header_line(spark: SparkSession, path: str) -> str:
     first = spark.read.text(path).head()
-    line = "" if first is None else first["value"].removeprefix("﻿").rstrip("\r")
-    header = next(csv.reader([line], delimiter=sep), [])
+    return "" if first is None else first["value"].removeprefix("\ufeff").rstrip("\r")
+
+
+def choose_delimiter(line: str) -> str:
+    """The delimiter that splits a header line into most names, outside quotes; a comma if none does."""
+    return max(DELIMITERS, key=lambda sep: (len(next(csv.reader([line], delimiter=sep), [])), -DELIMITERS.index(sep)))
+
+
+def read_header(spark: SparkSession, path: str, sep: str | None = None) -> list[str]:
+    """The header names, checked before Spark reads the file: it would rename duplicates."""
+    line = header_line(spark, path)
+    header = next(csv.reader([line], delimiter=sep or choose_delimiter(line)), [])
     name = path.rstrip("/").rsplit("/", 1)[-1]
     if not any(header):
         raise ValueError(f"{name} is empty or missing a header row.")
@@ -67,12 +81,14 @@ def read_header(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
     return header
 
 
-def read_delimited(spark: SparkSession, path: str, sep: str = ",", multiline: bool = True, columns: Sequence[str] | None = None, has_header: bool = True) -> DataFrame:
+def read_delimited(spark: SparkSession, path: str, sep: str | None = None, multiline: bool = False, columns: Sequence[str] | None = None, has_header: bool = True) -> DataFrame:
     """All columns as text, and rows of another width in ``_malformed``.
 
-    ``multiline`` allows line breaks inside quotes; a file is then read by one
-    task. Without it Spark splits large files.
+    Without ``sep`` the header line tells the delimiter. ``multiline`` allows
+    line breaks inside quotes; a file is then read by one task. Without it
+    Spark splits large files.
     """
+    sep = sep or choose_delimiter(header_line(spark, path))
     header = list(columns or read_header(spark, path, sep))
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header, BAD_ROW]])
     return (
@@ -91,6 +107,12 @@ def read_delimited(spark: SparkSession, path: str, sep: str = ",", multiline: bo
     )
 
 
+def staged(df: DataFrame, store: StageStore, name: str) -> DataFrame:
+    """A file's rows written once, with their place in it in ``_place``; the text is parsed this one time."""
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("row"))
+    return store.save(df.select("*", place.alias(PLACE)), name)
+
+
 def _keeps_data(df: DataFrame) -> Column:
     # always true; Spark refuses to scan for the marker column alone
     return F.length(F.coalesce(F.col(f"`{df.columns[0]}`"), F.lit(""))) >= 0
@@ -113,7 +135,7 @@ def assert_well_formed(df: DataFrame, name: str) -> DataFrame:
     return good_rows(df)
 
 
-def read_directory(spark: SparkSession, folder: str, prefix: str = "", sep: str = ",", multiline: bool = True) -> dict[str, DataFrame]:
+def read_directory(spark: SparkSession, folder: str, prefix: str = "", sep: str | None = None, multiline: bool = False) -> dict[str, DataFrame]:
     """One table per file, named ``prefix + stem``."""
     return {prefix + f.stem: read_delimited(spark, f.path, sep, multiline) for f in list_csv(spark, folder)}
 
@@ -161,8 +183,8 @@ def read_vocabulary(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {t: read_vocabulary_table(spark, t, [f.path for f in files]) for t, files in plan.items() if files}
 
 
-def read_proposals(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    """Proposed rows from a JSON array (or, without ``multiline``, one object per line)."""
+def read_proposals(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """Proposed rows, one object per line; with ``multiline`` from a JSON array, which one task reads."""
     raw = spark.read.schema(S.PROPOSED_ROW).option("multiLine", multiline).option("mode", "FAILFAST").json(path)
     return with_defaults(raw)
 

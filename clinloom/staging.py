@@ -36,17 +36,32 @@ class StageStore:
 
     def remove(self, name: str) -> None:
         """Remove the tables of that name, when nothing reads them any more."""
-        self._delete(self.path(f"{name}-*"))
+        for path in list_files(self.spark, self.folder, f"{name}-*"):
+            delete_path(self.spark, path)
 
     def drop(self) -> None:
         """Remove this run's folder."""
         if self.spark.sparkContext._jsc is None or self.spark.sparkContext._jsc.sc().isStopped():
             return  # out of reach; whoever owns the shared folder clears it
-        self._delete(self.folder)
-
-    def _delete(self, pattern: str) -> None:
-        context = self.spark.sparkContext
-        target = context._jvm.org.apache.hadoop.fs.Path(pattern)
-        files = target.getFileSystem(context._jsc.hadoopConfiguration())
-        for found in files.globStatus(target) or []:
-            files.delete(found.getPath(), True)
+        delete_path(self.spark, self.folder)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def list_files(spark: SparkSession, folder: str, pattern: str) -> list[str]:
+    target, files = _hadoop(spark, f"{folder}/{pattern}")
+    return [found.getPath().toString() for found in files.globStatus(target) or []]
+
+
+def rename_path(spark: SparkSession, source: str, target: str) -> None:
+    path, files = _hadoop(spark, source)
+    if not files.rename(path, _hadoop(spark, target)[0]):
+        raise OSError(f"{source} could not be moved to {target}.")
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    target, files = _hadoop(spark, path)
+    files.delete(target, True)

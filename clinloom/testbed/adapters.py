@@ -255,7 +255,8 @@ SELECT c_custkey AS row_key,
   CASE WHEN c_custkey % 2 = 0 THEN 'Yes' ELSE 'n' END AS `ACTIVE`,
   CASE WHEN c_custkey % 7 = 0 THEN '' ELSE c_mktsegment END AS `SEGMENT`,
   CASE WHEN c_custkey % 2 = 0 THEN NULL ELSE '  ' END AS `EMPTY`,
-  CASE WHEN c_custkey % 50 = 11 THEN '12 ' WHEN c_custkey % 50 = 12 THEN '2020-13-45' ELSE c_name END AS `MIXED`
+  CASE WHEN c_custkey % 50 = 11 THEN '12 ' WHEN c_custkey % 50 = 12 THEN '2020-13-45' ELSE c_name END AS `MIXED`,
+  CASE WHEN c_custkey > 250 THEN 'unknown' ELSE '2020-01-15' END AS `LATE`
 FROM {customer}""",
     "raw_births": """
 SELECT c_custkey AS row_key,

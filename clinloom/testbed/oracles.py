@@ -10,7 +10,7 @@ TODAY = f"DATE '{AS_OF}'"
 
 
 def norm(x: str) -> str:
-    return f"trim(left({x}, 255))"
+    return f"trim({x})"
 
 
 def clip(x: str, n: int) -> str:
@@ -18,7 +18,7 @@ def clip(x: str, n: int) -> str:
 
 
 def key(x: str) -> str:
-    return f"trim(left({x}, 50))"
+    return f"trim({x})"
 
 
 def dbl(x: str) -> str:
@@ -38,11 +38,11 @@ def iso(x: str) -> str:
 
 
 def row_id(table: str, *parts: str) -> str:
-    return "left('synthea:" + table + "' || " + " || ".join(f"':' || {p}" for p in parts) + ", 128)"
+    return "'synthea:" + table + "' || " + " || ".join(f"':' || {p}" for p in parts)
 
 
 def fact_id(table: str, when: str | None) -> str:
-    parts = ["left(f.\"PATIENT\", 36)", "left(f.\"ENCOUNTER\", 36)", when, "left(f.\"CODE\", 20)"]
+    parts = ["f.\"PATIENT\"", "f.\"ENCOUNTER\"", when, "f.\"CODE\""]
     return row_id(table, *(p for p in parts if p))
 
 
@@ -137,7 +137,7 @@ STAGE_COLUMNS = {name: columns.split() for name, columns in STAGE_COLUMNS.items(
 
 
 def _address(kind: str, county: str) -> str:
-    return f"""'{kind.lower()}' AS source_kind, "Id" AS source_id, left('{kind}:' || left("Id", 36), 50) AS location_source_value,
+    return f"""'{kind.lower()}' AS source_kind, "Id" AS source_id, left('{kind}:' || "Id", 50) AS location_source_value,
   {clip('"ADDRESS"', 50)} AS address_1, {clip('"CITY"', 50)} AS city, {clip('"STATE"', 2)} AS state, {clip('"ZIP"', 9)} AS zip,
   {county} AS county, 'US' AS country_source_value, {dbl('"LAT"')} AS latitude, {dbl('"LON"')} AS longitude"""
 
@@ -178,10 +178,10 @@ DERIVED: dict[str, str] = {
   FROM src_organizations s LEFT JOIN o_loc l ON l.source_kind = 'organization' AND l.source_id = s."Id" """,
     "o_prm": """SELECT row_number() OVER (ORDER BY s."Id") AS provider_id, s."Id" AS source_id, c.care_site_id
   FROM src_providers s LEFT JOIN o_csm c ON c.source_id = s."ORGANIZATION" """,
-    "o_death": f"""SELECT {row_id('patients', 'left(s."Id", 36)', "'death'")} AS source_row_id, p.person_id, s."DEATHDATE" AS death_date,
+    "o_death": f"""SELECT {row_id('patients', 's."Id"', "'death'")} AS source_row_id, p.person_id, s."DEATHDATE" AS death_date,
   CAST(s."DEATHDATE" AS TIMESTAMP) AS death_datetime, CASE {date_rules('s."DEATHDATE"', 'p.birth_date', 'death_date')} END AS review_reason
   FROM src_patients s JOIN o_pm p ON p.source_id = s."Id" WHERE s."DEATHDATE" IS NOT NULL""",
-    "o_visit_stage": f"""SELECT {row_id('encounters', 'left(f."Id", 36)')} AS source_row_id, f."Id" AS encounter_source_id, p.person_id,
+    "o_visit_stage": f"""SELECT {row_id('encounters', 'f."Id"')} AS source_row_id, f."Id" AS encounter_source_id, p.person_id,
   pr.provider_id, cs.care_site_id, {_DAY} AS visit_start_date, coalesce(f."START", f."STOP") AS visit_start_datetime,
   CAST(coalesce(f."STOP", f."START") AS DATE) AS visit_end_date, coalesce(f."STOP", f."START") AS visit_end_datetime,
   {visit_class('f."ENCOUNTERCLASS"')} AS visit_concept_id, {clip('f."ENCOUNTERCLASS"', 50)} AS visit_source_value,
@@ -206,7 +206,7 @@ DERIVED: dict[str, str] = {
   WHERE coalesce(f."START", v.visit_start_date) IS NOT NULL AND {filled('f."CODE"')}
   UNION ALL
   SELECT p.person_id, f."SERVICEDATE", 'claims', {concepts('condition', 'f.code')},
-  {row_id('claims', 'left(f."Id", 36)', "'dx' || f.slot_number")}, CAST(f."SERVICEDATE" AS DATE), NULL, NULL,
+  {row_id('claims', 'f."Id"', "'dx' || f.slot_number")}, CAST(f."SERVICEDATE" AS DATE), NULL, NULL,
   coalesce(v.provider_id, pr.provider_id), v.visit_occurrence_id, 32810,
   {reason('CAST(f."SERVICEDATE" AS DATE)', 'condition_start_date', 'Condition', 'Claim diagnosis code')}
   FROM o_slots f JOIN o_pm p ON p.source_id = f."PATIENTID" LEFT JOIN o_prm pr ON pr.source_id = f."PROVIDERID"
@@ -224,14 +224,14 @@ DERIVED: dict[str, str] = {
   WHERE (f."START" IS NOT NULL OR v.visit_start_date IS NOT NULL) AND {filled('f."CODE"')}
   UNION ALL
   SELECT p.person_id, CAST(coalesce(f."START", v.visit_start_date) AS TIMESTAMP), 'careplans', {concepts('procedure', 'f."CODE"')},
-  {row_id('careplans', 'left(f."Id", 36)')}, coalesce(f."START", v.visit_start_date), f."STOP", CAST(f."STOP" AS TIMESTAMP),
+  {row_id('careplans', 'f."Id"')}, coalesce(f."START", v.visit_start_date), f."STOP", CAST(f."STOP" AS TIMESTAMP),
   v.provider_id, v.visit_occurrence_id, 32827, NULL, NULL,
   {reason('coalesce(f."START", v.visit_start_date)', 'procedure_date', 'Procedure', 'Care plan code')}
   FROM src_careplans f {PERSON} {VISIT} {concept_join('SNOMED', 'f."CODE"')}
   WHERE coalesce(f."START", v.visit_start_date) IS NOT NULL AND {filled('f."CODE"')}
   UNION ALL
   SELECT p.person_id, f."DATE", 'imaging_studies', {concepts('procedure', 'f."PROCEDURE_CODE"')},
-  {row_id('imaging', 'left(f."Id", 36)')}, CAST(f."DATE" AS DATE), NULL, NULL, v.provider_id, v.visit_occurrence_id, 32841,
+  {row_id('imaging', 'f."Id"')}, CAST(f."DATE" AS DATE), NULL, NULL, v.provider_id, v.visit_occurrence_id, 32841,
   {clip('f."MODALITY_CODE"', 50)}, NULL,
   {reason('CAST(f."DATE" AS DATE)', 'procedure_date', 'Procedure', 'Imaging procedure code')}
   FROM src_imaging_studies f {PERSON} {VISIT} {concept_join('SNOMED', 'f."PROCEDURE_CODE"')}
@@ -293,11 +293,11 @@ DERIVED: dict[str, str] = {
     "o_device": number("device_exposure_id", "o_device_rows",
         ["person_id", "device_exposure_start_datetime", "source_table", "device_source_value", "source_row_id"], STAGE_COLUMNS["device"]),
     "o_payer_map": f"""SELECT s."Id" AS payer_source_id, {clip('s."NAME"', 50)} AS payer_name, coalesce(min(c.concept_id), 0) AS payer_concept_id
-  FROM src_payers s LEFT JOIN src_concept c ON c.vocabulary_id = 'Payer' AND c.invalid_reason IS NULL AND c.concept_name = left(s."NAME", 255)
+  FROM src_payers s LEFT JOIN src_concept c ON c.vocabulary_id = 'Payer' AND c.invalid_reason IS NULL AND c.concept_name = s."NAME"
   GROUP BY s."Id", s."NAME" """,
     "o_payer_rows": f"""SELECT p.person_id, CAST(f."START_YEAR" AS DATE) AS payer_plan_period_start_date,
   coalesce(m.payer_name, left(f."PAYER", 50)) AS payer_source_value, left(f."MEMBERID", 50) AS plan_source_value,
-  {row_id('payer_transitions', 'left(f."PATIENT", 36)', "strftime(f.\"START_YEAR\", '%Y-%m-%d %H:%M:%S.%f') || '0'", 'left(f."PAYER", 20)')} AS source_row_id,
+  {row_id('payer_transitions', 'f."PATIENT"', "strftime(f.\"START_YEAR\", '%Y-%m-%d %H:%M:%S.%f') || '0'", 'f."PAYER"')} AS source_row_id,
   CAST(coalesce(f."END_YEAR", f."START_YEAR") AS DATE) AS payer_plan_period_end_date, coalesce(m.payer_concept_id, 0) AS payer_concept_id,
   {clip('f."OWNERSHIP"', 50)} AS sponsor_source_value, {clip('f."OWNERNAME"', 50)} AS family_source_value,
   {clip('f."SECONDARY_PAYER"', 50)} AS stop_reason_source_value,
@@ -328,8 +328,8 @@ DERIVED: dict[str, str] = {
 
 def _held(table: str, stage: str, cte: str, number_column: str | None) -> str:
     own = "source_row_id" if number_column is None else f"coalesce(source_row_id, 'synthea:review:{table}:' || {number_column})"
-    return f"""SELECT '{table}' AS target_table, left({own}, 128) AS source_row_id, 'review' AS review_status, review_reason,
-  '{{"stage_table":"{stage}","source_row_id":' || to_json(left({own}, 128)) || '}}' AS payload_json FROM {cte} WHERE review_reason IS NOT NULL"""
+    return f"""SELECT '{table}' AS target_table, {own} AS source_row_id, 'review' AS review_status, review_reason,
+  '{{"stage_table":"{stage}","source_row_id":' || to_json({own}) || '}}' AS payload_json FROM {cte} WHERE review_reason IS NOT NULL"""
 
 
 DERIVED["o_review"] = "\nUNION ALL ".join(

@@ -141,7 +141,7 @@ from_source("patient_share", "encounters", f'SELECT "Id", CASE WHEN {_PAYER} IS
             "Id", lambda: X.patient_share(X.safe_double("TOTAL_CLAIM_COST"), X.safe_double("PAYER_COVERAGE")).alias("paid_by_patient"))
 from_source("source_row_id", "procedures",
             f'SELECT {O.fact_id("procedures", O.iso("f.\"START\""))} AS source_row_id, f."BASE_COST" FROM src_procedures f',
-            lambda: X.row_id("procedures", X.cut("PATIENT", 36), X.cut("ENCOUNTER", 36), X.iso_text("START"), X.cut("CODE", 20)).alias("source_row_id"), "BASE_COST")
+            lambda: X.row_id("procedures", "PATIENT", "ENCOUNTER", X.iso_text("START"), "CODE").alias("source_row_id"), "BASE_COST")
 from_source("event_date_rules", "patients",
             f"""SELECT "Id", CASE {O.date_rules('"DEATHDATE"', '"BIRTHDATE"', 'death_date')} END AS reason FROM src_patients""",
             "Id", lambda: rules.event_date_reason(F.col("DEATHDATE"), F.col("BIRTHDATE"), "death_date", as_of()).alias("reason"))
@@ -241,7 +241,7 @@ _MATCHED = "coalesce(c.source_concept_id, 0) AS source_concept_id, coalesce(c.st
 from_build(
     "join_concept",
     f'SELECT f."CODE", {_MATCHED}, nullif(c.standard_domain_id, \'\') AS domain FROM src_conditions f {O.concept_join("SNOMED", "f.\"CODE\"")}',
-    lambda b: vocab.join_concept(b.sources["conditions"].select("CODE"), b.concept_lookup, "SNOMED", "CODE").select(
+    lambda b: vocab.join_concept(b.sources["conditions"].select("CODE"), b.concept_sides, "SNOMED", "CODE").select(
         "CODE", "source_concept_id", "standard_concept_id", F.nullif("standard_domain_id", F.lit("")).alias("domain")),
 )
 from_build(
@@ -249,15 +249,15 @@ from_build(
     f"""SELECT f."CODE", f."UNITS", {_MATCHED}, coalesce(u.standard_concept_id, 0) AS unit_standard_concept_id
     FROM src_observations f {O.concept_join('LOINC', 'f."CODE"')} {O.concept_join('UCUM', 'f."UNITS"', 'u')}""",
     lambda b: vocab.join_concept(
-        vocab.join_concept(b.sources["observations"].select("CODE", "UNITS"), b.concept_lookup, "LOINC", "CODE"),
-        b.concept_lookup, "UCUM", "UNITS", prefix="unit_",
+        vocab.join_concept(b.sources["observations"].select("CODE", "UNITS"), b.concept_sides, "LOINC", "CODE"),
+        b.concept_sides, "UCUM", "UNITS", prefix="unit_",
     ).select("CODE", "UNITS", "source_concept_id", "standard_concept_id", "unit_standard_concept_id"),
 )
 from_build(
     "concept_domain_rules",
     f"""SELECT f."CODE", CASE {O.concept_rules('c.standard_concept_id', 'c.standard_domain_id', 'Condition', 'Condition code')} END AS reason
     FROM src_conditions f {O.concept_join('SNOMED', 'f."CODE"')}""",
-    lambda b: vocab.join_concept(b.sources["conditions"].select("CODE"), b.concept_lookup, "SNOMED", "CODE").select(
+    lambda b: vocab.join_concept(b.sources["conditions"].select("CODE"), b.concept_sides, "SNOMED", "CODE").select(
         "CODE", rules.concept_reason(F.col("standard_concept_id"), F.col("standard_domain_id"), "Condition", "Condition code").alias("reason")),
 )
 _ROUTED = f"""FROM src_observations f {O.concept_join('LOINC', 'f."CODE"')} WHERE f."DATE" IS NOT NULL AND {O.filled('f."CODE"')}"""
@@ -289,7 +289,7 @@ from_build(
 
 # --- type inference and profiles -------------------------------------------------------------
 
-_CUSTOMER_COLUMNS = ("UID", "CUSTKEY", "BIRTHDATE", "UPDATED", "BALANCE", "ACTIVE", "SEGMENT", "EMPTY", "MIXED")
+_CUSTOMER_COLUMNS = ("UID", "CUSTKEY", "BIRTHDATE", "UPDATED", "BALANCE", "ACTIVE", "SEGMENT", "EMPTY", "MIXED", "LATE")
 _ORDER_COLUMNS = ("ORDERKEY", "NUMBER", "PRICE", "WHEN_TEXT", "PRIORITY")
 _UUID = "[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"
 _MOMENT = r"[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]+)?Z?"
@@ -297,13 +297,17 @@ _DATE = "[0-9]{4}-[0-9]{2}-[0-9]{2}"
 _FLOAT = r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?"
 
 
+def _real(cast: str) -> str:
+    return f"coalesce(bool_and(({cast}) IS NOT NULL) FILTER (WHERE v IS NOT NULL), false)"
+
+
 def _matches(pattern: str) -> str:
     return f"coalesce(bool_and(regexp_full_match(v, '{pattern}')), false)"
 
 
 _DAY = f"CASE WHEN regexp_full_match(v, '{_DATE}') THEN try_cast(v AS DATE) END"
 _STAMP = f"CASE WHEN regexp_full_match(v, '{_MOMENT}') THEN try_cast(regexp_replace(v, 'Z$', '') AS TIMESTAMP) END"
-_SAMPLE_KIND = f"CASE WHEN {_matches(_UUID)} THEN 'uuid' WHEN {_matches(_MOMENT)} THEN 'datetime' WHEN {_matches(_DATE)} THEN 'date' ELSE 'text' END"
+_SAMPLE_KIND = f"CASE WHEN {_matches(_UUID)} THEN 'uuid' WHEN {_real(_STAMP)} THEN 'datetime' WHEN {_real(_DAY)} THEN 'date' ELSE 'text' END"
 _FULL_KIND = f"""CASE WHEN count(v) = 0 THEN 'empty' WHEN bool_and(lower(v) IN ({', '.join(f"'{w}'" for w in X.BOOLEAN_WORDS)})) THEN 'boolean'
   WHEN {_matches('[+-]?[0-9]+')} THEN 'integer' WHEN {_matches(_FLOAT)} THEN 'decimal'
   WHEN coalesce(bool_and(({_STAMP}) IS NOT NULL) FILTER (WHERE v IS NOT NULL), false) THEN 'datetime'
@@ -320,8 +324,9 @@ def _cells(raw: str, columns: tuple[str, ...], select: str, rows: str = "") -> s
     )
 
 
-query("infer_types_sample", _cells("raw_customers", _CUSTOMER_COLUMNS, f"{_SAMPLE_KIND} AS value_kind", "ORDER BY row_key LIMIT 250"))(
-    lambda spark, sf: profile.infer_sample_types(adapted(spark, sf, "raw_customers"), _CUSTOMER_COLUMNS, 250, "row_key")
+# the loader's types; they once came from a sample of the rows
+query("infer_types_sample", _cells("raw_customers", _CUSTOMER_COLUMNS, f"{_SAMPLE_KIND} AS value_kind"))(
+    lambda spark, sf: profile.infer_load_types(adapted(spark, sf, "raw_customers"), _CUSTOMER_COLUMNS)
 )
 query("infer_types_full", _cells("raw_customers", _CUSTOMER_COLUMNS, f"{_FULL_KIND} AS inferred_type"))(
     lambda spark, sf: profile.infer_full_types(adapted(spark, sf, "raw_customers"), _CUSTOMER_COLUMNS)
@@ -356,7 +361,7 @@ def _profile_sql(raw: str, columns: tuple[str, ...]) -> str:
     return " UNION ALL ".join(
         f"""SELECT '{raw}' AS file_name, {n} AS ordinal_position, '{c}' AS column_name, {_FULL_KIND} AS inferred_type, count(v) AS non_null_count,
         count(*) - count(v) AS blank_count, round_even(count(v) / count(*) * 100, 2) AS completeness_pct,
-        CASE WHEN count(DISTINCT v) > {_CAP} THEN '{_CAP}+' ELSE CAST(count(DISTINCT v) AS VARCHAR) END AS distinct_count,
+        count(DISTINCT v) AS distinct_values, CASE WHEN count(DISTINCT v) > {_CAP} THEN '{_CAP}+' ELSE CAST(count(DISTINCT v) AS VARCHAR) END AS distinct_count,
         count(DISTINCT v) > {_CAP} AS distinct_count_is_capped, {_samples(raw, c, 5)} AS sample_values,
         min(length(v)) AS min_length, max(length(v)) AS max_length, {_bound('min')} AS min_value, {_bound('max')} AS max_value
         FROM (SELECT nullif(trim("{c}"), '') AS v FROM {raw})"""
@@ -378,14 +383,13 @@ query(
 
 
 def _distinct_capped(spark: SparkSession, sf: str) -> DataFrame:
-    found = profile.distinct_counts(adapted(spark, sf, "raw_orders"), _ORDER_COLUMNS, _CAP)
-    return spark.createDataFrame([(c, n, capped) for c, (n, capped) in found.items()], "column_name string, distinct_count long, is_capped boolean")
+    return profile.distinct_counts(adapted(spark, sf, "raw_orders"), _ORDER_COLUMNS, _CAP)
 
 
 query(
     "distinct_capped",
     " UNION ALL ".join(
-        f"""SELECT '{c}' AS column_name, least(count(DISTINCT nullif(trim("{c}"), '')), {_CAP}) AS distinct_count,
+        f"""SELECT '{c}' AS column_name, count(DISTINCT nullif(trim("{c}"), '')) AS distinct_count,
         count(DISTINCT nullif(trim("{c}"), '')) > {_CAP} AS is_capped FROM raw_orders"""
         for c in _ORDER_COLUMNS
     ),
@@ -831,7 +835,7 @@ def _load_staging(spark: SparkSession, sf: str) -> DataFrame:
 
 query(
     "load_staging",
-    """SELECT 'ehr_raw_customers' AS table_name, count(*) AS row_count, 'string,string,string,date,timestamp_ntz,string,string,string,string,string' AS column_types FROM raw_customers
+    """SELECT 'ehr_raw_customers' AS table_name, count(*) AS row_count, 'string,string,string,date,timestamp_ntz,string,string,string,string,string,' || CASE WHEN max(row_key) > 250 THEN 'string' ELSE 'date' END AS column_types FROM raw_customers
     UNION ALL SELECT 'ehr_raw_orders', count(*), 'string,string,string,string,string,string' FROM raw_orders""",
 )(_load_staging)
 
