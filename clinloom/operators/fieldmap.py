@@ -7,13 +7,12 @@ from collections.abc import Mapping
 from functools import reduce
 from importlib.resources import files
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clinloom import schemas as S
 
-DATABASE = "AI_OMOP"
-SAMPLE_ROWS = 50
+DATABASE = "omop"  # how notes name the target database, unless told otherwise
 SAMPLE_VALUES = 3
 
 # Columns the rules name that the conversion itself does not write.
@@ -50,7 +49,8 @@ def target_columns(spark: SparkSession) -> DataFrame:
 def source_fields(tables: Mapping[str, DataFrame], samples: bool = True) -> DataFrame:
     """One row per source column: file, column, rows of its file, sample values.
 
-    Samples are the first 3 distinct values among the first 50 rows.
+    Tables have no order, so the samples are the first 3 distinct values in
+    text order. Copies of a value collapse before the shuffle.
     """
 
     def of_table(name: str, df: DataFrame) -> DataFrame:
@@ -60,19 +60,18 @@ def source_fields(tables: Mapping[str, DataFrame], samples: bool = True) -> Data
         )
         if not samples:
             return counted.withColumn("sample_values", F.array().cast("array<string>")).drop("position")
-        text = df.select(*(F.trim(F.col(f"`{c}`").cast("string")).alias(c) for c in df.columns))
-        found: list[list[str]] = [[] for _ in df.columns]
-        for row in text.head(SAMPLE_ROWS):
-            for values, value in zip(found, row, strict=True):
-                if value and value not in values and len(values) < SAMPLE_VALUES:
-                    values.append(value)
-        sampled = df.sparkSession.createDataFrame(list(enumerate(found)), "position int, sample_values array<string>")
+        cells = df.select(F.inline(F.array(*(F.struct(F.lit(n).alias("position"), F.trim(F.col(f"`{c}`").cast("string")).alias("value")) for n, c in enumerate(df.columns)))))
+        distinct = cells.where(F.col("value") != "").groupBy("position", "value").agg(F.count("*").alias("n"))
+        # the rank filter is applied in every task before the values of a column meet
+        rank = F.row_number().over(Window.partitionBy("position").orderBy("value"))
+        head = distinct.withColumn("rank", rank).where(F.col("rank") <= SAMPLE_VALUES)
+        sampled = head.groupBy("position").agg(F.sort_array(F.collect_list("value")).alias("sample_values"))
         return counted.join(sampled, "position", "left").select("file_name", "row_count", "column_name", "sample_values")
 
     return reduce(DataFrame.unionByName, (of_table(n, df) for n, df in tables.items()))
 
 
-def rule_status(rules: DataFrame, targets: DataFrame, vocabularies: DataFrame) -> DataFrame:
+def rule_status(rules: DataFrame, targets: DataFrame, vocabularies: DataFrame, database: str = DATABASE) -> DataFrame:
     """Each rule with its validation status and note."""
     known = targets.withColumn("_known", F.lit(True))
     counts = vocabularies.select(F.col("vocabulary_id").alias("source_vocabulary"), F.col("concept_count").alias("_n"))
@@ -88,11 +87,12 @@ def rule_status(rules: DataFrame, targets: DataFrame, vocabularies: DataFrame) -
     def text(*parts: Column | str) -> Column:
         return F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts))
 
-    valid = text("Validated target ", target, f" in {DATABASE}.")
+    # --- fixed values: status words and note texts ---
+    valid = text("Validated target ", target, f" in {database}.")
     branches = [
         (kind == "no_direct", "no_direct_omop_field", F.col("logic_text")),
         (unset, "unmapped_source_field", F.lit("No OMOP target column is configured for this mapping rule.")),
-        (F.col("_known").isNull(), "invalid_target_reference", text("Target ", target, f" does not exist in {DATABASE}.")),
+        (F.col("_known").isNull(), "invalid_target_reference", text("Target ", target, f" does not exist in {database}.")),
         (
             (kind == "review_required") & has_vocabulary,
             "review_required",
@@ -106,7 +106,7 @@ def rule_status(rules: DataFrame, targets: DataFrame, vocabularies: DataFrame) -
         (
             is_lookup & (count == 0),
             "validated_target_missing_vocabulary",
-            text("Validated target ", target, ", but source vocabulary ", vocabulary, " is not loaded in dbo.concept."),
+            text("Validated target ", target, ", but source vocabulary ", vocabulary, " is not loaded in concept."),
         ),
         (is_lookup, "validated", text(valid, " Vocabulary ", vocabulary, " is loaded with ", count.cast("string"), " concepts.")),
         (F.lit(True), "validated", valid),
@@ -192,7 +192,7 @@ def vocabulary_status(rules: DataFrame, vocabularies: DataFrame) -> DataFrame:
     """The vocabularies the rules name, and whether they are loaded."""
     named = rules.where(F.col("source_vocabulary") != "").select(F.col("source_vocabulary").alias("vocabulary_id")).distinct()
     count = F.coalesce("concept_count", F.lit(0))
-    note = F.when(count > 0, "Vocabulary available for concept lookup.").otherwise("Vocabulary missing from dbo.concept.")
+    note = F.when(count > 0, "Vocabulary available for concept lookup.").otherwise("Vocabulary missing from concept.")
     return (
         named.join(vocabularies, "vocabulary_id", "left")
         .select("vocabulary_id", count.alias("concept_count"), F.lit(True).alias("used_by_validator"), note.alias("note"))

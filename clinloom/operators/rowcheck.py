@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clinloom.functions import text as X
+from clinloom.operators.lookups import spread
 from clinloom.schemas import PRIMARY_CONCEPT
 
 _BINDING = (
@@ -64,12 +65,15 @@ def concept_checks(proposals: DataFrame, concept: DataFrame, order_by: str) -> D
     """
     prepared = proposals.withColumn("_primary", _primary(0)).withColumn("_domain", _primary(1))
     items = prepared.select(F.col(order_by).alias("_row"), "source_row_id", "target_table", F.inline(_items()))
+    looked_up = F.when((F.col("step") == 2) & F.col("given") & (F.col("value_id") == F.col("concept_id")), F.col("concept_id"))
+    items = items.withColumn("_lookup", looked_up)
+    # concepts are cut down to those asked for; checks without a lookup stay spread over the partitions
+    asked = items.where(F.col("_lookup").isNotNull()).select(F.col("_lookup").alias("_concept")).distinct()
     known = concept.select(
         F.col("concept_id").cast("long").alias("_concept"), "concept_name", "domain_id", "vocabulary_id", "standard_concept"
-    )
-    joined = items.withColumn(
-        "_lookup", F.when((F.col("step") == 2) & F.col("given") & (F.col("value_id") == F.col("concept_id")), F.col("concept_id"))
-    ).join(known, F.col("_lookup") == F.col("_concept"), "left")
+    ).join(asked, "_concept", "left_semi").withColumn("_key", F.col("_concept").cast("string"))
+    spread_key = spread(F.col("_lookup").cast("string"), "_row", "step", "n")
+    joined = items.withColumn("_key", spread_key).join(known, "_key", "left").drop("_key")
 
     field, bound, value = F.col("field_name"), F.col("concept_id"), F.col("value_id")
     name, number = field, bound.cast("string")
@@ -82,7 +86,7 @@ def concept_checks(proposals: DataFrame, concept: DataFrame, order_by: str) -> D
             bound != value,
             F.concat(F.lit("Binding mismatch for "), name, F.lit(": values contains "), value.cast("string"), F.lit(", binding contains "), number, F.lit(".")),
         )
-        .when(F.col("_concept").isNull(), F.concat(F.lit("concept_id "), number, F.lit(" does not exist in dbo.concept.")))
+        .when(F.col("_concept").isNull(), F.concat(F.lit("concept_id "), number, F.lit(" does not exist in concept.")))
         .when(
             F.col("needs_standard") & ~F.coalesce(F.col("standard_concept") == "S", F.lit(False)),
             F.concat(F.lit("concept_id "), number, F.lit(" is not a standard concept for "), name, F.lit(".")),

@@ -69,12 +69,12 @@ class RunReport:
     review_rows: int
 
 
-def convert(spark: SparkSession, schema: str = "dbo", review_table: str = S.REVIEW_TABLE, as_of: Column | None = None, execute: bool = True) -> RunReport:
+def convert(spark: SparkSession, schema: str = "dbo", review_table: str = S.REVIEW_TABLE, as_of: Column | None = None, execute: bool = True, preference=S.SOURCE_PREFERENCE) -> RunReport:
     """Convert the resolved source tables into the target tables of ``schema``.
 
     A dry run (``execute=False``) checks the tables and writes nothing.
     """
-    sources, targets = resolve_sources(spark), resolve_targets(spark, schema)
+    sources, targets = resolve_sources(spark, preference), resolve_targets(spark, schema)
     require(sources, targets)
     concept = spark.table(f"{schema}.concept")
     vocabularies = {r["vocabulary_id"]: r["concept_count"] for r in vocab.vocabulary_check(concept).collect()}

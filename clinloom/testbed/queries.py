@@ -446,7 +446,7 @@ _NO_CONCEPT = "NULL AS concept_name, NULL AS domain_id, NULL AS vocabulary_id, N
 
 
 def _tail(field: str, number: str, needs: str, expected: str) -> str:
-    return f"""WHEN c.concept_id IS NULL THEN 'concept_id ' || {number} || ' does not exist in dbo.concept.'
+    return f"""WHEN c.concept_id IS NULL THEN 'concept_id ' || {number} || ' does not exist in concept.'
     WHEN {needs} AND c.standard_concept IS DISTINCT FROM 'S' THEN 'concept_id ' || {number} || ' is not a standard concept for ' || {field} || '.'
     WHEN {expected} IS NOT NULL AND c.domain_id <> {expected} THEN 'concept_id ' || {number} || ' belongs to domain ' || c.domain_id || ', expected ' || {expected} || '.' END"""
 
@@ -566,8 +566,9 @@ def _rule_rows() -> list[tuple]:
     return [tuple(c or None for c in row) for row in list(csv.reader(lines[1:]))[1:]]
 
 
+_ABSENT_RULE = ("medications.csv", "CODE", "drug_exposure", "drug_source_value", "concept_lookup", "Resolve the national drug code.", None, "NDC")
 O.DERIVED["o_rules"] = (
-    "SELECT * FROM (VALUES " + _sql_values(_rule_rows()) + ") "
+    "SELECT * FROM (VALUES " + _sql_values([*_rule_rows(), _ABSENT_RULE]) + ") "
     "r(source_file, source_column, target_table, target_column, mapping_kind, logic_text, applies_when, source_vocabulary)"
 )
 # the extra columns are left out here, so that some rules point at a missing target
@@ -579,16 +580,16 @@ O.DERIVED["o_fields"] = " UNION ALL ".join(
 )
 O.DERIVED["o_rule_status"] = """SELECT r.*, CASE WHEN t.target_table IS NULL THEN 'invalid_target_reference' WHEN mapping_kind = 'review_required' THEN 'review_required'
   WHEN mapping_kind = 'concept_lookup' AND source_vocabulary IS NOT NULL AND coalesce(v.n, 0) = 0 THEN 'validated_target_missing_vocabulary' ELSE 'validated' END AS validation_status,
-  CASE WHEN t.target_table IS NULL THEN 'Target ' || r.target_table || '.' || r.target_column || ' does not exist in AI_OMOP.'
+  CASE WHEN t.target_table IS NULL THEN 'Target ' || r.target_table || '.' || r.target_column || ' does not exist in omop.'
   WHEN mapping_kind = 'concept_lookup' AND source_vocabulary IS NOT NULL AND coalesce(v.n, 0) = 0
-    THEN 'Validated target ' || r.target_table || '.' || r.target_column || ', but source vocabulary ' || source_vocabulary || ' is not loaded in dbo.concept.'
-  ELSE 'Validated target ' || r.target_table || '.' || r.target_column || ' in AI_OMOP.' || CASE
+    THEN 'Validated target ' || r.target_table || '.' || r.target_column || ', but source vocabulary ' || source_vocabulary || ' is not loaded in concept.'
+  ELSE 'Validated target ' || r.target_table || '.' || r.target_column || ' in omop.' || CASE
     WHEN mapping_kind = 'review_required' AND source_vocabulary IS NOT NULL THEN ' Manual review required. Vocabulary ' || source_vocabulary || ' has ' || coalesce(v.n, 0) || ' loaded concepts.'
     WHEN mapping_kind = 'review_required' THEN ' Manual review required because the source field can branch or requires ETL-specific interpretation.'
     WHEN mapping_kind = 'concept_lookup' AND source_vocabulary IS NOT NULL THEN ' Vocabulary ' || source_vocabulary || ' is loaded with ' || v.n || ' concepts.' ELSE '' END
   END AS validation_note
   FROM o_rules r LEFT JOIN o_targets t ON t.target_table = r.target_table AND t.target_column = r.target_column
-  LEFT JOIN (SELECT vocabulary_id, count(*) AS n FROM src_concept WHERE vocabulary_id <> 'CVX' GROUP BY vocabulary_id) v ON v.vocabulary_id = r.source_vocabulary"""
+  LEFT JOIN (SELECT vocabulary_id, count(*) AS n FROM src_concept GROUP BY vocabulary_id) v ON v.vocabulary_id = r.source_vocabulary"""
 O.DERIVED["o_field_mappings"] = """SELECT coalesce(f.file_name, r.source_file) AS source_file, coalesce(f.column_name, r.source_column) AS source_column, r.target_table, r.target_column,
   coalesce(r.mapping_kind, 'unmapped') AS mapping_kind, r.applies_when, r.source_vocabulary,
   CASE WHEN r.source_column IS NULL THEN 'unmapped_source_field' WHEN f.column_name IS NULL THEN 'source_column_missing' ELSE r.validation_status END AS validation_status,
@@ -599,20 +600,30 @@ O.DERIVED["o_field_mappings"] = """SELECT coalesce(f.file_name, r.source_file) A
 
 
 class _FieldChecks:
-    """Rules, columns and counts of one build. CVX is taken out to show a missing vocabulary."""
+    """Rules, columns and counts of one build, with one more rule whose vocabulary is not loaded."""
 
     def __init__(self, build: CdmBuild):
         spark = build.spark
-        self.rules = fieldmap.mapping_rules(spark)
+        rules = fieldmap.mapping_rules(spark)
+        self.rules = rules.unionByName(spark.createDataFrame([_ABSENT_RULE], rules.schema))
         self.targets = spark.createDataFrame(_TARGETS, "target_table string, target_column string")
-        self.vocabularies = vocab.vocabulary_counts(build.concept.where(F.col("vocabulary_id") != "CVX"))
-        self.fields = fieldmap.source_fields({t: build.sources[t] for t in S.SOURCE_TABLES}, samples=False)
+        self.vocabularies = vocab.vocabulary_counts(build.concept)
+        self.fields = fieldmap.source_fields({t: build.sources[t] for t in S.SOURCE_TABLES})
         self.status = fieldmap.rule_status(self.rules, self.targets, self.vocabularies)
         self.mappings = fieldmap.field_mappings(self.fields, self.status)
 
 
 from_build("rule_status", "SELECT * FROM o_rule_status", lambda b: _FieldChecks(b).status)
-from_build("field_mappings", "SELECT * FROM o_field_mappings", lambda b: _FieldChecks(b).mappings.drop("sample_values"))
+_FIELD_SAMPLES = " UNION ALL ".join(
+    f"""SELECT '{t}.csv' AS f, '{c}' AS c, (SELECT coalesce(string_agg(v, ' | ' ORDER BY v), '') FROM (SELECT DISTINCT trim(CAST("{c}" AS VARCHAR)) AS v FROM src_{t}
+    WHERE trim(CAST("{c}" AS VARCHAR)) <> '' ORDER BY v LIMIT 3)) AS sample_values"""
+    for t in S.SOURCE_TABLES for c in S.SOURCES[t].fieldNames()
+)
+_MAPPED = f"SELECT m.*, coalesce(s.sample_values, '') AS sample_values FROM o_field_mappings m LEFT JOIN ({_FIELD_SAMPLES}) s ON s.f = m.source_file AND s.c = m.source_column"
+from_build(
+    "field_mappings", _MAPPED,
+    lambda b: _FieldChecks(b).mappings.withColumn("sample_values", F.coalesce(F.array_join("sample_values", " | "), F.lit(""))),
+)
 from_build(
     "spec_full_outer",
     """SELECT coalesce(f.file_name, r.source_file) AS file_name, coalesce(f.column_name, r.source_column) AS column_name, r.target_table, r.target_column,
@@ -642,8 +653,8 @@ from_build(
 from_build(
     "vocabulary_status",
     """SELECT r.source_vocabulary AS vocabulary_id, coalesce(max(v.n), 0) AS concept_count, true AS used_by_validator,
-    CASE WHEN coalesce(max(v.n), 0) > 0 THEN 'Vocabulary available for concept lookup.' ELSE 'Vocabulary missing from dbo.concept.' END AS note
-    FROM o_rules r LEFT JOIN (SELECT vocabulary_id, count(*) AS n FROM src_concept WHERE vocabulary_id <> 'CVX' GROUP BY vocabulary_id) v
+    CASE WHEN coalesce(max(v.n), 0) > 0 THEN 'Vocabulary available for concept lookup.' ELSE 'Vocabulary missing from concept.' END AS note
+    FROM o_rules r LEFT JOIN (SELECT vocabulary_id, count(*) AS n FROM src_concept GROUP BY vocabulary_id) v
     ON v.vocabulary_id = r.source_vocabulary WHERE r.source_vocabulary IS NOT NULL GROUP BY r.source_vocabulary""",
     lambda b: fieldmap.vocabulary_status(_FieldChecks(b).rules, _FieldChecks(b).vocabularies),
 )
@@ -803,13 +814,13 @@ query(
 def _unmapped(spark: SparkSession, sf: str) -> DataFrame:
     """A folder with one file that no vocabulary table takes; the strays are listed with their rows."""
     folder = shared_build(spark, sf).store.path("stray")
-    for name in ("CONCEPT.csv", "MYSTERY.csv"):
+    for name in ("CONCEPT.csv", "NOTES_2024.csv"):
         _once(f"{folder}/{name}", lambda path: _export(adapted(spark, sf, "src_concept"), path, "\t", quote=""))
     strays = files.unmapped_files(files.list_csv(spark, folder))
     return table_counts({f.name: files.read_vocabulary_table(spark, "concept", [f.path]) for f in strays})
 
 
-query("vocab_unmapped_files", "SELECT 'MYSTERY.csv' AS table_name, count(*) AS row_count FROM src_concept")(_unmapped)
+query("vocab_unmapped_files", "SELECT 'NOTES_2024.csv' AS table_name, count(*) AS row_count FROM src_concept")(_unmapped)
 
 
 def _database(spark: SparkSession, sf: str, name: str) -> str:
@@ -935,3 +946,143 @@ query(
     CASE WHEN binding_kind = 'unbound' THEN 0 ELSE 1 END + CASE WHEN extra_id IS NULL THEN 0 ELSE 1 END AS binding_count,
     date_field AS start_date_field, requires_existing_person, uncertainty_reason FROM src_proposals""",
 )(_scan_proposals)
+
+
+def _proposals_array(spark: SparkSession, sf: str) -> DataFrame:
+    """The proposals as one JSON array over several lines."""
+    path = shared_build(spark, sf).store.path("proposals-array.json")
+    lines = proposals(spark, sf).select("event_id", F.to_json(F.struct(*[c for c in S.PROPOSED_ROW.fieldNames()])).alias("row"))
+    first = lines.agg(F.min("event_id")).head()[0]
+    rows = lines.select("event_id", F.concat(F.when(F.col("event_id") == first, "[").otherwise(","), "row").alias("value"))
+    end = spark.createDataFrame([(2**62, "]")], "event_id long, value string")
+    _once(path, lambda p: rows.unionByName(end).coalesce(1).sortWithinPartitions("event_id").select("value").write.mode("overwrite").text(p))
+    return files.read_proposals(spark, path, multiline=True).select(
+        "target_table", "source_row_id", F.size("values").alias("value_count"), F.size("concept_bindings").alias("binding_count"),
+        "start_date_field", "requires_existing_person", "uncertainty_reason")
+
+
+query("scan_proposals_array", """SELECT target_table, source_row_id, 2 + CASE WHEN binding_kind = 'no_value' THEN 0 ELSE 1 END + CASE WHEN extra_id IS NULL THEN 0 ELSE 1 END AS value_count,
+    CASE WHEN binding_kind = 'unbound' THEN 0 ELSE 1 END + CASE WHEN extra_id IS NULL THEN 0 ELSE 1 END AS binding_count,
+    date_field AS start_date_field, requires_existing_person, uncertainty_reason FROM src_proposals""")(_proposals_array)
+
+
+def _mixed_delimiters(spark: SparkSession, sf: str) -> DataFrame:
+    """The same table in three files, each with another delimiter, read without being told which."""
+    folder = shared_build(spark, sf).store.path("delimiters")
+    df = adapted(spark, sf, "raw_orders").select("row_key", "ORDERKEY", "PRIORITY")
+    for name, sep in (("commas", ","), ("tabs", "\t"), ("pipes", "|")):
+        _once(f"{folder}/{name}.csv", lambda path, sep=sep: _export(df, path, sep))
+    found = files.read_directory(spark, folder)
+    return sinks.union_all(
+        [files.good_rows(t).select(F.lit(n).alias("file"), F.col("row_key").cast("long").alias("row_key"), X.blank_to_null("PRIORITY").alias("PRIORITY")) for n, t in found.items()]
+    )
+
+
+query("scan_mixed_delimiters", " UNION ALL ".join(
+    f"""SELECT '{n}' AS file, row_key, nullif(trim("PRIORITY"), '') AS "PRIORITY" FROM raw_orders""" for n in ("commas", "tabs", "pipes")))(_mixed_delimiters)
+
+
+# --- whole runs over catalog tables ------------------------------------------------------------------------
+
+_CONVERTED: dict[str, tuple] = {}
+
+
+def _conversion(spark: SparkSession, sf: str) -> tuple:
+    """A dry run and a run over catalog tables of their own: (dry report, rows found after it, report)."""
+    build = shared_build(spark, sf)
+    if build.store.folder not in _CONVERTED:
+        sources, cdm = _database(spark, sf, "conv_sources"), _database(spark, sf, "conv_cdm")
+        sinks.load_tables({t: build.sources[t] for t in S.SOURCE_TABLES}, sources)
+        empty = {t: spark.createDataFrame([], S.TARGETS[t]) for t in S.TARGET_TABLES}
+        sinks.load_tables({**empty, "concept": build.concept, "concept_relationship": build.relationship}, cdm)
+        places = ((sources, "{name}"),)
+        dry = run.convert(spark, cdm, as_of=as_of(), execute=False, preference=places)
+        untouched = sum(spark.table(f"{cdm}.{t}").count() for t in S.TARGET_TABLES)
+        _CONVERTED[build.store.folder] = dry, untouched, run.convert(spark, cdm, as_of=as_of(), preference=places)
+    return _CONVERTED[build.store.folder]
+
+
+def _convert_counts(spark: SparkSession, sf: str) -> DataFrame:
+    report = _conversion(spark, sf)[2]
+    return spark.createDataFrame([*report.rows_by_table.items(), (S.REVIEW_TABLE, report.review_rows)], "table_name string, rows_loaded long")
+
+
+query("convert_counts", f"{_LOADED} UNION ALL SELECT '{S.REVIEW_TABLE}', count(*) FROM o_review WHERE source_row_id LIKE 'synthea:%'")(_convert_counts)
+
+
+def _convert_dry_run(spark: SparkSession, sf: str) -> DataFrame:
+    dry, untouched, _ = _conversion(spark, sf)
+    found = [(c.name, c.role, c.row_count) for c in [*dry.sources, *dry.targets]]
+    found += [(v, "vocabulary", n) for v, n in dry.vocabularies.items()]
+    return spark.createDataFrame([*found, ("rows written", "dry run", untouched)], "name string, role string, row_count long")
+
+
+query("convert_dry_run", f"""SELECT table_name AS name, 'source' AS role, row_count FROM ({_COUNTS})
+  UNION ALL SELECT n, 'reload', 0 FROM (VALUES {', '.join(f"('{t}')" for t in S.TARGET_TABLES)}) t(n)
+  UNION ALL SELECT 'concept', 'lookup', count(*) FROM src_concept UNION ALL SELECT 'concept_relationship', 'lookup', count(*) FROM src_concept_relationship
+  UNION ALL SELECT v, 'vocabulary', (SELECT count(*) FROM src_concept WHERE vocabulary_id = v) FROM (VALUES {', '.join(f"('{v}')" for v in S.REQUIRED_VOCABULARIES)}) t(v)
+  UNION ALL SELECT 'rows written', 'dry run', 0""")(_convert_dry_run)
+
+
+def _apply_validation(spark: SparkSession, sf: str) -> DataFrame:
+    """Approved rows appended to their tables, held ones and those with unknown columns in the review table."""
+    database = _database(spark, sf, "approved")
+    empty = {t: spark.createDataFrame([], S.TARGETS[t]) for t in S.TARGET_TABLES}
+    sinks.load_tables({**empty, S.REVIEW_TABLE: spark.createDataFrame([], S.REVIEW)}, database)
+    run.apply_validation(spark, _validation(spark, sf), database)
+    parts = [spark.table(f"{database}.{t}").agg(F.count("*").alias("rows")).select(F.lit(t).alias("table_name"), "rows") for t in [*S.TARGET_TABLES, S.REVIEW_TABLE]]
+    return sinks.union_all(parts).where("rows > 0")
+
+
+query("apply_validation", f"""SELECT target_table AS table_name, count(*) AS rows FROM o_row_checks WHERE problems = '' AND extra_id IS NULL GROUP BY target_table
+  UNION ALL SELECT '{S.REVIEW_TABLE}', count(*) FROM o_row_checks WHERE problems <> '' OR extra_id IS NOT NULL""")(_apply_validation)
+
+
+def _rollback_load(spark: SparkSession, sf: str) -> DataFrame:
+    """Tables whose replacement fails halfway keep their rows; so does the one that would have been fine."""
+    database = _database(spark, sf, "rollback")
+    build = shared_build(spark, sf)
+    tables = {"person": build.table("person"), "care_site": build.table("care_site")}
+    sinks.load_tables(tables, database)
+    broken = build.table("person").withColumn("person_id", F.when(F.col("person_id") > 1, F.raise_error(F.lit("broken"))).cast("long"))
+    for failing in (
+        lambda: sinks.load_tables({"care_site": build.table("care_site").limit(0), "person": broken}, database),
+        lambda: sinks.append_tables({"care_site": build.table("care_site")}, database, {"person": broken}),
+    ):
+        try:
+            failing()
+        except Exception:  # noqa: BLE001 - the failure is the point
+            continue
+        raise AssertionError("the load should have failed")
+    return sinks.union_all([
+        spark.table(f"{database}.{t}").agg(F.count("*").alias("rows"), F.sum(f"{t}_id").alias("id_sum")).select(F.lit(t).alias("table_name"), "rows", "id_sum") for t in tables
+    ])
+
+
+query("rollback_load", " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS rows, CAST(sum({t}_id) AS BIGINT) AS id_sum FROM t_{t}" for t in ("person", "care_site")))(_rollback_load)
+
+
+def _profile_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Files written in the order of their keys, profiled into report tables."""
+    folder, database = shared_build(spark, sf).store.path("profiled"), _database(spark, sf, "profiles")
+    for raw in ("raw_customers", "raw_orders"):
+        _once(f"{folder}/{raw}.csv", lambda path, raw=raw: _export(adapted(spark, sf, raw).orderBy("row_key"), path))
+    run.profile_extracts(spark, folder, database)
+    rows = spark.table(f"{database}.files_overview").select("file_name", "row_count", "column_count", "delimiter")
+    return spark.table(f"{database}.column_profile").join(rows, "file_name")
+
+
+query("profile_report", " UNION ALL ".join(
+    f"SELECT p.* REPLACE ('{raw}.csv' AS file_name), (SELECT count(*) FROM {raw}) AS row_count, {len(columns) + 1} AS column_count, ',' AS delimiter FROM ({_profile_sql(raw, ('row_key', *columns)).replace('trim("row_key")', 'trim(CAST("row_key" AS VARCHAR))')}) p"
+    for raw, columns in (("raw_customers", _CUSTOMER_COLUMNS), ("raw_orders", _ORDER_COLUMNS))))(_profile_report)
+
+
+def _mapping_report(spark: SparkSession, sf: str) -> DataFrame:
+    """The written field-mapping report."""
+    build, database = shared_build(spark, sf), _database(spark, sf, "mappings")
+    targets = spark.createDataFrame(_TARGETS, "target_table string, target_column string")
+    run.report_field_mappings(spark, {t: build.sources[t] for t in S.SOURCE_TABLES}, build.concept, database, targets)
+    return spark.table(f"{database}.field_mappings").withColumn("sample_values", F.coalesce("sample_values", F.lit("")))
+
+
+query("mapping_report", _MAPPED + " WHERE coalesce(m.source_vocabulary, '') <> 'NDC'")(_mapping_report)
