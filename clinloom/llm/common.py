@@ -101,11 +101,12 @@ class WordCache(dict):
             self.clear()
 
 
-class _Bytes:
-    """What hashing words needs: white space and lower-cased letters by byte, and powers of an odd number and its inverse."""
+class Bytes:
+    """What hashing byte strings needs: white space, values of bytes (also with letters lower-cased), powers of an odd number and its inverse."""
 
+    RAW = mix(np.arange(256, dtype=np.uint64) + GOLDEN)
     SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
-    VALUE = mix(np.where((np.arange(256) >= 65) & (np.arange(256) <= 90), np.arange(256) + 32, np.arange(256)).astype(np.uint64) + GOLDEN)
+    LOWERED = RAW[np.where((np.arange(256) >= 65) & (np.arange(256) <= 90), np.arange(256) + 32, np.arange(256))]
     BASE = 0xD6E8FEB86659FD93
     powers = (np.ones(1, np.uint64), np.ones(1, np.uint64))
 
@@ -127,14 +128,14 @@ def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     n = len(data)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(len(ends), np.int64)
-    up, down = _Bytes.upto(n + 1)
+    up, down = Bytes.upto(n + 1)
     edge = np.zeros(n + 1, bool)  # a text begins here
     edge[0] = edge[ends] = True
-    space = _Bytes.SPACE[data]
+    space = Bytes.SPACE[data]
     before = np.concatenate([[True], space[:-1]]) | edge[:n]
     after = np.concatenate([space[1:], [True]]) | edge[1:]
     first, last = np.flatnonzero(~space & before), np.flatnonzero(~space & after)
     running = np.zeros(n + 1, np.uint64)
-    np.cumsum(_Bytes.VALUE[data] * up[:n], out=running[1:])
+    np.cumsum(Bytes.LOWERED[data] * up[:n], out=running[1:])
     hashes = mix((running[last + 1] - running[first]) * down[first] + (last - first).astype(np.uint64))
     return hashes, np.searchsorted(first, ends)

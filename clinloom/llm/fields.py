@@ -55,6 +55,10 @@ class Field:
         flags = [np.packbits(twice[a:b]).tobytes() for a, b in zip(cuts, ends)]
         return pa.RecordBatch.from_arrays([pa.array(group[cuts], pa.int64()), pa.array(numbers, pa.binary()), pa.array(flags, pa.binary())], names=["group", "numbers", "twice"])
 
+    def marked(self, code: np.ndarray) -> pa.RecordBatch:
+        """Per group: hashes that the field is to hold in any case."""
+        return self.packed(np.repeat(code, 2), np.arange(2 * len(code)))
+
     def part(self, group: pa.Table) -> pa.Table:
         """A group's part of the field: what two of the packed rows have, or one of them twice."""
         numbers = [np.frombuffer(x, "<u4") for x in group["numbers"].to_pylist()]
