@@ -105,53 +105,53 @@ def copy_rates(sizes: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 def measured(documents: DataFrame, seed: int = SEED) -> DataFrame:
-    """The documents with a struct ``_m``: size, inclusion weight, random number and text checksum."""
+    """The documents with a struct ``_mix_m``: size, inclusion weight, random number and text checksum."""
     number = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string"))), 1, 12), 16, 10).cast("long")
     size = word_count(F.col("text"))
-    return documents.withColumn("_size", size).withColumn(
-        "_m",
+    return documents.withColumn("_mix_size", size).withColumn(
+        "_mix_m",
         F.struct(
-            F.col("_size").alias("size"),
-            size_weight(F.col("_size")).cast("long").alias("a"),
+            F.col("_mix_size").alias("size"),
+            size_weight(F.col("_mix_size")).cast("long").alias("a"),
             ((number + 0.5) / float(2**48)).alias("u"),
             F.crc32("text").alias("tie"),
         ),
-    ).drop("_size")
+    ).drop("_mix_size")
 
 
 def _ranked(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    """Adds a struct ``_r``: the source's plan, whole copies, ranking value, bin and the whole order of the ranking."""
-    side = plan.select(F.col("source").alias("_source"), F.struct(*(c for c in plan.columns if c != "source")).alias("_p"))
-    expected = F.least(F.lit(float(MAX_COPIES)), F.coalesce("_p.rate", F.lit(0.0)) * F.col("_m.a"))
-    p, u = F.col("_p2") - F.floor("_p2"), F.col("_m.u")
+    """Adds a struct ``_mix_r``: the source's plan, whole copies, ranking value, bin and the whole order of the ranking."""
+    side = plan.select(F.col("source").alias("_mix_source"), F.struct(*(c for c in plan.columns if c != "source")).alias("_mix_p"))
+    expected = F.least(F.lit(float(MAX_COPIES)), F.coalesce("_mix_p.rate", F.lit(0.0)) * F.col("_mix_m.a"))
+    p, u = F.col("_mix_e") - F.floor("_mix_e"), F.col("_mix_m.u")
     q = F.when(p > 0, u / (1 - u) * ((1 - p) / p))
     return (
-        rows.join(side, F.col("source").eqNullSafe(F.col("_source")), "left")
-        .withColumn("_p2", expected)
-        .withColumn("_q", q)
+        rows.join(side, F.col("source").eqNullSafe(F.col("_mix_source")), "left")
+        .withColumn("_mix_e", expected)
+        .withColumn("_mix_q", q)
         .withColumn(
-            "_r",
+            "_mix_r",
             F.struct(
-                F.floor("_p2").alias("whole"),
-                F.floor(F.col("_q") / (1 + F.col("_q")) * BINS).alias("bin"),
-                F.struct(F.col("_q").alias("q"), F.col("doc_id").alias("id"), F.col("_m.size").alias("size"), F.col("_m.tie").alias("tie")).alias("place"),
+                F.floor("_mix_e").alias("whole"),
+                F.floor(F.col("_mix_q") / (1 + F.col("_mix_q")) * BINS).alias("bin"),
+                F.struct(F.col("_mix_q").alias("q"), F.col("doc_id").alias("id"), F.col("_mix_m.size").alias("size"), F.col("_mix_m.tie").alias("tie")).alias("place"),
             ),
         )
-        .drop("_source", "_p2", "_q")
+        .drop("_mix_source", "_mix_e", "_mix_q")
     )
 
 
 def mix_plan(documents: DataFrame, store: StageStore, weights: Sequence[int] = (1, 2, 3), seed: int = SEED) -> DataFrame:
     """One row per source: size, target, rate of copies, and the place in the ranking up to which it takes one more."""
     rows = store.save(measured(documents.select("doc_id", "source", "text"), seed).drop("text"), "mix-sizes")
-    sizes = rows.select("source", "_m.size", "_m.a")
+    sizes = rows.select("source", "_mix_m.size", "_mix_m.a")
     targets = store.save(source_targets(sizes, weights), "mix-targets")
     rates = copy_rates(sizes, small_side(targets)).select(F.col("source").alias("_s"), "rate")
     plan = store.save(targets.join(rates, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s"), "mix-rates")
-    ranked = _ranked(rows, small_side(plan)).select("source", "_p.target", "_r", F.col("_m.size").alias("size"))
+    ranked = _ranked(rows, small_side(plan)).select("source", "_mix_p.target", "_mix_r", F.col("_mix_m.size").alias("size"))
     # words each source still needs after the certain copies, and the bin of its ranking in which they end
-    sums = ranked.groupBy("source", "target", F.col("_r.bin").alias("bin")).agg(
-        F.sum(F.col("size") * F.col("_r.whole")).alias("certain"), F.sum("size").alias("words")
+    sums = ranked.groupBy("source", "target", F.col("_mix_r.bin").alias("bin")).agg(
+        F.sum(F.col("size") * F.col("_mix_r.whole")).alias("certain"), F.sum("size").alias("words")
     )
     per_source = Window.partitionBy("source")
     earlier = per_source.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
@@ -165,14 +165,14 @@ def mix_plan(documents: DataFrame, store: StageStore, weights: Sequence[int] = (
         F.coalesce(F.min("_inside"), F.lit(BINS)).alias("edge"), F.first("need").alias("need"), F.min_by("before", "_inside").alias("edge_before")
     )
     edges = store.save(edges, "mix-edges")
-    within = Window.partitionBy("source").orderBy("_r.place").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("source").orderBy("_mix_r.place").rowsBetween(Window.unboundedPreceding, -1)
     inside = (
         ranked.join(small_side(edges), F.col("source").eqNullSafe(F.col("_s")))
-        .filter(F.col("_r.bin") == F.col("edge"))
+        .filter(F.col("_mix_r.bin") == F.col("edge"))
         .withColumn("_before", F.col("edge_before") + F.coalesce(F.sum("size").over(within), F.lit(0)))
         .filter(2 * F.col("_before") + F.col("size") <= 2 * F.col("need"))
         .groupBy(F.col("source").alias("_t"))
-        .agg(F.max("_r.place").alias("cut"))
+        .agg(F.max("_mix_r.place").alias("cut"))
     )
     found = plan.join(edges.select("_s", "edge"), F.col("source").eqNullSafe(F.col("_s")), "left")
     return store.save(found.join(inside, F.col("source").eqNullSafe(F.col("_t")), "left").drop("_s", "_t"), "mix-plan")
@@ -184,17 +184,17 @@ def with_copies(documents: DataFrame, plan: DataFrame, seed: int = SEED) -> Data
     A document's copies follow from its own row and its source's plan, so no text is shuffled.
     """
     ranked = _ranked(measured(documents, seed), small_side(plan))
-    place, cut, bin_ = F.col("_r.place"), F.col("_p.cut"), F.col("_r.bin")
-    extra = F.coalesce((bin_ < F.col("_p.edge")) | ((bin_ == F.col("_p.edge")) & cut.isNotNull() & (place <= cut)), F.lit(False))
-    copies = (F.col("_r.whole") + extra.cast("long")).cast("long")
+    place, cut, bin_ = F.col("_mix_r.place"), F.col("_mix_p.cut"), F.col("_mix_r.bin")
+    extra = F.coalesce((bin_ < F.col("_mix_p.edge")) | ((bin_ == F.col("_mix_p.edge")) & cut.isNotNull() & (place <= cut)), F.lit(False))
+    copies = (F.col("_mix_r.whole") + extra.cast("long")).cast("long")
     mix = F.struct(
-        F.col("_m.size").alias("size"), F.col("_p.source_size").alias("source_size"), F.col("_p.target").alias("target"),
-        copies.alias("copies"), (F.col("_m.size") * copies).alias("taken"),
+        F.col("_mix_m.size").alias("size"), F.col("_mix_p.source_size").alias("source_size"), F.col("_mix_p.target").alias("target"),
+        copies.alias("copies"), (F.col("_mix_m.size") * copies).alias("taken"),
     )
-    return ranked.withColumn("_mix", mix).drop("_m", "_p", "_r")
+    return ranked.withColumn("_mix", mix).drop("_mix_m", "_mix_p", "_mix_r")
 
 
 def repeated(documents: DataFrame, plan: DataFrame, seed: int = SEED) -> DataFrame:
     """Every document as many times as the mix takes it, with the columns it had."""
     copies = F.array_repeat(F.lit(0), F.col("_mix.copies").cast("int"))
-    return with_copies(documents, plan, seed).withColumn("_copy", F.explode(copies)).select(*documents.columns)
+    return with_copies(documents, plan, seed).withColumn("_mix_copy", F.explode(copies)).select(*documents.columns)

@@ -215,5 +215,5 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, store: StageStore)
 
 def without_contaminated(documents: DataFrame, found: DataFrame) -> DataFrame:
     """The documents whose id no item was found in; all their columns stay."""
-    ids = found.select(F.col("doc_id").alias("_id")).distinct()
-    return documents.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    ids = found.select(F.col("doc_id").alias("_leaked_id")).distinct()
+    return documents.join(ids, F.col("doc_id").eqNullSafe(F.col("_leaked_id")), "left_anti")

@@ -52,11 +52,11 @@ def repeated_lines(documents: DataFrame, store: StageStore, run: int = MIN_RUN)
 
 def without_lines(documents: DataFrame, removed: DataFrame) -> DataFrame:
     """The documents with those lines deleted; all their columns stay."""
-    gone = removed.select(F.col("doc_id").alias("_id"), "removed")
+    gone = removed.select(F.col("doc_id").alias("_lines_id"), F.col("removed").alias("_lines_gone"))
     lines = F.split("text", "\n", -1)
-    kept = F.filter(lines, lambda _, i: ~F.array_contains("removed", i))
+    kept = F.filter(lines, lambda _, i: ~F.array_contains("_lines_gone", i))
     return (
-        documents.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
-        .withColumn("text", F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")))
-        .drop("_id", "removed")
+        documents.join(gone, F.col("doc_id").eqNullSafe(F.col("_lines_id")), "left")
+        .withColumn("text", F.when(F.col("_lines_gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")))
+        .drop("_lines_id", "_lines_gone")
     )
