@@ -2,10 +2,12 @@
 
 The shingles of all documents have one global order: first those that are not
 known to be frequent, by hash, then the frequent ones, rarest first. The order
-is cut into fragments. A document's set becomes one segment per fragment, and
-for a candidate pair each fragment counts its part of the overlap by itself;
-the sum over the fragments decides. The first fragment is counted first: what
-the others can add at most, from their sizes, ends most pairs there.
+is cut into many narrow fragments, and those into a few wide ones. The smaller
+of two sets' sizes in each narrow fragment, summed, bounds their overlap, which
+ends most pairs. For the others a document's set becomes one segment per wide
+fragment, each fragment counts its part of the overlap by itself, and the sum
+per pair decides; what the first fragment finds, with the bound of the others,
+again ends pairs.
 
 Candidates share a shingle in their prefixes (the first 20 % of a set in the
 global order, by which no pair above the threshold is lost). Equal sets are one
@@ -31,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinloom.llm.common import GOLDEN, chunks, distinct_rows, mix, shuffle_width, word_hashes
+from clinloom.llm.common import GOLDEN, chunks, distinct_rows, mix, shuffle_width, small_side, word_hashes
 from clinloom.llm.components import components
 from clinloom.llm.fields import PACKED, Field
 from clinloom.operators.lookups import lookup_side
@@ -43,6 +45,8 @@ PERCENT = 80
 #: Fragments of the shingles that are not known to be frequent; the frequent ones are one more.
 FRAGMENT_BITS = 2
 FREQUENT = 1 << FRAGMENT_BITS
+#: Narrow fragments, of which only sizes are kept; the frequent shingles are one more.
+NARROW_BITS = 7
 #: The frequent shingles that the order knows: at most so many, seen so often in a part of some million shingles.
 KNOWN_FREQUENT = 1 << 17
 SEEN_IN_PART = 4
@@ -121,6 +125,13 @@ class Order:
         return [*np.split(cold, cuts), np.sort(ordered[len(ordered) - hot :])]
 
 
+def narrow_sizes(segments: list[np.ndarray]) -> bytes:
+    """How many shingles of a set lie in each narrow fragment."""
+    cold = np.concatenate(segments[:FREQUENT]) >> np.uint64(64 - NARROW_BITS)
+    counts = np.append(np.bincount(cold.astype(np.int64), minlength=1 << NARROW_BITS), len(segments[FREQUENT]))
+    return np.minimum(counts, 0xFFFF).astype("<u2").tobytes()
+
+
 def prefix_length(n: int) -> int:
     return n - (PERCENT * n + 99) // 100 + 1 if n else 0
 
@@ -283,7 +294,7 @@ def _stars(order):
 
 
 def _segments(documents: DataFrame, wanted: DataFrame, order) -> DataFrame:
-    """(idx, fragment, n, sizes, tokens) of the wanted nodes, from their texts."""
+    """(idx, fragment, n, sizes, tokens) of the wanted nodes, from their texts; sizes with the first fragment only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Order(order.value)
@@ -294,18 +305,17 @@ def _segments(documents: DataFrame, wanted: DataFrame, order) -> DataFrame:
                 if not len(s) or node_name(s) != node:  # another row with this id
                     continue
                 parts = own.segments(s)
-                sizes = [len(p) for p in parts]
                 for f, part in enumerate(parts):
                     if f == 0 or len(part):
-                        for k, v in zip(rows, (i, f, len(s), sizes, part.tobytes())):
+                        for k, v in zip(rows, (i, f, len(s), None if f else narrow_sizes(parts), part.tobytes())):
                             rows[k].append(v)
             yield pa.RecordBatch.from_pydict(
                 rows,
-                schema=pa.schema([("idx", pa.int64()), ("fragment", pa.int32()), ("n", pa.int64()), ("sizes", pa.list_(pa.int32())), ("tokens", pa.binary())]),
+                schema=pa.schema([("idx", pa.int64()), ("fragment", pa.int32()), ("n", pa.int64()), ("sizes", pa.binary()), ("tokens", pa.binary())]),
             )
 
     texts = _keyed(documents).join(wanted, "key")
-    return texts.select("idx", "node", "text").mapInArrow(run, "idx long, fragment int, n long, sizes array<int>, tokens binary")
+    return texts.select("idx", "node", "text").mapInArrow(run, "idx long, fragment int, n long, sizes binary, tokens binary")
 
 
 def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -318,28 +328,49 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("x"), batch.column("y"), pa.array(counts, pa.int64())], names=["x", "y", "part"])
 
 
-def _partial(pairs: DataFrame, segments: DataFrame) -> DataFrame:
+def _of(segments: DataFrame, pairs: DataFrame, side: str, store: StageStore) -> DataFrame:
+    """The segments of one side's nodes of some pairs, picked before anything is shuffled."""
+    nodes = store.save(distinct_rows(pairs.select(F.col(side).alias("idx")), ["idx"]), "pair-nodes")
+    held = segments.join(small_side(nodes), "idx", "left_semi")
+    return held.select(F.col("idx").alias(side), "fragment", F.col("tokens").alias(f"t{side}"))
+
+
+def _partial(pairs: DataFrame, segments: DataFrame, store: StageStore) -> DataFrame:
     """(x, y, part) per pair and fragment that both have."""
-    x = segments.select(F.col("idx").alias("x"), "fragment", F.col("tokens").alias("tx"))
-    y = segments.select(F.col("idx").alias("y"), "fragment", F.col("tokens").alias("ty"))
+    x, y = (_of(segments, pairs, side, store) for side in "xy")
     return pairs.join(x, "x").join(y, ["y", "fragment"]).select("x", "y", "tx", "ty").mapInArrow(_overlaps, "x long, y long, part long")
 
 
+def _bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs whose sizes in the narrow fragments allow a link, with the bound of all but the first wide fragment."""
+    first = 1 << (NARROW_BITS - FRAGMENT_BITS)
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(batch.num_rows, -1) for c in ("sx", "sy"))
+        most = np.minimum(a, b).astype(np.int64)
+        most[most == 0xFFFF] = 1 << 40  # as many or more
+        rest = most[:, first:].sum(axis=1)
+        nx, ny = (batch.column(c).to_numpy() for c in ("nx", "ny"))
+        keep = pa.array(_set_sizes_allow(nx, ny, most[:, :first].sum(axis=1) + rest))
+        kept = pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("x", "y", "nx", "ny")), pa.array(rest)], names=["x", "y", "nx", "ny", "rest"])
+        yield kept.filter(keep)
+
+
 def links(pairs: DataFrame, segments: DataFrame, sizes: DataFrame, store: StageStore) -> DataFrame:
-    """The pairs (x, y) above the threshold: the first fragment's part, the bound of the rest, then the other fragments' parts."""
+    """The pairs (x, y) above the threshold: bounded by sizes, then by the first fragment, then counted in the other fragments."""
     sx = sizes.select(F.col("idx").alias("x"), F.col("n").alias("nx"), F.col("sizes").alias("sx"))
     sy = sizes.select(F.col("idx").alias("y"), F.col("n").alias("ny"), F.col("sizes").alias("sy"))
-    rest = F.aggregate(F.zip_with(F.slice("sx", 2, FREQUENT), F.slice("sy", 2, FREQUENT), lambda a, b: F.least(a, b)), F.lit(0), lambda a, b: a + b)
-    sized = pairs.join(sx, "x").join(sy, "y").select("x", "y", "nx", "ny", rest.alias("rest"), F.least(F.col("sx")[0], F.col("sy")[0]).alias("most"))
+    sized = pairs.join(sx, "x").join(sy, "y").select("x", "y", "nx", "ny", "sx", "sy")
+    sized = store.save(sized.mapInArrow(_bounds, "x long, y long, nx long, ny long, rest long"), "sized-pairs")
 
     def allows(overlap):
         return 100 * overlap >= PERCENT * (F.col("nx") + F.col("ny") - overlap)
 
-    sized = store.save(sized.filter(allows(F.col("most") + F.col("rest"))), "sized-pairs")
-    first = _partial(sized.select("x", "y"), segments.filter("fragment = 0"))
-    alive = first.withColumnRenamed("part", "first").join(sized, ["x", "y"]).filter(allows(F.col("first") + F.col("rest"))).drop("rest", "most")
+    first = _partial(sized.select("x", "y"), segments.filter("fragment = 0"), store)
+    alive = first.withColumnRenamed("part", "first").join(sized, ["x", "y"]).filter(allows(F.col("first") + F.col("rest"))).drop("rest")
     alive = store.save(alive, "alive-pairs")
-    parts = _partial(alive.select("x", "y"), segments.filter("fragment > 0")).groupBy("x", "y").agg(F.sum("part").alias("others"))
+    parts = _partial(alive.select("x", "y"), segments.filter("fragment > 0"), store).groupBy("x", "y").agg(F.sum("part").alias("others"))
     whole = alive.join(parts, ["x", "y"], "left").withColumn("overlap", F.col("first") + F.coalesce(F.col("others"), F.lit(0)))
     return store.save(whole.filter(allows(F.col("overlap"))).select("x", "y"), "links")
 
