@@ -208,7 +208,7 @@ def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _shared_prefixes(prefixes: DataFrame, width: int) -> DataFrame:
-    """The prefixes' nodes (node, key, n, prefix), with the shingles only that several nodes may have in theirs."""
+    """The prefixes' nodes (node, key, n, prefix, places), with the shingles only that several nodes may have, and their places in the order."""
     entries = int(prefixes.agg(F.sum(F.length("prefix") / 8)).first()[0] or 0)
     field = Field.for_hashes(width, entries)
 
@@ -229,66 +229,64 @@ def _shared_prefixes(prefixes: DataFrame, width: int) -> DataFrame:
             keep = field.holds(bits, shingles)
             cuts = np.searchsorted(row[keep], np.arange(batch.num_rows + 1))
             shingles = shingles[keep]
-            left = [shingles[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("n"), batch.column("node"), pa.array(left, pa.binary())], names=["key", "n", "node", "prefix"])
+            place = (np.arange(len(row)) - np.searchsorted(row, row))[keep].astype("<u4")
+            left = [[x[a:b].tobytes() for a, b in zip(cuts, cuts[1:])] for x in (shingles, place)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("key"), batch.column("n"), batch.column("node"), *(pa.array(x, pa.binary()) for x in left)],
+                names=["key", "n", "node", "prefix", "places"],
+            )
 
-    found = prefixes.mapInArrow(run, "key long, n long, node binary, prefix binary")
-    return found.groupBy("node").agg(F.min("key").alias("key"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    found = prefixes.mapInArrow(run, "key long, n long, node binary, prefix binary, places binary")
+    firsts = [F.first(c).alias(c) for c in ("n", "prefix", "places")]
+    return found.groupBy("node").agg(F.min("key").alias("key"), *firsts)
 
 
 def _dealt(nodes: DataFrame, groups: int, order) -> DataFrame:
-    """Prefix entries packed by group; a frequent shingle's entries go to several."""
+    """Prefix entries packed by group; the entries of the most frequent shingles go to several."""
 
-    def pack(held: list[tuple[int, bytes]]) -> pa.RecordBatch:
-        shingles = np.frombuffer(b"".join(p for _, p in held), np.uint64)
-        ids = np.repeat(np.array([i for i, _ in held], np.int64), [len(p) // 8 for _, p in held])
+    def pack(held: list[tuple[int, bytes, bytes]]) -> pa.RecordBatch:
+        shingles = np.frombuffer(b"".join(p for _, p, _ in held), np.uint64)
+        places = np.frombuffer(b"".join(p for _, _, p in held), "<u4")
+        ids = np.repeat(np.array([i for i, _, _ in held], np.int64), [len(p) // 8 for _, p, _ in held])
         hot = np.isin(shingles, order.value[-SPLIT_SHINGLES:])
         salt = np.where(hot, mix(ids.view(np.uint64) ^ shingles) % np.uint64(spread), 0).astype(np.uint64)
         group = (mix(shingles + salt * GOLDEN) % np.uint64(groups)).astype(np.int64)
         by = np.argsort(group, kind="stable")
         cuts = np.flatnonzero(np.diff(group[by], prepend=-1))
         ends = np.append(cuts[1:], len(by))
-        shingles, ids = shingles[by], ids[by]
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(group[by][cuts]),
-                pa.array([shingles[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
-                pa.array([ids[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
-            ],
-            names=["group", "shingles", "ids"],
-        )
+        packed = [pa.array([x[by][a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()) for x in (shingles, ids, places)]
+        return pa.RecordBatch.from_arrays([pa.array(group[by][cuts]), *packed], names=["group", "shingles", "ids", "places"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            for i, prefix in zip(batch.column("idx").to_pylist(), batch.column("prefix").to_pylist()):
-                held.append((i, prefix))
-                size += len(prefix)
-                if size > 16 << 20:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("idx", "prefix", "places"))):
+                held.append(row)
+                size += len(row[1])
+                if size > 8 << 20:
                     yield pack(held)
                     held, size = [], 0
         if held:
             yield pack(held)
 
-    # the most frequent shingles are cut so that no group gets much more than STAR_ENTRIES of one
-    most = nodes.count()
-    spread = max(1, -(-most // STAR_ENTRIES))
-    return nodes.select("idx", "prefix").mapInArrow(run, "group long, shingles binary, ids binary")
+    # no group gets much more than STAR_ENTRIES entries of one shingle
+    spread = max(1, -(-nodes.count() // STAR_ENTRIES))
+    return nodes.select("idx", "prefix", "places").mapInArrow(run, "group long, shingles binary, ids binary, places binary")
 
 
-def _stars(order):
+def _shared(order):
     def run(group: pa.Table) -> pa.Table:
-        """(shingle, idx, centre) of every shingle that two nodes share; the centre is the smallest of them in this group."""
-        shingles = np.frombuffer(b"".join(group["shingles"].to_pylist()), np.uint64)
-        ids = np.frombuffer(b"".join(group["ids"].to_pylist()), np.int64)
-        by = np.lexsort((ids, shingles))
-        shingles, ids = shingles[by], ids[by]
+        """(shingle, idx, place) of every shingle that two nodes of the group have."""
+        shingles, ids, places = (
+            np.frombuffer(b"".join(group[c].to_pylist()), kind) for c, kind in (("shingles", np.uint64), ("ids", np.int64), ("places", "<u4"))
+        )
+        by = np.argsort(shingles, kind="stable")
+        shingles, ids, places = shingles[by], ids[by], places[by]
         first = np.flatnonzero(np.append(True, shingles[1:] != shingles[:-1])) if len(by) else np.zeros(0, np.int64)
         sizes = np.diff(np.append(first, len(by)))
         # of a shingle that is split, nodes of other groups may hold it too
         keep = np.repeat(sizes > 1, sizes) | np.isin(shingles, order.value[-SPLIT_SHINGLES:])
-        centre = np.repeat(ids[first], sizes)
-        return pa.table({"shingle": shingles[keep].view(np.int64), "idx": ids[keep], "centre": centre[keep]})
+        return pa.table({"shingle": shingles[keep].view(np.int64), "idx": ids[keep], "place": places[keep].astype(np.int32)})
 
     return run
 
@@ -379,42 +377,65 @@ def _sizes_fit(a: str, b: str):
     return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
 
 
-def _fitting(starred: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The entries (shingle, idx, centre, n, n_centre, band) that share their shingle with another of about their size.
+def _fitting(shared: DataFrame, nodes: DataFrame, store: StageStore) -> DataFrame:
+    """The entries (shingle, idx, place, n, band, rank) that share their shingle with another of about their size.
 
     Sizes are in bands of the ratio that the threshold allows, so a fitting
-    partner is in the same band or the next on either side.
+    partner is in the same band or the next on either side. ``rank`` grows with
+    the number of shared shingles: what a group of near copies goes back to has
+    fewer shingles of its own than the copies.
     """
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / PERCENT) * (1 + 1e-12)))
-    sizes = nodes.select("idx", "n")
-    sized = (
-        starred.join(sizes, "idx")
-        .join(sizes.select(F.col("idx").alias("centre"), F.col("n").alias("n_centre")), "centre")
-        .withColumn("band", band)
-    )
+    rank = shared.groupBy("idx").agg(F.count(F.lit(1)).alias("rank"))
+    sized = store.save(shared.join(nodes.select("idx", "n", band.alias("band")).join(rank, "idx"), "idx"), "shared")
     near = sized.select("shingle", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"))
     near = near.groupBy("shingle", "band").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c")
     return sized.join(near, ["shingle", "band"], "left_semi")
 
 
-def _crossing(entries: DataFrame, labels: DataFrame, tried: DataFrame, store: StageStore) -> DataFrame:
-    """Pairs of different components that share a prefix shingle and fit in size, without those tried.
+def _may_link(na: str, pa_: str, nb: str, pb: str):
+    """If this is the first shingle that two sets share, as many can follow as a link needs."""
+    most = F.least(F.col(na) - F.col(pa_), F.col(nb) - F.col(pb))
+    return _sizes_fit(na, nb) & (100 * most >= PERCENT * (F.col(na) + F.col(nb) - most))
 
-    Per shingle, the nodes outside its largest component meet all its nodes.
-    """
-    known = entries.select("shingle", "idx", "n", "band").join(labels.withColumnRenamed("node", "idx"), "idx", "left")
-    known = store.save(known.withColumn("component", F.coalesce("component", "idx")), "labelled-entries")
+
+def _pairs(a: DataFrame, b: DataFrame, on: list[str]) -> DataFrame:
+    """Distinct pairs (x, y) of two sides' entries of different components; their first shared shingle lets every link pass."""
+    left = a.select(*on, F.col("idx").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"), F.col("component").alias("ca"))
+    right = b.select(*on, F.col("idx").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("component").alias("cb"))
+    found = left.join(right, on).filter(_may_link("na", "pa", "nb", "pb") & (F.col("ca") != F.col("cb")))
+    return distinct_rows(found.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")), ["x", "y"])
+
+
+def _labelled(entries: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """The entries with their component so far, without shingles of one component only."""
+    if labels is None:
+        known = entries.withColumn("component", F.col("idx"))
+    else:
+        known = entries.join(labels.withColumnRenamed("node", "idx"), "idx", "left").withColumn("component", F.coalesce("component", "idx"))
+    mixed = known.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("shingle")
+    return known.join(mixed, "shingle", "left_semi")
+
+
+def _star_pairs(known: DataFrame, by=None) -> DataFrame:
+    """Every node with one of its size among a shingle's nodes, the highest ranked or first ``by``: as many pairs as entries."""
+    best = F.max(F.struct(F.col("rank") if by is None else by, -F.col("idx"), "idx", "n", "place", "component"))
+    centre = known.groupBy("shingle", "band").agg(best.alias("c"))
+    centre = centre.select("shingle", "band", "c.idx", "c.n", "c.place", "c.component")
+    return _pairs(known, centre, ["shingle", "band"])
+
+
+def _random_star_pairs(known: DataFrame) -> DataFrame:
+    return _star_pairs(known, F.xxhash64("shingle", "idx"))
+
+
+def _crossing_pairs(known: DataFrame) -> DataFrame:
+    """All pairs of different components: per shingle and size, the nodes outside the largest component with all nodes."""
     per = known.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("c"))
-    main = per.groupBy("shingle").agg(F.max_by("component", "c").alias("main"), F.count(F.lit(1)).alias("k")).filter("k > 1").select("shingle", "main")
-    mixed = known.join(main, "shingle")
-    minor = mixed.filter("component <> main").select(
-        "shingle", F.col("idx").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"),
-        F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"),
-    )
-    other = mixed.select("shingle", "band", F.col("idx").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    fits = _sizes_fit("na", "nb") & (F.col("ca") != F.col("cb"))
-    pairs = minor.join(other, ["shingle", "band"]).filter(fits).select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
-    return store.save(distinct_rows(pairs, ["x", "y"]).join(tried, ["x", "y"], "left_anti"), "crossing-pairs")
+    main = per.groupBy("shingle").agg(F.max_by("component", "c").alias("main"))
+    minor = known.join(main, "shingle").filter("component <> main")
+    minor = minor.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
+    return _pairs(minor, known, ["shingle", "band"])
 
 
 def near_duplicates(documents: DataFrame, store: StageStore) -> DataFrame:
@@ -428,23 +449,24 @@ def near_duplicates(documents: DataFrame, store: StageStore) -> DataFrame:
     store.remove("prefixes")
     entries = nodes.agg(F.sum(F.length("prefix") / 8)).first()[0] or 0
     groups = max(width, int(entries // GROUP_ENTRIES) + 1)
-    starred = store.save(
-        _dealt(nodes, groups, order).groupBy("group").applyInArrow(_stars(order), "shingle long, idx long, centre long"), "stars"
-    )
-    starred = store.save(_fitting(starred, nodes), "fitting")
-    pairs = starred.filter(_sizes_fit("n", "n_centre") & (F.col("idx") != F.col("centre")))
-    pairs = store.save(distinct_rows(pairs.select(F.col("centre").alias("x"), F.col("idx").alias("y")), ["x", "y"]), "star-pairs")
-    ends = distinct_rows(starred.select("idx"), ["idx"])
+    shared = _dealt(nodes, groups, order).groupBy("group").applyInArrow(_shared(order), "shingle long, idx long, place int")
+    entries = store.save(_fitting(shared, nodes, store), "entries")
+    ends = distinct_rows(entries.select("idx"), ["idx"])
     wanted = store.save(nodes.select("idx", "key", "node").join(ends, "idx"), "wanted")
     segments = _segments(documents, lookup_side(wanted, 2 * wanted.count()), order)
     if sets.filter(F.col("node").isNotNull()).groupBy("key", "node").count().filter("count > 1").limit(1).count():
         segments = segments.dropDuplicates(["idx", "fragment"])  # rows that repeat id and text
     segments = store.save(segments, "segments")
     sizes = store.save(segments.filter("fragment = 0").select("idx", "n", "sizes"), "sizes")
-    found = links(pairs, segments, sizes, store)
-    labels = components(found, store)
-    found = found.unionByName(links(_crossing(starred, labels, pairs, store), segments, sizes, store))
-    labels = components(found, store)
+    # stars first, then what they leave apart
+    found = tried = labels = None
+    for step in (_star_pairs, _random_star_pairs, _crossing_pairs):
+        pairs = step(store.save(_labelled(entries, labels), "labelled"))
+        pairs = store.save(pairs if tried is None else pairs.join(tried, ["x", "y"], "left_anti"), "pairs")
+        more = links(pairs, segments, sizes, store)
+        found = more if found is None else found.unionByName(more)
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        labels = components(found, store)
     # back to documents: nodes of a component, and documents of a node
     placed = nodes.select("idx", "node", "key").join(labels.withColumnRenamed("node", "idx"), "idx", "left")
     placed = store.save(placed.select("node", "key", F.coalesce("component", "idx").alias("component")), "placed")
