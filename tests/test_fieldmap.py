@@ -29,13 +29,13 @@ def test_statuses(spark):
              for r in fieldmap.rule_status(rules.unionByName(odd), targets, vocabularies).collect()}
     assert found["conditions.csv", "CODE", "condition_concept_id"] == (
         "validated_target_missing_vocabulary",
-        "Validated target condition_occurrence.condition_concept_id, but source vocabulary SNOMED is not loaded in dbo.concept.",
+        "Validated target condition_occurrence.condition_concept_id, but source vocabulary SNOMED is not loaded in concept.",
     )
     assert found["medications.csv", "CODE", "drug_concept_id"] == (
-        "validated", "Validated target drug_exposure.drug_concept_id in AI_OMOP. Vocabulary RxNorm is loaded with 12 concepts."
+        "validated", "Validated target drug_exposure.drug_concept_id in omop. Vocabulary RxNorm is loaded with 12 concepts."
     )
     assert found["f.csv", "a", None][0] == "unmapped_source_field"
-    assert found["f.csv", "b", "nope"] == ("invalid_target_reference", "Target person.nope does not exist in AI_OMOP.")
+    assert found["f.csv", "b", "nope"] == ("invalid_target_reference", "Target person.nope does not exist in omop.")
     assert found["f.csv", "c", None] == ("no_direct_omop_field", "Kept in the source only.")
 
 

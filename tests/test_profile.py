@@ -34,33 +34,39 @@ def test_labels(spark):
     assert found == {"flag": "boolean", "whole": "integer", "real": "decimal", "gone": "empty", "day": "text", "mixed": "text"}
 
 
-def test_distinct_cap(spark):
-    df = table(spark, [("1",), ("2",), ("3",)], ["Id"])
-    assert profile.distinct_counts(df, ["Id"], 2) == {"Id": (2, True)}
-    assert profile.distinct_counts(df, ["Id"], 3) == {"Id": (3, False)}
-    shown = profile.column_profile(df, ["Id"], "f", distinct_limit=2).head()
-    assert (shown["distinct_count"], shown["distinct_count_is_capped"]) == ("2+", True)
+def test_distinct_counts_are_exact(spark):
+    df = spark.range(20_000).selectExpr("cast(id as string) a", "cast(id % 90 as string) b", "cast(null as string) c")
+    found = {r["column_name"]: tuple(r)[1:] for r in profile.distinct_counts(df, ["a", "b", "c"], 100).collect()}
+    assert found == {"a": (20_000, True), "b": (90, False), "c": (0, False)}
+    shown = profile.column_profile(df, ["a"], "f", distinct_limit=100).head()
+    assert (shown["distinct_values"], shown["distinct_count"], shown["distinct_count_is_capped"]) == (20_000, "100+", True)
+
+
+def test_samples_come_in_order(spark):
+    # 'late' gets its third value only far down
+    rows = spark.range(5_000, numPartitions=3).selectExpr(
+        "id", "cast(id as string) early", "case when id < 3000 then 'a' when id < 4000 then 'b' else 'c' end late"
+    )
+    found = {r["column_name"]: r["sample_values"] for r in profile.sample_values(rows, ["early", "late"], 3, "id").collect()}
+    assert found == {"early": ["0", "1", "2"], "late": ["a", "b", "c"]}
 
 
-def test_distinct_by_slices_is_exact(spark):
-    df = spark.range(20_000).selectExpr("cast(id as string) a", "cast(id % 90 as string) b")
-    # too high an estimate leads to a slice that proves nothing, and to a full count
-    assert profile.distinct_counts(df, ["a", "b"], 100, {"a": 20_000, "b": 9_000}) == {"a": (100, True), "b": (90, False)}
+def test_numbers_of_any_size(spark):
+    rows = [("1e30", "0.1234567890123456789012"), ("-5", "3"), ("123456789012345678901234567890", "-2")]
+    found = {r["column_name"]: (r["inferred_type"], r["min_value"], r["max_value"]) for r in profile.column_statistics(table(spark, rows, ["a", "b"]), ["a", "b"]).collect()}
+    assert found == {"a": ("decimal", "-5", "1e30"), "b": ("decimal", "-2", "3")}
 
 
-def test_samples_ahead_and_beyond(spark):
-    # 'late' gets its third value only after the rows read ahead
-    rows = spark.range(5_000, numPartitions=1).selectExpr(
-        "cast(id as string) early", "case when id < 3000 then 'a' when id < 4000 then 'b' else 'c' end late"
-    )
-    found = {r["column_name"]: r["sample_values"] for r in profile.sample_values(rows, ["early", "late"], 3).collect()}
-    assert found == {"early": ["0", "1", "2"], "late": ["a", "b", "c"]}
+def test_types_come_from_all_rows(spark):
+    df = spark.range(300).selectExpr("case when id < 299 then '2020-01-15' else 'unknown' end a", "case when id < 299 then ' ' else '2020-01-15' end b", "'2020-02-30' c")
+    kinds = {r["column_name"]: r["value_kind"] for r in profile.infer_load_types(df, ["a", "b", "c"]).collect()}
+    assert kinds == {"a": "text", "b": "date", "c": "text"}
 
 
 def test_loader_types_and_values(spark):
     columns = ["Id", "BIRTHDATE", "LAST_UPDATE", "FIRST"]
     df = table(spark, [(UUIDS[0], "2017-08-24", "2019-02-17T05:07:38Z", "Damon"), ("", " ", "", "")], columns)
-    kinds = {r["column_name"]: r["value_kind"] for r in profile.infer_sample_types(df, columns).collect()}
+    kinds = {r["column_name"]: r["value_kind"] for r in profile.infer_load_types(df, columns).collect()}
     assert kinds == {"Id": "uuid", "BIRTHDATE": "date", "LAST_UPDATE": "datetime", "FIRST": "text"}
     first, blank = profile.coerce(df, kinds).collect()
     assert tuple(first) == (UUIDS[0], dt.date(2017, 8, 24), dt.datetime(2019, 2, 17, 5, 7, 38), "Damon")

@@ -98,7 +98,7 @@ def test_concept_rules_first_failure_per_binding(check):
     for r in result["concept_checks"].collect():
         found.setdefault(r["source_row_id"], []).append(r["reason"])
     assert found["nonstandard"] == ["concept_id 5002 is not a standard concept for drug_concept_id."]
-    assert found["unknown"] == ["concept_id 9999 does not exist in dbo.concept."]
+    assert found["unknown"] == ["concept_id 9999 does not exist in concept."]
     assert sorted(found["unbound"]) == [
         "Missing binding for required primary concept field condition_concept_id.",
         "Missing concept binding metadata for condition_concept_id.",
@@ -120,7 +120,7 @@ def test_rows_of_one_id_share_concept_issues(check):
             row("condition_occurrence", "same", "condition_concept_id", "1001", "d", "2020-01-11"),
         )["row_checks"].collect()
     ]
-    assert found == ["concept_id 9999 does not exist in dbo.concept."] * 2
+    assert found == ["concept_id 9999 does not exist in concept."] * 2
 
 
 def test_payload_has_sorted_keys(check):

@@ -84,3 +84,30 @@ def test_staged_sources_are_pruned_and_filtered_at_the_scan(spark, large_sides):
     of_conditions = next(line for line in scans if "DESCRIPTION" in line or "CODE#" in line)
     assert "DESCRIPTION" not in of_conditions.split("ReadSchema")[1]
     assert "IsNotNull(PATIENT)" in of_conditions
+
+
+def test_large_vocabularies_are_cut_to_the_codes_in_use(spark, store):
+    from clinloom.operators import vocab
+
+    n = F.col("id")
+    lookup = spark.range(2_000_000, numPartitions=4).select(
+        F.when(n < 500, "UCUM").otherwise("LOINC").alias("vocabulary_id"), F.concat(F.lit("c"), n).alias("code"),
+        n.cast("int").alias("source_concept_id"), n.cast("int").alias("standard_concept_id"), F.lit("Measurement").alias("standard_domain_id"),
+    )
+    keys = spark.range(600, 900).select(F.lit("LOINC").alias("vocabulary_id"), F.concat(F.lit("c"), n).alias("code"))
+    sides = vocab.ConceptSides(store.save(lookup, "lookup"), lambda: keys, store)
+    facts_ = spark.range(10_000).select(
+        "id", F.concat(F.lit("c"), n % 300 + 600).alias("CODE"), F.when(n % 2 == 0, F.concat(F.lit("c"), n % 20)).alias("UNITS"),
+        F.lit("a").alias("A"), F.lit("b").alias("B"),
+    )
+    joined = vocab.join_concept(vocab.join_concept(facts_, sides, "LOINC", "CODE"), sides, "UCUM", "UNITS", prefix="unit_")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 2 and "Exchange hashpartitioning" not in plan
+    totals = joined.agg(F.count_if(F.col("standard_concept_id") >= 600), F.count_if(F.col("unit_standard_concept_id") > 0), F.count("*")).first()
+    assert tuple(totals) == (10_000, 4_500, 10_000)
+
+
+def test_null_keys_are_spread(spark):
+    df = spark.range(1000).select(lookups.spread(F.lit(None).cast("string"), "id").alias("k"))
+    assert df.distinct().count() > 500
+    assert spark.range(1).select(lookups.spread(F.lit("x"), "id").alias("k")).head()["k"] == "x"
