@@ -1,7 +1,7 @@
 """Dense surrogate ids over a whole table, without one task that sees it all.
 
 ``ROW_NUMBER() OVER (ORDER BY keys)`` as a window moves every row to one task.
-Here the rows are range-partitioned and sorted once, written to a stage table
+Here the rows are written, range-partitioned and sorted once, and written to a stage table
 together with their place (block, position), and the ids follow from the block
 sizes. A block size is one number per task, so only those reach the driver.
 """
@@ -42,14 +42,16 @@ def dense_ids(
     """
     rest = [c for c in df.columns if c not in order_by]
     keys = [*order_by, *rest, "_origin"]
+    # written first: the range sample and the sort then read the rows, and the plan behind them runs once
+    rows = store.save(df.withColumn("_origin", F.spark_partition_id()), f"{id_column}-rows")
     ranged = (
-        df.withColumn("_origin", F.spark_partition_id())
-        .repartitionByRange(*keys)
+        rows.repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
         .withColumn("_place", F.monotonically_increasing_id())
         .drop("_origin")
     )
     table = store.save(ranged, id_column)
+    store.remove(f"{id_column}-rows")
     block = F.shiftrightunsigned("_place", _BLOCK_SHIFT)
     position = F.col("_place").bitwiseAND((1 << _BLOCK_SHIFT) - 1)
 

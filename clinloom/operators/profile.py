@@ -70,9 +70,7 @@ def _tested(cells: DataFrame) -> DataFrame:
     value = F.col("value")
     is_number = value.rlike(X.FLOAT_PATTERN)
     return cells.select(
-        "ordinal_position",
-        "column_name",
-        "value",
+        *cells.columns,
         F.lower(value).isin(*X.BOOLEAN_WORDS).alias("is_boolean"),
         value.rlike(X.INTEGER_PATTERN).alias("is_integer"),
         is_number.alias("is_number"),
@@ -124,20 +122,24 @@ def _moment_text(moment: Column) -> Column:
     return F.concat(F.substring(text, 1, 19), F.when(fraction == "", "").otherwise(F.concat(F.lit("."), F.rpad(fraction, 6, "0"))))
 
 
-def column_statistics(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Everything of a profile but distinct counts and samples.
+def distinct_cells(df: DataFrame, columns: Sequence[str], position: Column | None = None) -> DataFrame:
+    """The distinct values of each column (blank as NULL), how often and where first. Copies collapse before the shuffle."""
+    place = F.monotonically_increasing_id() if position is None else position
+    cells = unpivot(df, columns, place).groupBy("ordinal_position", "column_name", "value")
+    return cells.agg(F.count("*").alias("n"), F.min("position").alias("place"))
 
-    One pass; the partial aggregates leave one row per column and task, so no
-    values are shuffled.
-    """
-    value = F.col("value")
+
+def column_statistics(df: DataFrame, columns: Sequence[str], cells: DataFrame | None = None) -> DataFrame:
+    """Everything of a profile but samples, from its distinct values: patterns are tried once a value."""
+    value, n = F.col("value"), F.col("n")
     stats = (
-        _tested(unpivot(df, columns))
+        _tested(distinct_cells(df, columns, F.lit(0)) if cells is None else cells)
         .groupBy("ordinal_position", "column_name")
         .agg(
             _type_label().alias("inferred_type"),
-            F.count("*").alias("rows"),
-            F.count(value).alias("non_null_count"),
+            F.sum(n).alias("rows"),
+            F.coalesce(F.sum(F.when(value.isNotNull(), n)), F.lit(0)).alias("non_null_count"),
+            F.count(value).alias("distinct_values"),
             F.min(F.length(value)).alias("min_length"),
             F.max(F.length(value)).alias("max_length"),
             *(
@@ -171,16 +173,10 @@ def column_statistics(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         "max_length",
         bound("min"),
         bound("max"),
+        "distinct_values",
     )
 
 
-def value_places(df: DataFrame, columns: Sequence[str], position: Column | None = None) -> DataFrame:
-    """The distinct values of each column with their first position. Copies of a value collapse before the shuffle."""
-    place = F.monotonically_increasing_id() if position is None else position
-    cells = unpivot(df, columns, place).where(F.col("value").isNotNull())
-    return cells.groupBy("column_name", "value").agg(F.min("position").alias("place"))
-
-
 def first_values(places: DataFrame, limit: int) -> DataFrame:
     """The first distinct values of each column, in order of first appearance."""
     rank = F.row_number().over(Window.partitionBy("column_name").orderBy("place", "value"))
@@ -194,14 +190,15 @@ def distinct_counts(df: DataFrame, columns: Sequence[str], limit: int = DISTINCT
     """Exact distinct counts: ``column_name, distinct_count, is_capped`` (whether it is shown as ``limit+``)."""
     names = F.explode(F.array(*map(F.lit, columns))).alias("column_name")
     every = df.sparkSession.range(1).select(names)
-    found = value_places(df, columns, F.lit(0)).groupBy("column_name").agg(F.count("*").alias("n"))
+    found = distinct_cells(df, columns, F.lit(0)).groupBy("column_name").agg(F.count("value").alias("n"))
     count = F.coalesce("n", F.lit(0))
     return every.join(found, "column_name", "left").select("column_name", count.alias("distinct_count"), (count > limit).alias("is_capped"))
 
 
 def sample_values(df: DataFrame, columns: Sequence[str], limit: int = SAMPLE_VALUES, order_by: str | Column | None = None) -> DataFrame:
     """The first distinct values per column, by a column or position."""
-    return first_values(value_places(df, columns, F.col(order_by) if isinstance(order_by, str) else order_by), limit)
+    places = distinct_cells(df, columns, F.col(order_by) if isinstance(order_by, str) else order_by)
+    return first_values(places.where(F.col("value").isNotNull()), limit)
 
 
 def column_profile(
@@ -212,11 +209,11 @@ def column_profile(
     distinct_limit: int = DISTINCT_LIMIT,
     order_by: str | Column | None = None,
 ) -> DataFrame:
-    """One row per column of an all-text table: statistics in one pass, distinct values and samples in another."""
-    places = value_places(df, columns, F.col(order_by) if isinstance(order_by, str) else order_by)
-    counted = places.groupBy("column_name").agg(F.count("*").alias("n"))
-    joined = column_statistics(df, columns).join(counted, "column_name", "left").join(first_values(places, sample_limit), "column_name", "left")
-    count = F.coalesce("n", F.lit(0))
+    """One row per column of an all-text table: one pass to its distinct values, and all else from those."""
+    cells = distinct_cells(df, columns, F.col(order_by) if isinstance(order_by, str) else order_by)
+    samples = first_values(cells.where(F.col("value").isNotNull()), sample_limit)
+    joined = column_statistics(df, columns, cells).join(samples, "column_name", "left")
+    count = F.col("distinct_values")
     return joined.select(
         F.lit(file_name).alias("file_name"),
         "ordinal_position",
@@ -225,7 +222,7 @@ def column_profile(
         "non_null_count",
         "blank_count",
         "completeness_pct",
-        count.alias("distinct_values"),
+        count,
         F.when(count > distinct_limit, f"{distinct_limit}+").otherwise(count.cast("string")).alias("distinct_count"),
         (count > distinct_limit).alias("distinct_count_is_capped"),
         F.coalesce(F.array_join("sample_values", " | "), F.lit("")).alias("sample_values"),
