@@ -94,5 +94,47 @@ f AS (SELECT *, row_number() OVER (PARTITION BY line, line2 ORDER BY doc_id, pos
 g AS (SELECT DISTINCT doc_id, n, unnest([pos, pos + 1]) AS line FROM f WHERE place > 1)
 SELECT doc_id, CAST(max(n) AS INTEGER) AS n_lines, count(*) AS n_removed, list_sort(list(CAST(line AS INTEGER))) AS removed
 FROM g GROUP BY doc_id
+""",
+    "op1_pareto_mix": """
+WITH d AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS size,
+         (CAST('0x' || substr(md5('17:' || doc_id), 1, 12) AS BIGINT) + 0.5::DOUBLE) / 281474976710656::DOUBLE AS u FROM documents),
+s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, (row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1 AS w FROM d GROUP BY source),
+o AS (
+  SELECT *, (SELECT sum(source_size) FROM s)::DOUBLE AS total, row_number() OVER (ORDER BY 3 * source_size / w, source) AS place FROM s),
+c AS (
+  SELECT *, (total - coalesce(sum(3 * source_size) OVER (ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
+    / (sum(w) OVER (ORDER BY place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS share FROM o),
+f AS (SELECT min(place) AS first_open, arg_min(share, place) AS share FROM c WHERE share * w <= 3 * source_size),
+t AS (
+  SELECT source, source_size, CASE WHEN place >= first_open THEN f.share * w ELSE (3 * source_size)::DOUBLE END AS target FROM c, f),
+a AS (SELECT d.*, 1000 + least(size, 1000) AS a, t.source_size, t.target FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+g AS (SELECT source, target, a, sum(size) AS words FROM a GROUP BY ALL),
+r AS (
+  SELECT source, a, (target - 3 * coalesce(sum(words) OVER (PARTITION BY source ORDER BY a DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
+    / (sum(words * a) OVER (PARTITION BY source ORDER BY a DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS rate FROM g),
+b AS (SELECT source, arg_max(rate, a) AS rate FROM r WHERE rate * a <= 3 GROUP BY source),
+e AS (SELECT a.*, least(3.0::DOUBLE, coalesce(b.rate, 0) * a.a::DOUBLE) AS e FROM a LEFT JOIN b ON a.source IS NOT DISTINCT FROM b.source),
+q AS (
+  SELECT *, floor(e)::BIGINT AS whole, CASE WHEN e - floor(e) > 0 THEN u / (1 - u) * ((1 - (e - floor(e))) / (e - floor(e))) END AS q,
+         target - (sum(size * floor(e)::BIGINT) OVER (PARTITION BY source))::DOUBLE AS need FROM e),
+x AS (
+  SELECT *, CASE WHEN q IS NOT NULL AND 2 * coalesce(sum(CASE WHEN q IS NOT NULL THEN size END) OVER (
+    PARTITION BY source ORDER BY q NULLS LAST, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE + size <= 2 * need THEN 1 ELSE 0 END AS extra FROM q)
+SELECT doc_id, size, source_size, target, CAST(size * (whole + extra) AS BIGINT) AS taken, whole + extra AS copies FROM x
+""",
+    "op6_fragment_jaccard": """
+WITH RECURSIVE w AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+'), []) AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 5 THEN [array_to_string(ws[i:i + 4], ' ') FOR i IN range(1, len(ws) - 3)]
+    WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS shingle FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 80 * (a.n + b.n - c)),
+k AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r(doc_id, reached) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, k.y FROM r JOIN k ON k.x = r.reached)
+SELECT doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(reached) AS component_id FROM r LEFT JOIN n USING (doc_id) GROUP BY doc_id
 """,
 }
