@@ -77,6 +77,7 @@ def concept_checks(proposals: DataFrame, concept: DataFrame, order_by: str) -> D
 
     field, bound, value = F.col("field_name"), F.col("concept_id"), F.col("value_id")
     name, number = field, bound.cast("string")
+    # --- fixed values: reason texts and their order ---
     reason = (
         F.when(F.col("step") == 0, F.concat(F.lit("Missing concept binding metadata for "), name, F.lit(".")))
         .when(F.col("step") == 1, F.concat(F.lit("Missing binding for required primary concept field "), name, F.lit(".")))

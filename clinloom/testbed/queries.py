@@ -439,6 +439,8 @@ def proposals(spark: SparkSession, sf: str) -> DataFrame:
     return fold_proposals(adapted(spark, sf, "src_proposals"))
 
 
+# --- fixed values: reason and status texts of the checks and rules, which have to match ---
+
 _VALUE_ID = "CASE WHEN regexp_full_match(trim(concept_text), '[+-]?[0-9]+') THEN try_cast(trim(concept_text) AS BIGINT) END"
 _PRIMARY = "target_table IN ('condition_occurrence', 'drug_exposure', 'procedure_occurrence', 'measurement', 'observation')"
 _EXPECTED = "CASE target_table WHEN 'condition_occurrence' THEN 'Condition' WHEN 'drug_exposure' THEN 'Drug' WHEN 'measurement' THEN 'Measurement' WHEN 'observation' THEN 'Observation' END"
