@@ -20,9 +20,9 @@ class Field:
         self.groups_log, self.bits_log = groups_log, max(groups_log + 3, min(MOST_BITS, bits_log))
 
     @classmethod
-    def for_hashes(cls, width: int, hashes: int) -> Field:
-        """About sixteen bits a hash, in at least four groups a partition."""
-        return cls(max(4, (4 * width - 1).bit_length(), (hashes >> 23).bit_length()), (16 * hashes).bit_length())
+    def for_hashes(cls, width: int, hashes: int, bits: int = 16) -> Field:
+        """About so many bits a hash, in at least four groups a partition."""
+        return cls(max(4, (4 * width - 1).bit_length(), (hashes >> 23).bit_length()), (bits * hashes).bit_length() - 1)
 
     def split(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Group, and number in it, of 64-bit hashes."""
