@@ -33,6 +33,9 @@ CALM = 1e-3
 DECAY = 0.3
 CLEAR = 3.0
 TOXIC_WEIGHT = 4
+#: Documents counted at once in fitting, and bytes of text scored at once.
+BLOCK_DOCUMENTS = 250
+CHUNK = 1 << 20
 PREFIXES = range(3, 8)
 EDGES = "\"'`()[]{}<>*_~#&%$@.,;:!?¡¿…“”‘’«»-–—/\\|+="
 
@@ -50,6 +53,10 @@ def features(word: str) -> list[int]:
     return sorted({zlib.crc32(x.encode("utf-8", "surrogatepass")) % FEATURES for x in names})
 
 
+def packed_features(word: str) -> bytes:
+    return np.array(features(word), dtype="<u4").tobytes()
+
+
 def ends(word: str) -> bool:
     return word == "\n" or word.rstrip("\"')]}”’»*").endswith((".", "!", "?"))
 
@@ -57,7 +64,7 @@ def ends(word: str) -> bool:
 class Words(dict):
     """Raw word to twice its number in ``values``, plus one if it ends a sentence."""
 
-    def __init__(self, value, limit: int = 400_000):
+    def __init__(self, value, limit: int = 200_000):
         super().__init__()
         self.value, self.limit, self.values = value, limit, []
 
@@ -69,8 +76,11 @@ class Words(dict):
     def shrink(self) -> None:
         """Between chunks: forget all, if too much is known."""
         if len(self) > self.limit:
-            self.clear()
-            self.values = []
+            self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self.values = []
 
 
 def sentence_numbers(last: np.ndarray, document: np.ndarray) -> np.ndarray:
@@ -83,17 +93,30 @@ def sentence_numbers(last: np.ndarray, document: np.ndarray) -> np.ndarray:
     return np.cumsum(new) - 1
 
 
-def _parse(texts: list[str], cache: Words) -> tuple[list[list[str]], np.ndarray, np.ndarray, np.ndarray]:
+def _parse(texts: list[str], cache: Words, keep: bool = False) -> tuple[list[list[str]], np.ndarray, np.ndarray, np.ndarray]:
     """The words, each word's number in the cache and in the sentences, and each sentence's document."""
     rows = [words_of(t) for t in texts]
-    document = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    cache.shrink()
-    code = np.fromiter((c for r in rows for c in map(cache.__getitem__, r)), np.int64, len(document))
+    document = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
+    if not keep:
+        cache.shrink()
+    code = np.fromiter((c for r in rows for c in map(cache.__getitem__, r)), np.int32, len(document))
     sentence = sentence_numbers((code & 1).astype(bool), document) if len(document) else document
     first = np.flatnonzero(np.diff(sentence, prepend=-1))
     return rows, code >> 1, sentence, document[first]
 
 
+def _parse_blocks(texts: list[str], cache: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``_parse``, without the words, and some documents at a time."""
+    words, sentences, documents, before = [], [], [], 0
+    for a in range(0, len(texts), BLOCK_DOCUMENTS):
+        _, word, sentence, document = _parse(texts[a : a + BLOCK_DOCUMENTS], cache, keep=True)
+        words.append(word)
+        sentences.append((sentence + before).astype(np.int32))
+        documents.append(document + a)
+        before += len(document)
+    return np.concatenate(words), np.concatenate(sentences), np.concatenate(documents)
+
+
 class Model:
     def __init__(self, weights: np.ndarray, bias: float):
         self.weights, self.bias = weights, bias
@@ -110,14 +133,20 @@ def noisy_or(p: np.ndarray, document: np.ndarray, count: int) -> np.ndarray:
     return 1 - np.exp(np.bincount(document, np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=count))
 
 
-def _held(word: np.ndarray, document: np.ndarray, documents: int, of_word: np.ndarray, of_feature: np.ndarray) -> np.ndarray:
-    """feature * documents + document for every feature that a document holds."""
-    pairs = np.unique(word * documents + document)
-    names, docs = pairs // documents, pairs % documents
-    first, last = np.searchsorted(of_word, names), np.searchsorted(of_word, names, side="right")
-    counts = last - first
-    place = np.repeat(first - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
-    return of_feature[place] * documents + np.repeat(docs, counts)
+def _held(word: np.ndarray, document: np.ndarray, label: np.ndarray, start: np.ndarray, of_feature: np.ndarray) -> list[np.ndarray]:
+    """How many clean and how many toxic documents hold each feature, some documents at a time."""
+    held = [np.zeros(FEATURES, np.int64), np.zeros(FEATURES, np.int64)]
+    edges = np.searchsorted(document, np.arange(0, len(label) + BLOCK_DOCUMENTS, BLOCK_DOCUMENTS))
+    for a, b in zip(edges, edges[1:]):
+        pairs = np.unique(word[a:b].astype(np.int64) * len(label) + document[a:b])
+        names, docs = pairs // len(label), pairs % len(label)
+        counts = start[names + 1] - start[names]
+        place = np.repeat(start[names] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+        found = np.unique(of_feature[place].astype(np.int64) * len(label) + np.repeat(docs, counts))
+        toxic = label[found % len(label)] == 1
+        for v, which in enumerate((~toxic, toxic)):
+            held[v] += np.bincount(found[which] // len(label), minlength=FEATURES)
+    return held
 
 
 def train(y: list[int], texts: list[str], counts: dict[int, int]) -> bytes:
@@ -128,20 +157,21 @@ def train(y: list[int], texts: list[str], counts: dict[int, int]) -> bytes:
     weight = {v: counts[v] / y.count(v) * (TOXIC_WEIGHT if v else 1) for v in set(y)}
     share = np.array([weight[v] for v in y])
     share *= len(y) / share.sum()
-    cache = Words(features)
-    _, word, sentence, document = _parse(texts, cache)
-    # one row per word and feature of it
-    of_word = np.repeat(np.arange(len(cache.values)), [len(f) for f in cache.values])
-    of_feature = np.array([f for row in cache.values for f in row], dtype=np.int64)
-    # documents of either label that hold a feature; only what is clearly commoner in one of them can tell
-    feature_docs = np.unique(_held(word, document[sentence], len(y), of_word, of_feature))
-    held = [np.bincount(feature_docs[label[feature_docs % len(y)] == v] // len(y), minlength=FEATURES) for v in (0, 1)]
+    cache = Words(packed_features)
+    word, sentence, document = _parse_blocks(texts, cache)
+    # the features of one word after the other
+    of_feature = np.frombuffer(b"".join(cache.values), "<u4")
+    start = np.concatenate([[0], np.cumsum([len(f) // 4 for f in cache.values])]).astype(np.int64)
+    of_word = np.repeat(np.arange(len(cache.values), dtype=np.int32), np.diff(start))
+    cache.forget()
+    # only what is clearly commoner in documents of one label can tell
+    held = _held(word, document[sentence], label, start, of_feature)
     clean, toxic = (label == 0).sum(), (label == 1).sum()
     rate = (held[0] + held[1] + 1) / (clean + toxic + 2)
     z = (held[1] / toxic - held[0] / clean) / np.sqrt(rate * (1 - rate) * (1 / clean + 1 / toxic))
     keep = (np.abs(z) >= CLEAR)[of_feature]
     names, column = np.unique(of_feature[keep], return_inverse=True)
-    row, docs, n, words = of_word[keep], len(y), len(names), len(cache.values)
+    row, docs, n, words = of_word[keep], len(y), len(names), len(start) - 1
     w, bias = np.zeros(n), -4.0
     moment, square = np.zeros(n + 1), np.zeros(n + 1)
     for step in range(1, EPOCHS + 1):
@@ -179,7 +209,7 @@ def below(documents: DataFrame, model: bytes, limit: float) -> DataFrame:
     def run(batches):
         own = pickle.loads(shared.value)
         cache = Words(own.word)
-        for batch in chunks(batches):
+        for batch in chunks(batches, limit=CHUNK):
             yield batch.filter(pa.array(_scored(batch, own, cache)[-1] < limit))
 
     return documents.mapInArrow(run, schema)
@@ -192,7 +222,7 @@ def score_documents(documents: DataFrame, model: bytes) -> DataFrame:
     def run(batches):
         own = pickle.loads(shared.value)
         cache = Words(own.word)
-        for batch in chunks(batches):
+        for batch in chunks(batches, limit=CHUNK):
             rows, sentence, document, p, score = _scored(batch, own, cache)
             count = len(document)
             # the likeliest sentence of each document
