@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -15,13 +16,26 @@ from clinloom.operators.lookups import lookup_side
 from clinloom.staging import StageStore
 
 #: Text handled at once inside a task; one longer document is handled alone.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
+#: Rows of an Arrow batch at most: rows hold whole texts, and a batch is in memory several times.
+BATCH_ROWS = 2000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From here on the session hands Python no more than BATCH_ROWS rows at once."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(key, BATCH_ROWS)
+
+
 def new_store(spark: SparkSession) -> StageStore:
     """A folder for one call's stage tables; it goes when the program ends."""
+    small_batches(spark)
     store = StageStore(spark)
     atexit.register(store.drop)
     return store
@@ -54,6 +68,16 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
         cuts = [0, *(np.flatnonzero(np.diff(block)) + 1), batch.num_rows]
         for a, b in zip(cuts, cuts[1:]):
             yield batch.slice(a, b - a)
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker lives on after its task, beside an executor's heap."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library, which has its own ways
+        pass
 
 
 def byte_rows(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

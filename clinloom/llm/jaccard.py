@@ -47,18 +47,18 @@ FRAGMENT_BITS = 2
 FREQUENT = 1 << FRAGMENT_BITS
 #: Narrow fragments, of which only sizes are kept; the frequent shingles are one more.
 NARROW_BITS = 7
-#: The frequent shingles that the order knows: at most so many, seen so often in a part of some million shingles.
+#: The frequent shingles that the order knows: at most so many, seen so often in a part of a million shingles.
 KNOWN_FREQUENT = 1 << 17
 SEEN_IN_PART = 4
-PART_SHINGLES = 2_000_000
+PART_SHINGLES = 1_000_000
 #: Prefix entries that one group of the star step gets, and the documents of one shingle it gets at most, about.
-GROUP_ENTRIES = 500_000
+GROUP_ENTRIES = 200_000
 STAR_ENTRIES = 20_000
 #: Of so many of the most frequent shingles the entries go to several groups.
 SPLIT_SHINGLES = 4096
 NO_ID = -(1 << 63)
 #: Text handled at once.
-PART_BYTES = 2 << 20
+PART_BYTES = 1 << 20
 
 
 def _set_sizes_allow(a: np.ndarray, b: np.ndarray, overlap: np.ndarray) -> np.ndarray:
@@ -207,10 +207,10 @@ def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(rows), np.uint64), np.repeat(np.arange(len(rows)), [len(r) // 8 for r in rows])
 
 
-def _shared_prefixes(prefixes: DataFrame, width: int) -> DataFrame:
-    """The prefixes' nodes (node, key, n, prefix, places), with the shingles only that several nodes may have, and their places in the order."""
+def _shared_prefixes(prefixes: DataFrame, store: StageStore) -> DataFrame:
+    """The prefixes' nodes (idx, node, key, n, prefix, places), written, with the shingles only that several nodes may have, and their places in the order."""
     entries = int(prefixes.agg(F.sum(F.length("prefix") / 8)).first()[0] or 0)
-    field = Field.for_hashes(width, entries)
+    field = Field.for_hashes(shuffle_width(store.spark), entries, 4)
 
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -238,7 +238,10 @@ def _shared_prefixes(prefixes: DataFrame, width: int) -> DataFrame:
 
     found = prefixes.mapInArrow(run, "key long, n long, node binary, prefix binary, places binary")
     firsts = [F.first(c).alias(c) for c in ("n", "prefix", "places")]
-    return found.groupBy("node").agg(F.min("key").alias("key"), *firsts)
+    nodes = found.groupBy("node").agg(F.min("key").alias("key"), *firsts)
+    nodes = store.save(nodes.withColumn("idx", F.monotonically_increasing_id()), "nodes")
+    shared.unpersist()
+    return nodes
 
 
 def _dealt(nodes: DataFrame, groups: int, order) -> DataFrame:
@@ -263,7 +266,7 @@ def _dealt(nodes: DataFrame, groups: int, order) -> DataFrame:
             for row in zip(*(batch.column(c).to_pylist() for c in ("idx", "prefix", "places"))):
                 held.append(row)
                 size += len(row[1])
-                if size > 8 << 20:
+                if size > 2 << 20:
                     yield pack(held)
                     held, size = [], 0
         if held:
@@ -445,7 +448,7 @@ def near_duplicates(documents: DataFrame, store: StageStore) -> DataFrame:
     order = spark.sparkContext.broadcast(frequent_shingles(sets))
     width = shuffle_width(spark)
     prefixes = store.save(_prefixes(documents, order), "prefixes")
-    nodes = store.save(_shared_prefixes(prefixes, width).withColumn("idx", F.monotonically_increasing_id()), "nodes")
+    nodes = _shared_prefixes(prefixes, store)
     store.remove("prefixes")
     entries = nodes.agg(F.sum(F.length("prefix") / 8)).first()[0] or 0
     groups = max(width, int(entries // GROUP_ENTRIES) + 1)

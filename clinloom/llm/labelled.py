@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clinloom.llm.common import give_back, small_batches
+
 #: Bounds of what a model is fitted on: rows of each label, and bytes of one text.
 ROWS_PER_LABEL = 3000
 TEXT_BYTES = 32 << 10
@@ -43,12 +45,14 @@ def fit(
 
     ``learn`` says, from doc_id, which labels may be used.
     """
+    small_batches(documents.sparkSession)
     known = usable_labels(labels, label, learn)
     counts = {row["y"]: row["count"] for row in known.groupBy("y").count().collect()}
 
     def run(group: pa.Table) -> pa.Table:
         group = group.sort_by([("_order", "ascending"), ("y", "ascending")])
         model = train(group["y"].to_pylist(), group["text"].to_pylist(), counts)
+        give_back()
         return pa.table({"model": [model]}, schema=pa.schema([("model", pa.binary())]))
 
     found = sample(documents, known).groupBy(F.lit(1).alias("all")).applyInArrow(run, "model binary").first()
