@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import atexit
 import ctypes
+import os
 from collections.abc import Iterator, Sequence
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +28,11 @@ BATCH_ROWS = 2000
 
 
 def small_batches(spark: SparkSession) -> None:
-    """From here on the session hands Python no more than BATCH_ROWS rows at once."""
+    """From here on the session hands Python no more than BATCH_ROWS rows at once, and its workers look for this package where it lies."""
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    known = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([root, *known])
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key))
     if now <= 0 or now > BATCH_ROWS:
