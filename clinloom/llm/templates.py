@@ -5,8 +5,11 @@ sentence) and units (behind a number) become typed placeholders, all else
 lower-case words without punctuation around them. Windows of eight such words
 are joined by hash between benchmark and documents, so a question is found
 again after its numbers and names were exchanged. The values in the slots tell
-such a question from chance: along one alignment, an item's value has to stand
-for one value of the document everywhere.
+such a question from chance: along one alignment, an item's value stands for
+one value of the document, the one it has in most places. If half of the slots
+agree with that, or hold the item's own value, all windows of the alignment
+count; if fewer do, the windows without a deviating slot still count. With
+``strict`` one deviating slot drops the alignment.
 
 A document is contaminated by an item if consistent windows cover a run of it
 (``MIN_WINDOWS``), or all of a shorter item. Windows need four real words, so
@@ -22,6 +25,7 @@ alone.
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +41,8 @@ WINDOW = 8
 MIN_WORDS = 4
 MIN_WINDOWS = 6
 FIELD_BITS = 23
+#: Share of an alignment's slots that have to agree for all its windows to count.
+AGREE = 0.5
 
 EDGES = "\"'`()[]{}<>*_~#&@.,;:!?¡¿…“”‘’«»–—/\\|+=-"
 NUMBER = re.compile(r"[$€£]?\d[\d.,:/]*(?:%|st|nd|rd|th)?")
@@ -135,8 +141,14 @@ def _rows(ids: pa.Array, windows: Windows, at: np.ndarray, hashes: np.ndarray, l
     )
 
 
+def _places(windows: Windows, at: np.ndarray, length: int) -> pa.Array:
+    """Which words of the text the slots are."""
+    first = windows.first[windows.text[at]]
+    return pa.array([(np.flatnonzero(windows.slot[a : a + length]) + a - f).tolist() for a, f in zip(at, first)], pa.list_(pa.int64()))
+
+
 def item_windows(benchmark: DataFrame) -> DataFrame:
-    """item_id, pos, hash, slots and length of every window; an item of fewer words is one window."""
+    """item_id, pos, hash, slots, length and the slots' places of every window; an item of fewer words is one window."""
 
     def run(batches):
         cache = WordCache(word_form)
@@ -150,10 +162,11 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
                     at, hashes = at[own], hashes[own]
                 if len(at):
                     rows = _rows(batch.column("item_id"), windows, at, hashes, length, "item_id")
-                    yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(np.full(len(at), length))], names=[*rows.schema.names, "length"])
+                    more = [pa.array(np.full(len(at), length)), _places(windows, at, length)]
+                    yield pa.RecordBatch.from_arrays([*rows.columns, *more], names=[*rows.schema.names, "length", "places"])
 
     found = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").mapInArrow(
-        run, "item_id long, pos long, hash long, slots array<long>, length long"
+        run, "item_id long, pos long, hash long, slots array<long>, length long, places array<long>"
     )
     return found.dropDuplicates(["item_id", "pos", "hash"])
 
@@ -188,26 +201,49 @@ def _bit_field(items: DataFrame) -> bytes:
     return field.tobytes()
 
 
-def contaminated(documents: DataFrame, benchmark: DataFrame, store: StageStore) -> DataFrame:
+def counted(windows: list[dict], strict: bool) -> tuple[list[int], int]:
+    """Where in the item the windows of one alignment are that count, and how many different slots those hold."""
+    slots = [set(zip(w["places"], w["item_slots"], w["slots"])) for w in windows]
+    pairs = set().union(*slots)
+    held = Counter((own, value) for _, own, value in pairs)
+    partner = {own: value for own, value in sorted(held, key=lambda x: (held[x], x[0] == x[1], x[1]))}
+    if strict and len(partner) < len(held):
+        return [], 0
+    apart = {x for x in pairs if x[2] not in (x[1], partner[x[1]])}
+    if len(apart) > (1 - AGREE) * len(pairs):
+        windows = [w for w, x in zip(windows, slots) if not x & apart]
+        slots = [x for x in slots if not x & apart]
+    return sorted({w["item_pos"] for w in windows}), len({x[1:] for x in set().union(*slots)})
+
+
+def _aligned(batches, strict: bool):
+    for batch in batches:
+        found = [counted(w, strict) for w in batch.column("windows").to_pylist()]
+        kept = pa.array([bool(places) for places, _ in found], pa.bool_())
+        columns = [batch.column(k) for k in ("doc_id", "item_id", "item_windows")]
+        columns += [pa.array([x[0] for x in found], pa.list_(pa.int64())), pa.array([x[1] for x in found], pa.int32())]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "item_id", "item_windows", "places", "slots"]).filter(kept)
+
+
+def contaminated(documents: DataFrame, benchmark: DataFrame, store: StageStore, strict: bool = True) -> DataFrame:
     """(doc_id, item_id, hits, item_windows, slots) for every document that holds an item or a long run of it."""
     items = store.save(item_windows(benchmark), "item-windows")
     totals = items.groupBy(F.col("item_id").alias("_item")).agg(F.countDistinct("pos").alias("item_windows"))
     lengths = sorted(row["length"] for row in items.select("length").distinct().collect())
     found = store.save(document_windows(documents, _bit_field(items), lengths), "document-windows")
     side = items.join(totals, F.col("item_id").eqNullSafe(F.col("_item"))).select(
-        "item_id", "item_windows", F.col("pos").alias("item_pos"), "hash", F.col("slots").alias("item_slots")
+        "item_id", "item_windows", F.col("pos").alias("item_pos"), "hash", "places", F.col("slots").alias("item_slots")
     )
     side = small_side(store.save(side, "items"))
-    pairs = F.arrays_zip("item_slots", "slots")
     aligned = (
         found.join(side, "hash")
         .groupBy("doc_id", "item_id", "item_windows", (F.col("pos") - F.col("item_pos")).alias("shift"))
-        .agg(F.collect_set("item_pos").alias("places"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("slots"))
-        .filter(F.size(F.array_distinct(F.col("slots.item_slots"))) == F.size("slots"))
+        .agg(F.collect_set(F.struct("item_pos", "places", "item_slots", "slots")).alias("windows"))
+        .mapInArrow(lambda batches: _aligned(batches, strict), "doc_id long, item_id long, item_windows long, places array<long>, slots int")
     )
     return (
         aligned.groupBy("doc_id", "item_id", "item_windows")
-        .agg(F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("hits"), F.max(F.size("slots")).alias("slots"))
+        .agg(F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("hits"), F.max("slots").alias("slots"))
         .filter(F.col("hits") >= F.least(F.col("item_windows"), F.lit(MIN_WINDOWS)))
         .select("doc_id", "item_id", "hits", "item_windows", "slots")
     )

@@ -122,3 +122,34 @@ def test_word_forms():
     assert kinds == [T.NUM, T.NUM, T.NUM, T.UNIT, T.NUM_UNIT, T.NAME, T.WORD, T.WORD, T.EMPTY, T.EMPTY]
     found = T.Windows(pa.array(["The cat. Anna saw Berta. kg of 5 kg"]), WordCache(T.word_form))
     assert found.slot.tolist() == [False, False, False, False, True, False, False, True, True]
+
+
+def all_leaks(spark, docs, items):
+    """As op9_template_leaks and the pipeline judge."""
+    found = templates.contaminated(
+        spark.createDataFrame(docs, DOCS), spark.createDataFrame(list(items), "item_id long, text string"), new_store(spark), strict=False
+    )
+    return {(r["doc_id"], r["item_id"]) for r in found.collect()}
+
+
+PEARS = "Anna has 2 apples and 2 pears in the old basket by the door of the house"
+
+
+def test_one_changed_slot_does_not_clear_a_document(spark):
+    long = QUESTION + " when Anna comes home to see her friends and Anna brings 7 plums for Anna from the market near the old mill"
+    docs = [
+        (1, QUESTION.replace("buys 12", "buys 48")), (2, QUESTION.replace("the 12", "the twelve")), (3, long.replace("for Anna", "for Berta")),
+        (4, PEARS.replace("2 apples", "3 apples").replace("2 pears", "5 pears")), (5, prose(60, 7)), (6, QUESTION.replace("apples", "pears").replace("eats", "sells")),
+    ]
+    assert all_leaks(spark, docs, [(1, QUESTION), (2, long), (3, PEARS)]) == {(1, 1), (1, 2), (2, 1), (2, 2), (3, 1), (3, 2), (4, 3)}
+
+
+def test_windows_without_a_deviating_slot_count():
+    def window(pos, *pairs):
+        return {"item_pos": pos, "places": [p for p, _, _ in pairs], "item_slots": [a for _, a, _ in pairs], "slots": [b for _, _, b in pairs]}
+
+    scattered = [window(0, (1, 7, 1), (2, 7, 2), (3, 7, 3)), window(1, (2, 7, 2), (3, 7, 3)), window(9, (9, 8, 8)), window(10)]
+    scattered += [window(2, (3, 7, 3), (4, 7, 4), (5, 7, 5))]
+    assert templates.counted(scattered, strict=False)[0] == [9, 10] and templates.counted(scattered, strict=True) == ([], 0)
+    agreeing = [window(0, (1, 7, 5), (2, 7, 5)), window(1, (2, 7, 5), (3, 7, 6))]
+    assert templates.counted(agreeing, strict=False) == ([0, 1], 2)
