@@ -2,7 +2,10 @@
 
 Words are brought to a canonical form: numbers, names (capitalised inside a
 sentence) and units (behind a number) become typed placeholders, all else
-lower-case words without punctuation around them. Windows of eight such words
+lower-case words without punctuation around them. A capital tells little where a
+sentence begins, and where it does is not sure: there a word that looks like a
+name is read both ways, as are possessives anywhere and, in documents, a name in
+front of a window, as an item may begin there. Windows of eight such words
 are joined by hash between benchmark and documents, so a question is found
 again after its numbers and names were exchanged. The values in the slots tell
 such a question from chance: along one alignment, an item's value stands for
@@ -26,6 +29,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +45,8 @@ WINDOW = 8
 MIN_WORDS = 4
 MIN_WINDOWS = 6
 FIELD_BITS = 23
+#: Readings of windows that are worked on at once.
+BLOCK_READINGS = 1 << 20
 #: Share of an alignment's slots that have to agree for all its windows to count.
 AGREE = 0.5
 
@@ -67,22 +73,26 @@ def _hash(text: str) -> int:
 PLACEHOLDERS = np.array([0, 0, *(_hash(f"<{kind}>") for kind in ("name", "number", "unit", "number unit"))], dtype=np.uint64)
 
 
-def word_form(raw: str) -> tuple[int, int, bool]:
-    """Kind (names and units as they would be in a fitting place), hash of the value, whether it ends a sentence."""
+def _looks_a_name(core: str) -> bool:
+    return core[:1].isupper() and len(core) > 1 and core[1:].islower() and core.isalpha()
+
+
+def word_form(raw: str) -> tuple[int, int, bool, int]:
+    """Kind (names and units as they would be in a fitting place), hash of the value, whether it ends a sentence, hash of the owner if a possessive."""
     ends = raw == "\n" or raw.rstrip("\"')]}”’»*").endswith((".", "!", "?"))
     core = raw.strip().strip(EDGES)
     low = core.lower()
     if not core:
-        return EMPTY, 0, ends
+        return EMPTY, 0, ends, 0
     if NUMBER.fullmatch(low) or low in NUMBER_WORDS:
-        return NUM, _hash(low), ends
+        return NUM, _hash(low), ends, 0
     if low in UNITS:
-        return UNIT, _hash(low), ends
+        return UNIT, _hash(low), ends, 0
     glued = NUMBER_UNIT.fullmatch(low)
     if glued and glued[1] in UNITS:
-        return NUM_UNIT, _hash(low), ends
-    name = core[0].isupper() and len(core) > 1 and core[1:].islower() and core.isalpha()
-    return NAME if name else WORD, _hash(low), ends
+        return NUM_UNIT, _hash(low), ends, 0
+    owner = _hash(low[:-2]) if low.endswith(("'s", "’s")) and _looks_a_name(core[:-2]) else 0
+    return NAME if _looks_a_name(core) else WORD, _hash(low), ends, owner
 
 
 class Windows:
@@ -95,60 +105,85 @@ class Windows:
         kind = np.array([f[0] for f in forms], np.int8)[number]
         value = np.array([f[1] for f in forms], np.uint64)[number]
         ends = np.array([f[2] for f in forms], bool)[number]
+        owner = np.array([f[3] for f in forms], np.uint64)[number]
         text = np.repeat(np.arange(len(text_ends)), np.diff(text_ends, prepend=0))
         blank = np.array([w == "" for w in distinct], bool)[number]
-        kind, value, ends, text = (x[~blank] for x in (kind, value, ends, text))
-        # a capital at the start of a sentence makes no name, and a unit without a number is a word
+        kind, value, ends, text, owner = (x[~blank] for x in (kind, value, ends, text, owner))
+        # a capital at the start of a sentence need not make a name, and a unit without a number is a word
         starts = np.ones(len(kind), bool)
         starts[1:] = ends[:-1] | (text[1:] != text[:-1])
+        either = (kind == NAME) & starts | (owner != 0)
         kind[(kind == NAME) & starts] = WORD
         real = kind != EMPTY
-        kind, self.value, self.text = kind[real], value[real], text[real]
+        kind, word, self.text, self.either = kind[real], value[real], text[real], either[real]
+        self.value = np.where(owner != 0, owner, value)[real]
         number_before = np.zeros(len(kind), bool)
         number_before[1:] = (kind[:-1] == NUM) & (self.text[1:] == self.text[:-1])
         kind[(kind == UNIT) & ~number_before] = WORD
         self.slot = kind != WORD
-        self.form = np.where(self.slot, PLACEHOLDERS[kind], self.value)
+        self.form = np.where(self.slot, PLACEHOLDERS[kind], word)
+        self.name = kind == NAME
+        # what another reading makes of a word's form
+        self.other = np.where(self.name, word, PLACEHOLDERS[NAME]) - self.form
         self.first = np.searchsorted(self.text, np.arange(len(text_ends) + 1))
 
-    def hashes(self, length: int) -> tuple[np.ndarray, np.ndarray]:
-        """Where windows of ``length`` with enough real words start, and their hashes."""
+    def hashes(self, length: int, inner: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Where windows of ``length`` with enough real words start, which of their words are read the other way (bits), and their hashes.
+
+        With ``inner`` a name in front of a window is read as a word too.
+        """
         n = len(self.form) - length + 1
         if n <= 0:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        words = np.concatenate([[0], np.cumsum(~self.slot)])
-        good = (self.text[:n] == self.text[length - 1 :]) & (words[length:] - words[:-length] >= MIN_WORDS)
+            return
+        real = np.concatenate([[0], np.cumsum(~self.slot)])
+        real = real[length:] - real[:-length]
+        inside = self.text[:n] == self.text[length - 1 :]
         total = np.full(n, length, np.uint64)
         for j in range(length):
             total = total * GOLDEN + self.form[j : j + n]
-        at = np.flatnonzero(good)
-        return at, mix(total[at])
-
-    def slots(self, at: int, length: int) -> list[int]:
-        return self.value[at : at + length][self.slot[at : at + length]].view(np.int64).tolist()
-
-
-def _rows(ids: pa.Array, windows: Windows, at: np.ndarray, hashes: np.ndarray, length: int, key: str) -> pa.RecordBatch:
+        weight = np.array([pow(int(GOLDEN), length - 1 - j, 1 << 64) for j in range(length)], np.uint64)
+        at = np.flatnonzero(inside & (real >= MIN_WORDS))
+        words, total_at, flipped = real[at], total[at], np.zeros(len(at), np.uint8)
+        if inner:
+            more = np.flatnonzero(inside & (real >= MIN_WORDS - 1) & self.name[:n])
+            total_at = np.concatenate([total_at, total[more] + self.other[more] * weight[0]])
+            at, words = np.concatenate([at, more]), np.concatenate([words, real[more] + 1])
+            flipped = np.concatenate([flipped, np.ones(len(more), np.uint8)])
+        free = np.concatenate([[0], np.cumsum(self.either)])
+        block = np.cumsum(1 << (free[at + length] - free[at])) // BLOCK_READINGS
+        cuts = [0, *(np.flatnonzero(np.diff(block)) + 1), len(at)]
+        for a, b in zip(cuts, cuts[1:]):
+            yield self._readings(at[a:b], words[a:b], total_at[a:b], flipped[a:b], weight)
+
+    def _readings(self, at, words, total, flipped, weight) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """These windows and those in which words are names that may be; a name does not count as a real word."""
+        for j, w in enumerate(weight):
+            more = np.flatnonzero(self.either[at + j] & (words > MIN_WORDS))
+            if len(more):
+                total = np.concatenate([total, total[more] + self.other[at[more] + j] * w])
+                flipped = np.concatenate([flipped, flipped[more] | np.uint8(1 << j)])
+                at, words = np.concatenate([at, at[more]]), np.concatenate([words, words[more] - 1])
+        return at, flipped, mix(total)
+
+    def places(self, at: int, length: int, flipped: int) -> np.ndarray:
+        """Where the slots of a window are."""
+        return at + np.flatnonzero(self.slot[at : at + length] ^ ((flipped >> np.arange(length)) & 1).astype(bool))
+
+
+def _rows(ids: pa.Array, windows: Windows, at: np.ndarray, flipped: np.ndarray, hashes: np.ndarray, length: int, key: str) -> pa.RecordBatch:
     text = windows.text[at]
+    slots = [windows.value[windows.places(a, length, f)].view(np.int64).tolist() for a, f in zip(at, flipped)]
     return pa.RecordBatch.from_arrays(
-        [
-            ids.take(pa.array(text)),
-            pa.array(at - windows.first[text], pa.int64()),
-            pa.array(hashes.view(np.int64)),
-            pa.array([windows.slots(a, length) for a in at], pa.list_(pa.int64())),
-        ],
+        [ids.take(pa.array(text)), pa.array(at - windows.first[text], pa.int64()), pa.array(hashes.view(np.int64)), pa.array(slots, pa.list_(pa.int64()))],
         names=[key, "pos", "hash", "slots"],
     )
 
 
-def _places(windows: Windows, at: np.ndarray, length: int) -> pa.Array:
-    """Which words of the text the slots are."""
-    first = windows.first[windows.text[at]]
-    return pa.array([(np.flatnonzero(windows.slot[a : a + length]) + a - f).tolist() for a, f in zip(at, first)], pa.list_(pa.int64()))
-
-
 def item_windows(benchmark: DataFrame) -> DataFrame:
-    """item_id, pos, hash, slots, length and the slots' places of every window; an item of fewer words is one window."""
+    """item_id, pos, hash, slots, length, whether it is the plain reading, and the slots' places of every window.
+
+    An item of fewer words is one window.
+    """
 
     def run(batches):
         cache = WordCache(word_form)
@@ -156,17 +191,19 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
             windows = Windows(batch.column("text"), cache)
             sizes = np.diff(windows.first)
             for length in range(1, WINDOW + 1):
-                at, hashes = windows.hashes(length)
-                if length < WINDOW:
-                    own = sizes[windows.text[at]] == length
-                    at, hashes = at[own], hashes[own]
-                if len(at):
-                    rows = _rows(batch.column("item_id"), windows, at, hashes, length, "item_id")
-                    more = [pa.array(np.full(len(at), length)), _places(windows, at, length)]
-                    yield pa.RecordBatch.from_arrays([*rows.columns, *more], names=[*rows.schema.names, "length", "places"])
+                for at, flipped, hashes in windows.hashes(length):
+                    if length < WINDOW:
+                        own = sizes[windows.text[at]] == length
+                        at, flipped, hashes = at[own], flipped[own], hashes[own]
+                    if len(at):
+                        rows = _rows(batch.column("item_id"), windows, at, flipped, hashes, length, "item_id")
+                        first = windows.first[windows.text[at]]
+                        places = [(windows.places(a, length, f) - b).tolist() for a, f, b in zip(at, flipped, first)]
+                        more = [pa.array(np.full(len(at), length)), pa.array(flipped == 0), pa.array(places, pa.list_(pa.int64()))]
+                        yield pa.RecordBatch.from_arrays([*rows.columns, *more], names=[*rows.schema.names, "length", "plain", "places"])
 
     found = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").mapInArrow(
-        run, "item_id long, pos long, hash long, slots array<long>, length long, places array<long>"
+        run, "item_id long, pos long, hash long, slots array<long>, length long, plain boolean, places array<long>"
     )
     return found.dropDuplicates(["item_id", "pos", "hash"])
 
@@ -180,11 +217,11 @@ def document_windows(documents: DataFrame, field: bytes, lengths: list[int]) ->
         for batch in chunks(batches):
             windows = Windows(batch.column("text"), cache)
             for length in lengths:
-                at, hashes = windows.hashes(length)
-                bit = hashes >> np.uint64(64 - FIELD_BITS)
-                known = (bits[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
-                if known.any():
-                    yield _rows(batch.column("doc_id"), windows, at[known], hashes[known], length, "doc_id")
+                for at, flipped, hashes in windows.hashes(length, inner=True):
+                    bit = hashes >> np.uint64(64 - FIELD_BITS)
+                    known = (bits[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
+                    if known.any():
+                        yield _rows(batch.column("doc_id"), windows, at[known], flipped[known], hashes[known], length, "doc_id")
 
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         run, "doc_id long, pos long, hash long, slots array<long>"
@@ -206,11 +243,13 @@ def counted(windows: list[dict], strict: bool) -> tuple[list[int], int]:
     slots = [set(zip(w["places"], w["item_slots"], w["slots"])) for w in windows]
     pairs = set().union(*slots)
     held = Counter((own, value) for _, own, value in pairs)
-    partner = {own: value for own, value in sorted(held, key=lambda x: (held[x], x[0] == x[1], x[1]))}
-    if strict and len(partner) < len(held):
+    # a second reading must not drop what the plain one finds
+    plain = {x[1:] for w, found in zip(windows, slots) if w["plain"] for x in found} if strict else set()
+    if len({own for own, _ in plain}) < len(plain):
         return [], 0
+    partner = {own: value for own, value in sorted(held, key=lambda x: (x in plain, held[x], x[0] == x[1], x[1]))}
     apart = {x for x in pairs if x[2] not in (x[1], partner[x[1]])}
-    if len(apart) > (1 - AGREE) * len(pairs):
+    if len(apart) > (0 if strict else (1 - AGREE) * len(pairs)):
         windows = [w for w, x in zip(windows, slots) if not x & apart]
         slots = [x for x in slots if not x & apart]
     return sorted({w["item_pos"] for w in windows}), len({x[1:] for x in set().union(*slots)})
@@ -232,13 +271,13 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, store: StageStore,
     lengths = sorted(row["length"] for row in items.select("length").distinct().collect())
     found = store.save(document_windows(documents, _bit_field(items), lengths), "document-windows")
     side = items.join(totals, F.col("item_id").eqNullSafe(F.col("_item"))).select(
-        "item_id", "item_windows", F.col("pos").alias("item_pos"), "hash", "places", F.col("slots").alias("item_slots")
+        "item_id", "item_windows", F.col("pos").alias("item_pos"), "hash", "plain", "places", F.col("slots").alias("item_slots")
     )
     side = small_side(store.save(side, "items"))
     aligned = (
         found.join(side, "hash")
         .groupBy("doc_id", "item_id", "item_windows", (F.col("pos") - F.col("item_pos")).alias("shift"))
-        .agg(F.collect_set(F.struct("item_pos", "places", "item_slots", "slots")).alias("windows"))
+        .agg(F.collect_set(F.struct("item_pos", "plain", "places", "item_slots", "slots")).alias("windows"))
         .mapInArrow(lambda batches: _aligned(batches, strict), "doc_id long, item_id long, item_windows long, places array<long>, slots int")
     )
     return (

@@ -146,10 +146,30 @@ def test_one_changed_slot_does_not_clear_a_document(spark):
 
 def test_windows_without_a_deviating_slot_count():
     def window(pos, *pairs):
-        return {"item_pos": pos, "places": [p for p, _, _ in pairs], "item_slots": [a for _, a, _ in pairs], "slots": [b for _, _, b in pairs]}
+        return {"item_pos": pos, "plain": True, "places": [p for p, _, _ in pairs], "item_slots": [a for _, a, _ in pairs], "slots": [b for _, _, b in pairs]}
 
     scattered = [window(0, (1, 7, 1), (2, 7, 2), (3, 7, 3)), window(1, (2, 7, 2), (3, 7, 3)), window(9, (9, 8, 8)), window(10)]
     scattered += [window(2, (3, 7, 3), (4, 7, 4), (5, 7, 5))]
     assert templates.counted(scattered, strict=False)[0] == [9, 10] and templates.counted(scattered, strict=True) == ([], 0)
     agreeing = [window(0, (1, 7, 5), (2, 7, 5)), window(1, (2, 7, 5), (3, 7, 6))]
     assert templates.counted(agreeing, strict=False) == ([0, 1], 2)
+
+
+def test_names_and_words_where_a_sentence_begins(spark):
+    items = [
+        (1, "What is the capital"), (2, "What is the largest river of the old northern kingdom"), (3, "Anna has 7 apples and buys 2 more pears"),
+        (4, "Go home. Anna has 7 plums and buys 2 more figs at the fair"), (5, "Then Tom's brother has 4 cats and Mary's aunt has 9 dogs"),
+    ]
+    docs = [
+        (1, "Question: What is the capital please"), (2, "he asked What is the largest river of the old northern kingdom"), (3, "Tom has 5 apples and buys 3 more pears"),
+        (4, "they said Tom has 5 apples and buys 3 more pears"), (5, "Go home. Tom has 5 plums and buys 3 more figs at the fair"),
+        (6, "Then Anna's brother has 6 cats and Olga's aunt has 8 dogs"), (7, "Who was in the capital"), (8, prose(80, 9)),
+    ]
+    assert all_leaks(spark, docs, items) == {(1, 1), (2, 2), (3, 3), (4, 3), (5, 4), (6, 5)}
+    windows = templates.Windows(pa.array(["Ja.\n" * 60]), WordCache(templates.word_form))
+    whole = [np.concatenate(x) for x in zip(*windows.hashes(8, inner=True))]
+    templates.BLOCK_READINGS, before = 300, templates.BLOCK_READINGS
+    blocks = list(windows.hashes(8, inner=True))
+    templates.BLOCK_READINGS = before
+    assert len(blocks) > 9 and sorted(zip(*whole)) == sorted(zip(*(np.concatenate(x) for x in zip(*blocks))))
+    assert len(whole[0]) == 53 * 163  # every choice of up to four names among eight words
