@@ -62,7 +62,7 @@ def op10_noisy_or_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit(documents, table(spark, sf_dir, "labels"), kept != 1)
     return toxicity.score_documents(documents, model).select(
         "doc_id", F.coalesce(kept == 1, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"),
-        "worst_sentence", "worst_score", "worst_words",
+        "worst_sentence", "worst_score", "worst_words", "sentences",
     )
 
 

@@ -33,6 +33,9 @@ CALM = 1e-3
 DECAY = 0.3
 CLEAR = 3.0
 TOXIC_WEIGHT = 4
+#: Sentences from this probability on are returned, and documents from this score on are rejected.
+SENTENCE_SCORE = 0.05
+REJECTED = 0.7
 #: Documents counted at once in fitting, and bytes of text scored at once.
 BLOCK_DOCUMENTS = 250
 CHUNK = 1 << 20
@@ -40,6 +43,9 @@ PREFIXES = range(3, 8)
 EDGES = "\"'`()[]{}<>*_~#&%$@.,;:!?¡¿…“”‘’«»-–—/\\|+="
 
 
+SENTENCES = pa.list_(pa.struct([("sentence", pa.int64()), ("score", pa.float64()), ("start", pa.int64()), ("end", pa.int64())]))
+
+
 def words_of(text: str) -> list[str]:
     return text.replace("\n", " \n ").split(" ") if text else []
 
@@ -215,8 +221,28 @@ def below(documents: DataFrame, model: bytes, limit: float) -> DataFrame:
     return documents.mapInArrow(run, schema)
 
 
-def score_documents(documents: DataFrame, model: bytes) -> DataFrame:
-    """doc_id, score, and the number (from 0), probability and words of the likeliest sentence."""
+def _spans(text: str, words: list[str], cuts: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Where the characters of these runs of words begin and end in the text, without white space around them."""
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    breaks = np.fromiter((w == "\n" for w in words), np.int64, len(words))
+    # a line break stands between two spaces that are not in the text
+    start = np.cumsum(lengths + 1 - 2 * breaks) - lengths - 1 + breaks
+    spans = []
+    for a, b in cuts:
+        first, last = int(start[a]), int(start[b - 1] + lengths[b - 1])
+        piece = text[first:last]
+        first += len(piece) - len(piece.lstrip())
+        spans.append((first, first + len(piece.strip())))
+    return spans
+
+
+def score_documents(documents: DataFrame, model: bytes, rejected: float = REJECTED) -> DataFrame:
+    """doc_id, score, the number (from 0), probability and words of the likeliest sentence, and all offending sentences.
+
+    Offending are sentences of ``SENTENCE_SCORE`` or more, and the likeliest one
+    of a rejected document however weak. Of each ``sentences`` holds the number,
+    the probability and where its characters start and end in the text.
+    """
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
@@ -232,17 +258,29 @@ def score_documents(documents: DataFrame, model: bytes) -> DataFrame:
             first_sentence = np.searchsorted(document, np.arange(len(rows)))
             before = np.cumsum([0, *(len(r) for r in rows)])
             worst, chance, quote = [None] * len(rows), [None] * len(rows), [None] * len(rows)
-            for s in top:
+            shown = p >= SENTENCE_SCORE
+            shown[top[score[document[top]] >= rejected]] = True
+            ends_at = np.append(first_word[1:], len(sentence))
+            for s in top[shown[top]]:
                 d = document[s]
-                if p[s] >= 0.05:
-                    a, b = first_word[s], first_word[s + 1] if s + 1 < count else len(sentence)
-                    worst[d], chance[d] = int(s - first_sentence[d]), float(p[s])
-                    quote[d] = " ".join(rows[d][a - before[d] : b - before[d]]).strip()
+                worst[d], chance[d] = int(s - first_sentence[d]), float(p[s])
+                quote[d] = " ".join(rows[d][first_word[s] - before[d] : ends_at[s] - before[d]]).strip()
+            found = [[] for _ in rows]
+            at = np.flatnonzero(shown)
+            for group in np.split(at, np.flatnonzero(np.diff(document[at])) + 1) if len(at) else ():
+                d = document[group[0]]
+                spans = _spans(batch.column("text")[int(d)].as_py(), rows[d], [(first_word[s] - before[d], ends_at[s] - before[d]) for s in group])
+                found[d] = [{"sentence": int(s - first_sentence[d]), "score": float(p[s]), "start": a, "end": b} for s, (a, b) in zip(group, spans)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(score), pa.array(worst, pa.int64()), pa.array(chance, pa.float64()), pa.array(quote, pa.string())],
-                names=["doc_id", "score", "worst_sentence", "worst_score", "worst_words"],
+                [
+                    batch.column("doc_id"), pa.array(score), pa.array(worst, pa.int64()), pa.array(chance, pa.float64()), pa.array(quote, pa.string()),
+                    pa.array(found, SENTENCES),
+                ],
+                names=["doc_id", "score", "worst_sentence", "worst_score", "worst_words", "sentences"],
             )
 
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, score double, worst_sentence long, worst_score double, worst_words string"
+        run,
+        "doc_id long, score double, worst_sentence long, worst_score double, worst_words string, "
+        "sentences array<struct<sentence: long, score: double, start: long, end: long>>",
     )

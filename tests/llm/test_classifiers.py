@@ -173,3 +173,24 @@ def test_names_and_words_where_a_sentence_begins(spark):
     templates.BLOCK_READINGS = before
     assert len(blocks) > 9 and sorted(zip(*whole)) == sorted(zip(*(np.concatenate(x) for x in zip(*blocks))))
     assert len(whole[0]) == 53 * 163  # every choice of up to four names among eight words
+
+
+def test_all_offending_sentences_are_returned(spark):
+    import pickle
+
+    weights = np.zeros(toxicity.FEATURES)
+    weights[toxicity.features("vile")] = 2.0
+    model = pickle.dumps(toxicity.Model(weights, -5.0))
+    several = "A vile  start.\n\nAll is well here. So vile! Größe 😀 counts.\n\t vile again \nand out"
+    weak = pickle.dumps(toxicity.Model(np.zeros(toxicity.FEATURES), -3.2))  # 0.039 each
+    rows = {r["doc_id"]: r for r in toxicity.score_documents(spark.createDataFrame([(1, several), (2, "All is well."), (3, None)], DOCS), model).collect()}
+    quotes = [several[x["start"] : x["end"]] for x in rows[1]["sentences"]]
+    assert quotes == ["A vile  start.", "So vile!", "vile again"] and rows[1]["worst_words"] == quotes[0]
+    assert all(x["score"] >= 0.05 for x in rows[1]["sentences"]) and rows[2]["sentences"] == rows[3]["sentences"] == []
+    many = " ".join(["It goes on."] * 40)
+    row = toxicity.score_documents(spark.createDataFrame([(1, many)], DOCS), weak).first()
+    assert row["score"] >= 0.7 and row["worst_score"] < 0.05 and row["worst_words"] == "It goes on."
+    assert [(x["sentence"], x["start"], x["end"]) for x in row["sentences"]] == [(0, 0, 11)]
+    large = [(i, "So vile! " + "word " * 60_000) for i in range(30)]  # several chunks of text in one task
+    scored = toxicity.score_documents(spark.createDataFrame(large, DOCS).coalesce(1), model).collect()
+    assert len(scored) == 30 and all([(x["start"], x["end"]) for x in r["sentences"]] == [(0, 8)] for r in scored)
