@@ -45,6 +45,10 @@ def op7_winnow_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.repeated_lines(table(spark, sf_dir, "documents"), new_store(spark))
 
 
+def op7_winnow_long_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.repeated_lines(table(spark, sf_dir, "documents"), new_store(spark), alone=winnow.ALONE_WORDS)
+
+
 def op8_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, kept = table(spark, sf_dir, "documents"), labelled.fold(F.col("doc_id"), 5)
     model = quality.fit(documents, table(spark, sf_dir, "labels"), kept != 0)
@@ -69,7 +73,7 @@ def op10_noisy_or_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_pareto_mix, op2_kd_shards, op3_branch_and_bound, op4_token_files, op5_suffix_arrays, op6_fragment_jaccard, op7_winnow_lines, op8_compression_quality, op9_template_leaks,
+        op1_pareto_mix, op2_kd_shards, op3_branch_and_bound, op4_token_files, op5_suffix_arrays, op6_fragment_jaccard, op7_winnow_lines, op7_winnow_long_lines, op8_compression_quality, op9_template_leaks,
         op10_noisy_or_toxicity,
     )
 }

@@ -6,6 +6,8 @@ whose fingerprint occurs nowhere else are done with; the others are joined on
 the whole window, and overlapping matches make longer ones on both sides. A
 window that equals an earlier one (by document id, then place) is deleted: a
 line goes if it lies in a run of ``run`` lines or more that begins earlier.
+With ``alone``, a line of that many words or more also goes by itself if an
+equal line stands earlier, whatever its neighbours.
 Windows are judged on the input, not on what is left.
 
 Null and empty texts, and texts of fewer lines, lose nothing. Repeated ids and
@@ -21,6 +23,8 @@ from pyspark.sql import functions as F
 from clinloom.staging import StageStore
 
 MIN_RUN = 2
+#: Words from which a line is long enough to go without its neighbours.
+ALONE_WORDS = 8
 
 
 def fingerprints(documents: DataFrame, run: int) -> DataFrame:
@@ -32,19 +36,31 @@ def fingerprints(documents: DataFrame, run: int) -> DataFrame:
     return windows.select("doc_id", "n_lines", "start", F.least(*own).alias("fp"), F.xxhash64(*own).alias("window"))
 
 
-def repeated_lines(documents: DataFrame, store: StageStore, run: int = MIN_RUN) -> DataFrame:
+def long_lines(documents: DataFrame, words: int) -> DataFrame:
+    """The lines of ``words`` words or more as windows of one line."""
+    lines = F.split("text", "\n", -1)
+    parts = documents.select("doc_id", F.transform(lines, lambda x: F.xxhash64(x)).alias("h"), F.transform(lines, lambda x: F.size(F.split(F.trim(x), r"\s+"))).alias("n"))
+    each = parts.select("doc_id", F.size("h").alias("n_lines"), F.posexplode(F.arrays_zip("h", "n")).alias("start", "w"))
+    return each.filter(F.col("w.n") >= words).select("doc_id", "n_lines", "start", F.col("w.h").alias("fp"), F.xxhash64("w.h").alias("window"))
+
+
+def repeated_lines(documents: DataFrame, store: StageStore, run: int = MIN_RUN, alone: int | None = None) -> DataFrame:
     """doc_id, n_lines, n_removed and the numbers (from 0) of the lines to delete, for documents that lose any."""
-    found = store.save(fingerprints(documents.select("doc_id", "text"), run), "line-windows")
+    given = documents.select("doc_id", "text")
+    windows = fingerprints(given, run).withColumn("height", F.lit(run))
+    if alone is not None:
+        windows = windows.unionByName(long_lines(given, alone).withColumn("height", F.lit(1)))
+    found = store.save(windows, "line-windows")
     # windows under a fingerprint have the same fingerprint; one that stands in one place only has no match anywhere
     per_window = found.groupBy("fp", "window").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "start")).alias("first"))
     repeated = store.save(per_window.filter("n > 1").select("fp", "window", "first"), "line-repeats")
     later = found.join(repeated, ["fp", "window"]).filter(
         ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("start") == F.col("first.start")))
     )
-    covered = F.array_distinct(F.flatten(F.transform("starts", lambda s: F.sequence(s, s + run - 1))))
+    covered = F.array_distinct(F.flatten(F.transform("starts", lambda s: F.sequence(s["start"], s["start"] + s["height"] - 1))))
     return (
         later.groupBy("doc_id")
-        .agg(F.max("n_lines").alias("n_lines"), F.collect_set("start").alias("starts"))
+        .agg(F.max("n_lines").alias("n_lines"), F.collect_set(F.struct("start", "height")).alias("starts"))
         .select("doc_id", "n_lines", F.sort_array(covered).alias("removed"))
         .select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), "removed")
     )

@@ -156,3 +156,12 @@ def test_repeated_lines_of_odd_documents(spark, odd):
         assert kept[d] == (t if not gone else "\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone))
     assert winnow.without_lines(odd, winnow.repeated_lines(odd, new_store(spark))).columns == odd.columns
     assert winnow.repeated_lines(odd.limit(0), new_store(spark)).collect() == []
+
+
+def test_long_lines_go_alone(spark):
+    passage = " ".join(f"word{i}" for i in range(8))
+    texts = [(None, f"a\n{passage}\nb"), (1, f"c\n{passage}\nd\nshort line\ne"), (2, f"f\nshort line\n\ng\n{passage}\n{passage}"), (3, passage), (4, passage + " more"), (5, None)]
+    df = spark.createDataFrame(texts, KINDS)
+    long = winnow.repeated_lines(df, new_store(spark), alone=winnow.ALONE_WORDS)
+    assert {r["doc_id"]: (r["n_lines"], r["n_removed"], r["removed"]) for r in long.collect()} == {1: (5, 1, [1]), 2: (6, 2, [4, 5]), 3: (1, 1, [0])}
+    assert winnow.repeated_lines(df, new_store(spark)).collect() == []
