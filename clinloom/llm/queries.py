@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinloom.llm import jaccard, labelled, mixing, quality, sharding, suffix, templates, tokenfiles, topk, toxicity, winnow
+from clinloom.llm import jaccard, labelled, lexical, mixing, pieces, quality, sharding, suffix, templates, tokenfiles, topk, toxicity, trie, winnow
 from clinloom.llm.common import new_store, table
 
 
@@ -70,11 +70,27 @@ def op10_noisy_or_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_piece_agenda(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    coded = pieces.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"), new_store(spark)).withColumn("depth", F.col("depth").cast("long"))
+
+
+def op13_reversed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), new_store(spark))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_pareto_mix, op2_kd_shards, op3_branch_and_bound, op4_token_files, op5_suffix_arrays, op6_fragment_jaccard, op7_winnow_lines, op7_winnow_long_lines, op8_compression_quality, op9_template_leaks,
-        op10_noisy_or_toxicity,
+        op10_noisy_or_toxicity, op11_piece_agenda, op12_prefix_trie, op13_reversed_search,
     )
 }
 ORACLES: dict[str, str] = {
@@ -140,5 +156,51 @@ l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE
 k AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
 r(doc_id, reached) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, k.y FROM r JOIN k ON k.x = r.reached)
 SELECT doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(reached) AS component_id FROM r LEFT JOIN n USING (doc_id) GROUP BY doc_id
+""",
+    "op12_prefix_trie": """
+WITH RECURSIVE t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS body, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest,
+         coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS words,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), digest) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+b(n, k, v) AS (SELECT n, 0, n FROM range(256) r(n) UNION ALL SELECT n, k + 1, CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM b WHERE k < 8),
+r(conv_id, i, c) AS (
+  SELECT DISTINCT conv_id, 0, 4294967295::BIGINT FROM t
+  UNION ALL SELECT conv_id, i + 1, xor(c >> 8, v) FROM r JOIN b ON k = 8 AND n = xor(c, ascii(substr(conv_id::VARCHAR, i + 1, 1))) & 255 WHERE i < length(conv_id::VARCHAR)),
+h AS (SELECT conv_id, xor(c, 4294967295) % 4 AS h FROM r WHERE i = length(conv_id::VARCHAR)),
+u AS (
+  SELECT h.conv_id, 0 AS part, pos, digest, words FROM h JOIN t ON t.conv_id = h.conv_id - h.conv_id % 20 AND pos <= h
+  UNION ALL SELECT h.conv_id, 1, pos, digest, words FROM h JOIN t ON t.conv_id = h.conv_id AND pos > h),
+v AS (
+  SELECT conv_id, row_number() OVER o AS depth, string_agg(digest, '') OVER o AS key, words FROM u WINDOW o AS (PARTITION BY conv_id ORDER BY part, pos)
+  UNION ALL SELECT conv_id, 0, '', 0 FROM h),
+m AS (SELECT *, depth = max(depth) OVER (PARTITION BY conv_id) AS ends FROM v),
+n AS (
+  SELECT key, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256 FROM m GROUP BY key, depth),
+k AS (SELECT left(key, length(key) - 32) AS key, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+x AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k USING (key))
+SELECT a.conv_id, CAST(a.depth AS BIGINT) AS depth, any_value(p.conv_id) AS parent_conv_id, a.n_convs, a.n_children,
+       count(*) FILTER (WHERE s.n_children = 0) AS n_leaves, CAST(sum((s.n_convs - 1) * s.words) AS BIGINT) AS saved_tokens, a.ends_sha256
+FROM x a JOIN x s ON starts_with(s.key, a.key) LEFT JOIN x p ON a.depth > 0 AND p.key = left(a.key, length(a.key) - 32)
+GROUP BY a.key, a.conv_id, a.depth, a.n_convs, a.n_children, a.ends_sha256
+""",
+    "op13_reversed_search": """
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS row, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM documents),
+i AS (
+  SELECT item_id, row_number() OVER () AS item, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark),
+tf AS (SELECT doc_id, row, term, count(*) AS tf FROM d GROUP BY ALL),
+n AS (SELECT row, count(*) AS n FROM d GROUP BY row),
+a AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM n),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w FROM tf, a GROUP BY term, docs),
+q AS (SELECT item_id, item, term, count(*) AS times FROM i GROUP BY ALL),
+s AS (
+  SELECT item_id, item, doc_id, row, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // words)))) AS BIGINT) AS score
+  FROM q JOIN tf USING (term) JOIN w USING (term) JOIN n USING (row), a GROUP BY ALL),
+o AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM o WHERE rank <= 20
 """,
 }
