@@ -9,9 +9,11 @@ about its subtree, so no prefix is visited twice and no level is read again.
 
 A sequence of turns is known by a chain of 128-bit hashes, one a turn, and is
 carried as that chain; texts are read once and not shuffled. Equal
-conversations are merged before peeling. A level is a written table, so a lost
-executor costs one level at most. There are as many levels as the longest
-conversation has turns.
+conversations are merged before peeling. What a job finds is a written table, so
+a lost executor costs one job at most. A level that many conversations reach is
+a job of its own, a grouping with partial sums; levels that few reach, as those
+below the depth of most conversations, are peeled several in one job, as many as
+have BAND_TURNS turns together, inside the subtrees of the topmost of them.
 
 Turns are ordered by number (null first), then role, then the hash of role and
 text; null roles and texts are empty. Rows without a conv_id belong to no
@@ -38,6 +40,9 @@ FAMILY = 20
 MOST_SHARED = 4
 #: Letters of joined ids hashed at once.
 ID_LETTERS = 32 << 10
+#: Turns of all paths in the levels that one job peels, if it peels several.
+BAND_TURNS = 50_000
+BAND_GROUPS = 8
 NO_ENDS = hashlib.sha256(b"").hexdigest()
 
 _PATH = "keys array<binary>, words array<long>"
@@ -155,17 +160,23 @@ def distinct_conversations(whole: DataFrame) -> DataFrame:
     return digests.drop("key").join(whole, F.col("smallest") == F.col("conv_id")).select("conv_id", "n_convs", "ends_sha256", "keys", "words", F.size("keys").alias("depth"))
 
 
-_LEVEL = f"key binary, parent_key binary, conv_id long, n_convs long, n_children long, n_leaves long, saved_tokens long, ends_sha256 string, {_PATH}"
+_NODE = "key binary, parent_key binary, conv_id long, n_convs long, n_children long, n_leaves long, saved_tokens long, ends_sha256 string"
+_NODES = f"{_NODE}, {_PATH}, depth int"
 
 
-def _level(ended: DataFrame, below: DataFrame | None) -> DataFrame:
-    """The nodes of a level, from the conversations that end there and the level below."""
+def _paths(ended: DataFrame, below: DataFrame | None) -> DataFrame:
+    """Conversations that end in some levels, and the nodes of the level below those without their last turn."""
     none = F.lit(0).cast("long")
     parts = ended.select("keys", "words", "conv_id", "n_convs", none.alias("n_children"), none.alias("n_leaves"), none.alias("saved_tokens"), "ends_sha256")
     if below is not None:
         shorter = [F.slice(c, F.lit(1), F.size(c) - 1).alias(c) for c in ("keys", "words")]
         stripped = below.select(*shorter, "conv_id", "n_convs", F.lit(1).cast("long").alias("n_children"), "n_leaves", "saved_tokens", F.lit(None).cast("string").alias("ends_sha256"))
         parts = parts.unionByName(stripped)
+    return parts
+
+
+def _level(parts: DataFrame, depth: int) -> DataFrame:
+    """The nodes of one level from the paths that reach it."""
     path = F.struct("keys", "words")
     grouped = parts.groupBy(_last("keys").alias("key")).agg(
         F.first(path).alias("_path"), F.min("conv_id").alias("conv_id"), F.max("ends_sha256").alias("ends_sha256"),
@@ -177,29 +188,87 @@ def _level(ended: DataFrame, below: DataFrame | None) -> DataFrame:
         "key", _last("_path.keys", 2).alias("parent_key"), "conv_id", "n_convs", "n_children",
         F.when(F.col("n_children") == 0, F.lit(1)).otherwise(F.col("n_leaves")).cast("long").alias("n_leaves"),
         (F.col("saved_tokens") + (F.col("n_convs") - 1) * last_words).cast("long").alias("saved_tokens"),
-        F.coalesce("ends_sha256", F.lit(NO_ENDS)).alias("ends_sha256"), keys.alias("keys"), words.alias("words"),
+        F.coalesce("ends_sha256", F.lit(NO_ENDS)).alias("ends_sha256"), keys.alias("keys"), words.alias("words"), F.lit(depth).alias("depth"),
     )
 
 
+def _band(parts: DataFrame, low: int) -> DataFrame:
+    """The nodes from level ``low`` down, whole subtrees of that level in a group; paths are kept on that level only."""
+
+    def peel(group: pa.Table) -> pa.Table:
+        waiting: dict[int, list] = {}
+        for row in group.to_pylist():
+            waiting.setdefault(len(row["keys"]), []).append(row)
+        out, stripped = [], {}
+        for depth in range(max(waiting), low - 1, -1):
+            nodes: dict[bytes, dict] = {}
+            for row in (*waiting.pop(depth, ()), *stripped.values()):
+                key = row["keys"][depth - 1] if depth else b""
+                node = nodes.get(key)
+                if node is None:
+                    nodes[key] = row
+                    continue
+                for c in ("n_convs", "n_children", "n_leaves", "saved_tokens"):
+                    node[c] += row[c]
+                node["conv_id"] = min(node["conv_id"], row["conv_id"])
+                node["ends_sha256"] = node["ends_sha256"] or row["ends_sha256"]
+            stripped = {}
+            for key, node in nodes.items():
+                keys, words = node["keys"], node["words"]
+                leaves = node["n_leaves"] if node["n_children"] else 1
+                saved = node["saved_tokens"] + ((node["n_convs"] - 1) * words[depth - 1] if depth else 0)
+                done = {
+                    "key": key, "parent_key": keys[depth - 2] if depth > 1 else b"", "conv_id": node["conv_id"], "n_convs": node["n_convs"], "n_children": node["n_children"],
+                    "n_leaves": leaves, "saved_tokens": saved, "ends_sha256": node["ends_sha256"] or NO_ENDS, "keys": None, "words": None, "depth": depth,
+                }
+                if depth == low:
+                    done |= {"keys": keys[:depth], "words": words[:depth]}
+                out.append(done)
+                stripped[key] = {"keys": keys, "words": words, "conv_id": node["conv_id"], "n_convs": node["n_convs"], "n_children": 1, "n_leaves": leaves, "saved_tokens": saved, "ends_sha256": None}
+        return pa.Table.from_pylist(out, _NODES_ARROW)
+
+    top = F.pmod(F.xxhash64(F.element_at("keys", low)), F.lit(BAND_GROUPS)) if low else F.lit(0)
+    return parts.groupBy(top.alias("_top")).applyInArrow(peel, _NODES)
+
+
+_NODES_ARROW = pa.schema([
+    ("key", pa.binary()), ("parent_key", pa.binary()), *((c, pa.int64()) for c in ("conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens")),
+    ("ends_sha256", pa.string()), ("keys", pa.list_(pa.binary())), ("words", pa.list_(pa.int64())), ("depth", pa.int32()),
+])
+
+
+def bands(conversations: dict[int, int], turns: int) -> list[tuple[int, int]]:
+    """Levels that are peeled together, as (deepest, topmost), from the number of distinct conversations of each depth."""
+    out, reach, held, deepest = [], 0, 0, None
+    for depth in range(max(conversations, default=-1), -1, -1):
+        reach += conversations.get(depth, 0)
+        if deepest is not None and held + reach > turns:
+            out.append((deepest, depth + 1))
+            deepest, held = None, 0
+        deepest, held = depth if deepest is None else deepest, held + reach
+    return out if deepest is None else [*out, (deepest, 0)]
+
+
 def prefix_trie(conversations: DataFrame, store: StageStore) -> DataFrame:
     """One row per node of the rebuilt conversations: smallest member, depth, parent, members, children, leaves, saved tokens, ends."""
     spark = conversations.sparkSession
     small_batches(spark)
     own = store.save(own_turns(conversations), "turns")
     whole = store.save(rebuilt(own).mapInArrow(_chain, f"conv_id long, {_PATH}"), "rebuilt")
-    ends_at, levels = store.path("ends"), store.path("levels")
+    ends_at = store.path("ends")
     ended = distinct_conversations(whole)
     ended.repartitionByRange("depth", "conv_id").write.partitionBy("depth").parquet(ends_at)
     ended = spark.read.schema(ended.schema).parquet(ends_at)
-    depths = {r["depth"] for r in ended.select("depth").distinct().collect()}  # one row a depth
-    below = None
-    for depth in range(max(depths, default=-1), -1, -1):
-        newly = spark.read.schema(ended.drop("depth").schema).parquet(f"{ends_at}/depth={depth}") if depth in depths else ended.drop("depth").limit(0)
-        _level(newly, below).write.parquet(f"{levels}/depth={depth}")
-        below = spark.read.schema(_LEVEL).parquet(f"{levels}/depth={depth}")
+    counts = {r["depth"]: r["count"] for r in ended.groupBy("depth").count().collect()}  # one row a depth
+    below, found = None, store.path("nodes")
+    for deepest, low in bands(counts, BAND_TURNS):
+        parts = _paths(ended.filter(F.col("depth").between(low, deepest)), below)
+        nodes = _level(parts, low) if low == deepest else _band(parts, low)
+        nodes.write.parquet(f"{found}/low={low}")
+        below = spark.read.schema(_NODES).parquet(f"{found}/low={low}").filter(F.col("depth") == low)
     if below is None:
         return spark.createDataFrame([], "conv_id long, depth int, parent_conv_id long, n_convs long, n_children long, n_leaves long, saved_tokens long, ends_sha256 string")
-    nodes = spark.read.schema(f"{_LEVEL}, depth int").parquet(levels)
+    nodes = spark.read.schema(_NODES).parquet(found)
     parents = nodes.filter("n_children > 0").select(F.col("key").alias("_key"), F.col("depth").alias("_depth"), F.col("conv_id").alias("parent_conv_id"))
     return nodes.join(parents, (F.col("parent_key") == F.col("_key")) & (F.col("depth") == F.col("_depth") + 1), "left").select(
         "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"

@@ -5,6 +5,8 @@ import random
 import re
 import zlib
 
+import pytest
+
 from clinloom.llm import trie
 from clinloom.llm.common import new_store
 
@@ -51,7 +53,13 @@ def conversations(n, seed=4):
     return [(c, t, draw.choice(["user", "assistant", None]) if draw.random() < 0.2 else "user", draw.choice(texts[: 2 + c % 5])) for c in range(n) for t in range(draw.randint(1, 5))]
 
 
-def test_nodes(spark):
+@pytest.fixture(params=[0, 60, 50_000])
+def turns(request, monkeypatch):
+    """Levels one by one, some together, all together."""
+    monkeypatch.setattr(trie, "BAND_TURNS", request.param)
+
+
+def test_nodes(spark, turns):
     rows = conversations(90)
     rows += [(c, None, "user", "first of all") for c in (3, 20, 45)] + [(7, 0, "user", "again")] * 2 + [(None, 0, "user", "nobody's")]
     rows += [(-3, 0, "user", "below zero"), (-20, 0, "user", "hello there"), (10**12 + 7, 4, None, None)]
@@ -64,7 +72,7 @@ def test_many_equal_conversations(spark, monkeypatch):
     assert found(spark, rows) == plain(rows)
 
 
-def test_a_long_conversation_and_its_beginnings(spark):
+def test_a_long_conversation_and_its_beginnings(spark, turns):
     rows = [(0, t, "user", f"word {t}") for t in range(25)] + [(20, t, "user", f"word {t}") for t in range(12)] + [(40, t, "user", f"word {t}") for t in range(25)]
     assert found(spark, rows) == plain(rows)
 
@@ -77,3 +85,10 @@ def test_no_conversations(spark):
 def test_role_and_text_do_not_run_together(spark):
     rows = [(0, 0, "ab", "c"), (20, 0, "a", "bc"), (40, 0, "ab", "c")]
     assert found(spark, rows) == plain(rows)
+
+
+def test_bands():
+    assert trie.bands({}, 10) == []
+    assert trie.bands({0: 1}, 10) == [(0, 0)]
+    assert trie.bands({2: 100, 9: 1}, 10) == [(9, 3), (2, 2), (1, 1), (0, 0)]
+    assert trie.bands({3: 2, 1: 50}, 4) == [(3, 2), (1, 1), (0, 0)]
