@@ -11,7 +11,7 @@ from clinloom import schemas as S
 from clinloom.operators import fieldmap, profile, rowcheck, vocab
 from clinloom.operators.quality import assert_unique
 from clinloom.plans.build import CdmBuild
-from clinloom.sinks.tables import append_tables, conform, ensure_schema, load_tables, replace_review, union_all
+from clinloom.sinks.tables import append_tables, change_tables, conform, ensure_schema, load_tables, own_review_rows, review_rows_to_add, union_all
 from clinloom.sources import files
 from clinloom.sources.catalog import TableCheck, require, resolve_sources, resolve_targets
 from clinloom.staging import StageStore
@@ -91,19 +91,21 @@ def convert(spark: SparkSession, schema: str = "dbo", review_table: str = S.REVI
             assert_unique(numbered.df, name, "Id")
         for name in ("encounters", "payers"):
             assert_unique(tables[name], name, "Id")
-        review = f"{schema}.{review_table}"
-        old = spark.table(review) if spark.catalog.tableExists(review) else spark.createDataFrame([], S.REVIEW)
-        # written aside first, because the review table is read and replaced
-        merged = store.save(replace_review(old, build.review(), store), review_table)
+        held = review_rows_to_add(review_of(spark, schema, review_table), build.review(), store)
         frames = {name: conform(build.table(name), S.TARGETS[name]) for name in S.TARGET_TABLES}
-        rows = load_tables({**frames, review_table: merged}, schema)
-        rows.pop(review_table)
-        held = spark.table(review).where(F.col("source_row_id").startswith(S.REVIEW_PREFIX)).count()
-        return RunReport(sources, targets, vocabularies, rows, held)
+        rows = change_tables(spark, schema, frames, {review_table: held}, {review_table: own_review_rows()})
+        return RunReport(sources, targets, vocabularies, {name: rows[name] for name in S.TARGET_TABLES}, rows[review_table])
     finally:
         store.drop()
 
 
+def review_of(spark: SparkSession, schema: str, review_table: str) -> DataFrame:
+    """The review table, made if there is none."""
+    if not spark.catalog.tableExists(f"`{schema}`.`{review_table}`"):
+        load_tables({review_table: spark.createDataFrame([], S.REVIEW)}, schema)
+    return spark.table(f"`{schema}`.`{review_table}`")
+
+
 def validate_proposals(proposals: DataFrame, concept: DataFrame, person: DataFrame, order_by: str, as_of: Column | None = None) -> dict[str, DataFrame]:
     """Concept checks, row checks, approved and review rows of proposed rows."""
     today = F.current_date() if as_of is None else as_of
@@ -141,19 +143,15 @@ def apply_validation(spark: SparkSession, results: dict[str, DataFrame], schema:
         held = rowcheck.review_rows(approved.where(~fits).withColumn("status", F.lit("review")).withColumn("reason", reason))
         review = store.save(results["review"].unionByName(held), "review")
         good = approved.where(fits)
-        present = {r["target_table"]: r["count"] for r in good.groupBy("target_table").count().collect()}
+        present = [r["target_table"] for r in good.select("target_table").distinct().collect()]
         rows = {
             table: good.where(F.col("target_table") == table).select(
                 *(F.try_element_at("values", F.lit(f.name)).cast(f.dataType).alias(f.name) for f in schemas[table].fields)
             )
             for table in present
         }
-        name = f"{schema}.{review_table}"
-        old = spark.table(name) if spark.catalog.tableExists(name) else spark.createDataFrame([], S.REVIEW)
-        merged = store.save(replace_review(old, review, store, prefix=None), review_table)
-        append_tables(rows, schema, {review_table: merged})
-        present[review_table] = review.count()
-        return present
+        added = review_rows_to_add(review_of(spark, schema, review_table), review, store, prefix=None)
+        return append_tables({**rows, review_table: added}, schema)
     finally:
         store.drop()
 

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-import uuid
+import re
 from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clinloom import schemas as S
-from clinloom.operators.ids import dense_ids
-from clinloom.staging import StageStore, delete_path, list_files, rename_path
+from clinloom.operators.ids import placed_ids
+from clinloom.sinks import journal
+from clinloom.staging import StageStore, walk_files
 
 
 def ensure_schema(spark: SparkSession, schema: str, location: str | None = None) -> None:
@@ -21,104 +22,117 @@ def ensure_schema(spark: SparkSession, schema: str, location: str | None = None)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`{place}")
 
 
-def load_tables(frames: Mapping[str, DataFrame], schema: str, workers: int = 4) -> dict[str, int]:
-    """Replace tables and return their numbers of rows. Either all of them change, or none does.
+def change_tables(
+    spark: SparkSession, schema: str, replace: Mapping[str, DataFrame] | None = None, append: Mapping[str, DataFrame] | None = None,
+    without: Mapping[str, Column] | None = None, workers: int = 4,
+) -> dict[str, int]:
+    """Replace tables and append to others; returns the rows written to each. Either all of them change, or none does.
 
-    Every frame is written to a new folder first. Only then the tables are
-    pointed there, one catalog call each, and on an error those already
-    switched are pointed back. The folders of the versions before go last.
+    ``without`` names rows that leave a table that is appended to. Only files
+    that hold such rows are replaced, the others stay as they are. Everything
+    is written beside the tables first; a journal then carries the change
+    through or back (see ``journal``), also after a lost driver. Rows are
+    counted while they are written.
     """
-    if not frames:
+    replace, append, without = dict(replace or {}), dict(append or {}), dict(without or {})
+    if both := replace.keys() & (append.keys() | without.keys()):
+        raise ValueError(f"Tables to replace and to append to: {', '.join(sorted(both))}")
+    touched = sorted(append.keys() | without.keys())
+    if not replace and not touched:
         return {}
-    spark = next(iter(frames.values())).sparkSession
-    written: dict[str, tuple[str, DataFrame]] = {}
-
-    def write(name: str) -> None:
-        path = f"{_location(spark, schema)}/{name}-{uuid.uuid4().hex}"
-        written[name] = path, frames[name]
-        frames[name].write.parquet(path)
-
-    before = {name: _described(spark, schema, name) for name in frames}
-    switched: list[str] = []
+    journal.refuse_unfinished(spark, schema, {*replace, *touched})
+    change = journal.Change(schema, [journal.table_step(spark, schema, name, df.schema) for name, df in replace.items()], owner=spark.sparkContext.applicationId)
+    homes = {name: _file_table(spark, schema, name) for name in touched}
+    beside = {name: f"{home['location']}/_aside-{change.id}" for name, home in homes.items()}
+    change.moved_tables, change.aside = touched, [*beside.values()]
+    kept_journal = journal.Journal(spark, change)
+    counted: dict[str, Observation] = {}
+
+    def write(df: DataFrame, name: str, path: str, home: dict[str, str] | None = None) -> None:
+        counted[name] = Observation()
+        writer = df.observe(counted[name], F.count(F.lit(1)).alias("rows")).write
+        if home:
+            writer = writer.format(home["provider"])
+            columns = [c.name for c in spark.catalog.listColumns(f"{schema}.{name}") if c.isPartition]
+            writer = writer.partitionBy(*columns) if columns else writer
+        else:
+            writer = writer.format("parquet")
+        writer.save(path)
+
+    kept_journal.enter("writing")
     try:
+        jobs = [(replace[step.name], step.name, step.new_path) for step in change.tables]
+        jobs += [(df, name, f"{beside[name]}/new", homes[name]) for name, df in append.items()]
         with ThreadPoolExecutor(workers) as pool:
-            list(pool.map(write, frames))
-        for name, (path, df) in written.items():
-            switched.append(name)
-            _point(spark, schema, name, path, df.schema)
+            list(pool.map(lambda job: write(*job), jobs))
+        for name, gone in without.items():
+            change.moves += _taken_out(spark, schema, name, gone, homes[name], beside[name])
+        for name in append:
+            change.moves += _moved_in(spark, f"{beside[name]}/new", homes[name]["location"])
+        kept_journal.enter("switching")
+        kept_journal.forward()
     except BaseException:
-        for name in switched:
-            if before[name]:
-                _point(spark, schema, name, *before[name])
-            else:
-                spark.sql(f"DROP TABLE IF EXISTS `{schema}`.`{name}`")
-        for path, _ in written.values():
-            delete_path(spark, path)
+        kept_journal.enter("undoing")
+        kept_journal.back()
+        kept_journal.clean(completed=False)
         raise
-    for name, old in before.items():
-        if old and old[0] != written[name][0]:
-            delete_path(spark, old[0])
-    return {name: spark.table(f"`{schema}`.`{name}`").count() for name in frames}
+    kept_journal.enter("done")
+    kept_journal.clean(completed=True)
+    return {name: counted[name].get["rows"] for name in (*replace, *append)}
 
 
-def load_table(df: DataFrame, schema: str, table: str) -> int:
-    """Replace a table and return its number of rows. Either all rows arrive or the old table stays."""
-    return load_tables({table: df}, schema)[table]
+def _file_table(spark: SparkSession, schema: str, table: str) -> dict[str, str]:
+    """Where and how a table keeps its files; only tables of plain files can be appended to as a whole."""
+    found = journal.described(spark, schema, table)
+    if found is None:
+        raise ValueError(f"Unknown target table: {table}")
+    if found["provider"] not in ("parquet", "orc"):
+        raise ValueError(f"{table} is kept as {found['provider'] or found['kind']}; rows can be appended to Parquet and ORC tables only.")
+    return {**found, "location": found["location"].rstrip("/")}
 
 
-def append_tables(frames: Mapping[str, DataFrame], schema: str, replaced: Mapping[str, DataFrame] | None = None) -> None:
-    """Append rows to tables, and replace others, all or nothing.
+def _moved_in(spark: SparkSession, folder: str, home: str) -> list[tuple[str, str]]:
+    """Moves of written files to the places they have in the table."""
+    top = _under(folder)
+    return [(path, f"{home}/{_under(path).removeprefix(top).lstrip('/')}") for path in walk_files(spark, folder)]
+
+
+def _under(path: str) -> str:
+    return re.sub(r"^[a-z0-9+.-]+:(//[^/]*)?", "", path)
 
-    The rows are written aside; their files are then moved into the tables'
-    folders, and taken out again if any later step fails.
-    """
-    spark = next(iter([*frames.values(), *(replaced or {}).values()])).sparkSession
-    aside = f"{_location(spark, schema)}/_appended-{uuid.uuid4().hex}"
-    moved: list[str] = []
-    try:
-        for name, df in frames.items():
-            df.write.parquet(f"{aside}/{name}")
-        for name in frames:
-            target = _described(spark, schema, name)[0]
-            for source in list_files(spark, f"{aside}/{name}", "part-*"):
-                moved.append(f"{target}/{source.rsplit('/', 1)[-1]}")
-                rename_path(spark, source, moved[-1])
-        if replaced:
-            load_tables(replaced, schema)
-    except BaseException:
-        for path in moved:
-            delete_path(spark, path)
-        raise
-    finally:
-        delete_path(spark, aside)
-        for name in frames:
-            spark.catalog.refreshTable(f"`{schema}`.`{name}`")
 
+def _taken_out(spark: SparkSession, schema: str, table: str, gone: Column, home: dict[str, str], beside: str) -> list[tuple[str, str]]:
+    """Moves that take the files with unwanted rows out, and those that bring their other rows back in."""
+    rows = spark.table(f"`{schema}`.`{table}`")
+    gone = F.coalesce(gone, F.lit(False))
+    names = [r["name"] for r in rows.where(gone).select(F.col("_metadata.file_name").alias("name")).distinct().collect()]  # one row a file
+    if not names:
+        return []
+    held = spark.createDataFrame([(n,) for n in names], "_name string")
+    rest = rows.withColumn("_file", F.col("_metadata.file_name")).join(F.broadcast(held), F.col("_file") == F.col("_name"), "left_semi").where(~gone)
+    columns = [c.name for c in spark.catalog.listColumns(f"{schema}.{table}") if c.isPartition]
+    writer = rest.drop("_file").write.format(home["provider"])
+    (writer.partitionBy(*columns) if columns else writer).save(f"{beside}/kept")
+    out = [(path, f"{beside}/out/{i}-{path.rsplit('/', 1)[-1]}") for i, path in enumerate(walk_files(spark, home["location"])) if path.rsplit("/", 1)[-1] in set(names)]
+    return [*out, *_moved_in(spark, f"{beside}/kept", home["location"])]
 
-def _location(spark: SparkSession, schema: str) -> str:
-    rows = spark.sql(f"DESCRIBE DATABASE `{schema}`").collect()
-    return next(r["info_value"] for r in rows if r["info_name"] == "Location").rstrip("/")
+
+def load_tables(frames: Mapping[str, DataFrame], schema: str, workers: int = 4) -> dict[str, int]:
+    """Replace tables and return their numbers of rows. Either all of them change, or none does."""
+    if not frames:
+        return {}
+    return change_tables(next(iter(frames.values())).sparkSession, schema, replace=frames, workers=workers)
 
 
-def _described(spark: SparkSession, schema: str, table: str) -> tuple[str, T.StructType] | None:
-    """Folder and columns of a table, if it exists."""
-    if not spark.catalog.tableExists(f"`{schema}`.`{table}`"):
-        return None
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED `{schema}`.`{table}`").collect()
-    return next(r["data_type"] for r in rows if r["col_name"] == "Location"), spark.table(f"`{schema}`.`{table}`").schema
+def load_table(df: DataFrame, schema: str, table: str) -> int:
+    """Replace a table and return its number of rows. Either all rows arrive or the old table stays."""
+    return load_tables({table: df}, schema)[table]
 
 
-def _point(spark: SparkSession, schema: str, table: str, path: str, columns: T.StructType) -> None:
-    """Let a table stand for the files of a folder. Tables are external, so dropping one deletes nothing."""
-    name = f"`{schema}`.`{table}`"
-    now = _described(spark, schema, table)
-    if now and [(f.name, f.dataType) for f in now[1]] == [(f.name, f.dataType) for f in columns]:
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
-    else:
-        if now:
-            spark.sql(f"DROP TABLE {name}")
-        spark.catalog.createTable(name, path=path, source="parquet", schema=columns)
-    spark.catalog.refreshTable(name)
+def append_tables(frames: Mapping[str, DataFrame], schema: str, replaced: Mapping[str, DataFrame] | None = None) -> dict[str, int]:
+    """Append rows to tables, and replace others, all or nothing; returns the rows written to each."""
+    spark = next(iter([*frames.values(), *(replaced or {}).values()])).sparkSession
+    return change_tables(spark, schema, replace=replaced, append=frames)
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -132,17 +146,25 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
-def replace_review(old: DataFrame, new: DataFrame, store: StageStore, prefix: str | None = S.REVIEW_PREFIX, now: Column | None = None) -> DataFrame:
-    """The review table after a run: own earlier rows out, new ones in, other rows untouched.
+def review_rows_to_add(old: DataFrame, new: DataFrame, store: StageStore, prefix: str | None = S.REVIEW_PREFIX, now: Column | None = None) -> DataFrame:
+    """New review rows, numbered after the highest id of the old ones that stay.
 
-    New rows are numbered after the highest id in use. Without a prefix all old
-    rows stay.
+    Any order of the ids will do, so they follow from the rows' places in the
+    written files: nothing is sorted or exchanged.
     """
-    kept = old if prefix is None else old.where(~F.coalesce(F.col("source_row_id").startswith(prefix), F.lit(False)))
-    highest = kept.agg(F.max("review_id")).head()[0] or 0
-    numbered = dense_ids(new, "review_id", ["target_table", "source_row_id"], store, first_id=highest + 1).df
-    stamped = numbered.withColumn("created_at_utc", F.current_timestamp() if now is None else now)
-    return kept.unionByName(conform(stamped, S.REVIEW))
+    highest = old.where(~own_review_rows(prefix)).agg(F.max("review_id")).head()[0] or 0
+    numbered = placed_ids(new, "review_id", store, first_id=highest + 1).df
+    return conform(numbered.withColumn("created_at_utc", F.current_timestamp() if now is None else now), S.REVIEW)
+
+
+def own_review_rows(prefix: str | None = S.REVIEW_PREFIX) -> Column:
+    """Review rows that an earlier run wrote; without a prefix none is."""
+    return F.lit(False) if prefix is None else F.coalesce(F.col("source_row_id").startswith(prefix), F.lit(False))
+
+
+def replace_review(old: DataFrame, new: DataFrame, store: StageStore, prefix: str | None = S.REVIEW_PREFIX, now: Column | None = None) -> DataFrame:
+    """The review table after a run: own earlier rows out, new ones in, other rows untouched."""
+    return old.where(~own_review_rows(prefix)).unionByName(review_rows_to_add(old, new, store, prefix, now))
 
 
 def empty_tables(spark: SparkSession, schema: str, tables: Iterable[str]) -> DataFrame:
@@ -154,10 +176,7 @@ def empty_tables(spark: SparkSession, schema: str, tables: Iterable[str]) -> Dat
             report.append((table, "skipped", 0, 0, "table not found"))
             continue
         before = spark.table(name).count()
-        load_table(spark.createDataFrame([], spark.table(name).schema), schema, table)
-        after = spark.table(name).count()
-        if after:
-            raise RuntimeError(f"{table} still contains {after} rows after truncation.")
+        after = load_table(spark.createDataFrame([], spark.table(name).schema), schema, table)
         report.append((table, "emptied", before, after, "table cleared"))
     return spark.createDataFrame(
         report, "table_name string, status string, rows_before long, rows_after long, reason string"

@@ -58,6 +58,7 @@ def list_files(spark: SparkSession, folder: str, pattern: str) -> list[str]:
 
 def rename_path(spark: SparkSession, source: str, target: str) -> None:
     path, files = _hadoop(spark, source)
+    files.mkdirs(_hadoop(spark, target)[0].getParent())
     if not files.rename(path, _hadoop(spark, target)[0]):
         raise OSError(f"{source} could not be moved to {target}.")
 
@@ -65,3 +66,37 @@ def rename_path(spark: SparkSession, source: str, target: str) -> None:
 def delete_path(spark: SparkSession, path: str) -> None:
     target, files = _hadoop(spark, path)
     files.delete(target, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target, files = _hadoop(spark, path)
+    return files.exists(target)
+
+
+def walk_files(spark: SparkSession, folder: str) -> list[str]:
+    """All files below a folder, but those of hidden names."""
+    target, files = _hadoop(spark, folder)
+    found, rest = [], files.listFiles(target, True)
+    while rest.hasNext():
+        path = rest.next().getPath().toString()
+        if not any(part[:1] in "._" for part in path.removeprefix(target.toString()).rstrip("/").split("/")[1:]):
+            found.append(path)
+    return found
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    target, files = _hadoop(spark, path)
+    out = files.create(target, True)
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    target, files = _hadoop(spark, path)
+    source = files.open(target)
+    try:
+        return bytes(source.readAllBytes()).decode("utf-8")
+    finally:
+        source.close()

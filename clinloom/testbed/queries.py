@@ -15,6 +15,7 @@ from clinloom.operators import fieldmap, profile, quality, rowcheck, vocab
 from clinloom.operators.ids import dense_ids
 from clinloom.plans import payer, run, visits
 from clinloom.plans.build import CdmBuild, table_counts
+from clinloom.sinks import journal
 from clinloom.sinks import tables as sinks
 from clinloom.sources import catalog, files
 from clinloom.testbed import oracles as O
@@ -923,14 +924,19 @@ def _review_replace(spark: SparkSession, sf: str) -> DataFrame:
         ))
     )
     old = sinks.conform(old.withColumn("target_table", F.lit("death")).withColumn("review_reason", F.lit("old")), S.REVIEW)
-    return sinks.replace_review(old, build.review(), build.store).drop("created_at_utc")
+    merged = build.store.save(sinks.replace_review(old, build.review(), build.store).drop("created_at_utc"), "review-merged")
+    is_new = F.col("review_reason") != "old"
+    ids = merged.where(is_new).agg(*(f("review_id").cast("string").alias(n) for n, f in (("low", F.min), ("high", F.max), ("n", F.countDistinct))))
+    summary = ids.select(F.lit(None).cast("long").alias("review_id"), F.lit("new ids").alias("target_table"), F.col("low").alias("source_row_id"), F.col("high").alias("review_status"), F.col("n").alias("review_reason"), F.lit(None).cast("string").alias("payload_json"))
+    return merged.withColumn("review_id", F.when(~is_new, F.col("review_id"))).unionByName(summary)
 
 
 query(
     "review_replace_prefix",
     """SELECT person_id AS review_id, 'death' AS target_table, 'manual:' || source_row_id AS source_row_id, NULL AS review_status, 'old' AS review_reason, NULL AS payload_json FROM o_death
-    UNION ALL SELECT row_number() OVER (ORDER BY target_table, source_row_id, review_status, review_reason, payload_json) + (SELECT max(person_id) FROM o_death),
-    target_table, source_row_id, review_status, review_reason, payload_json FROM o_review""",
+    UNION ALL SELECT NULL, target_table, source_row_id, review_status, review_reason, payload_json FROM o_review
+    UNION ALL SELECT NULL, 'new ids', CAST(top + 1 AS VARCHAR), CAST(top + n AS VARCHAR), CAST(n AS VARCHAR), NULL
+    FROM (SELECT max(person_id) AS top FROM o_death), (SELECT count(*) AS n FROM o_review)""",
 )(_review_replace)
 
 
@@ -1041,27 +1047,62 @@ query("apply_validation", f"""SELECT target_table AS table_name, count(*) AS row
 
 
 def _rollback_load(spark: SparkSession, sf: str) -> DataFrame:
-    """Tables whose replacement fails halfway keep their rows; so does the one that would have been fine."""
+    """Tables whose change fails halfway keep their rows, whoever made them; one whose driver is lost is completed by the next.
+
+    ``care_site`` is external, ``person`` managed by the catalog. The failing
+    changes break while writing, in the middle of the switches of tables with
+    other columns, and after files were appended. In the last one nothing runs
+    any more after the first of two switches.
+    """
     database = _database(spark, sf, "rollback")
     build = shared_build(spark, sf)
-    tables = {"person": build.table("person"), "care_site": build.table("care_site")}
-    sinks.load_tables(tables, database)
-    broken = build.table("person").withColumn("person_id", F.when(F.col("person_id") > 1, F.raise_error(F.lit("broken"))).cast("long"))
+    person, care_site = build.table("person"), build.table("care_site")
+    sinks.load_tables({"care_site": care_site, "provider": build.table("provider")}, database)
+    spark.sql(f"DROP TABLE IF EXISTS {database}.person")
+    person.write.saveAsTable(f"{database}.person")
+    broken = person.withColumn("person_id", F.when(F.col("person_id") > 1, F.raise_error(F.lit("broken"))).cast("long"))
+    unlike = person.limit(0).withColumn("more", F.lit(1))
+    taken = spark.createDataFrame([(1,)], "x int")
     for failing in (
-        lambda: sinks.load_tables({"care_site": build.table("care_site").limit(0), "person": broken}, database),
-        lambda: sinks.append_tables({"care_site": build.table("care_site")}, database, {"person": broken}),
+        lambda: sinks.load_tables({"care_site": care_site.limit(0), "person": broken}, database),
+        lambda: sinks.append_tables({"care_site": care_site}, database, {"person": broken}),
+        lambda: _without_catalog("provider", lambda: sinks.load_tables({"person": unlike, "care_site": taken, "provider": taken}, database)),
+        lambda: _without_catalog("provider", lambda: sinks.append_tables({"person": person}, database, {"provider": taken})),
     ):
         try:
             failing()
         except Exception:  # noqa: BLE001 - the failure is the point
             continue
         raise AssertionError("the load should have failed")
+    lost = journal.Change(database, [journal.table_step(spark, database, t, unlike.schema) for t in ("provider", "death")])
+    for step in lost.tables:
+        person.withColumn("more", F.lit(1)).write.parquet(step.new_path)
+    journal.Journal(spark, lost).enter("switching")
+    journal.switch(spark, database, lost.tables[0])
+    journal.recover(spark, database)
+    names = {"person": "person_id", "care_site": "care_site_id", "provider": "person_id", "death": "person_id"}
     return sinks.union_all([
-        spark.table(f"{database}.{t}").agg(F.count("*").alias("rows"), F.sum(f"{t}_id").alias("id_sum")).select(F.lit(t).alias("table_name"), "rows", "id_sum") for t in tables
+        spark.table(f"{database}.{t}").agg(F.count("*").alias("rows"), F.sum(c).alias("id_sum")).select(F.lit(t).alias("table_name"), "rows", "id_sum") for t, c in names.items()
     ])
 
 
-query("rollback_load", " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS rows, CAST(sum({t}_id) AS BIGINT) AS id_sum FROM t_{t}" for t in ("person", "care_site")))(_rollback_load)
+def _without_catalog(table: str, load) -> None:
+    """Run a load during which the catalog refuses to switch one table."""
+    real = journal.switch
+
+    def refusing(spark: SparkSession, schema: str, step: journal.TableStep) -> None:
+        if step.name == table:
+            raise RuntimeError("no catalog")
+        real(spark, schema, step)
+
+    journal.switch = refusing
+    try:
+        load()
+    finally:
+        journal.switch = real
+
+
+query("rollback_load", " UNION ALL ".join(f"SELECT '{name}' AS table_name, count(*) AS rows, CAST(sum({t}_id) AS BIGINT) AS id_sum FROM t_{t}" for name, t in (("person", "person"), ("care_site", "care_site"), ("provider", "person"), ("death", "person"))))(_rollback_load)
 
 
 def _profile_report(spark: SparkSession, sf: str) -> DataFrame:

@@ -48,3 +48,13 @@ def test_no_single_task_sort(store, skewed):
 def test_empty_input_and_first_id(store, skewed):
     assert dense_ids(skewed.where("false"), "id", ["k"], store).rows == 0
     assert dense_ids(skewed.limit(3), "id", ["k"], store, first_id=11).df.agg(F.min("id"), F.max("id")).head()[0:2] == (11, 13)
+
+
+def test_ids_by_place_need_no_exchange(spark, store):
+    from clinloom.operators.ids import placed_ids
+
+    numbered = placed_ids(spark.range(100).repartition(5).selectExpr("id AS v"), "number", store, first_id=11)
+    assert numbered.rows == 100 and sorted(r["number"] for r in numbered.df.collect()) == list(range(11, 111))
+    assert sorted(r["v"] for r in numbered.df.collect()) == list(range(100))
+    assert "Exchange hashpartitioning" not in numbered.df._jdf.queryExecution().toString() and "rangepartitioning" not in numbered.df._jdf.queryExecution().toString()
+    assert placed_ids(spark.createDataFrame([], "v long"), "number", store).df.collect() == []
