@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import ctypes
+import gc
 import os
 from collections.abc import Iterator, Sequence
 from pathlib import Path
@@ -23,8 +24,9 @@ CHUNK_BYTES = 2 << 20
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
-#: Rows of an Arrow batch at most: rows hold whole texts, and a batch is in memory several times.
+#: Rows and bytes of an Arrow batch at most: rows hold whole texts, and a batch is in memory several times.
 BATCH_ROWS = 2000
+BATCH_BYTES = 4 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -33,10 +35,16 @@ def small_batches(spark: SparkSession) -> None:
     known = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in known:
         env["PYTHONPATH"] = os.pathsep.join([root, *known])
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(key))
-    if now <= 0 or now > BATCH_ROWS:
-        spark.conf.set(key, BATCH_ROWS)
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = int(spark.conf.get(key).removesuffix("b"))
+        if now <= 0 or now > most:
+            spark.conf.set(key, most)
+
+
+def release(spark: SparkSession) -> None:
+    """Let go of what finished jobs left: Spark removes shuffle files and broadcasts when the driver collects what stood for them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def new_store(spark: SparkSession) -> StageStore:
@@ -86,6 +94,15 @@ def give_back() -> None:
         pass
 
 
+#: White space other than the space and the line feed, one character each.
+OTHER_SPACE = r"[\t\v\f\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
+
+def plain_space(texts: pa.Array) -> pa.Array:
+    """Texts with spaces for all other white space but line feeds; every character keeps its place."""
+    return pc.replace_substring_regex(texts, OTHER_SPACE, " ")
+
+
 def byte_rows(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All UTF-8 bytes of a string column in one array, and each row's end in it (null: empty)."""
     column = pc.fill_null(column.cast(pa.large_binary()) if pa.types.is_large_string(column.type) else column.cast(pa.binary()), b"")

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinloom.llm.common import GOLDEN, chunks, distinct_rows, mix, shuffle_width, small_side, word_hashes
+from clinloom.llm.common import GOLDEN, chunks, distinct_rows, mix, release, shuffle_width, small_side, word_hashes
 from clinloom.llm.components import components
 from clinloom.llm.fields import PACKED, Field
 from clinloom.operators.lookups import lookup_side
@@ -460,6 +460,9 @@ def near_duplicates(documents: DataFrame, store: StageStore) -> DataFrame:
     if sets.filter(F.col("node").isNotNull()).groupBy("key", "node").count().filter("count > 1").limit(1).count():
         segments = segments.dropDuplicates(["idx", "fragment"])  # rows that repeat id and text
     segments = store.save(segments, "segments")
+    for name in ("shared", "wanted", "pair-nodes"):
+        store.remove(name)
+    release(spark)
     sizes = store.save(segments.filter("fragment = 0").select("idx", "n", "sizes"), "sizes")
     # stars first, then what they leave apart
     found = tried = labels = None
@@ -470,6 +473,11 @@ def near_duplicates(documents: DataFrame, store: StageStore) -> DataFrame:
         found = more if found is None else found.unionByName(more)
         tried = pairs if tried is None else tried.unionByName(pairs)
         labels = components(found, store)
+        for name in ("labelled", "sized-pairs", "alive-pairs", "pair-nodes", "large-star", "small-star"):
+            store.remove(name)
+        release(spark)
+    for name in ("entries", "segments", "sizes", "pairs", "links"):
+        store.remove(name)
     # back to documents: nodes of a component, and documents of a node
     placed = nodes.select("idx", "node", "key").join(labels.withColumnRenamed("node", "idx"), "idx", "left")
     placed = store.save(placed.select("node", "key", F.coalesce("component", "idx").alias("component")), "placed")

@@ -11,12 +11,13 @@ again after its numbers and names were exchanged. The values in the slots tell
 such a question from chance: along one alignment, an item's value stands for
 one value of the document, the one it has in most places. If half of the slots
 agree with that, or hold the item's own value, all windows of the alignment
-count; if fewer do, the windows without a deviating slot still count. With
-``strict`` one deviating slot drops the alignment.
-
+count; if fewer do, the windows without a deviating slot still count.
 A document is contaminated by an item if consistent windows cover a run of it
-(``MIN_WINDOWS``), or all of a shorter item. Windows need four real words, so
-shorter items match nothing. Before the join, documents only drop windows that
+(``MIN_WINDOWS``), or all of a shorter item. Windows that many items hold, as
+those of a common instruction, tell nothing about one of them and do not count,
+unless an item has no others. Windows need four real words; an item without
+such a window, as one of numbers, is looked for word for word, if it has
+``MIN_WORDS`` words of any kind. Before the join, documents only drop windows that
 no item has, by a bit field of fixed size.
 
 Null and empty texts match nothing. Rows that repeat a document id are judged
@@ -29,7 +30,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinloom.llm.common import GOLDEN, WordCache, chunks, mix, small_side, split_words
+from clinloom.llm.common import GOLDEN, WordCache, chunks, mix, plain_space, small_side, split_words
 from clinloom.staging import StageStore
 
 WINDOW = 8
@@ -49,6 +50,10 @@ FIELD_BITS = 23
 BLOCK_READINGS = 1 << 20
 #: Share of an alignment's slots that have to agree for all its windows to count.
 AGREE = 0.5
+#: Items that may hold a window for it to tell something about each of them.
+OWN_ITEMS = 10
+#: Sets windows of words as they are written apart from canonical ones.
+LITERAL = np.uint64(0x5851F42D4C957F2D)
 
 EDGES = "\"'`()[]{}<>*_~#&@.,;:!?¡¿…“”‘’«»–—/\\|+=-"
 NUMBER = re.compile(r"[$€£]?\d[\d.,:/]*(?:%|st|nd|rd|th)?")
@@ -99,7 +104,7 @@ class Windows:
     """Hashes of the canonical windows of a chunk of texts, and the values in their slots."""
 
     def __init__(self, texts: pa.Array, cache: WordCache):
-        distinct, number, text_ends = split_words(pc.replace_substring(texts, "\n", " \n "))
+        distinct, number, text_ends = split_words(pc.replace_substring(plain_space(pc.fill_null(texts, "")), "\n", " \n "))
         cache.shrink()
         forms = [cache[w] for w in distinct]
         kind = np.array([f[0] for f in forms], np.int8)[number]
@@ -117,6 +122,7 @@ class Windows:
         real = kind != EMPTY
         kind, word, self.text, self.either = kind[real], value[real], text[real], either[real]
         self.value = np.where(owner != 0, owner, value)[real]
+        self.written = word
         number_before = np.zeros(len(kind), bool)
         number_before[1:] = (kind[:-1] == NUM) & (self.text[1:] == self.text[:-1])
         kind[(kind == UNIT) & ~number_before] = WORD
@@ -155,6 +161,15 @@ class Windows:
         for a, b in zip(cuts, cuts[1:]):
             yield self._readings(at[a:b], words[a:b], total_at[a:b], flipped[a:b], weight)
 
+    def literal(self, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As ``hashes``, of the words as they are written."""
+        n = max(0, len(self.written) - length + 1)
+        total = np.full(n, LITERAL, np.uint64)
+        for j in range(length):
+            total = total * GOLDEN + self.written[j : j + n]
+        at = np.flatnonzero(self.text[:n] == self.text[length - 1 :]) if n else np.zeros(0, np.int64)
+        return at, np.zeros(len(at), np.uint8), mix(total[at])
+
     def _readings(self, at, words, total, flipped, weight) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """These windows and those in which words are names that may be; a name does not count as a real word."""
         for j, w in enumerate(weight):
@@ -179,8 +194,20 @@ def _rows(ids: pa.Array, windows: Windows, at: np.ndarray, flipped: np.ndarray,
     )
 
 
+def _item_rows(ids: pa.Array, windows: Windows, at: np.ndarray, flipped: np.ndarray, hashes: np.ndarray, length: int, literal: bool) -> pa.RecordBatch:
+    if literal:  # the words stand for themselves, there are no slots
+        text, slots, places = windows.text[at], [[]] * len(at), [[]] * len(at)
+        rows = [ids.take(pa.array(text)), pa.array(at - windows.first[text], pa.int64()), pa.array(hashes.view(np.int64)), pa.array(slots, pa.list_(pa.int64()))]
+    else:
+        first = windows.first[windows.text[at]]
+        rows = _rows(ids, windows, at, flipped, hashes, length, "item_id").columns
+        places = [(windows.places(a, length, f) - b).tolist() for a, f, b in zip(at, flipped, first)]
+    more = [pa.array(np.full(len(at), length)), pa.array(flipped == 0), pa.array(places, pa.list_(pa.int64())), pa.array(np.full(len(at), literal))]
+    return pa.RecordBatch.from_arrays([*rows, *more], names=["item_id", "pos", "hash", "slots", "length", "plain", "places", "literal"])
+
+
 def item_windows(benchmark: DataFrame) -> DataFrame:
-    """item_id, pos, hash, slots, length, whether it is the plain reading, and the slots' places of every window.
+    """item_id, pos, hash, slots, length, whether it is the plain reading, the slots' places, and whether it is literal, of every window.
 
     An item of fewer words is one window.
     """
@@ -189,39 +216,50 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
         cache = WordCache(word_form)
         for batch in chunks(batches):
             windows = Windows(batch.column("text"), cache)
-            sizes = np.diff(windows.first)
+            sizes, found = np.diff(windows.first), np.zeros(batch.num_rows, bool)
             for length in range(1, WINDOW + 1):
                 for at, flipped, hashes in windows.hashes(length):
                     if length < WINDOW:
                         own = sizes[windows.text[at]] == length
                         at, flipped, hashes = at[own], flipped[own], hashes[own]
+                    found[windows.text[at]] = True
                     if len(at):
-                        rows = _rows(batch.column("item_id"), windows, at, flipped, hashes, length, "item_id")
-                        first = windows.first[windows.text[at]]
-                        places = [(windows.places(a, length, f) - b).tolist() for a, f, b in zip(at, flipped, first)]
-                        more = [pa.array(np.full(len(at), length)), pa.array(flipped == 0), pa.array(places, pa.list_(pa.int64()))]
-                        yield pa.RecordBatch.from_arrays([*rows.columns, *more], names=[*rows.schema.names, "length", "plain", "places"])
+                        yield _item_rows(batch.column("item_id"), windows, at, flipped, hashes, length, False)
+            for length in range(MIN_WORDS, WINDOW + 1):
+                at, flipped, hashes = windows.literal(length)
+                own = ~found[windows.text[at]] & ((sizes[windows.text[at]] == length) | (length == WINDOW))
+                if own.any():
+                    yield _item_rows(batch.column("item_id"), windows, at[own], flipped[own], hashes[own], length, True)
 
     found = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").mapInArrow(
-        run, "item_id long, pos long, hash long, slots array<long>, length long, plain boolean, places array<long>"
+        run, "item_id long, pos long, hash long, slots array<long>, length long, plain boolean, places array<long>, literal boolean"
     )
     return found.dropDuplicates(["item_id", "pos", "hash"])
 
 
-def document_windows(documents: DataFrame, field: bytes, lengths: list[int]) -> DataFrame:
+def document_windows(documents: DataFrame, field: bytes, lengths: list[int], literal: Sequence[int] = ()) -> DataFrame:
     """doc_id, pos, hash and slots of the windows whose bit is set."""
     shared = documents.sparkSession.sparkContext.broadcast(field)
 
+    def has(bits, hashes):
+        bit = hashes >> np.uint64(64 - FIELD_BITS)
+        return (bits[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
+
     def run(batches):
         bits, cache = np.frombuffer(shared.value, "<u8"), WordCache(word_form)
         for batch in chunks(batches):
             windows = Windows(batch.column("text"), cache)
             for length in lengths:
                 for at, flipped, hashes in windows.hashes(length, inner=True):
-                    bit = hashes >> np.uint64(64 - FIELD_BITS)
-                    known = (bits[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
+                    known = has(bits, hashes)
                     if known.any():
                         yield _rows(batch.column("doc_id"), windows, at[known], flipped[known], hashes[known], length, "doc_id")
+            for length in literal:
+                at, flipped, hashes = windows.literal(length)
+                known = has(bits, hashes)
+                if known.any():
+                    rows = _item_rows(batch.column("doc_id"), windows, at[known], flipped[known], hashes[known], length, True)
+                    yield pa.RecordBatch.from_arrays(rows.columns[:4], names=["doc_id", "pos", "hash", "slots"])
 
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         run, "doc_id long, pos long, hash long, slots array<long>"
@@ -238,47 +276,48 @@ def _bit_field(items: DataFrame) -> bytes:
     return field.tobytes()
 
 
-def counted(windows: list[dict], strict: bool) -> tuple[list[int], int]:
+def counted(windows: list[dict]) -> tuple[list[int], int]:
     """Where in the item the windows of one alignment are that count, and how many different slots those hold."""
     slots = [set(zip(w["places"], w["item_slots"], w["slots"])) for w in windows]
     pairs = set().union(*slots)
     held = Counter((own, value) for _, own, value in pairs)
-    # a second reading must not drop what the plain one finds
-    plain = {x[1:] for w, found in zip(windows, slots) if w["plain"] for x in found} if strict else set()
-    if len({own for own, _ in plain}) < len(plain):
-        return [], 0
-    partner = {own: value for own, value in sorted(held, key=lambda x: (x in plain, held[x], x[0] == x[1], x[1]))}
+    partner = {own: value for own, value in sorted(held, key=lambda x: (held[x], x[0] == x[1], x[1]))}
     apart = {x for x in pairs if x[2] not in (x[1], partner[x[1]])}
-    if len(apart) > (0 if strict else (1 - AGREE) * len(pairs)):
+    if len(apart) > (1 - AGREE) * len(pairs):
         windows = [w for w, x in zip(windows, slots) if not x & apart]
         slots = [x for x in slots if not x & apart]
     return sorted({w["item_pos"] for w in windows}), len({x[1:] for x in set().union(*slots)})
 
 
-def _aligned(batches, strict: bool):
+def _aligned(batches):
     for batch in batches:
-        found = [counted(w, strict) for w in batch.column("windows").to_pylist()]
+        found = [counted(w) for w in batch.column("windows").to_pylist()]
         kept = pa.array([bool(places) for places, _ in found], pa.bool_())
         columns = [batch.column(k) for k in ("doc_id", "item_id", "item_windows")]
         columns += [pa.array([x[0] for x in found], pa.list_(pa.int64())), pa.array([x[1] for x in found], pa.int32())]
         yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "item_id", "item_windows", "places", "slots"]).filter(kept)
 
 
-def contaminated(documents: DataFrame, benchmark: DataFrame, store: StageStore, strict: bool = True) -> DataFrame:
+def contaminated(documents: DataFrame, benchmark: DataFrame, store: StageStore) -> DataFrame:
     """(doc_id, item_id, hits, item_windows, slots) for every document that holds an item or a long run of it."""
     items = store.save(item_windows(benchmark), "item-windows")
-    totals = items.groupBy(F.col("item_id").alias("_item")).agg(F.countDistinct("pos").alias("item_windows"))
-    lengths = sorted(row["length"] for row in items.select("length").distinct().collect())
-    found = store.save(document_windows(documents, _bit_field(items), lengths), "document-windows")
-    side = items.join(totals, F.col("item_id").eqNullSafe(F.col("_item"))).select(
-        "item_id", "item_windows", F.col("pos").alias("item_pos"), "hash", "plain", "places", F.col("slots").alias("item_slots")
+    by_hash = items.groupBy(F.col("hash").alias("_hash")).agg(F.countDistinct(F.coalesce("item_id", F.lit(-(1 << 63)))).alias("_items"))
+    items = items.join(by_hash, F.col("hash") == F.col("_hash")).withColumn("_own", F.col("_items") <= OWN_ITEMS)
+    totals = items.groupBy(F.col("item_id").alias("_item")).agg(
+        F.countDistinct(F.when(F.col("_own"), F.col("pos"))).alias("_own_windows"), F.countDistinct("pos").alias("_windows")
     )
+    items = items.join(totals, F.col("item_id").eqNullSafe(F.col("_item"))).filter(F.col("_own") | (F.col("_own_windows") == 0))
+    items = items.withColumn("item_windows", F.when(F.col("_own_windows") > 0, F.col("_own_windows")).otherwise(F.col("_windows")))
+    items = store.save(items.drop("_hash", "_items", "_own", "_item", "_own_windows", "_windows"), "own-windows")
+    lengths = {kind: sorted(r["length"] for r in items.filter(F.col("literal") == kind).select("length").distinct().collect()) for kind in (False, True)}
+    found = store.save(document_windows(documents, _bit_field(items), lengths[False], lengths[True]), "document-windows")
+    side = items.select("item_id", "item_windows", F.col("pos").alias("item_pos"), "hash", "plain", "places", F.col("slots").alias("item_slots"))
     side = small_side(store.save(side, "items"))
     aligned = (
         found.join(side, "hash")
         .groupBy("doc_id", "item_id", "item_windows", (F.col("pos") - F.col("item_pos")).alias("shift"))
         .agg(F.collect_set(F.struct("item_pos", "plain", "places", "item_slots", "slots")).alias("windows"))
-        .mapInArrow(lambda batches: _aligned(batches, strict), "doc_id long, item_id long, item_windows long, places array<long>, slots int")
+        .mapInArrow(_aligned, "doc_id long, item_id long, item_windows long, places array<long>, slots int")
     )
     return (
         aligned.groupBy("doc_id", "item_id", "item_windows")

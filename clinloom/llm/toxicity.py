@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clinloom.llm import labelled
-from clinloom.llm.common import chunks
+from clinloom.llm.common import chunks, plain_space
 
 FEATURES = 1 << 18
 SENTENCE_WORDS = 64
@@ -164,7 +164,7 @@ def train(y: list[int], texts: list[str], counts: dict[int, int]) -> bytes:
     share = np.array([weight[v] for v in y])
     share *= len(y) / share.sum()
     cache = Words(packed_features)
-    word, sentence, document = _parse_blocks(texts, cache)
+    word, sentence, document = _parse_blocks(plain_space(pa.array(texts)).to_pylist(), cache)
     # the features of one word after the other
     of_feature = np.frombuffer(b"".join(cache.values), "<u4")
     start = np.concatenate([[0], np.cumsum([len(f) // 4 for f in cache.values])]).astype(np.int64)
@@ -202,7 +202,7 @@ def fit(documents: DataFrame, labels: DataFrame, learn) -> bytes:
 
 
 def _scored(batch: pa.RecordBatch, own: Model, cache: Words) -> tuple:
-    rows, word, sentence, document = _parse(batch.column("text").to_pylist(), cache)
+    rows, word, sentence, document = _parse(plain_space(batch.column("text")).to_pylist(), cache)
     p = own.sentences(np.array(cache.values)[word], sentence, len(document)) if len(document) else np.zeros(0)
     score = noisy_or(p, document, len(rows)) if len(document) else np.zeros(len(rows))
     return rows, sentence, document, p, score

@@ -103,7 +103,7 @@ def test_questions_with_other_numbers_and_names_are_found(spark):
         (3, inconsistent), (4, around), (5, " ".join(QUESTION.split()[:16])), (6, " ".join(QUESTION.split()[:9])), (7, None), (8, ""),
         (9, QUESTION.replace("apples", "pears").replace("eats", "sells")), (10, QUESTION), (10, around), (None, QUESTION),
     ]
-    assert leaks(spark, docs) == {(1, 1), (2, 1), (5, 1), (10, 1), (None, 1)}
+    assert leaks(spark, docs) == {(1, 1), (2, 1), (3, 1), (5, 1), (10, 1), (None, 1)}
 
 
 def test_odd_items(spark, odd):
@@ -116,6 +116,26 @@ def test_odd_items(spark, odd):
     assert templates.without_contaminated(odd, found).columns == odd.columns
 
 
+def test_any_white_space_and_items_of_numbers(spark):
+    numbers, few = "12 + 7 = 19 and 30 - 4 = 26 so 19 + 26 = 45", "3 5 8 13"
+    items = [(1, QUESTION), (2, numbers), (3, few), (4, "7 9"), (5, "1 2 3 4 5 6 7 8 9 10 11 12")]
+    docs = [
+        (1, QUESTION.replace(" ", "\t")), (2, QUESTION.replace(" ", "\u00a0")), (3, "x\u2003" + QUESTION.replace(" ", "\r\n")), (4, "see " + numbers + " here"),
+        (5, numbers.replace(" ", "\t")), (6, "the row 3 5 8 13 21"), (7, "3 5 8 14"), (8, "7 9"), (9, "count 1 2 3 4 5 6 7 8 9 10 11 12 now"),
+        (10, "1 2 3 4 5 6 7 8"), (11, "9 8 7 6 5 4 3 2 1 0 9 8"),
+    ]
+    assert leaks(spark, docs, items) == {(1, 1), (2, 1), (3, 1), (4, 2), (5, 2), (6, 3), (9, 5)}
+
+
+def test_an_instruction_of_many_items_is_no_leak(spark):
+    instruction = "please read the following question with care and then choose the one answer that fits best of all given"
+    items = [(i, f"{instruction} {prose(20, 500 + i)}") for i in range(30)]
+    docs = [(i, f"{prose(30, 900 + i)} {instruction} {prose(30, 950 + i)}") for i in range(20)] + [(100, items[7][1]), (101, "so " + items[9][1] + " " + prose(9, 1))]
+    assert leaks(spark, docs, items) == {(100, 7), (101, 9)}
+    same = [(i, QUESTION) for i in range(30)]  # nothing but common windows
+    assert leaks(spark, [(1, QUESTION)], same) == {(1, i) for i in range(30)}
+
+
 def test_word_forms():
     kinds = [templates.word_form(w)[0] for w in ("1,200", "$5", "seven", "kg", "5kg", "Anna", "McX", "the", "--", "\n")]
     T = templates
@@ -127,7 +147,7 @@ def test_word_forms():
 def all_leaks(spark, docs, items):
     """As op9_template_leaks and the pipeline judge."""
     found = templates.contaminated(
-        spark.createDataFrame(docs, DOCS), spark.createDataFrame(list(items), "item_id long, text string"), new_store(spark), strict=False
+        spark.createDataFrame(docs, DOCS), spark.createDataFrame(list(items), "item_id long, text string"), new_store(spark)
     )
     return {(r["doc_id"], r["item_id"]) for r in found.collect()}
 
@@ -150,9 +170,9 @@ def test_windows_without_a_deviating_slot_count():
 
     scattered = [window(0, (1, 7, 1), (2, 7, 2), (3, 7, 3)), window(1, (2, 7, 2), (3, 7, 3)), window(9, (9, 8, 8)), window(10)]
     scattered += [window(2, (3, 7, 3), (4, 7, 4), (5, 7, 5))]
-    assert templates.counted(scattered, strict=False)[0] == [9, 10] and templates.counted(scattered, strict=True) == ([], 0)
+    assert templates.counted(scattered)[0] == [9, 10]
     agreeing = [window(0, (1, 7, 5), (2, 7, 5)), window(1, (2, 7, 5), (3, 7, 6))]
-    assert templates.counted(agreeing, strict=False) == ([0, 1], 2)
+    assert templates.counted(agreeing) == ([0, 1], 2)
 
 
 def test_names_and_words_where_a_sentence_begins(spark):
@@ -175,6 +195,18 @@ def test_names_and_words_where_a_sentence_begins(spark):
     assert len(whole[0]) == 53 * 163  # every choice of up to four names among eight words
 
 
+def test_toxic_words_between_any_white_space(spark):
+    import pickle
+
+    weights = np.zeros(toxicity.FEATURES)
+    weights[toxicity.features("vile")] = 3.0
+    model = pickle.dumps(toxicity.Model(weights, -5.0))
+    texts = ["so vile here", "so\tvile\there", "so\u00a0vile\u2003here", "so\r\nvile\x0bhere", "\u3000vile\u2028", "so fine\there"]
+    rows = toxicity.score_documents(spark.createDataFrame(list(enumerate(texts)), DOCS), model).orderBy("doc_id").collect()
+    assert [r["score"] > 0.7 for r in rows] == [True] * 5 + [False]
+    assert [texts[i][r["sentences"][0]["start"] : r["sentences"][0]["end"]].split() for i, r in enumerate(rows[:3])] == [["so", "vile", "here"]] * 3
+
+
 def test_all_offending_sentences_are_returned(spark):
     import pickle
 

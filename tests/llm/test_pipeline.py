@@ -5,6 +5,7 @@ import re
 import corpus_pipeline as pipeline
 from clinloom.llm.common import new_store
 
+from .conftest import prose
 from .test_duplicates import brute_components
 
 FOLDER = "/root/testdata/sf0.001"
@@ -46,3 +47,16 @@ def test_odd_and_no_documents(spark, odd, nothing):
                 assert out.columns == given.columns
             docs = out
         assert (docs.count() > 0) == (given.count() > 0)
+
+
+def test_near_copies_go_row_by_row(spark):
+    """Null and repeated ids: a row goes only if a near copy of its own text stays."""
+    base, other, third = (prose(60, seed) for seed in (1, 2, 3))
+    rows = [
+        (1, base, "a"), (None, base, "b"), (None, other, "c"), (None, third, "d"), (5, other + " x", "e"), (5, prose(60, 4), "f"), (5, prose(60, 4), "g"),
+        (7, base.upper(), "h"), (8, None, "i"), (8, None, "j"), (9, "", "k"), (10, "one two", "l"), (11, "ONE  two", "m"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row string").repartition(4).withColumnRenamed("_row", "source")
+    kept = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["source"]) for r in pipeline.near_duplicate_stage(spark, docs, FOLDER).collect())
+    wanted = {"a", "d", "e", "i", "j", "k", "l"}
+    assert {k[2] for k in kept} - {"f", "g"} == wanted and len({k[2] for k in kept} & {"f", "g"}) == 1 and len(kept) == 8
