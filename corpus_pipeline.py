@@ -19,34 +19,55 @@ SHARDS = 16
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents below the score stay. The model learns from the labels of the documents of this input."""
+    """Documents below the score stay, null and empty texts too. The model learns from the labels of the documents of this input.
+
+    Rows are judged one by one, whatever their ids; a label of a repeated id
+    holds for the smallest of its texts. Without labels of both kinds all stay.
+    """
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), labelled.fold(F.col("doc_id"), 3) != 1)
     return toxicity.below(docs, model, TOXIC_SCORE)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component one document stays, the one with the smallest id."""
+    """Of each group of near copies one row stays: that of the smallest id (a null id is the largest), then of the smallest text hash.
+
+    Rows are told apart by numbers of their own, so null and repeated ids are
+    safe: a row only goes if a near copy of its own text stays. Rows that
+    repeat id and text are copies. Texts without words are linked with nothing
+    and stay, all of them. No rows give no rows.
+    """
     store = new_store(spark)
-    found = jaccard.near_duplicates(docs, store)
-    gone = store.save(found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct(), "gone")
-    gone = small_side(gone.withColumnRenamed("doc_id", "_gone"))
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    rows = store.save(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    groups = jaccard.near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"), store)
+    groups = store.save(groups.select(F.col("doc_id").alias("_copy"), F.col("component_id").alias("_group")), "groups")
+    shared = groups.groupBy("_group").count().filter("count > 1").select("_group")  # most rows are alone and stay
+    copies = groups.join(shared, "_group").join(rows.select("_row", "doc_id", F.xxhash64("text").alias("_text")), F.col("_copy") == F.col("_row"))
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", "_text", "_copy")
+    stays = copies.groupBy("_group").agg(F.min(place).getField("_copy").alias("_stays"))
+    gone = store.save(copies.select("_copy", "_group").join(stays, "_group").filter("_copy <> _stays").select("_copy"), "gone")
+    return rows.join(small_side(gone), F.col("_row") == F.col("_copy"), "left_anti").drop("_row")
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item, or a long run of one, go."""
+    """Documents that hold a benchmark item, or a long run of one, go; null and empty texts stay.
+
+    Rows of a repeated id, the null id too, are judged together and go together.
+    """
     store = new_store(spark)
-    found = store.save(templates.contaminated(docs, table(spark, sf_dir, "benchmark"), store, strict=False), "leaks")
+    found = store.save(templates.contaminated(docs, table(spark, sf_dir, "benchmark"), store), "leaks")
     return templates.without_contaminated(docs, found)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it."""
+    """Every row as often as the mix takes it, at most three times; null texts have no words and a null source is a source.
+
+    Rows equal in id, size and text are taken or left together.
+    """
     return mixing.repeated(docs, mixing.mix_plan(docs, new_store(spark)))
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each row's shard and its place there."""
+    """Each row's shard and its place there; null texts weigh one byte, and rows that repeat have places of their own."""
     return sharding.kd_shards(docs, new_store(spark), shards=SHARDS)
 
 
