@@ -47,6 +47,13 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def release_executors(spark: SparkSession) -> None:
+    """Let executors give heap that they do not use back to the system, as Python workers need memory beside it: a collection on each, once a stage."""
+    release(spark)
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    spark.range(0, tasks, 1, tasks).select(F.expr("java_method('java.lang.System', 'gc')").alias("done")).write.format("noop").mode("overwrite").save()
+
+
 def new_store(spark: SparkSession) -> StageStore:
     """A folder for one call's stage tables; it goes when the program ends."""
     small_batches(spark)

@@ -84,9 +84,15 @@ def _looks_a_name(core: str) -> bool:
 
 def word_form(raw: str) -> tuple[int, int, bool, int]:
     """Kind (names and units as they would be in a fitting place), hash of the value, whether it ends a sentence, hash of the owner if a possessive."""
-    ends = raw == "\n" or raw.rstrip("\"')]}”’»*").endswith((".", "!", "?"))
-    core = raw.strip().strip(EDGES)
+    if raw.isalpha():
+        ends, core = False, raw
+    else:
+        ends = raw == "\n" or raw.rstrip("\"')]}”’»*").endswith((".", "!", "?"))
+        core = raw.strip().strip(EDGES)
     low = core.lower()
+    if core.isalpha():  # most words; the same outcome as below
+        kind = NUM if low in NUMBER_WORDS else UNIT if low in UNITS else NAME if _looks_a_name(core) else WORD
+        return kind, _hash(low), ends, 0
     if not core:
         return EMPTY, 0, ends, 0
     if NUMBER.fullmatch(low) or low in NUMBER_WORDS:
