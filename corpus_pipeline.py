@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clinloom.llm import jaccard, labelled, mixing, sharding, templates, toxicity
-from clinloom.llm.common import new_store, small_side, table
+from clinloom.llm.common import new_store, release_executors, small_side, table
 
 #: Documents scored at least so are rejected.
 TOXIC_SCORE = 0.7
@@ -45,6 +45,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "_text", "_copy")
     stays = copies.groupBy("_group").agg(F.min(place).getField("_copy").alias("_stays"))
     gone = store.save(copies.select("_copy", "_group").join(stays, "_group").filter("_copy <> _stays").select("_copy"), "gone")
+    release_executors(spark)
     return rows.join(small_side(gone), F.col("_row") == F.col("_copy"), "left_anti").drop("_row")
 
 
