@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Mapping
-from functools import reduce
+from concurrent.futures import ThreadPoolExecutor
 from importlib.resources import files
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clinloom import schemas as S
+from clinloom.operators import profile
 
 DATABASE = "omop"  # how notes name the target database, unless told otherwise
 SAMPLE_VALUES = 3
@@ -46,29 +47,24 @@ def target_columns(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(pairs, "target_table string, target_column string")
 
 
-def source_fields(tables: Mapping[str, DataFrame], samples: bool = True) -> DataFrame:
+def source_fields(tables: Mapping[str, DataFrame], samples: bool = True, workers: int = 4) -> DataFrame:
     """One row per source column: file, column, rows of its file, sample values.
 
     Tables have no order, so the samples are the first 3 distinct values in
-    text order. Copies of a value collapse before the shuffle.
+    text order. They are found by one aggregate a scan, several tables at a
+    time; no cell is shuffled.
     """
 
-    def of_table(name: str, df: DataFrame) -> DataFrame:
-        columns = F.array(*(F.struct(F.lit(c).alias("column_name"), F.lit(n).alias("position")) for n, c in enumerate(df.columns)))
-        counted = df.agg(F.count("*").alias("row_count")).select(
-            F.lit(f"{name}.csv").alias("file_name"), "row_count", F.inline(columns)
-        )
-        if not samples:
-            return counted.withColumn("sample_values", F.array().cast("array<string>")).drop("position")
-        cells = df.select(F.inline(F.array(*(F.struct(F.lit(n).alias("position"), F.trim(F.col(f"`{c}`").cast("string")).alias("value")) for n, c in enumerate(df.columns)))))
-        distinct = cells.where(F.col("value") != "").groupBy("position", "value").agg(F.count("*").alias("n"))
-        # the rank filter is applied in every task before the values of a column meet
-        rank = F.row_number().over(Window.partitionBy("position").orderBy("value"))
-        head = distinct.withColumn("rank", rank).where(F.col("rank") <= SAMPLE_VALUES)
-        sampled = head.groupBy("position").agg(F.sort_array(F.collect_list("value")).alias("sample_values"))
-        return counted.join(sampled, "position", "left").select("file_name", "row_count", "column_name", "sample_values")
-
-    return reduce(DataFrame.unionByName, (of_table(n, df) for n, df in tables.items()))
+    def of_table(name: str, df: DataFrame) -> list[tuple]:
+        trimmed = {c: F.trim(F.col(f"`{c}`").cast("string")) for c in df.columns}
+        values = {c: F.when(v != "", v) for c, v in trimmed.items()}
+        rows, found = profile.first_distinct(df, values, SAMPLE_VALUES) if samples else (df.count(), dict.fromkeys(values, ()))
+        return [(f"{name}.csv", rows, c, list(found[c]) if found[c] or not samples else None) for c in df.columns]
+
+    with ThreadPoolExecutor(workers) as pool:
+        parts = list(pool.map(lambda item: of_table(*item), tables.items()))
+    spark = next(iter(tables.values())).sparkSession
+    return spark.createDataFrame([row for part in parts for row in part], "file_name string, row_count long, column_name string, sample_values array<string>")
 
 
 def rule_status(rules: DataFrame, targets: DataFrame, vocabularies: DataFrame, database: str = DATABASE) -> DataFrame:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clinloom.functions import text as X
@@ -13,7 +13,7 @@ SAMPLE_VALUES = 5
 DISTINCT_LIMIT = 1_000  # larger counts are also shown as "1000+"
 
 
-def unpivot(df: DataFrame, columns: Sequence[str], position: Column | None = None) -> DataFrame:
+def unpivot(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per cell: ``ordinal_position, column_name, value`` (stripped, blank as NULL)."""
     cells = F.array(
         *(
@@ -21,8 +21,7 @@ def unpivot(df: DataFrame, columns: Sequence[str], position: Column | None = Non
             for n, c in enumerate(columns, 1)
         )
     )
-    kept = [] if position is None else [position.alias("position")]
-    return df.select(*kept, F.inline(cells))
+    return df.select(F.inline(cells))
 
 
 def first_rows(df: DataFrame, rows: int, order_by: str) -> DataFrame:
@@ -122,18 +121,16 @@ def _moment_text(moment: Column) -> Column:
     return F.concat(F.substring(text, 1, 19), F.when(fraction == "", "").otherwise(F.concat(F.lit("."), F.rpad(fraction, 6, "0"))))
 
 
-def distinct_cells(df: DataFrame, columns: Sequence[str], position: Column | None = None) -> DataFrame:
-    """The distinct values of each column (blank as NULL), how often and where first. Copies collapse before the shuffle."""
-    place = F.monotonically_increasing_id() if position is None else position
-    cells = unpivot(df, columns, place).groupBy("ordinal_position", "column_name", "value")
-    return cells.agg(F.count("*").alias("n"), F.min("position").alias("place"))
+def distinct_cells(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The distinct values of each column (blank as NULL) and how often. Copies collapse before the shuffle."""
+    return unpivot(df, columns).groupBy("ordinal_position", "column_name", "value").agg(F.count("*").alias("n"))
 
 
 def column_statistics(df: DataFrame, columns: Sequence[str], cells: DataFrame | None = None) -> DataFrame:
     """Everything of a profile but samples, from its distinct values: patterns are tried once a value."""
     value, n = F.col("value"), F.col("n")
     stats = (
-        _tested(distinct_cells(df, columns, F.lit(0)) if cells is None else cells)
+        _tested(distinct_cells(df, columns) if cells is None else cells)
         .groupBy("ordinal_position", "column_name")
         .agg(
             _type_label().alias("inferred_type"),
@@ -177,28 +174,56 @@ def column_statistics(df: DataFrame, columns: Sequence[str], cells: DataFrame |
     )
 
 
-def first_values(places: DataFrame, limit: int) -> DataFrame:
-    """The first distinct values of each column, in order of first appearance."""
-    rank = F.row_number().over(Window.partitionBy("column_name").orderBy("place", "value"))
-    # the rank filter is applied in every task before the rows of a column meet
-    head = places.withColumn("rank", rank).where(F.col("rank") <= limit)
-    ordered = F.array_sort(F.collect_list(F.struct("rank", "value")))
-    return head.groupBy("column_name").agg(F.transform(ordered, lambda s: s["value"]).alias("sample_values"))
+def first_distinct(df: DataFrame, values: Mapping[str, Column], limit: int, place: Column | None = None) -> tuple[int, dict[str, list[str]]]:
+    """The rows of a table, and the first ``limit`` distinct values of some expressions, by ``place`` or else the smallest.
+
+    Every scan finds the next value of all of them at once, as one aggregate
+    whose state is one value each: a task sends one row, whatever the number
+    of distinct values, and the driver gets one row a scan.
+    """
+    rows, found = 0, {name: [] for name in values}
+    number = {name: n for n, name in enumerate(values)}
+    picked = df.select(*([] if place is None else [place.alias("place")]), *(v.alias(f"v{number[name]}") for name, v in values.items()))
+    wanted = list(values)
+    for scan in range(limit):
+        aggregates = [F.count(F.lit(1)).alias("rows")] if scan == 0 else []
+        for name in wanted:
+            column, known = f"v{number[name]}", found[name]
+            value = F.col(column)
+            fresh = value.isNotNull()
+            if known:
+                fresh = fresh & (value > F.lit(known[-1]) if place is None else ~value.isin(known))
+            key = value if place is None else F.struct(F.col("place"), value.alias("value"))
+            aggregates.append(F.min(F.when(fresh, key)).alias(column))
+        if not aggregates:
+            break
+        row = picked.agg(*aggregates).head()
+        rows = row["rows"] if scan == 0 else rows
+        wanted = [name for name in wanted if row[f"v{number[name]}"] is not None]
+        for name in wanted:
+            value = row[f"v{number[name]}"]
+            found[name].append(value if place is None else value["value"])
+    return rows, found
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str], limit: int = DISTINCT_LIMIT) -> DataFrame:
     """Exact distinct counts: ``column_name, distinct_count, is_capped`` (whether it is shown as ``limit+``)."""
     names = F.explode(F.array(*map(F.lit, columns))).alias("column_name")
     every = df.sparkSession.range(1).select(names)
-    found = distinct_cells(df, columns, F.lit(0)).groupBy("column_name").agg(F.count("value").alias("n"))
+    found = distinct_cells(df, columns).groupBy("column_name").agg(F.count("value").alias("n"))
     count = F.coalesce("n", F.lit(0))
     return every.join(found, "column_name", "left").select("column_name", count.alias("distinct_count"), (count > limit).alias("is_capped"))
 
 
+def _place(df: DataFrame, order_by: str | Column | None) -> Column:
+    return F.monotonically_increasing_id() if order_by is None else df[order_by] if isinstance(order_by, str) else order_by
+
+
 def sample_values(df: DataFrame, columns: Sequence[str], limit: int = SAMPLE_VALUES, order_by: str | Column | None = None) -> DataFrame:
-    """The first distinct values per column, by a column or position."""
-    places = distinct_cells(df, columns, F.col(order_by) if isinstance(order_by, str) else order_by)
-    return first_values(places.where(F.col("value").isNotNull()), limit)
+    """The first distinct values per column, by a column or position; columns without any have no row."""
+    texts = {c: X.blank_to_null(F.col(f"`{c}`")) for c in columns}
+    _, found = first_distinct(df, texts, limit, _place(df, order_by))
+    return df.sparkSession.createDataFrame([(c, v) for c, v in found.items() if v], "column_name string, sample_values array<string>")
 
 
 def column_profile(
@@ -209,9 +234,9 @@ def column_profile(
     distinct_limit: int = DISTINCT_LIMIT,
     order_by: str | Column | None = None,
 ) -> DataFrame:
-    """One row per column of an all-text table: one pass to its distinct values, and all else from those."""
-    cells = distinct_cells(df, columns, F.col(order_by) if isinstance(order_by, str) else order_by)
-    samples = first_values(cells.where(F.col("value").isNotNull()), sample_limit)
+    """One row per column of an all-text table: one pass to its distinct values and all that follows from those, and one scan a sample."""
+    cells = distinct_cells(df, columns)
+    samples = sample_values(df, columns, sample_limit, order_by)
     joined = column_statistics(df, columns, cells).join(samples, "column_name", "left")
     count = F.col("distinct_values")
     return joined.select(

@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from clinloom.operators import profile
 
 UUIDS = ["8c8e1c9a-b310-43c6-33a7-ad11bad21c40", "034E9E3B-2DEF-4559-BB2A-7850888AE060"]
@@ -71,3 +73,15 @@ def test_loader_types_and_values(spark):
     first, blank = profile.coerce(df, kinds).collect()
     assert tuple(first) == (UUIDS[0], dt.date(2017, 8, 24), dt.datetime(2019, 2, 17, 5, 7, 38), "Damon")
     assert tuple(blank) == (None,) * 4
+
+
+def test_first_values_move_one_row_a_task(spark):
+    """Whatever the number of distinct values: no cell is shuffled, ties go by value, columns without values have no row."""
+    rows = spark.range(5000, numPartitions=7).select(F.col("id"), F.concat(F.lit("v"), F.col("id") % 2000).alias("a"), F.when(F.col("id") % 3 == 1, F.col("id") % 2).cast("string").alias("b"), F.lit(" ").alias("c"), F.lit("same").alias("d.e"))
+    found = {r["column_name"]: r["sample_values"] for r in profile.sample_values(rows, ["a", "b", "c", "d.e"], 4, "id").collect()}
+    assert found == {"a": ["v0", "v1", "v2", "v3"], "b": ["1", "0"], "d.e": ["same"]}
+    tied = spark.createDataFrame([(1, "b"), (1, "a"), (0, None), (2, "b")], "n int, v string")
+    assert profile.sample_values(tied, ["v"], 3, "n").head()["sample_values"] == ["a", "b"]
+    count, smallest = profile.first_distinct(rows, {"a": F.col("a"), "c": F.lit(None).cast("string")}, 3)
+    assert (count, smallest) == (5000, {"a": ["v0", "v1", "v10"], "c": []})
+    assert profile.first_distinct(rows.limit(0), {"a": F.col("a")}, 3) == (0, {"a": []})
