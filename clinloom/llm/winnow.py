@@ -1,18 +1,17 @@
-"""Line de-duplication by winnowing over line hashes.
+"""Line de-duplication by windows of line hashes; winnowing was replaced, see the README.
 
-In every window of ``run`` consecutive lines the smallest line hash is a
-fingerprint, so a run of that many lines that occurs twice shares one. Windows
-whose fingerprint occurs nowhere else are done with; the others are joined on
-the whole window, and overlapping matches make longer ones on both sides. A
-window that equals an earlier one (by document id, then place) is deleted: a
-line goes if it lies in a run of ``run`` lines or more that begins earlier.
+Every window of ``run`` consecutive lines is kept and grouped by its own hash;
+its smallest line hash is a second key without effect on the result. Overlapping
+windows make longer runs on both sides. A window that equals an earlier one (by
+document id, then place) is deleted: a line goes if it lies in a run of ``run``
+lines or more that begins earlier.
 With ``alone``, a line of that many words or more also goes by itself if an
 equal line stands earlier, whatever its neighbours.
 Windows are judged on the input, not on what is left.
 
-Null and empty texts, and texts of fewer lines, lose nothing. Repeated ids and
-rows count as one document per text; a null id comes first. Empty tables give
-no rows. Other columns are left alone.
+Null and empty texts, and texts of fewer lines, lose nothing. A null id comes
+first. Line numbers are kept by id, so ids have to be unique: rows that repeat
+an id lose each other's lines. Empty tables give no rows. Other columns are left alone.
 """
 
 from __future__ import annotations
