@@ -42,11 +42,11 @@ def op6_fragment_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_winnow_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return winnow.repeated_lines(table(spark, sf_dir, "documents"), new_store(spark))
+    return winnow.repeated_lines(table(spark, sf_dir, "documents"), new_store(spark)).drop("text_key")
 
 
 def op7_winnow_long_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return winnow.repeated_lines(table(spark, sf_dir, "documents"), new_store(spark), alone=winnow.ALONE_WORDS)
+    return winnow.repeated_lines(table(spark, sf_dir, "documents"), new_store(spark), alone=winnow.ALONE_WORDS).drop("text_key")
 
 
 def op8_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,6 +114,19 @@ f AS (SELECT *, row_number() OVER (PARTITION BY line, line2 ORDER BY doc_id, pos
 g AS (SELECT DISTINCT doc_id, n, unnest([pos, pos + 1]) AS line FROM f WHERE place > 1)
 SELECT doc_id, CAST(max(n) AS INTEGER) AS n_lines, count(*) AS n_removed, list_sort(list(CAST(line AS INTEGER))) AS removed
 FROM g GROUP BY doc_id
+""",
+    "op7_winnow_long_lines": """
+WITH l AS (
+  SELECT doc_id, generate_subscripts(ls, 1) - 1 AS pos, unnest(ls) AS line, len(ls) AS n
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents)),
+w AS (SELECT doc_id, pos, n, line, lead(line) OVER (PARTITION BY doc_id ORDER BY pos) AS line2 FROM l),
+r AS (
+  SELECT doc_id, pos, n, line, line2, 2 AS height FROM w WHERE line2 IS NOT NULL
+  UNION ALL SELECT doc_id, pos, n, line, NULL, 1 FROM l WHERE len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) >= 8),
+f AS (SELECT *, row_number() OVER (PARTITION BY height, line, line2 ORDER BY doc_id, pos) AS place FROM r),
+g AS (SELECT DISTINCT doc_id, n, unnest(CASE height WHEN 2 THEN [pos, pos + 1] ELSE [pos] END) AS line FROM f WHERE place > 1)
+SELECT doc_id, CAST(max(n) AS INTEGER) AS n_lines, count(*) AS n_removed, list_sort(list(CAST(line AS INTEGER))) AS removed
+FROM g GROUP BY doc_id
 """,
     "op1_pareto_mix": """
 WITH d AS (

@@ -1,17 +1,23 @@
-"""Line de-duplication by windows of line hashes; winnowing was replaced, see the README.
+"""Line de-duplication by winnowing over line hashes.
 
-Every window of ``run`` consecutive lines is kept and grouped by its own hash;
-its smallest line hash is a second key without effect on the result. Overlapping
-windows make longer runs on both sides. A window that equals an earlier one (by
-document id, then place) is deleted: a line goes if it lies in a run of ``run``
-lines or more that begins earlier.
-With ``alone``, a line of that many words or more also goes by itself if an
-equal line stands earlier, whatever its neighbours.
-Windows are judged on the input, not on what is left.
+Windows of two consecutive line hashes each select their least one (the
+last of equals). Equal runs of two lines or more hold a whole window, so
+they select the same lines: those are their fingerprints, stored with their
+positions. Positions of one fingerprint are matched where they also agree when
+they are extended to both sides, as far as the windows that selected them reach;
+the next line of a longer match lies in a window with a fingerprint of its own,
+which is extended in turn. Matches are not listed in pairs: extended positions
+that agree are grouped, the first by (document id, text hash, place) stays, and
+the lines of all later ones are deleted. So a line goes if it lies in a run of
+two lines or more that also begins earlier. With ``alone``, a line of that many
+words or more is a fingerprint by itself and goes if an equal line stands
+earlier, whatever its neighbours. Matches are judged on the input, not on what
+is left.
 
 Null and empty texts, and texts of fewer lines, lose nothing. A null id comes
-first. Line numbers are kept by id, so ids have to be unique: rows that repeat
-an id lose each other's lines. Empty tables give no rows. Other columns are left alone.
+first. Different texts under one id are documents of their own, in the order of
+their hashes; rows that repeat id and text are one document and lose the same
+lines. Empty tables give no rows. Other columns are left alone.
 """
 
 from __future__ import annotations
@@ -21,57 +27,72 @@ from pyspark.sql import functions as F
 
 from clinloom.staging import StageStore
 
-MIN_RUN = 2
 #: Words from which a line is long enough to go without its neighbours.
 ALONE_WORDS = 8
+WORD = r"[^\x20\x09-\x0D]+"
 
 
-def fingerprints(documents: DataFrame, run: int) -> DataFrame:
-    """doc_id, number of lines, and every window (start, hash) with its fingerprint."""
-    lines = documents.select("doc_id", F.transform(F.split("text", "\n", -1), lambda x: F.xxhash64(x)).alias("h")).filter(F.size("h") >= run)
-    shifted = [F.slice("h", i + 1, F.size("h") - run + 1).alias(f"l{i}") for i in range(run)]
-    windows = lines.select("doc_id", F.size("h").alias("n_lines"), F.posexplode(F.arrays_zip(*shifted)).alias("start", "w"))
-    own = [F.col(f"w.l{i}") for i in range(run)]
-    return windows.select("doc_id", "n_lines", "start", F.least(*own).alias("fp"), F.xxhash64(*own).alias("window"))
+def line_hashes(documents: DataFrame) -> DataFrame:
+    """doc_id, text_key (a hash of the text), the lines and their hashes."""
+    lines = F.split("text", "\n", -1)
+    return documents.filter(F.col("text").isNotNull()).select(
+        "doc_id", F.xxhash64("text").alias("text_key"), lines.alias("lines"), F.transform(lines, lambda x: F.xxhash64(x)).alias("h")
+    )
 
 
-def long_lines(documents: DataFrame, words: int) -> DataFrame:
-    """The lines of ``words`` words or more as windows of one line."""
-    lines = F.split("text", "\n", -1)
-    parts = documents.select("doc_id", F.transform(lines, lambda x: F.xxhash64(x)).alias("h"), F.transform(lines, lambda x: F.size(F.split(F.trim(x), r"\s+"))).alias("n"))
-    each = parts.select("doc_id", F.size("h").alias("n_lines"), F.posexplode(F.arrays_zip("h", "n")).alias("start", "w"))
-    return each.filter(F.col("w.n") >= words).select("doc_id", "n_lines", "start", F.col("w.h").alias("fp"), F.xxhash64("w.h").alias("window"))
-
-
-def repeated_lines(documents: DataFrame, store: StageStore, run: int = MIN_RUN, alone: int | None = None) -> DataFrame:
-    """doc_id, n_lines, n_removed and the numbers (from 0) of the lines to delete, for documents that lose any."""
-    given = documents.select("doc_id", "text")
-    windows = fingerprints(given, run).withColumn("height", F.lit(run))
-    if alone is not None:
-        windows = windows.unionByName(long_lines(given, alone).withColumn("height", F.lit(1)))
-    found = store.save(windows, "line-windows")
-    # windows under a fingerprint have the same fingerprint; one that stands in one place only has no match anywhere
-    per_window = found.groupBy("fp", "window").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "start")).alias("first"))
-    repeated = store.save(per_window.filter("n > 1").select("fp", "window", "first"), "line-repeats")
-    later = found.join(repeated, ["fp", "window"]).filter(
-        ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("start") == F.col("first.start")))
+def selected(documents: DataFrame, alone: int | None = None) -> DataFrame:
+    """Every selected position: its document, place and fingerprint, and the lines before and after it where their window selected it."""
+    h, lines = F.col("h"), F.col("lines")
+
+    def position(value, i):
+        before, after = F.get(h, i - 1), F.get(h, i + 1)
+        long = F.lit(False) if alone is None else F.regexp_count(F.get(lines, i), F.lit(WORD)) >= alone
+        return F.struct(
+            i.cast("int").alias("at"), value.alias("fp"),
+            F.when(value <= before, before).alias("before"), F.when(value < after, after).alias("after"), F.coalesce(long, F.lit(False)).alias("alone"),
+        )
+
+    chosen = F.filter(F.transform(h, position), lambda p: p["before"].isNotNull() | p["after"].isNotNull() | p["alone"])
+    hashed = line_hashes(documents).select("doc_id", "text_key", F.size(h).alias("n_lines"), F.explode(chosen).alias("p"))
+    return hashed.select("doc_id", "text_key", "n_lines", "p.*")
+
+
+def extended(positions: DataFrame) -> DataFrame:
+    """Each position as the runs it stands for: with the line before it, with the line after it, and by itself if it is long."""
+    runs = F.array(
+        F.when(F.col("before").isNotNull(), F.struct(F.lit(-1).alias("side"), F.col("before").alias("next"), (F.col("at") - 1).alias("start"), F.lit(2).alias("height"))),
+        F.when(F.col("after").isNotNull(), F.struct(F.lit(1).alias("side"), F.col("after").alias("next"), F.col("at").alias("start"), F.lit(2).alias("height"))),
+        F.when(F.col("alone"), F.struct(F.lit(0).alias("side"), F.lit(0).cast("long").alias("next"), F.col("at").alias("start"), F.lit(1).alias("height"))),
     )
-    covered = F.array_distinct(F.flatten(F.transform("starts", lambda s: F.sequence(s["start"], s["start"] + s["height"] - 1))))
+    each = positions.select("doc_id", "text_key", "n_lines", "fp", F.explode(F.filter(runs, lambda r: r.isNotNull())).alias("r"))
+    return each.select("doc_id", "text_key", "n_lines", "fp", "r.*")
+
+
+def repeated_lines(documents: DataFrame, store: StageStore, alone: int | None = None) -> DataFrame:
+    """doc_id, text_key, n_lines, n_removed and the numbers (from 0) of the lines to delete, for documents that lose any."""
+    positions = store.save(selected(documents.select("doc_id", "text"), alone), "line-positions")
+    runs, place = extended(positions), F.struct("doc_id", "text_key", "start")
+    # partially aggregated, so a line that stands everywhere gives one row a task
+    places = runs.groupBy("fp", "side", "next").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    repeated = store.save(places.filter(~F.col("first").eqNullSafe(F.col("last"))).drop("last"), "line-matches")
+    later = runs.join(repeated, ["fp", "side", "next"]).filter(~place.eqNullSafe(F.col("first")))
+    covered = F.array_distinct(F.flatten(F.transform("runs", lambda s: F.sequence(s["start"], s["start"] + s["height"] - 1))))
     return (
-        later.groupBy("doc_id")
-        .agg(F.max("n_lines").alias("n_lines"), F.collect_set(F.struct("start", "height")).alias("starts"))
-        .select("doc_id", "n_lines", F.sort_array(covered).alias("removed"))
-        .select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), "removed")
+        later.groupBy("doc_id", "text_key")
+        .agg(F.max("n_lines").alias("n_lines"), F.collect_set(F.struct("start", "height")).alias("runs"))
+        .select("doc_id", "text_key", "n_lines", F.sort_array(covered).alias("removed"))
+        .select("doc_id", "text_key", "n_lines", F.size("removed").cast("long").alias("n_removed"), "removed")
     )
 
 
 def without_lines(documents: DataFrame, removed: DataFrame) -> DataFrame:
     """The documents with those lines deleted; all their columns stay."""
-    gone = removed.select(F.col("doc_id").alias("_lines_id"), F.col("removed").alias("_lines_gone"))
+    gone = removed.select(F.col("doc_id").alias("_lines_id"), F.col("text_key").alias("_lines_text"), F.col("removed").alias("_lines_gone"))
     lines = F.split("text", "\n", -1)
     kept = F.filter(lines, lambda _, i: ~F.array_contains("_lines_gone", i))
+    same = F.col("doc_id").eqNullSafe(F.col("_lines_id")) & (F.xxhash64("text") == F.col("_lines_text"))
     return (
-        documents.join(gone, F.col("doc_id").eqNullSafe(F.col("_lines_id")), "left")
+        documents.join(gone, same, "left")
         .withColumn("text", F.when(F.col("_lines_gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")))
-        .drop("_lines_id", "_lines_gone")
+        .drop("_lines_id", "_lines_text", "_lines_gone")
     )

@@ -158,6 +158,44 @@ def test_repeated_lines_of_odd_documents(spark, odd):
     assert winnow.repeated_lines(odd.limit(0), new_store(spark)).collect() == []
 
 
+def brute_lines(rows, alone):
+    """All runs of two lines, and long lines alone, with their places."""
+    keys = {}
+    texts = sorted({(d is not None, d or 0, t) for d, t in rows if t is not None})
+    runs = [((has, d, t), i, t.split("\n")[i : i + n]) for n in (2, 1) for has, d, t in texts for i in range(len(t.split("\n")) - n + 1)]
+    for place, i, run in runs:
+        if len(run) == 2 or len(run[0].split()) >= alone:
+            keys.setdefault(tuple(run), []).append((place, i))
+    return keys
+
+
+def test_lines_of_repeated_and_null_ids(spark):
+    first, second = "w\nalpha\nbeta\ngamma", "own\nlines\nof this one\nalpha\nbeta"
+    rows = [(1, "alpha\nbeta"), (7, first), (7, second), (7, second), (None, "own\nlines"), (None, "x\ny"), (8, "y\nx\ny"), (9, None), (9, ""), (9, "x")]
+    df = spark.createDataFrame(rows, KINDS).repartition(3)
+    removed = winnow.repeated_lines(df, new_store(spark))
+    kept = sorted(((r["doc_id"], r["text"]) for r in winnow.without_lines(df, removed).collect()), key=str)
+    expected = [(1, "alpha\nbeta"), (7, "w\ngamma"), (7, "of this one"), (7, "of this one"), (None, "own\nlines"), (None, "x\ny"), (8, "y"), (9, None), (9, ""), (9, "x")]
+    assert kept == sorted(expected, key=str)
+
+
+def test_later_repeats_against_brute_force(spark):
+    import random
+
+    draw = random.Random(5)
+    lines = [" ".join(f"{a}{i}" for i in range(n)) for a in "abcdef" for n in (1, 7, 8, 12)] + [""]
+    rows = [(i if i else None, "\n".join(draw.choice(lines) for _ in range(draw.randint(0, 9)))) for i in range(60)]
+    df = spark.createDataFrame(rows, KINDS).repartition(4)
+    for alone in (None, winnow.ALONE_WORDS):
+        gone = {}
+        for run, places in brute_lines(rows, alone or 10**9).items():
+            for (has, d, t), i in places:
+                if ((has, d, t), i) != min(places):
+                    gone.setdefault((d if has else None, t), set()).update(range(i, i + len(run)))
+        found = {(r["doc_id"], r["n_lines"]): r["removed"] for r in winnow.repeated_lines(df, new_store(spark), alone).collect()}
+        assert found == {(d, len(t.split("\n"))): sorted(g) for (d, t), g in gone.items()}
+
+
 def test_long_lines_go_alone(spark):
     passage = " ".join(f"word{i}" for i in range(8))
     texts = [(None, f"a\n{passage}\nb"), (1, f"c\n{passage}\nd\nshort line\ne"), (2, f"f\nshort line\n\ng\n{passage}\n{passage}"), (3, passage), (4, passage + " more"), (5, None)]
