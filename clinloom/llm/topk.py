@@ -6,11 +6,13 @@ dimensions at a time; after each step the candidates whose score so far plus
 the most that the remaining dimensions can add (Cauchy-Schwarz on the
 remaining mass) stays below the query's k-th best are dropped, and the
 survivors are compacted. Query blocks meet candidate blocks, all queries
-against all rows; the blocks' best are merged by Spark.
+against all rows; the blocks' best are merged by Spark. Candidate blocks stay
+where they are and the query blocks are sent to them; a task keeps each query's
+best, and so its floor, from one candidate block to the next.
 
 Vectors that are null, or hold null or non-finite components, and rows without
-an id take no part. Rows that repeat an id count once (the smallest vector).
-Only vectors of a query's own length are its candidates. Empty vectors score 0.
+an id take no part. Every other row counts: rows that repeat an id are each a
+query, with ranks of its own, and candidates of each other. Only vectors of a query's own length are its candidates. Empty vectors score 0.
 Scores outside 64 bits stop at its ends. An empty table gives no rows.
 """
 
@@ -21,13 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clinloom.llm.common import small_side
 from clinloom.staging import StageStore
 
 SCALE = 256
 BLOCK_VECTORS = 4096
 QUERY_VECTORS = 1024
 STEP = 16
+#: Query vectors that are sent to the tasks at once.
+SENT_BYTES = 32 << 20
 #: Sums below this are exact in doubles.
 EXACT = float(1 << 53)
 
@@ -37,31 +40,32 @@ def usable_vectors(embeddings: DataFrame, vec_id: str, embedding: str) -> DataFr
     vector = F.transform(embedding, lambda x: F.floor(x.cast("double") * SCALE).cast("double"))
     return (
         embeddings.filter(F.col(vec_id).isNotNull() & F.col(embedding).isNotNull() & whole)
-        .select(F.col(vec_id).cast("long").alias("id"), vector.alias("v"))
-        .groupBy("id")
-        .agg(F.min("v").alias("v"))
+        .select(F.col(vec_id).cast("long").alias("id"), F.monotonically_increasing_id().alias("row"), vector.alias("v"))
         .withColumn("dims", F.size("v"))
     )
 
 
 def _pack(group: pa.Table) -> pa.Table:
-    """One row: the ids in ascending order, and the vectors column by column."""
+    """One row: the ids in the order of their rows, and the vectors column by column."""
     dims, block = group["dims"][0].as_py(), group["block"][0].as_py()
-    ids = group["id"].to_numpy()
+    ids, rows = group["id"].to_numpy(), group["row"].to_numpy()
     values = np.asarray(group["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False), dtype=np.float64).reshape(len(ids), dims)
-    order = np.argsort(ids, kind="stable")
+    order = np.argsort(rows)
     return pa.table(
-        {"dims": [dims], "block": [block], "ids": [ids[order].astype("<i8").tobytes()], "v": [np.ascontiguousarray(values[order].T).tobytes()]},
-        schema=pa.schema([("dims", pa.int32()), ("block", pa.int64()), ("ids", pa.binary()), ("v", pa.binary())]),
+        {
+            "dims": [dims], "block": [block], "ids": [ids[order].astype("<i8").tobytes()], "rows": [rows[order].astype("<i8").tobytes()],
+            "v": [np.ascontiguousarray(values[order].T).tobytes()],
+        },
+        schema=pa.schema([("dims", pa.int32()), ("block", pa.int64()), ("ids", pa.binary()), ("rows", pa.binary()), ("v", pa.binary())]),
     )
 
 
 def _blocks(vectors: DataFrame, rows: int, per_block: int) -> DataFrame:
     number = max(1, -(-rows // per_block))
     return (
-        vectors.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(number)))
+        vectors.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(number)))
         .groupBy("dims", "block")
-        .applyInArrow(_pack, "dims int, block long, ids binary, v binary")
+        .applyInArrow(_pack, "dims int, block long, ids binary, rows binary, v binary")
     )
 
 
@@ -74,8 +78,8 @@ def _wide_score(q: np.ndarray, c: np.ndarray) -> np.ndarray:
 class Best:
     """The k best of each query of one block so far."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int):
-        self.ids, self.vectors, self.k = ids, vectors, k
+    def __init__(self, ids: np.ndarray, rows: np.ndarray, vectors: np.ndarray, k: int):
+        self.ids, self.own_rows, self.vectors, self.k = ids, rows, vectors, k
         self.found: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(ids)
 
     def floor(self, i: int) -> float:
@@ -90,13 +94,13 @@ class Best:
         order = order[: self.k]
         self.found[i] = scores[order], ids[order]
 
-    def search(self, ids: np.ndarray, columns: np.ndarray) -> None:
+    def search(self, ids: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> None:
         dims, n = columns.shape
         axis = np.argsort(-(columns * columns).sum(axis=1), kind="stable")
         columns, queries = np.ascontiguousarray(columns[axis]), self.vectors[axis]
         if dims and np.abs(columns).max() * np.abs(queries).max() * dims >= EXACT:
             for i in range(len(self.ids)):
-                other = ids != self.ids[i]
+                other = rows != self.own_rows[i]
                 self.add(i, _wide_score(queries[:, i], columns[:, other]), ids[other])
             return
         starts = list(range(0, dims, STEP)) or [0]
@@ -104,10 +108,10 @@ class Best:
         c_rest = [np.sqrt((columns[s + STEP :] ** 2).sum(axis=0)) for s in starts]
         q_rest = [np.sqrt((queries[s + STEP :] ** 2).sum(axis=0)) for s in starts]
         first = queries[:STEP].T @ columns[:STEP]
-        for i, own in enumerate(self.ids):
-            place = np.searchsorted(ids, own)
+        for i, own in enumerate(self.own_rows):
+            place = np.searchsorted(rows, own)
             score, alive = first[i], np.arange(n)
-            if place < n and ids[place] == own:
+            if place < n and rows[place] == own:
                 alive = np.delete(alive, place)
             if len(alive) > self.k and dims > STEP:  # the most promising first, for a floor to prune by
                 head = alive[np.argpartition(-score[alive], self.k - 1)[: self.k]]
@@ -124,28 +128,29 @@ class Best:
                     break
             self.add(i, np.rint(part).astype(np.int64), ids[alive])
 
-    def rows(self) -> pa.RecordBatch:
+    def best_rows(self) -> pa.RecordBatch:
         scores = np.concatenate([s for s, _ in self.found]) if self.found else np.zeros(0, np.int64)
         ids = np.concatenate([j for _, j in self.found]) if self.found else np.zeros(0, np.int64)
-        own = np.repeat(self.ids, [len(s) for s, _ in self.found])
-        return pa.RecordBatch.from_arrays([pa.array(own), pa.array(ids), pa.array(scores)], names=["query_id", "vec_id", "score"])
+        times = [len(s) for s, _ in self.found]
+        columns = (np.repeat(self.own_rows, times), np.repeat(self.ids, times), ids, scores)
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["query_row", "query_id", "vec_id", "score"])
 
 
 def _searcher(k: int):
+    """Pairs of a query block and a candidate block; query blocks come back with every candidate block of the task."""
+
     def run(batches):
-        current, best = None, None
+        best: dict[tuple[int, int], Best] = {}
         for batch in batches:
             for row in batch.to_pylist():
                 dims, key = row["dims"], (row["dims"], row["query_block"])
-                if key != current:
-                    if best is not None:
-                        yield best.rows()
-                    ids = np.frombuffer(row["q_ids"], "<i8")
-                    current, best = key, Best(ids, np.frombuffer(row["q_v"]).reshape(dims, len(ids)), k)
-                ids = np.frombuffer(row["ids"], "<i8")
-                best.search(ids, np.frombuffer(row["v"]).reshape(dims, len(ids)))
-        if best is not None:
-            yield best.rows()
+                if key not in best:
+                    asked, asked_rows = np.frombuffer(row["q_ids"], "<i8"), np.frombuffer(row["q_rows"], "<i8")
+                    best[key] = Best(asked, asked_rows, np.frombuffer(row["q_v"]).reshape(dims, len(asked)), k)
+                ids, rows = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["rows"], "<i8")
+                best[key].search(ids, rows, np.frombuffer(row["v"]).reshape(dims, len(ids)))
+        for found in best.values():
+            yield found.best_rows()
 
     return run
 
@@ -160,15 +165,21 @@ def top_k(embeddings: DataFrame, store: StageStore, is_query, k: int = 5, vec_id
     rows, asked = vectors.count(), queries.count()
     candidates = store.save(_blocks(vectors, rows, BLOCK_VECTORS), "candidate-blocks")
     ask = store.save(_blocks(queries, asked, QUERY_VECTORS), "query-blocks")
-    ask = ask.select("dims", F.col("block").alias("query_block"), F.col("ids").alias("q_ids"), F.col("v").alias("q_v"))
-    known = small_side(store.save(ask.groupBy("dims").agg(F.collect_set("query_block").alias("_asked")), "query-block-names"))
-    width = sum(8 * f for f in (ask.agg(F.sum(F.length("q_v") / 8)).first()[0] or 0,))
-    grid = candidates.join(known, "dims").withColumn("query_block", F.explode("_asked")).drop("_asked")
-    pairs = grid.join(F.broadcast(ask) if width <= 32 << 20 else ask, ["dims", "query_block"])
-    lanes = max(1, candidates.count() // 4)
-    dealt = pairs.repartition("query_block", F.pmod(F.xxhash64("block"), F.lit(lanes))).sortWithinPartitions("dims", "query_block")
-    found = dealt.mapInArrow(_searcher(k), "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    ask = ask.select("dims", F.col("block").alias("query_block"), F.col("ids").alias("q_ids"), F.col("rows").alias("q_rows"), F.col("v").alias("q_v"))
+    # groups of query blocks small enough to be sent to all executors; the candidate blocks are read once a group and never shuffled
+    sizes = ask.select("dims", "query_block", F.octet_length("q_v").alias("bytes"))
+    before = F.sum("bytes").over(Window.orderBy("dims", "query_block").rowsBetween(Window.unboundedPreceding, Window.currentRow))  # one row a block
+    dealt = store.save(sizes.withColumn("part", F.floor(before / SENT_BYTES)), "query-parts")
+    parts = [r["part"] for r in dealt.select("part").distinct().orderBy("part").collect()]
+    best = "query_row long, query_id long, vec_id long, score long"
+    found = None
+    for part in parts:
+        sent = ask.join(F.broadcast(dealt.filter(F.col("part") == part).select("dims", "query_block")), ["dims", "query_block"])
+        one = candidates.join(F.broadcast(sent), "dims").mapInArrow(_searcher(k), best)
+        found = one if found is None else found.unionByName(one)
+    if found is None:
+        found = embeddings.sparkSession.createDataFrame([], best)
+    order = Window.partitionBy("query_row").orderBy(F.col("score").desc(), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
     )

@@ -11,26 +11,26 @@ from clinloom.llm.common import new_store
 
 
 def brute(rows, queries, k):
+    """Each query row's list; lists of rows that share an id are told apart by their scores only."""
+    usable = [(i, [int(np.floor(256 * x)) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     out = {}
-    best = {}
-    for i, v in rows:
-        if i is None or v is None or any(x is None or not np.isfinite(x) for x in v):
-            continue
-        w = [int(np.floor(256 * x)) for x in v]
-        best[i] = min(best.get(i, w), w)
-    for q in (i for i in best if queries(i)):
-        scores = [(-sum(a * b for a, b in zip(best[q], v)), i) for i, v in best.items() if i != q and len(v) == len(best[q])]
-        out[q] = [(i, -s) for s, i in sorted(scores)[:k]]
-    return out
+    for a, (q, own) in enumerate(usable):
+        if queries(q):
+            scores = [(-sum(x * y for x, y in zip(own, v)), i) for b, (i, v) in enumerate(usable) if a != b and len(v) == len(own)]
+            out.setdefault(q, []).extend((n + 1, i, -s) for n, (s, i) in enumerate(sorted(scores)[:k]))
+    return {q: sorted(found) for q, found in out.items() if found}
 
 
-def search(spark, rows, k=5):
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
-    found = topk.top_k(df, new_store(spark), lambda c: c % 3 == 0, k).collect()
+def search_rows(spark, rows, k=5):
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
     out = {}
-    for r in sorted(found, key=lambda r: (r["query_id"], r["rank"])):
-        out.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
-    return out
+    for r in topk.top_k(df, new_store(spark), lambda c: c % 3 == 0, k).collect():
+        out.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    return {q: sorted(found) for q, found in out.items()}
+
+
+def search(spark, rows, k=5):
+    return {q: [found[1:] for found in ranked] for q, ranked in search_rows(spark, rows, k).items()}
 
 
 def test_search_is_exact(spark, monkeypatch):
@@ -40,8 +40,16 @@ def test_search_is_exact(spark, monkeypatch):
     rows = [(i, draw.normal(size=40).astype(np.float32).tolist()) for i in range(150)]
     rows += [(i, rows[0][1]) for i in range(150, 190)]  # ties
     rows += [(None, rows[1][1]), (200, None), (201, [float("nan")] * 40), (202, [None] * 40), (203, [float("inf")] + [0.0] * 39), (204, [0.0] * 40), (3, rows[5][1])]
-    expected = {q: v for q, v in brute(rows, lambda i: i % 3 == 0, 5).items() if v}
-    assert search(spark, rows) == expected
+    expected = brute(rows, lambda i: i % 3 == 0, 5)
+    assert search_rows(spark, rows) == expected
+    monkeypatch.setattr(topk, "SENT_BYTES", 20_000)  # several groups of query blocks
+    assert search_rows(spark, rows) == expected
+
+
+def test_rows_that_repeat_an_id_all_count(spark):
+    rows = [(3, [1.0]), (3, [5.0]), (3, [5.0]), (4, [2.0]), (4, [9.0]), (None, [99.0])]
+    assert search_rows(spark, rows, 2) == brute(rows, lambda i: i % 3 == 0, 2)
+    assert [i for _, i, _ in search_rows(spark, rows, 1)[3]] == [4, 4, 4]
 
 
 def test_search_on_odd_vectors(spark):
