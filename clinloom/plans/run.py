@@ -19,17 +19,18 @@ from clinloom.staging import StageStore
 
 def load_extracts(
     spark: SparkSession, folder: str, schema: str = "synthea", prefix: str = "", sep: str | None = None,
-    max_rows: int | None = None, multiline: bool = False,
+    max_rows: int | None = None, multiline: bool | None = None,
 ) -> dict[str, int]:
     """Delimited files to typed staging tables, all or none; types come from all rows of each file.
 
-    ``max_rows`` keeps the first rows of each file.
+    ``max_rows`` keeps the first rows of each file. Line breaks inside quotes
+    are looked for in each file unless ``multiline`` tells.
     """
     ensure_schema(spark, schema)
     store = StageStore(spark)
     try:
         typed = {}
-        for name, raw in files.read_directory(spark, folder, prefix, sep, multiline).items():
+        for name, raw in files.read_directory(spark, folder, prefix, sep, multiline, store).items():
             checked = files.assert_well_formed(files.staged(raw, store, "file"), name)
             columns = [c for c in checked.columns if c != files.PLACE]
             rows = checked if max_rows is None else profile.first_rows(checked, max_rows, files.PLACE)
@@ -156,7 +157,7 @@ def apply_validation(spark: SparkSession, results: dict[str, DataFrame], schema:
         store.drop()
 
 
-def profile_extracts(spark: SparkSession, folder: str, schema: str, sep: str | None = None, multiline: bool = False) -> dict[str, int]:
+def profile_extracts(spark: SparkSession, folder: str, schema: str, sep: str | None = None, multiline: bool | None = None) -> dict[str, int]:
     """Profile every delimited file of a folder into ``files_overview`` and ``column_profile``."""
     ensure_schema(spark, schema)
     store = StageStore(spark)
@@ -164,7 +165,7 @@ def profile_extracts(spark: SparkSession, folder: str, schema: str, sep: str | N
         overviews, profiles = [], []
         for source in files.list_csv(spark, folder):
             used = sep or files.choose_delimiter(files.header_line(spark, source.path))
-            raw = files.staged(files.read_delimited(spark, source.path, used, multiline), store, "file")
+            raw = files.staged(files.read_delimited(spark, source.path, used, files.has_breaks(spark, source.path, multiline), store=store), store, "file")
             df = files.assert_well_formed(raw, source.name)
             columns = [c for c in df.columns if c != files.PLACE]
             profiles.append(profile.column_profile(df, columns, source.name, order_by=files.PLACE))

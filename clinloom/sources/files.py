@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clinloom import schemas as S
+from clinloom.sources.records import breaks_in_quotes, read_records
 from clinloom.staging import StageStore
 
 BAD_ROW = "_malformed"
@@ -81,15 +82,21 @@ def read_header(spark: SparkSession, path: str, sep: str | None = None) -> list[
     return header
 
 
-def read_delimited(spark: SparkSession, path: str, sep: str | None = None, multiline: bool = False, columns: Sequence[str] | None = None, has_header: bool = True) -> DataFrame:
+def read_delimited(
+    spark: SparkSession, path: str, sep: str | None = None, multiline: bool = False, columns: Sequence[str] | None = None, has_header: bool = True,
+    store: StageStore | None = None,
+) -> DataFrame:
     """All columns as text, and rows of another width in ``_malformed``.
 
     Without ``sep`` the header line tells the delimiter. ``multiline`` allows
-    line breaks inside quotes; a file is then read by one task. Without it
-    Spark splits large files.
+    line breaks inside quotes: with a ``store`` for stage tables the file is
+    read in splits and ``_place`` says where each record starts, without one by
+    a single task.
     """
     sep = sep or choose_delimiter(header_line(spark, path))
     header = list(columns or read_header(spark, path, sep))
+    if multiline and store is not None:
+        return read_records(spark, path, header, sep, BAD_ROW, PLACE, store, has_header)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header, BAD_ROW]])
     return (
         spark.read.schema(schema)
@@ -109,6 +116,8 @@ def read_delimited(spark: SparkSession, path: str, sep: str | None = None, multi
 
 def staged(df: DataFrame, store: StageStore, name: str) -> DataFrame:
     """A file's rows written once, with their place in it in ``_place``; the text is parsed this one time."""
+    if PLACE in df.columns:
+        return store.save(df, name)
     place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("row"))
     return store.save(df.select("*", place.alias(PLACE)), name)
 
@@ -135,9 +144,17 @@ def assert_well_formed(df: DataFrame, name: str) -> DataFrame:
     return good_rows(df)
 
 
-def read_directory(spark: SparkSession, folder: str, prefix: str = "", sep: str | None = None, multiline: bool = False) -> dict[str, DataFrame]:
-    """One table per file, named ``prefix + stem``."""
-    return {prefix + f.stem: read_delimited(spark, f.path, sep, multiline) for f in list_csv(spark, folder)}
+def read_directory(
+    spark: SparkSession, folder: str, prefix: str = "", sep: str | None = None, multiline: bool | None = False, store: StageStore | None = None
+) -> dict[str, DataFrame]:
+    """One table per file, named ``prefix + stem``; ``multiline=None`` looks into each file for line breaks inside quotes."""
+    found = list_csv(spark, folder)
+    return {prefix + f.stem: read_delimited(spark, f.path, sep, has_breaks(spark, f.path, multiline), store=store) for f in found}
+
+
+def has_breaks(spark: SparkSession, path: str, told: bool | None = None) -> bool:
+    """What the caller says about line breaks inside quotes, or else what the file shows."""
+    return breaks_in_quotes(spark, path) if told is None else told
 
 
 def is_concept_file(name: str) -> bool:

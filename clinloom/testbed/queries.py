@@ -740,6 +740,20 @@ query("scan_delimited", f"SELECT {_stripped(('row_key', *_ORDER_COLUMNS))} FROM
     lambda spark, sf: files.good_rows(files.read_delimited(spark, _extracts(spark, sf) + "/raw_orders.csv", multiline=False)).select(
         *(X.blank_to_null(c).alias(c) for c in ("row_key", *_ORDER_COLUMNS)))
 )
+
+
+def _notes(spark: SparkSession, sf: str) -> str:
+    notes = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "source", "text")
+    return _once(shared_build(spark, sf).store.path("notes.csv"), lambda path: _export(notes, path))
+
+
+@query("scan_quoted_lines", "SELECT CAST(doc_id AS VARCHAR) AS doc_id, nullif(source, '') AS source, nullif(text, '') AS text FROM documents")
+def scan_quoted_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Free text with line breaks and quotes inside quoted values, read in splits."""
+    rows = files.read_delimited(spark, _notes(spark, sf), multiline=True, store=shared_build(spark, sf).store)
+    return files.assert_well_formed(rows, "notes.csv").drop(files.PLACE)
+
+
 query(
     "scan_directory",
     "SELECT 'ehr_raw_customers' AS table_name, count(*) AS row_count FROM raw_customers UNION ALL SELECT 'ehr_raw_orders', count(*) FROM raw_orders",

@@ -2,7 +2,7 @@
 
 import pytest
 
-from clinloom.sources import catalog, files
+from clinloom.sources import catalog, files, records
 
 
 def write(folder, name, text):
@@ -17,6 +17,45 @@ def test_delimited_with_bom_quotes_and_line_breaks(spark, tmp_path):
     assert [tuple(r) for r in df.collect()] == [("1", 'two\nlines, "quoted"'), ("2", None)]
 
 
+@pytest.mark.parametrize("split", ["128m", "60b"])
+def test_line_breaks_in_quotes_across_splits(spark, store, tmp_path, split):
+    import csv
+    import random
+
+    draw = random.Random(2)
+    values = ["", "plain", 'say ""hi""'.replace('""', '"'), "two\nlines", "a,b", "\n\n", '"', 'x"\n"y', "ä\r\nö", "tail\n", " "]
+    rows = [[str(i), draw.choice(values), draw.choice(values)] for i in range(60)]
+    folder = tmp_path / "notes.csv"
+    folder.mkdir()
+    for part, some in (("part-0", rows[:35]), ("part-1", rows[35:])):
+        with open(folder / part, "w", newline="", encoding="utf-8") as out:
+            writer = csv.writer(out, lineterminator="\r\n" if part == "part-1" else "\n")
+            writer.writerows([["Id", "NOTE", "x.y"], *some])
+    path = f"file://{folder}"
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        df = files.read_delimited(spark, path, multiline=True, store=store)
+        assert records.breaks_in_quotes(spark, path)
+        found = files.assert_well_formed(files.staged(df, store, "notes"), "notes").orderBy(files.PLACE).collect()
+        if split != "128m":
+            assert spark.read.text(path).rdd.getNumPartitions() > 2
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [[r["Id"], r["NOTE"] or "", r["x.y"] or ""] for r in found] == rows
+
+
+def test_records_of_another_width_and_quotes_left_open(spark, store, tmp_path):
+    path = write(tmp_path, "w.csv", 'Id,X\n1,"a\nb"\n2\n3,"c\nd",5\n\n4,e\n')
+    df = files.read_delimited(spark, path, multiline=True, store=store)
+    assert sorted(r[files.BAD_ROW] for r in files.malformed_rows(df).collect()) == ["2", '3,"c\nd",5']
+    assert sorted((r["Id"], r["X"]) for r in files.good_rows(df).collect()) == [("1", "a\nb"), ("4", "e")]
+    with pytest.raises(ValueError, match="open.csv ends inside a quoted value"):
+        files.read_delimited(spark, write(tmp_path, "open.csv", 'Id,X\n1,"a\n2,b\n'), multiline=True, store=store)
+    empty = files.read_delimited(spark, write(tmp_path, "none.csv", "Id,X\n"), multiline=True, store=store)
+    assert empty.columns[:2] == ["Id", "X"] and empty.collect() == []
+    assert not records.breaks_in_quotes(spark, write(tmp_path, "plain.csv", 'Id,X\n1,"a"\n'))
+
+
 def test_delimiter_comes_from_the_header(spark, tmp_path):
     for name, sep in (("commas", ","), ("tabs", "\t"), ("pipes", "|")):
         write(tmp_path, f"{name}.csv", f'"a,b|c"{sep}X\n1{sep}2\n')
