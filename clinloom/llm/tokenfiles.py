@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,10 @@ from clinloom.staging import StageStore
 SEQUENCE = 2048
 BATCH_SEQUENCES = 64
 CACHED_WORDS = 900_000
+#: Text encoded at once: the more, the fewer lookups of words that come back.
+TEXT_BYTES = 4 << 20
+#: ASCII punctuation but the apostrophe, with which the vocabulary begins words.
+PUNCTUATION = r"[!-&(-/:-@\[-`{-~]"
 
 
 class Encoder:
@@ -60,24 +65,27 @@ class Encoder:
     def _learn(self, new: list[str]) -> None:
         for a in range(0, len(new), 20_000):
             part = new[a : a + 20_000]
-            for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.words[word] = np.array(found.ids, dtype=self.dtype).tobytes()
+            ids = [found.ids for found in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            flat = np.fromiter(chain.from_iterable(ids), self.dtype).tobytes()
+            ends = list(accumulate(len(x) * self.dtype.itemsize for x in ids))
+            self.words.update((word, flat[a:b]) for word, a, b in zip(part, [0, *ends], ends))
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """Each text's ids (null: none). Every distinct word is looked up once, and its ids are copied to its places."""
         texts = pc.replace_substring(pc.fill_null(texts, ""), "\n", " ")
-        # fewer distinct words: lower case, and full stops and commas as words; not where special tokens or other scripts occur
-        plain = pc.replace_substring_regex(pc.utf8_lower(texts), "([a-zß-öø-ÿ])([.,])( |$)", r"\1 \2\3")
+        # fewer distinct words: lower case, and punctuation that ends a word as a word; not where special tokens or other scripts occur
+        plain = pc.replace_substring_regex(pc.utf8_lower(texts), f"([a-zß-öø-ÿ])({PUNCTUATION}+)( |$)", r"\1 \2\3")
         texts = pc.if_else(pc.match_substring_regex(texts, r"<\||[^\x{00}-\x{ff}]"), texts, plain)
         split = pc.split_pattern(texts, " ")
         places = split.flatten().dictionary_encode()
         distinct = places.dictionary.to_pylist()
-        new = set(distinct) - self.words.keys()
+        found = list(map(self.words.get, distinct))
+        new = [i for i, ids in enumerate(found) if ids is None]
         if len(self.words) + len(new) > CACHED_WORDS:
             self.words = {"": b""}
-            new = set(distinct) - {""}
-        self._learn(list(new))
-        found = list(map(self.words.__getitem__, distinct))
+        self._learn([distinct[i] for i in new])
+        for i in new:
+            found[i] = self.words[distinct[i]]
         flat = np.frombuffer(b"".join(found), self.dtype)
         length = np.array([len(x) for x in found], dtype=np.int64) // self.dtype.itemsize
         start = np.cumsum(length) - length
@@ -134,7 +142,7 @@ def _shard_writer(folder: str, vocabulary: str, end_id: int, length: int):
         name = f"{root}/shard-{shard:06d}"
         at = rows = 0
         sink = index = None
-        for batch in chunks(batches):
+        for batch in chunks(batches, limit=TEXT_BYTES):
             if sink is None:
                 sink, index_sink = (files.open_output_stream(f"{name}{kind}.{attempt}") for kind in (".arrow", ".docs.arrow"))
                 writer, index = SequenceWriter(sink, encoder.dtype, length), pa.ipc.new_file(index_sink, places)
