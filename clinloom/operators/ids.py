@@ -1,9 +1,16 @@
 """Dense surrogate ids over a whole table, without one task that sees it all.
 
 ``ROW_NUMBER() OVER (ORDER BY keys)`` as a window moves every row to one task.
-Here the rows are written, range-partitioned and sorted once, and written to a stage table
+Here the rows are range-partitioned, sorted and written once to a stage table
 together with their place (block, position), and the ids follow from the block
-sizes. A block size is one number per task, so only those reach the driver.
+sizes. A block's size and the hashes of its first and last order key are all
+that reaches the driver.
+
+The ranges are cut on the order keys and one hash of the rest of a row, so the
+samples that fix them stay narrow. That hash spreads rows of one order key over
+several blocks, where the wanted order goes on with the other columns. Such keys
+lie at the ends of blocks, so there are fewer of them than blocks; only their
+rows are ranged once more, by all columns.
 """
 
 from __future__ import annotations
@@ -27,6 +34,14 @@ class Numbered:
     rows: int
 
 
+def _block() -> Column:
+    return F.shiftrightunsigned("_place", _BLOCK_SHIFT)
+
+
+def _position() -> Column:
+    return F.col("_place").bitwiseAND((1 << _BLOCK_SHIFT) - 1)
+
+
 def dense_ids(
     df: DataFrame,
     id_column: str,
@@ -37,40 +52,70 @@ def dense_ids(
     """Number the rows ``first_id, first_id + 1, …`` in the order of ``order_by``.
 
     Columns not named follow as tie-breaks, so equal keys get the same ids on
-    every run. The last sort key is the task a row comes from: it lets even a
-    large group of exact copies be cut into several ranges.
+    every run. The task a row comes from is part of the hash that cuts ranges,
+    so even a large group of exact copies is spread over several.
     """
     rest = [c for c in df.columns if c not in order_by]
-    keys = [*order_by, *rest, "_origin"]
     # written first: the range sample and the sort then read the rows, and the plan behind them runs once
     rows = store.save(df.withColumn("_origin", F.spark_partition_id()), f"{id_column}-rows")
     ranged = (
-        rows.repartitionByRange(*keys)
-        .sortWithinPartitions(*keys)
+        rows.withColumn("_tie", F.xxhash64(*rest, "_origin"))
+        .repartitionByRange(*order_by, "_tie")
+        .sortWithinPartitions(*order_by, *rest)
+        # nulls are skipped by the hash, so it also takes where they are
+        .withColumn("_key", F.xxhash64(*order_by, *(F.col(c).isNull() for c in order_by)))
         .withColumn("_place", F.monotonically_increasing_id())
-        .drop("_origin")
+        .drop("_tie")
     )
     table = store.save(ranged, id_column)
     store.remove(f"{id_column}-rows")
-    return _numbered(table, id_column, df.columns, store, first_id)
+
+    ends = [F.min_by("_key", "_place").alias("first"), F.max_by("_key", "_place").alias("last")]
+    # one row per written block
+    blocks = sorted(table.groupBy(_block().alias("block")).agg((F.max(_position()) + 1).alias("size"), *ends).collect())
+    numbered = _numbered(table, id_column, [*df.columns, "_key", "_origin"], [(b["block"], b["size"]) for b in blocks], first_id)
+    cut = {a["last"] for a, b in zip(blocks, blocks[1:]) if a["last"] == b["first"]}
+    if not cut:
+        return Numbered(numbered.df.select(id_column, *df.columns), numbered.rows)
+
+    # rows of cut keys: ranged by all columns among themselves, they take the ids that their keys hold
+    keys = F.broadcast(store.spark.createDataFrame([(key,) for key in cut], "_key long"))
+    held = numbered.df.join(keys, "_key")
+    again = [*order_by, *rest, "_origin"]
+    # one row per cut key, fewer than blocks
+    spans = sorted(
+        (row["start"], row["size"], row["end"], row["_key"])
+        for row in held.groupBy("_key")
+        .agg(F.min(id_column).alias("start"), F.count(F.lit(1)).alias("size"), F.max(id_column).alias("end"))
+        .collect()
+    )
+    if any(end - start + 1 != size for start, size, end, _ in spans):  # two keys share a hash
+        whole = numbered.df.select(*df.columns, "_origin").repartitionByRange(*again).sortWithinPartitions(*again)
+        return placed_ids(whole.drop("_origin"), id_column, store, first_id)
+    shifts, before = [], 0
+    for start, size, _, key in spans:
+        shifts.append((key, start - before))
+        before += size
+    ordered = held.drop(id_column).repartitionByRange(*again).sortWithinPartitions(*again)
+    nth = placed_ids(ordered.drop("_origin"), "_nth", store, first_id=0).df
+    shift = F.broadcast(store.spark.createDataFrame(shifts, "_key long, _shift long"))
+    moved = nth.join(shift, "_key").select((F.col("_nth") + F.col("_shift")).alias(id_column), *df.columns)
+    kept = numbered.df.join(keys, "_key", "left_anti").select(id_column, *df.columns)
+    return Numbered(kept.unionByName(moved), numbered.rows)
 
 
 def placed_ids(df: DataFrame, id_column: str, store: StageStore, first_id: int = 1) -> Numbered:
     """Number the rows ``first_id, first_id + 1, …`` in the order in which their tasks write them; no exchange, no sort."""
     table = store.save(df.withColumn("_place", F.monotonically_increasing_id()), id_column)
-    return _numbered(table, id_column, df.columns, store, first_id)
-
-
-def _numbered(table: DataFrame, id_column: str, columns: Sequence[str], store: StageStore, first_id: int) -> Numbered:
-    """Ids of a written table from the sizes of its blocks."""
-    block = F.shiftrightunsigned("_place", _BLOCK_SHIFT)
-    position = F.col("_place").bitwiseAND((1 << _BLOCK_SHIFT) - 1)
-
     # one row per written block, so bounded by the number of tasks
     sizes = sorted(
-        (row["block"], row["size"])
-        for row in table.groupBy(block.alias("block")).agg((F.max(position) + 1).alias("size")).collect()
+        (row["block"], row["size"]) for row in table.groupBy(_block().alias("block")).agg((F.max(_position()) + 1).alias("size")).collect()
     )
+    return _numbered(table, id_column, df.columns, sizes, first_id)
+
+
+def _numbered(table: DataFrame, id_column: str, columns: Sequence[str], sizes: Sequence[tuple[int, int]], first_id: int) -> Numbered:
+    """Ids of a written table from the sizes of its blocks."""
     offsets, total = [], 0
     for number, size in sizes:
         offsets.append((number, total + first_id))
@@ -80,8 +125,8 @@ def _numbered(table: DataFrame, id_column: str, columns: Sequence[str], store: S
         base: Column = F.lit(first_id).cast("long")
         numbered = table
     else:
-        starts = store.spark.createDataFrame(offsets, "_block long, _start long")
-        numbered = table.withColumn("_block", block).join(F.broadcast(starts), "_block")
+        starts = table.sparkSession.createDataFrame(offsets, "_block long, _start long")
+        numbered = table.withColumn("_block", _block()).join(F.broadcast(starts), "_block")
         base = F.col("_start")
-    found = [(base + position).alias(id_column), *(F.col(c) for c in columns)]
+    found = [(base + _position()).alias(id_column), *(F.col(c) for c in columns)]
     return Numbered(numbered.select(*found), total)

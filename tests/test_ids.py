@@ -40,6 +40,30 @@ def test_hot_key_and_copies_are_spread(spark, store, skewed):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
+def test_ranges_are_cut_on_order_keys_and_one_hash(spark, store, skewed):
+    """Rows that differ only beyond the order keys keep the order of all columns, wherever the ranges cut them."""
+    wide = skewed.selectExpr("k", "IF(k IS NULL, 'n', 'x') AS n", "v", "concat(v, '-', coalesce(k, 0)) AS w")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = dense_ids(wide, "id", ["n"], store)
+        expected = wide.withColumn("id", F.row_number().over(Window.orderBy("n", "k", "v", "w")).cast("long")).select("id", *wide.columns)
+        assert found.rows == 30_000
+        assert found.df.exceptAll(expected).count() == 0 and expected.exceptAll(found.df).count() == 0
+        again = dense_ids(wide.repartition(11), "id", ["n"], store, first_id=5)
+        assert again.df.withColumn("id", F.col("id") - 4).exceptAll(expected).count() == 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_first_exchange_has_no_other_columns(spark, store, skewed, monkeypatch):
+    plans = []
+    save = store.save
+    monkeypatch.setattr(store, "save", lambda df, name: (plans.append(df._jdf.queryExecution().toString()), save(df, name))[1])
+    dense_ids(skewed.withColumn("w", F.lit("wide")), "id", ["k"], store)
+    exchange = next(line for line in plans[1].splitlines() if "rangepartitioning" in line)
+    assert "_tie#" in exchange and " v#" not in exchange and " w#" not in exchange
+
+
 def test_no_single_task_sort(store, skewed):
     plan = dense_ids(skewed, "id", ["k"], store).df._jdf.queryExecution().toString()
     assert "SinglePartition" not in plan and "Window" not in plan
