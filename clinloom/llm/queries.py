@@ -16,7 +16,7 @@ def op1_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = sharding.kd_shards(table(spark, sf_dir, "documents"), new_store(spark), shards=16)
+    placed = sharding.kd_shards(table(spark, sf_dir, "documents"), new_store(spark), shards=16, copies_together=True)
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )

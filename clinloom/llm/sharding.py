@@ -7,10 +7,13 @@ and histograms of its digits, read from the top, narrow the cut down to one
 key. Only the histograms' few bins meet in one task, never the documents.
 
 Dimensions are the source, the language (both hashed, null is a value) and the
-logarithm of the size. Rows equal in a dimension are cut by their hash, which
-starts from the text, so equal texts of a source stay side by side. Null texts
-weigh one byte. Repeated rows share a key and stay together. An empty table
-gives no rows. Other columns are left alone.
+logarithm of the size. Documents of equal text (null texts too) share the
+smallest of their values in every dimension, and documents equal in a dimension
+are cut by a hash of the text, so copies lie in one leaf. Only where the copies
+of one text alone weigh more than a leaf does the hash go on with the id. Null
+texts weigh one byte. Repeated rows share a key and stay together. An empty
+table gives no rows. Other columns are left alone. Without ``copies_together``
+every document has its own values and hash, and leaves are a little more even.
 """
 
 from __future__ import annotations
@@ -32,16 +35,35 @@ def _hash31(column: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.coalesce(column, F.lit("\0"))), 33)
 
 
-def document_points(documents: DataFrame) -> DataFrame:
-    """Size, checksum and one key per dimension for every document; one pass over the texts."""
+def document_rows(documents: DataFrame) -> DataFrame:
+    """Size, checksum, hash of the text and the value in each dimension of every document; one pass over the texts."""
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1
-    tie = F.shiftrightunsigned(F.xxhash64("text_crc32", "doc_id"), 32)
-    values = [_hash31(F.col("source")), _hash31(F.col("lang")), F.floor(F.log2(F.col("size")) * (1 << 24))]
-    tie = F.shiftleft(F.shiftright(F.coalesce("text_crc32", F.lit(0)), 16), 16).bitwiseOR(tie.bitwiseAND(0xFFFF))
-    return (
-        documents.select("doc_id", "source", "lang", size.alias("size"), F.crc32(F.col("text")).alias("text_crc32"))
-        .select("doc_id", "size", "text_crc32", *(F.shiftleft(v.cast("long"), 32).bitwiseOR(tie).alias(f"k{i}") for i, v in enumerate(values)))
+    values = [_hash31(F.col("source")), _hash31(F.col("lang")), F.floor(F.log2(F.col("size")) * (1 << 24)).cast("long")]
+    return documents.select(
+        "doc_id", "source", "lang", size.alias("size"), F.crc32(F.col("text")).alias("text_crc32"), F.xxhash64("text").alias("text_key")
+    ).select("doc_id", "size", "text_crc32", "text_key", *(v.alias(f"v{i}") for i, v in enumerate(values)))
+
+
+def document_points(rows: DataFrame, store: StageStore, leaf_bytes: float, copies_together: bool) -> DataFrame:
+    """One key per dimension for every document: its value, shared by copies, above 32 bits of hash."""
+    values = [f"v{i}" for i in range(DIMENSIONS)]
+    by_text = F.shiftrightunsigned(F.xxhash64("text_key"), 32)
+    by_id = F.shiftleft(F.shiftright(by_text, 16), 16).bitwiseOR(F.xxhash64("doc_id").bitwiseAND(0xFFFF))
+
+    def keyed(dimensions: list, tie: Column) -> list[Column]:
+        return [F.shiftleft(v, 32).bitwiseOR(tie).alias(f"k{i}") for i, v in enumerate(dimensions)]
+
+    if not copies_together:
+        return rows.select("doc_id", "size", "text_crc32", *keyed(values, by_id))
+    copies = store.save(
+        rows.groupBy("text_key")
+        .agg(F.count(F.lit(1)).alias("_n"), F.sum("size").alias("_weight"), *(F.min(v).alias(f"_{v}") for v in values))
+        .filter("_n > 1")
+        .drop("_n"),
+        "kd-copies",
     )
+    tie = F.when(F.col("_weight") > leaf_bytes, by_id).otherwise(by_text)
+    return rows.join(small_side(copies), "text_key", "left").select("doc_id", "size", "text_crc32", *keyed([F.coalesce(f"_{v}", v) for v in values], tie))
 
 
 def _by_node(values: list) -> Column:
@@ -92,23 +114,27 @@ def _level(points: DataFrame, nodes: int, spans: list[int]) -> DataFrame:
     return keyed.withColumn("node", 2 * F.col("node") + (F.col("_key") > _by_node(cut)).cast("int")).drop("_key")
 
 
-def kd_shards(documents: DataFrame, store: StageStore, shards: int | None = None, target_bytes: int | None = None) -> DataFrame:
+def kd_shards(
+    documents: DataFrame, store: StageStore, shards: int | None = None, target_bytes: int | None = None, copies_together: bool = False
+) -> DataFrame:
     """doc_id, size, text_crc32, shard and slot (gapless in the shard) of every row.
 
     ``shards`` is a power of two; without it the tree grows until leaves hold
-    about ``target_bytes``.
+    about ``target_bytes``. ``copies_together`` keeps documents of equal text in
+    one leaf, unless they alone weigh more than a leaf.
     """
-    points = store.save(document_points(documents).withColumn("node", F.lit(0)), "kd-points")
-    whole = points.agg(
-        F.count(F.lit(1)).alias("rows"), F.sum("size").alias("bytes"), *(F.max(f"k{i}").alias(f"hi{i}") for i in range(DIMENSIONS)),
-        *(F.min(f"k{i}").alias(f"lo{i}") for i in range(DIMENSIONS)),
+    documents = store.save(document_rows(documents), "kd-rows")
+    whole = documents.agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("size").alias("bytes"), *(F.max(f"v{i}").alias(f"hi{i}") for i in range(DIMENSIONS)),
+        *(F.min(f"v{i}").alias(f"lo{i}") for i in range(DIMENSIONS)),
     ).first()
     rows, total = whole["rows"], whole["bytes"] or 0
     if shards is None:
         shards = 1 << max(0, math.ceil(math.log2(max(1.0, total / target_bytes))))
     if shards & (shards - 1):
         raise ValueError("shards has to be a power of two")
-    spans = [max(1, (whole[f"hi{i}"] >> 32) - (whole[f"lo{i}"] >> 32)) if rows else 1 for i in range(DIMENSIONS)]
+    spans = [max(1, whole[f"hi{i}"] - whole[f"lo{i}"]) if rows else 1 for i in range(DIMENSIONS)]
+    points = store.save(document_points(documents, store, total / shards, copies_together).withColumn("node", F.lit(0)), "kd-points")
     nodes = 1
     while nodes < shards and rows:
         points = _level(points, nodes, spans)

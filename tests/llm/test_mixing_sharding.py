@@ -94,6 +94,10 @@ def test_odd_rows_are_sharded(spark, odd, nothing):
     sizes = {(r["doc_id"], r["size"]) for r in rows}
     assert {(4, 1), (5, 1), (7, 8)} <= sizes
     assert shards_of(spark, nothing, shards=4) == []
+    assert shards_of(spark, nothing, shards=4, copies_together=True) == []
+    together = shards_of(spark, odd, shards=4, copies_together=True)
+    assert sorted((str(r["doc_id"]), r["size"]) for r in together) == sorted((str(r["doc_id"]), r["size"]) for r in rows)
+    assert sorted(map(str, together)) == sorted(map(str, shards_of(spark, odd.repartition(7), shards=4, copies_together=True)))
     assert sorted(map(str, rows)) == sorted(map(str, shards_of(spark, odd.repartition(7), shards=4)))
 
 
@@ -114,3 +118,59 @@ def test_ties_in_every_dimension_are_split(spark):
     for row in shards_of(spark, df, shards=4):
         per_shard[row["shard"]] += 1
     assert sorted(per_shard) == [0, 1, 2, 3] and max(per_shard.values()) <= 270
+
+
+def plain_tree(points: list, depth: int, spans: list) -> list:
+    """The leaves of the tree, cut one node after another: lists of rows."""
+    if not depth or not points:
+        return [points] if not depth else [[]] * (1 << depth)
+    widths = [(max(p[f"k{d}"] >> 32 for p in points) - min(p[f"k{d}"] >> 32 for p in points)) / spans[d] for d in range(3)]
+    key = f"k{max(range(3), key=lambda d: (widths[d], -d))}"
+    weights = defaultdict(int)
+    for p in points:
+        weights[p[key]] += p["size"]
+    below, half = 0, sum(weights.values()) / 2
+    for cut in sorted(weights):
+        if below + weights[cut] >= half:
+            break
+        below += weights[cut]
+    upto = cut if below + weights[cut] - half <= half - below else cut - 1
+    sides = [p for p in points if p[key] <= upto], [p for p in points if p[key] > upto]
+    return [leaf for side in sides for leaf in plain_tree(side, depth - 1, spans)]
+
+
+def copied(spark):
+    """Copies of a text in several sources and languages; one text with a quarter of all bytes, null and empty texts."""
+    rows = [(i, f"text {i // 3 if i % 2 else i} " + "x" * (i * 37 % 90), f"s{i % 5}", f"l{i % 2}") for i in range(1500)]
+    rows += [(9000 + i, "y" * 80, f"s{i % 5}" if i % 9 else None, "l0") for i in range(450)]
+    rows += [(None, None, "s1", None), (None, None, "s2", "l1"), (7, "", None, "l1"), (7, "", "s3", "l0")]
+    return spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+
+
+def test_tree_is_that_of_sorted_nodes(spark):
+    store, df = new_store(spark), copied(spark)
+    rows = sharding.document_rows(df)
+    total = rows.selectExpr("sum(size)").first()[0]
+    points = sharding.document_points(rows, store, total / 8, True).collect()
+    spans = [max(1, max(r[f"v{d}"] for r in rows.collect()) - min(r[f"v{d}"] for r in rows.collect())) for d in range(3)]
+    leaves = [sorted((str(p["doc_id"]), p["size"], p["text_crc32"] or 0) for p in leaf) for leaf in plain_tree(points, 3, spans)]
+    found = defaultdict(list)
+    for r in shards_of(spark, df, shards=8, copies_together=True):
+        found[r["shard"]].append((str(r["doc_id"]), r["size"], r["text_crc32"] or 0))
+    assert [sorted(found[i]) for i in range(8)] == leaves
+
+
+def test_copies_lie_in_one_leaf(spark):
+    df = copied(spark)
+    placed = shards_of(spark, df, shards=8, copies_together=True)
+    leaf = sum(r["size"] for r in placed) / 8
+    where, weight = defaultdict(set), defaultdict(int)
+    for r in placed:
+        where[r["text_crc32"]].add(r["shard"])
+        weight[r["text_crc32"]] += r["size"]
+    assert len(where) < len(placed) / 2 and {len(s) for c, s in where.items() if weight[c] <= leaf} == {1}
+    assert [c for c in where if weight[c] > leaf] and all(len(where[c]) > 1 for c in where if weight[c] > leaf)
+    per_shard = defaultdict(int)
+    for r in placed:
+        per_shard[r["shard"]] += r["size"]
+    assert max(per_shard.values()) < 1.1 * leaf
