@@ -69,7 +69,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each row's shard and its place there; null texts weigh one byte, and rows that repeat have places of their own."""
-    return sharding.kd_shards(docs, new_store(spark), shards=SHARDS)
+    return sharding.kd_shards(docs, new_store(spark), shards=SHARDS, copies_together=True)
 
 
 STAGES = [
