@@ -141,7 +141,7 @@ def plain_tree(points: list, depth: int, spans: list) -> list:
 
 def copied(spark):
     """Copies of a text in several sources and languages; one text with a quarter of all bytes, null and empty texts."""
-    rows = [(i, f"text {i // 3 if i % 2 else i} " + "x" * (i * 37 % 90), f"s{i % 5}", f"l{i % 2}") for i in range(1500)]
+    rows = [(i, f"text {i // 3} " + "x" * (i // 3 * 37 % 90), f"s{i % 5}", f"l{i % 2}") for i in range(1500)]
     rows += [(9000 + i, "y" * 80, f"s{i % 5}" if i % 9 else None, "l0") for i in range(450)]
     rows += [(None, None, "s1", None), (None, None, "s2", "l1"), (7, "", None, "l1"), (7, "", "s3", "l0")]
     return spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
