@@ -11,6 +11,7 @@ from clinloom.functions import text as X
 
 SAMPLE_VALUES = 5
 DISTINCT_LIMIT = 1_000  # larger counts are also shown as "1000+"
+SHUFFLED_BYTES = 64  # longer texts are counted by a hash
 
 
 def unpivot(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -122,8 +123,19 @@ def _moment_text(moment: Column) -> Column:
 
 
 def distinct_cells(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The distinct values of each column (blank as NULL) and how often. Copies collapse before the shuffle."""
-    return unpivot(df, columns).groupBy("ordinal_position", "column_name", "value").agg(F.count("*").alias("n"))
+    """The distinct values of each column (blank as NULL), their length, and how often. Copies collapse before the shuffle.
+
+    A text of more than ``SHUFFLED_BYTES`` that is no number or time is told
+    from others by its 128-bit hash, which takes its place as ``value``: what
+    is shuffled for a cell does not grow with its text.
+    """
+    value = F.col("value")
+    long_text = (F.octet_length(value) > SHUFFLED_BYTES) & ~value.rlike(X.FLOAT_PATTERN) & X.moment_of(value).isNull()
+    cells = unpivot(df, columns).select(
+        "ordinal_position", "column_name", F.when(long_text, F.concat(F.lit("#"), F.md5(value))).otherwise(value).alias("value"),
+        F.length(value).alias("length"), F.octet_length(value).alias("bytes"),  # the bytes tell a hash from a value that looks like one
+    )
+    return cells.groupBy("ordinal_position", "column_name", "value", "length", "bytes").agg(F.count("*").alias("n"))
 
 
 def column_statistics(df: DataFrame, columns: Sequence[str], cells: DataFrame | None = None) -> DataFrame:
@@ -137,8 +149,8 @@ def column_statistics(df: DataFrame, columns: Sequence[str], cells: DataFrame |
             F.sum(n).alias("rows"),
             F.coalesce(F.sum(F.when(value.isNotNull(), n)), F.lit(0)).alias("non_null_count"),
             F.count(value).alias("distinct_values"),
-            F.min(F.length(value)).alias("min_length"),
-            F.max(F.length(value)).alias("max_length"),
+            F.min("length").alias("min_length"),
+            F.max("length").alias("max_length"),
             *(
                 f(kind).alias(f"{name}_{kind}")
                 for kind in ("number", "any_number", "moment", "day")

@@ -85,3 +85,22 @@ def test_first_values_move_one_row_a_task(spark):
     count, smallest = profile.first_distinct(rows, {"a": F.col("a"), "c": F.lit(None).cast("string")}, 3)
     assert (count, smallest) == (5000, {"a": ["v0", "v1", "v10"], "c": []})
     assert profile.first_distinct(rows.limit(0), {"a": F.col("a")}, 3) == (0, {"a": []})
+
+
+def test_long_texts_are_counted_by_hash(spark):
+    """Texts that differ only at their far end, a value that looks like a hash, long numbers and long times keep their results."""
+    import hashlib
+
+    texts = [("x" * 5000) + str(i % 7) for i in range(50)]
+    lookalike = "#" + hashlib.md5(texts[0].encode()).hexdigest()
+    numbers = ["1" + "0" * 90, "-2", "7" * 80, "0." + "0" * 70 + "1"] * 12 + [" ", None]
+    times = ["2020-01-01T00:00:00." + "0" * 60 + "Z", "2021-01-01T00:00:00Z"] * 25
+    df = table(spark, [*zip([*texts[:-1], lookalike], numbers, times)], ["a", "b", "c"])
+    cells = profile.distinct_cells(df, ["a"])
+    assert cells.count() == 8 and cells.agg(F.max(F.octet_length("value"))).first()[0] <= profile.SHUFFLED_BYTES
+    rows = {r["column_name"]: r for r in profile.column_profile(df, ["a", "b", "c"], "f").collect()}
+    assert [rows[c]["inferred_type"] for c in "abc"] == ["text", "decimal", "datetime"]
+    assert [rows[c]["distinct_values"] for c in "abc"] == [8, 4, 2]
+    assert (rows["a"]["min_length"], rows["a"]["max_length"], rows["a"]["sample_values"].split(" | ")[0]) == (33, 5001, texts[0])
+    assert (rows["b"]["min_value"], rows["b"]["max_value"]) == ("-2", numbers[0])
+    assert profile.distinct_counts(df, ["a", "b"], 7).where("column_name = 'a'").first()[1:] == (8, True)
