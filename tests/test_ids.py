@@ -5,6 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from clinloom.operators.ids import dense_ids
+from clinloom.staging import walk_files
 
 
 @pytest.fixture(scope="module")
@@ -82,3 +83,16 @@ def test_ids_by_place_need_no_exchange(spark, store):
     assert sorted(r["v"] for r in numbered.df.collect()) == list(range(100))
     assert "Exchange hashpartitioning" not in numbered.df._jdf.queryExecution().toString() and "rangepartitioning" not in numbered.df._jdf.queryExecution().toString()
     assert placed_ids(spark.createDataFrame([], "v long"), "number", store).df.collect() == []
+
+
+def test_large_tables_get_more_ranges_than_shuffle_partitions(spark, store, monkeypatch):
+    from clinloom.operators import ids
+
+    monkeypatch.setattr(ids, "SORTED_ROWS", 100)
+    rows = spark.range(2_000, numPartitions=3).select((F.col("id") * 7 % 2_000).alias("k"), (F.col("id") % 3).alias("v"))
+    numbered = dense_ids(rows, "n", ["k"], store)
+    assert numbered.rows == 2_000
+    assert numbered.df.where(F.col("n") != F.col("k") + 1).count() == 0
+    blocks = [f for f in walk_files(spark, store.folder) if f.endswith(".parquet")]
+    assert len(blocks) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert all(".zstd." in f for f in blocks)
