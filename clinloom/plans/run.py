@@ -130,7 +130,11 @@ def apply_validation(spark: SparkSession, results: dict[str, DataFrame], schema:
     store = StageStore(spark)
     try:
         # written aside first: the person table is both read by the checks and a target
-        approved = store.save(results["approved"], "approved")
+        if "row_checks" in results:  # the checks run once for both kinds of rows
+            checked = store.save(results["row_checks"], "checked")
+            approved, reviewed = rowcheck.approved_rows(checked), rowcheck.review_rows(checked)
+        else:
+            approved, reviewed = store.save(results["approved"], "approved"), results["review"]
         names = [r["target_table"] for r in approved.select("target_table").distinct().collect()]
         for table in names:
             if not spark.catalog.tableExists(f"`{schema}`.`{table}`"):
@@ -142,7 +146,7 @@ def apply_validation(spark: SparkSession, results: dict[str, DataFrame], schema:
         fits = F.size("_unknown") == 0
         reason = F.concat(F.lit("Columns not in the target table: "), F.array_join(F.array_sort("_unknown"), ", "), F.lit("."))
         held = rowcheck.review_rows(approved.where(~fits).withColumn("status", F.lit("review")).withColumn("reason", reason))
-        review = store.save(results["review"].unionByName(held), "review")
+        review = store.save(reviewed.unionByName(held), "review")
         good = approved.where(fits)
         present = [r["target_table"] for r in good.select("target_table").distinct().collect()]
         rows = {

@@ -270,3 +270,28 @@ def test_approved_and_held_rows_are_written(spark, tmp_path):
     assert apply_validation(spark, results, "checked") == {"condition_occurrence": 1, S.REVIEW_TABLE: 1}
     assert rows(spark.table("checked.condition_occurrence"), "condition_occurrence_id", "condition_concept_id", "condition_start_date") == [(7, 12, dt.date(2020, 1, 5))]
     assert rows(spark.table(f"checked.{S.REVIEW_TABLE}"), "review_id", "source_row_id", "review_status") == [(1, "bad", "review")]
+
+
+def test_review_ids_follow_the_content(spark, store):
+    old = spark.createDataFrame([(5, "death", "manual:1", None, "old", None, None)], S.REVIEW)
+    columns = "target_table string, source_row_id string, review_status string, review_reason string, payload_json string"
+    new = spark.createDataFrame([("t", f"synthea:{n * 7 % 20:02}", "review", "r", "{}") for n in range(20)], columns).repartition(5)
+    merged = replace_review(old, new, store).where("review_id > 5").orderBy("review_id").collect()
+    assert [(r["review_id"], r["source_row_id"]) for r in merged] == [(6 + n, f"synthea:{n:02}") for n in range(20)]
+
+
+def test_checks_run_once_for_approved_and_held_rows(spark, monkeypatch):
+    from clinloom.operators import rowcheck
+
+    saved = []
+    real = rowcheck.approved_rows
+    monkeypatch.setattr(rowcheck, "approved_rows", lambda checked: saved.append(checked) or real(checked))
+    ensure_schema(spark, "checked_once")
+    rows = spark.createDataFrame(
+        [("death", "a", {"person_id": "1"}, [], None, None, "person_id", False, None), ("death", "b", {"person_id": "2"}, [], None, None, "person_id", False, "unsure")], S.PROPOSED_ROW
+    ).withColumn("n", F.monotonically_increasing_id())
+    results = validate_proposals(rows, spark.createDataFrame([], S.VOCABULARY["concept"]), spark.createDataFrame([], S.TARGETS["person"]), "n")
+    load_table(spark.createDataFrame([], S.TARGETS["death"]), "checked_once", "death")
+    saved.clear()
+    assert apply_validation(spark, results, "checked_once") == {"death": 1, S.REVIEW_TABLE: 1}
+    assert len(saved) == 1 and "FileScan parquet" in saved[0]._jdf.queryExecution().toString()
