@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clinloom import schemas as S
+from clinloom.sources.arrays import read_array
 from clinloom.sources.records import breaks_in_quotes, read_records
 from clinloom.staging import StageStore
 
@@ -201,8 +202,11 @@ def read_vocabulary(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 
 def read_proposals(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """Proposed rows, one object per line; with ``multiline`` from a JSON array, which one task reads."""
-    raw = spark.read.schema(S.PROPOSED_ROW).option("multiLine", multiline).option("mode", "FAILFAST").json(path)
+    """Proposed rows, one object per line; with ``multiline`` from JSON arrays over several lines, which are read in splits."""
+    if multiline:
+        raw = read_array(spark, path, S.PROPOSED_ROW)
+    else:
+        raw = spark.read.schema(S.PROPOSED_ROW).option("mode", "FAILFAST").json(path)
     return with_defaults(raw)
 
 

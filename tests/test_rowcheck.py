@@ -139,3 +139,34 @@ def test_proposal_file_defaults(spark, check, tmp_path):
     assert first["requires_existing_person"] is True and first["person_id_field"] is None
     assert first["concept_bindings"][0]["requires_standard"] is True
     assert reasons(check(tuple(first)))["a"] == ("review", "person_id must not be null.")
+
+
+@pytest.mark.parametrize("split", ["128", "1m"])
+def test_arrays_over_several_lines_are_read_in_splits(spark, tmp_path, split):
+    import json
+
+    from clinloom import schemas as S
+
+    rows = [
+        {"target_table": "death", "source_row_id": f'r{n} ]}}" \\ [{{,', "values": {"a": str(n), "b": "],\n["}, "concept_bindings": [{"field_name": "f", "concept_id": "1"}], "requires_existing_person": n % 2 == 0}
+        for n in range(60)
+    ]
+    texts = {
+        "pretty": json.dumps(rows, indent=2), "line": "[" + "\n,".join(map(json.dumps, rows)) + "\n]\n", "tail": "[\n" + ",\n".join(map(json.dumps, rows)) + "]",
+        "mixed": "\n[ " + ",".join(json.dumps(r, indent=n % 3 or None) for n, r in enumerate(rows)) + " ]", "one": json.dumps(rows[0], indent=1), "none": "[\n]",
+    }
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        for name, text in texts.items():
+            (tmp_path / f"{name}.json").write_text(text, encoding="utf-8")
+            path = f"file://{tmp_path}/{name}.json"
+            plain = with_defaults(spark.read.schema(S.PROPOSED_ROW).option("multiLine", True).json(path))
+            key = lambda r: r["source_row_id"]
+            assert sorted(read_proposals(spark, path, multiline=True).collect(), key=key) == sorted(plain.collect(), key=key), name
+        (tmp_path / "cut.json").write_text(texts["pretty"][:-1], encoding="utf-8")
+        with pytest.raises(ValueError, match="brackets"):
+            read_proposals(spark, f"file://{tmp_path}/cut.json", multiline=True)
+        if split == "128":
+            assert spark.read.text(f"file://{tmp_path}/line.json").rdd.getNumPartitions() > 4
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
