@@ -35,3 +35,22 @@ def test_field_checks_are_made_once(spark, monkeypatch):
     for name in ("file_summary", "spec_full_outer"):
         assert queries.QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
     assert len(made) == 2
+
+
+def test_a_copy_is_neither_shuffled_nor_sorted(spark, store, tmp_path):
+    """Each file of the copy holds rows that followed each other in the row group."""
+    whole = f"file://{tmp_path}/whole"
+    rows = 4 * MOST_ROWS_OF_A_TASK
+    spark.range(rows).coalesce(1).select(F.col("id").alias("n_nationkey"), F.lit("N").alias("n_name"), F.lit(0).alias("n_regionkey")).write.parquet(f"{whole}/nation.parquet")
+    copy = spark.read.parquet(StagedTables(spark, whole, store)._given("nation"))
+    files = copy.groupBy(F.input_file_name()).agg(F.count("*").alias("n"), (F.max("n_nationkey") - F.min("n_nationkey") + 1).alias("span")).collect()
+    assert len(files) >= spark.sparkContext.defaultParallelism
+    assert sum(f["n"] for f in files) == rows and all(f["n"] == f["span"] for f in files)
+
+
+def test_vocabulary_status_makes_the_field_checks_once(spark, monkeypatch):
+    made = []
+    real = queries._FieldChecks
+    monkeypatch.setattr(queries, "_FieldChecks", lambda build: made.append(build) or real(build))
+    assert queries.QUERIES["vocabulary_status"](spark, "/root/testdata/sf0.001").count() > 0
+    assert len(made) == 1
