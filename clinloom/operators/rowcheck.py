@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from clinloom.functions import text as X
 from clinloom.operators.lookups import spread
 from clinloom.schemas import PRIMARY_CONCEPT
+from clinloom.staging import StageStore
 
 _BINDING = (
     "array<struct<step:int,n:int,field_name:string,concept_id:long,given:boolean,value_id:long,"
@@ -58,15 +59,19 @@ def _items() -> Column:
     )
 
 
-def concept_checks(proposals: DataFrame, concept: DataFrame, order_by: str) -> DataFrame:
+def concept_checks(proposals: DataFrame, concept: DataFrame, order_by: str, store: StageStore | None = None) -> DataFrame:
     """One row per check, the first rule that fails or ``validated``.
 
     ``order_by`` names the column that tells the order of the proposed rows.
+    With a store the checks' items are written once; else the rows are taken
+    apart again to find the concepts asked for.
     """
     prepared = proposals.withColumn("_primary", _primary(0)).withColumn("_domain", _primary(1))
     items = prepared.select(F.col(order_by).alias("_row"), "source_row_id", "target_table", F.inline(_items()))
     looked_up = F.when((F.col("step") == 2) & F.col("given") & (F.col("value_id") == F.col("concept_id")), F.col("concept_id"))
     items = items.withColumn("_lookup", looked_up)
+    if store is not None:
+        items = store.save(items, "check-items")
     # concepts are cut down to those asked for; checks without a lookup stay spread over the partitions
     asked = items.where(F.col("_lookup").isNotNull()).select(F.col("_lookup").alias("_concept")).distinct()
     known = concept.select(
@@ -164,10 +169,17 @@ def missing_persons(proposals: DataFrame, person: DataFrame) -> DataFrame:
     return named.join(person.select("person_id"), "person_id", "left_anti").select("source_row_id", "target_table", "person_id")
 
 
-def row_checks(proposals: DataFrame, issues: DataFrame, person: DataFrame, as_of: Column) -> DataFrame:
-    """Every proposed row with status ``approved`` or ``review`` and all its reasons."""
+def row_checks(proposals: DataFrame, issues: DataFrame, person: DataFrame, as_of: Column, store: StageStore | None = None) -> DataFrame:
+    """Every proposed row with status ``approved`` or ``review`` and all its reasons.
+
+    With a store the rows with their person ids, and the checked rows, are
+    written once. Filters on them would else be answered by working the ids and
+    reasons out inside the filter, again for each use in it.
+    """
     required = F.coalesce("requires_existing_person", F.lit(True))
     rows = proposed_person(proposals)
+    if store is not None:
+        rows = store.save(rows, "proposed")
     # persons are looked up for the rows that require one
     asked = rows.where(required & F.col("person_id").isNotNull()).select(F.col("person_id").alias("known_person")).distinct()
     known = birth_dates(person).join(asked, "known_person", "left_semi")
@@ -214,11 +226,12 @@ def row_checks(proposals: DataFrame, issues: DataFrame, person: DataFrame, as_of
     every = F.array_distinct(F.concat(F.coalesce("issues", F.expr("cast(array() as array<string>)")), own))
     checked = prepared.withColumn("_reasons", every)
     is_clean = F.size("_reasons") == 0
-    return checked.select(
+    checked = checked.select(
         *proposals.columns,
         F.when(is_clean, "approved").otherwise("review").alias("status"),
         F.when(is_clean, "Row passed validation and can be rendered into SQL.").otherwise(F.array_join("_reasons", "; ")).alias("reason"),
     )
+    return checked if store is None else store.save(checked, "checked")
 
 
 def approved_rows(checked: DataFrame) -> DataFrame:

@@ -107,11 +107,16 @@ def review_of(spark: SparkSession, schema: str, review_table: str) -> DataFrame:
     return spark.table(f"`{schema}`.`{review_table}`")
 
 
-def validate_proposals(proposals: DataFrame, concept: DataFrame, person: DataFrame, order_by: str, as_of: Column | None = None) -> dict[str, DataFrame]:
-    """Concept checks, row checks, approved and review rows of proposed rows."""
+def validate_proposals(
+    proposals: DataFrame, concept: DataFrame, person: DataFrame, order_by: str, as_of: Column | None = None, store: StageStore | None = None
+) -> dict[str, DataFrame]:
+    """Concept checks, row checks, approved and review rows of proposed rows.
+
+    With a store, which has to outlive the results, every step is written once and runs now.
+    """
     today = F.current_date() if as_of is None else as_of
-    checks = rowcheck.concept_checks(proposals, concept, order_by)
-    checked = rowcheck.row_checks(proposals, rowcheck.concept_issues(checks), person, today)
+    checks = rowcheck.concept_checks(proposals, concept, order_by, store)
+    checked = rowcheck.row_checks(proposals, rowcheck.concept_issues(checks), person, today, store)
     return {
         "concept_checks": checks.select(*rowcheck.CHECK_COLUMNS),
         "row_checks": checked,

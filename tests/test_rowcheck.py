@@ -170,3 +170,24 @@ def test_arrays_over_several_lines_are_read_in_splits(spark, tmp_path, split):
             assert spark.read.text(f"file://{tmp_path}/line.json").rdd.getNumPartitions() > 4
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_steps_written_once_give_the_same_rows(spark, store):
+    """With a store the review rows are read from written checked rows, and nothing is checked again."""
+    concept = spark.createDataFrame(CONCEPTS, "concept_id int, concept_name string, domain_id string, vocabulary_id string, standard_concept string")
+    person = spark.createDataFrame([(1, None, 2000, 1, 1)], "person_id long, birth_datetime timestamp_ntz, year_of_birth int, month_of_birth int, day_of_birth int")
+    given = [
+        row("condition_occurrence", "a", "condition_concept_id", "1001", "condition_start_date", "2020-01-05"),
+        row("condition_occurrence", "a", "condition_concept_id", "2001", "condition_start_date", "soon", person="x"),
+        row("observation", None, "observation_concept_id", None, "observation_date", " ", person="9", requires=False),
+        row("observation", "b", "observation_concept_id", "3001", "observation_date", "1999-01-07", uncertain="two tables fit"),
+        row("drug_exposure", "b", "drug_concept_id", "5002", "", "2030-01-07", person=None, event_field="other_date", extra={"other_date": "2030-02-30"}),
+    ]
+    proposals = with_defaults(spark.createDataFrame(given, S.PROPOSED_ROW)).withColumn("_n", F.monotonically_increasing_id())
+    today = F.lit("2024-06-01").cast("date")
+    plain, written = (validate_proposals(proposals, concept, person, "_n", today, *more) for more in ((), (store,)))
+    for name in plain:
+        rows = [sorted(map(str, found[name].select(*(F.to_json(F.struct(c)).alias(c) for c in found[name].columns)).collect())) for found in (plain, written)]
+        assert rows[0] == rows[1]
+    plan = written["review"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Generate" not in plan and "Join" in plain["review"]._jdf.queryExecution().optimizedPlan().toString()
