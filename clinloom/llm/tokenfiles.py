@@ -16,6 +16,7 @@ Other columns of the input are left alone.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from itertools import accumulate, chain
@@ -36,6 +37,8 @@ BATCH_SEQUENCES = 64
 CACHED_WORDS = 500_000
 #: ASCII punctuation but the apostrophe, with which the vocabulary begins words.
 PUNCTUATION = r"[!-&(-/:-@\[-`{-~]"
+#: Words that every pre-tokenizer keeps whole.
+LETTERS = re.compile("[a-zß-öø-ÿ]+")
 
 
 class Encoder:
@@ -53,6 +56,10 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.words: dict[str, bytes] = {"": b""}
+        # the ids that end a word, where the vocabulary tells them apart
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        tokens = map(self.tokenizer.id_to_token, range(self.tokenizer.get_vocab_size()))
+        self.last = np.array([bool(suffix and token and token.endswith(suffix)) for token in tokens])
 
     @classmethod
     def load(cls, path: str) -> Encoder:
@@ -61,12 +68,28 @@ class Encoder:
         return cls._loaded[path]
 
     def _learn(self, new: list[str]) -> None:
-        for a in range(0, len(new), 20_000):
-            part = new[a : a + 20_000]
-            ids = [found.ids for found in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-            flat = np.fromiter(chain.from_iterable(ids), self.dtype).tobytes()
-            ends = list(accumulate(len(x) * self.dtype.itemsize for x in ids))
-            self.words.update((word, flat[a:b]) for word, a, b in zip(part, [0, *ends], ends))
+        """Words of letters are encoded as one text and parted by the ids that end a word, all others one by one."""
+        letters = list(map(LETTERS.fullmatch, new))
+        for words, together in (([w for w, m in zip(new, letters) if m], True), ([w for w, m in zip(new, letters) if not m], False)):
+            for a in range(0, len(words), 20_000):
+                part = words[a : a + 20_000]
+                flat, ends = self._together(part) if together else self._apart(part)
+                self.words.update((word, flat[a:b]) for word, a, b in zip(part, [0, *ends], ends))
+
+    def _apart(self, words: list[str]) -> tuple[bytes, list[int]]:
+        """The ids of all words, and each word's end in their bytes."""
+        ids = [found.ids for found in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        flat = np.fromiter(chain.from_iterable(ids), self.dtype).tobytes()
+        return flat, list(accumulate(len(x) * self.dtype.itemsize for x in ids))
+
+    def _together(self, words: list[str]) -> tuple[bytes, list[int]]:
+        """``_apart``, in one call; a vocabulary without as many ends as words has them encoded apart."""
+        [found] = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)
+        ids = np.array(found.ids, self.dtype)
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) != len(words) or ends[-1] != len(ids):
+            return self._apart(words)
+        return ids.tobytes(), (ends * self.dtype.itemsize).tolist()
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """Each text's ids (null: none). Every distinct word is looked up once, and its ids are copied to its places."""

@@ -103,3 +103,21 @@ def test_words_are_encoded_as_in_their_text(vocabulary):
     texts = ["It's a<|startoftext|>B. <|STARTOFTEXT|> ÀÉ, İstanbul ΑΣ. a.b,c d... x., 12. 3,4 Ａ b\tc\rd é. don't, you'RE.  x", "", ".", " , ", "ﬁ. Ǆ. 'S.\n\n's."]
     for ids, text in zip(encoder.encode(pa.array(texts)), texts):
         assert ids.tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_new_words_are_encoded_together(vocabulary, monkeypatch):
+    """Words of letters are encoded as one text; other words, and vocabularies that mark no word's end, one by one."""
+    import pyarrow as pa
+
+    texts = ["straße façade zzzxq naïve it's a1b ÷ über 12 Quux", "don't ÿ ø ﬁn x</w>y </w> the</w> the", "日本 ab ́c é ab́ und"]
+    encoder = tokenfiles.Encoder(vocabulary)
+    expected = [encoder.tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+    alone = []
+    apart = tokenfiles.Encoder._apart
+    monkeypatch.setattr(tokenfiles.Encoder, "_apart", lambda self, words: alone.extend(words) or apart(self, words))
+    assert [ids.tolist() for ids in encoder.encode(pa.array(texts))] == expected
+    assert not {"straße", "façade", "naïve", "zzzxq", "über", "the"} & set(alone)
+    assert {"it's", "a1b", "12"} <= set(alone)
+    unmarked = tokenfiles.Encoder(vocabulary)
+    unmarked.last[:] = False
+    assert [ids.tolist() for ids in unmarked.encode(pa.array(texts))] == expected
