@@ -25,7 +25,7 @@ whole. Empty tables give no rows. Other columns are left alone.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -294,8 +294,8 @@ def _shared(order):
     return run
 
 
-def _segments(documents: DataFrame, wanted: DataFrame, order) -> DataFrame:
-    """(idx, fragment, n, sizes, tokens) of the wanted nodes, from their texts; sizes with the first fragment only."""
+def _segments(documents: DataFrame, wanted: DataFrame, order, first: bool) -> DataFrame:
+    """(idx, fragment, n, sizes, tokens) of the wanted nodes, from their texts: the first fragment, with sizes, or all others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Order(order.value)
@@ -307,7 +307,7 @@ def _segments(documents: DataFrame, wanted: DataFrame, order) -> DataFrame:
                     continue
                 parts = own.segments(s)
                 for f, part in enumerate(parts):
-                    if f == 0 or len(part):
+                    if first and f == 0 or not first and f and len(part):
                         for k, v in zip(rows, (i, f, len(s), None if f else narrow_sizes(parts), part.tobytes())):
                             rows[k].append(v)
             yield pa.RecordBatch.from_pydict(
@@ -358,8 +358,12 @@ def _bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield kept.filter(keep)
 
 
-def links(pairs: DataFrame, segments: DataFrame, sizes: DataFrame, store: StageStore) -> DataFrame:
-    """The pairs (x, y) above the threshold: bounded by sizes, then by the first fragment, then counted in the other fragments."""
+def links(pairs: DataFrame, first_segments: DataFrame, other_segments: Callable[[DataFrame], DataFrame], sizes: DataFrame, store: StageStore) -> DataFrame:
+    """The pairs (x, y) above the threshold: bounded by sizes, then by the first fragment, then counted in the other fragments.
+
+    ``other_segments`` gives those of some nodes (idx). It is asked for the
+    nodes of pairs that are left then, as most nodes have none.
+    """
     sx = sizes.select(F.col("idx").alias("x"), F.col("n").alias("nx"), F.col("sizes").alias("sx"))
     sy = sizes.select(F.col("idx").alias("y"), F.col("n").alias("ny"), F.col("sizes").alias("sy"))
     sized = pairs.join(sx, "x").join(sy, "y").select("x", "y", "nx", "ny", "sx", "sy")
@@ -368,10 +372,12 @@ def links(pairs: DataFrame, segments: DataFrame, sizes: DataFrame, store: StageS
     def allows(overlap):
         return 100 * overlap >= PERCENT * (F.col("nx") + F.col("ny") - overlap)
 
-    first = _partial(sized.select("x", "y"), segments.filter("fragment = 0"), store)
+    first = _partial(sized.select("x", "y"), first_segments, store)
     alive = first.withColumnRenamed("part", "first").join(sized, ["x", "y"]).filter(allows(F.col("first") + F.col("rest"))).drop("rest")
     alive = store.save(alive, "alive-pairs")
-    parts = _partial(alive.select("x", "y"), segments.filter("fragment > 0"), store).groupBy("x", "y").agg(F.sum("part").alias("others"))
+    ends = alive.select(F.col("x").alias("idx")).unionByName(alive.select(F.col("y").alias("idx")))
+    others = other_segments(store.save(distinct_rows(ends, ["idx"]), "alive-nodes"))
+    parts = _partial(alive.select("x", "y"), others, store).groupBy("x", "y").agg(F.sum("part").alias("others"))
     whole = alive.join(parts, ["x", "y"], "left").withColumn("overlap", F.col("first") + F.coalesce(F.col("others"), F.lit(0)))
     return store.save(whole.filter(allows(F.col("overlap"))).select("x", "y"), "links")
 
@@ -456,27 +462,34 @@ def near_duplicates(documents: DataFrame, store: StageStore) -> DataFrame:
     entries = store.save(_fitting(shared, nodes, store), "entries")
     ends = distinct_rows(entries.select("idx"), ["idx"])
     wanted = store.save(nodes.select("idx", "key", "node").join(ends, "idx"), "wanted")
-    segments = _segments(documents, lookup_side(wanted, 2 * wanted.count()), order)
-    if sets.filter(F.col("node").isNotNull()).groupBy("key", "node").count().filter("count > 1").limit(1).count():
-        segments = segments.dropDuplicates(["idx", "fragment"])  # rows that repeat id and text
-    segments = store.save(segments, "segments")
-    for name in ("shared", "wanted", "pair-nodes"):
-        store.remove(name)
+    repeated = sets.filter(F.col("node").isNotNull()).groupBy("key", "node").count().filter("count > 1").limit(1).count()
+
+    def segments(nodes: DataFrame, name: str, first: bool) -> DataFrame:
+        found = _segments(documents, lookup_side(nodes, 2 * nodes.count()), order, first)
+        return store.save(found.dropDuplicates(["idx", "fragment"]) if repeated else found, name)  # rows may repeat id and text
+
+    def other_segments(ends: DataFrame) -> DataFrame:
+        return segments(store.save(wanted.join(small_side(ends), "idx", "left_semi"), "alive-wanted"), "other-segments", first=False)
+
+    first_segments = segments(wanted, "first-segments", first=True)
+    store.remove("shared")
     release(spark)
-    sizes = store.save(segments.filter("fragment = 0").select("idx", "n", "sizes"), "sizes")
+    sizes = store.save(first_segments.select("idx", "n", "sizes"), "sizes")
     # stars first, then what they leave apart
     found = tried = labels = None
     for step in (_star_pairs, _random_star_pairs, _crossing_pairs):
         pairs = step(store.save(_labelled(entries, labels), "labelled"))
         pairs = store.save(pairs if tried is None else pairs.join(tried, ["x", "y"], "left_anti"), "pairs")
-        more = links(pairs, segments, sizes, store)
+        more = links(pairs, first_segments, other_segments, sizes, store)
+        for name in ("other-segments", "alive-nodes", "alive-wanted"):
+            store.remove(name)
         found = more if found is None else found.unionByName(more)
         tried = pairs if tried is None else tried.unionByName(pairs)
         labels = components(found, store)
         for name in ("labelled", "sized-pairs", "alive-pairs", "pair-nodes", "large-star", "small-star"):
             store.remove(name)
         release(spark)
-    for name in ("entries", "segments", "sizes", "pairs", "links"):
+    for name in ("entries", "wanted", "first-segments", "sizes", "pairs", "links"):
         store.remove(name)
     # back to documents: nodes of a component, and documents of a node
     placed = nodes.select("idx", "node", "key").join(labels.withColumnRenamed("node", "idx"), "idx", "left")

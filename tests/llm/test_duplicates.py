@@ -74,6 +74,22 @@ def test_similarity_at_the_threshold(spark):
     assert near(spark, rows) == [(0, 45, 0), (1, 36, 0), (2, 45, 2), (3, 35, 3)]
 
 
+def test_whole_sets_are_written_for_pairs_left_by_the_first_fragment_only(spark, monkeypatch):
+    """Documents that share a passage are candidates, but their sets beyond the first fragment are never written."""
+    base, cut = prose(200, 1), jaccard._segments
+    written = {True: set(), False: set()}
+
+    def kept(documents, wanted, order, first):
+        written[first] |= {r["key"] for r in wanted.collect()}
+        return cut(documents, wanted, order, first)
+
+    monkeypatch.setattr(jaccard, "_segments", kept)
+    monkeypatch.setattr(jaccard, "SEEN_IN_PART", 1000)  # the passage's shingles come early in the order
+    rows = [(i, base + " " + prose(200, 10 + i)) for i in range(30)] + [(100, prose(300, 90)), (101, prose(300, 90) + " more"), (101, prose(300, 90) + " more")]
+    assert near(spark, rows) == brute_components(rows)
+    assert written[True] >= {*range(30), 100, 101} and written[False] == {100, 101}
+
+
 def test_no_documents(spark):
     assert near(spark, []) == []
 
