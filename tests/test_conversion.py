@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from clinloom import schemas as S
 from clinloom.operators.quality import assert_unique
-from clinloom.plans.build import CdmBuild
+from clinloom.operators import quality
+from clinloom.plans.build import FACT_SOURCES, CdmBuild
 from clinloom.plans.run import apply_validation, convert, load_extracts, profile_extracts, report_field_mappings, validate_proposals
 from clinloom.sources.files import with_defaults
 from clinloom.sinks.tables import empty_tables, ensure_schema, load_table, replace_review
+from clinloom.staging import walk_files
 
 DAY, NOON = dt.date(2020, 5, 1), dt.datetime(2020, 5, 1, 12)
 
@@ -295,3 +297,55 @@ def test_checks_run_once_for_approved_and_held_rows(spark, monkeypatch):
     saved.clear()
     assert apply_validation(spark, results, "checked_once") == {"death": 1, S.REVIEW_TABLE: 1}
     assert len(saved) == 1 and "FileScan parquet" in saved[0]._jdf.queryExecution().toString()
+
+
+WIDE = {"procedure_stage", "drug_stage", "cost_table", "condition_stage", "device_stage", "measurement_stage", "observation_stage", "payer_plan_stage"}
+
+
+def of_every_kind():
+    """Rows for stages of several tables, with costs of visits, procedures and drugs, and held rows."""
+    event = {"START": NOON, "PATIENT": "p1", "ENCOUNTER": "e1"}
+    return {
+        "conditions": [{**event, "START": DAY, "CODE": "cond"}, {**event, "START": DAY, "CODE": "none"}],
+        "procedures": [{**event, "CODE": "proc", "BASE_COST": "7"}, {**event, "CODE": "none", "BASE_COST": "8"}],
+        "medications": [{**event, "CODE": "rx", "TOTALCOST": "5", "PAYER_COVERAGE": "2"}],
+        "observations": [{"DATE": NOON, "PATIENT": "p1", "ENCOUNTER": "e1", "CODE": "meas", "VALUE": "1"}],
+        "devices": [{**event, "CODE": "none"}],
+    }
+
+
+def stage_files(build):
+    return {path.rsplit("/", 2)[1].rsplit("-", 1)[0] for path in walk_files(build.spark, build.store.folder)}
+
+
+@pytest.mark.parametrize("report", ["load_counts", "summary", "dropped_rows"])
+def test_counts_leave_no_fact_stage_on_disk(build, report):
+    """Each table is counted at its turn and its stage table removed, so the disk never holds all of them."""
+    short, whole = build(**of_every_kind()), build(**of_every_kind())
+    found = sorted(map(tuple, getattr(short, report)().collect()))
+    facts = {f"{t}_id" for t in FACT_SOURCES} - {"visit_occurrence_id"} | {"cost_id", "routed_observations", "procedure_costs", "drug_costs"}
+    assert not stage_files(short) & facts and not WIDE & set(short.__dict__)
+    whole.prepare()
+    assert found == sorted(map(tuple, getattr(whole, report)().collect()))
+    # what was there before stays, and what went is built again
+    assert {"procedure_stage", "condition_stage", "cost_table"} <= set(whole.__dict__) and whole.table("procedure_occurrence").count() == 1
+    assert short.table("procedure_occurrence").count() == 1 and short.table("cost").count() == whole.table("cost").count() == 3
+
+
+def test_tables_in_turn_hold_few_stages(build):
+    """No more than one long stage table is there at any turn, costs included."""
+    made, at = build(**of_every_kind()), {}
+    for name in made.in_turn(S.TARGET_TABLES):
+        made.table(name).count()
+        at[name] = WIDE & set(made.__dict__)
+    assert sorted(at) == sorted(S.TARGET_TABLES) and max(map(len, at.values())) == 1 and at["cost"] == {"cost_table"}
+
+
+def test_reports_by_table_equal_those_of_all_tables(build):
+    made = build(**of_every_kind())
+    tables = {t: made.table(t) for t in S.TARGET_TABLES}
+    apart = build(**of_every_kind())
+    by_table = apart.report(lambda t: quality.not_null_violations({t: apart.table(t)}, {t: S.REQUIRED_COLUMNS[t]}), S.REQUIRED_COLUMNS)
+    assert list(map(tuple, by_table.collect())) == list(map(tuple, quality.not_null_violations(tables).collect()))
+    spans = quality.parent_spans(tables, S.FOREIGN_KEYS)
+    assert sorted(map(tuple, quality.orphan_report(tables, spans=spans).collect())) == sorted(map(tuple, quality.orphan_report(tables).collect()))
