@@ -349,3 +349,30 @@ def test_reports_by_table_equal_those_of_all_tables(build):
     assert list(map(tuple, by_table.collect())) == list(map(tuple, quality.not_null_violations(tables).collect()))
     spans = quality.parent_spans(tables, S.FOREIGN_KEYS)
     assert sorted(map(tuple, quality.orphan_report(tables, spans=spans).collect())) == sorted(map(tuple, quality.orphan_report(tables).collect()))
+
+
+def test_conversion_writes_tables_in_turn(spark, build, monkeypatch):
+    """A conversion removes a stage table once its rows are written."""
+    made = build(**of_every_kind())
+    for schema, tables in {
+        "turns_from": made.sources,
+        "turns_to": {t: spark.createDataFrame([], S.TARGETS[t]) for t in S.TARGET_TABLES} | {"concept": made.concept, "concept_relationship": made.relationship},
+    }.items():
+        ensure_schema(spark, schema)
+        for name, df in tables.items():
+            load_table(df, schema, name)
+    seen, table = {}, CdmBuild.table
+
+    def watched(self, name):
+        found = table(self, name)
+        seen[name] = WIDE & set(self.__dict__)
+        return found
+
+    monkeypatch.setattr(CdmBuild, "table", watched)
+    report = convert(spark, "turns_to", as_of=made.as_of, preference=(("turns_from", "{name}"),))
+    assert max(map(len, seen.values())) == 1 and len(seen) == len(S.TARGET_TABLES)
+    assert report.rows_by_table["cost"] == 3 and report.rows_by_table["procedure_occurrence"] == 1
+    review = spark.table("turns_to." + S.REVIEW_TABLE)
+    held = sorted(map(tuple, made.review().collect()))
+    assert sorted(map(tuple, review.select(*made.review().columns).collect())) == held and len(held) == report.review_rows
+    assert sorted(r[0] for r in review.select("review_id").collect()) == list(range(1, len(held) + 1))

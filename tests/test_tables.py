@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clinloom.sinks import journal, tables
-from clinloom.sinks.tables import append_tables, change_tables, ensure_schema, load_table, load_tables
+from clinloom.sinks.tables import Later, append_tables, change_tables, ensure_schema, load_table, load_tables
 from clinloom.staging import list_files
 
 
@@ -204,3 +204,21 @@ def test_columns_unknown_to_a_table_go_to_review(spark, place):
     with pytest.raises(ValueError, match="Unknown target table: nowhere"):
         apply_validation(spark, {"approved": approved.withColumn("target_table", F.lit("nowhere")), "review": empty}, "loads")
     assert spark.table("loads.death").count() == 1
+
+
+def test_later_rows_are_worked_out_one_table_after_another(spark):
+    ensure_schema(spark, "later")
+    order, rows = [], spark.range(3)
+
+    def at(name, df=rows):
+        return Later(rows.schema, lambda: order.append(name) or df)
+
+    assert change_tables(spark, "later", replace={"b": at("b"), "a": at("a"), "now": rows}) == {"b": 3, "a": 3, "now": 3} and order == ["b", "a"]
+    assert change_tables(spark, "later", replace={"b": at("b")}, append={"a": at("a")}) == {"b": 3, "a": 3} and spark.table("later.a").count() == 6
+
+    def fails():
+        raise ValueError("no rows")
+
+    with pytest.raises(ValueError, match="no rows"):
+        change_tables(spark, "later", replace={"b": at("b", spark.range(9)), "a": Later(rows.schema, fails)})
+    assert spark.table("later.b").count() == 3 and spark.table("later.a").count() == 6
