@@ -12,7 +12,7 @@ from clinloom.plans.build import FACT_SOURCES, CdmBuild
 from clinloom.plans.run import apply_validation, convert, load_extracts, profile_extracts, report_field_mappings, validate_proposals
 from clinloom.sources.files import with_defaults
 from clinloom.sinks.tables import empty_tables, ensure_schema, load_table, replace_review
-from clinloom.staging import walk_files
+from clinloom.staging import StageStore, walk_files
 
 DAY, NOON = dt.date(2020, 5, 1), dt.datetime(2020, 5, 1, 12)
 
@@ -376,3 +376,14 @@ def test_conversion_writes_tables_in_turn(spark, build, monkeypatch):
     held = sorted(map(tuple, made.review().collect()))
     assert sorted(map(tuple, review.select(*made.review().columns).collect())) == held and len(held) == report.review_rows
     assert sorted(r[0] for r in review.select("review_id").collect()) == list(range(1, len(held) + 1))
+
+
+def test_facts_and_visits_are_written_once(build, monkeypatch):
+    """Their rows go from the joins straight into the blocks that are numbered."""
+    saved, save = [], StageStore.save
+    monkeypatch.setattr(StageStore, "save", lambda store, df, name: (saved.append(name), save(store, df, name))[1])
+    for table in S.REVIEWED_TABLES:
+        if table != "death":
+            build.stage(table)
+            key = S.PRIMARY_KEYS[table]
+            assert [n for n in saved if n.startswith(key)] == [key]

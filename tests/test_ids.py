@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from clinloom.operators.ids import dense_ids
+from clinloom.operators.ids import Cells, _blocks, dense_ids
 from clinloom.staging import walk_files
 
 
@@ -96,3 +96,45 @@ def test_large_tables_get_more_ranges_than_shuffle_partitions(spark, store, monk
     blocks = [f for f in walk_files(spark, store.folder) if f.endswith(".parquet")]
     assert len(blocks) > int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert all(".zstd." in f for f in blocks)
+
+
+@pytest.mark.parametrize("weight", [{}, {7: 1}, {7: 10_000}, {7: 10_000, 0: 10_000, 999: 10_000}])
+def test_cells_only_balance_tasks(spark, store, skewed, monkeypatch, weight):
+    """The same ids whatever the estimate, also where a cell is cut into several blocks, keys are null or beyond the cells."""
+    from clinloom.operators import ids
+
+    monkeypatch.setattr(ids, "SORTED_ROWS", 2_000)
+    cells = Cells(F.col("k") * 2 - 20, [weight.get(n, 20) for n in range(1000)])
+    found = dense_ids(skewed, "id", ["k"], store, first_id=3, cells=cells)
+    expected = skewed.withColumn("id", (F.row_number().over(Window.orderBy("k", "v")) + 2).cast("long")).select("id", "k", "v")
+    assert found.rows == 30_000
+    assert found.df.exceptAll(expected).count() == 0 and expected.exceptAll(found.df).count() == 0
+    assert dense_ids(skewed.where("false"), "id", ["k"], store, cells=cells).df.collect() == []
+
+
+def test_rows_with_cells_are_written_once_and_not_sampled(store, skewed, monkeypatch):
+    plans, save = [], store.save
+    monkeypatch.setattr(store, "save", lambda df, name: (plans.append(df._jdf.queryExecution().toString()), save(df, name))[1])
+    dense_ids(skewed.where("k < 1000"), "id", ["k"], store, cells=Cells(F.col("k"), [30] * 1000))
+    assert len(plans) == 1 and "rangepartitioning" not in plans[0]
+
+
+def test_blocks_of_cells(monkeypatch):
+    from clinloom.operators import ids
+
+    monkeypatch.setattr(ids, "SORTED_ROWS", 100)
+    assert _blocks([40, 40, 40, 0, 250, 10], 1) == ([0, 0, 1, 1, 2, 5], [1, 1, 1, 1, 3, 1], 6)
+    assert _blocks([0, 0], 8) == ([0, 0], [1, 1], 1)
+    first, count, blocks = _blocks([10.0] * 1000, 8)
+    assert blocks == 100 and first == sorted(first) and set(count) == {1}
+
+
+def test_hot_cell_is_spread(spark, store, skewed):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        copies = skewed.select(F.lit(1).alias("k"), F.lit("same").alias("v"))
+        table = dense_ids(copies, "id", ["k"], store, cells=Cells(F.col("k"), [0, 200_000, 0])).df
+        assert table.select(F.input_file_name()).distinct().count() > 1
+        assert table.agg(F.countDistinct("id"), F.max("id")).head()[0:2] == (30_000, 30_000)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
